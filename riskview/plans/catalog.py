@@ -16,9 +16,10 @@ from riskview import fixtures as fx
 from riskview.config import RiskConfig
 from riskview.functions import masking
 from riskview.functions.metadata import with_ingest_metadata, with_layer_metadata
-from riskview.operators import cleaning, scd2, screening, scoring
+from riskview.operators import (cleaning, quality, scd2, screening, scoring,
+                                 warehouse)
 from riskview.plans import customer_360 as c360
-from riskview.schemas import EXTERNAL_CUSTOMER_360
+from riskview.schemas import EXTERNAL_CUSTOMER_360, SILVER_CONTRACTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -278,3 +279,60 @@ def alert_list(spark, sf):
 @query
 def preview_top_n(spark, sf):
     return _gold(spark, sf).orderBy("customer_id").limit(10)
+
+
+# ------------------------------------------------------------------ warehouse
+
+@query
+def dim_customer(spark, sf):
+    return warehouse.dim_customer(_scd2_history(spark, sf))
+
+
+@query
+def dim_document_status(spark, sf):
+    docs = cleaning.latest_per_customer(fx.kyc_documents(spark, sf))
+    return warehouse.dim_document_status(docs, default_verifier="unknown")
+
+
+@query
+def dim_date(spark, sf):
+    return warehouse.dim_date(F.col("o_orderdate"), fx.table(spark, sf, "orders"))
+
+
+def _fact(spark, sf):
+    return warehouse.fact_customer_risk(_gold(spark, sf), fx.run_ts(fx.RUN))
+
+
+@query
+def fact_customer_risk(spark, sf):
+    return _fact(spark, sf)
+
+
+@query
+def star_rollup(spark, sf):
+    return warehouse.star_rollup(_fact(spark, sf),
+                                 warehouse.dim_customer(_scd2_history(spark, sf)))
+
+
+# -------------------------------------------------------------------- quality
+
+@query
+def layer_row_counts(spark, sf):
+    return quality.layer_row_counts({t: fx.table(spark, sf, t) for t in fx.TABLES})
+
+
+def silver_tables(spark, sf) -> dict[str, DataFrame]:
+    """The five silver-shaped tables built from the fixture roles."""
+    return {
+        "customer_onboarding": scd2.scd2_initial(
+            cleaning.mask_customer_pii(fx.customers(spark, sf)), fx.RUN),
+        "transaction_feed": fx.transactions(spark, sf),
+        "kyc_documents": cleaning.latest_per_customer(fx.kyc_documents(spark, sf)),
+        "watchlist_sanctions": fx.watchlist(spark, sf),
+        "account_activity": fx.activity(spark, sf),
+    }
+
+
+@query
+def schema_report(spark, sf):
+    return quality.schema_report(silver_tables(spark, sf), SILVER_CONTRACTS)

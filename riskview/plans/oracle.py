@@ -211,6 +211,79 @@ _BODIES: dict[str, str] = {
     "preview_top_n": "SELECT * FROM customer_360 ORDER BY customer_id LIMIT 10",
 }
 
+_TABLE_COLUMNS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6,
+                  "orders": 6, "lineitem": 11, "events": 6, "documents": 5,
+                  "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3,
+                  "conversations": 4}
+
+_SILVER_VIEWS = {
+    "customer_onboarding": ("customers", ("customer_id", "full_name", "ssn", "date_of_birth",
+                            "email", "phone", "country", "pep_flag"), ("effective_from",
+                            "effective_to", "is_current"), ()),
+    "transaction_feed": ("transactions", ("transaction_id", "customer_id", "amount",
+                         "cross_border_flag", "status"), (), ("txn_type",)),
+    "kyc_documents": ("latest_doc", ("doc_id", "customer_id", "doc_status", "doc_type",
+                      "expiry_date"), (), ()),
+    "watchlist_sanctions": ("watchlist", ("watchlist_id", "entity_name"), (),
+                            ("list_type", "designation")),
+    "account_activity": ("activity", ("account_id", "customer_id", "dormant_flag",
+                         "days_since_activity", "balance_tier"), (), ()),
+}
+_CONTRACT_ORDER = {
+    "transaction_feed": ("transaction_id", "customer_id", "amount", "cross_border_flag",
+                         "txn_type", "status"),
+    "watchlist_sanctions": ("watchlist_id", "entity_name", "list_type", "designation"),
+}
+
+
+def _schema_report_sql() -> str:
+    parts = []
+    for t, (view, present, constant, missing) in _SILVER_VIEWS.items():
+        passed = "FALSE" if missing else "TRUE"
+        for c in present:
+            # masked columns keep the NULLs of their source (a NULL e-mail
+            # stays NULL, and so does an address without '@')
+            expr = c
+            if t == "customer_onboarding" and c == "email":
+                expr = "substring(email, 1, 1) || '***@' || str_split(email, '@')[2]"
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, TRUE AS present, "
+                         f"count_if(({expr}) IS NULL) AS null_count, {passed} AS table_passed FROM {view}")
+        for c in constant:
+            parts.append(f"SELECT '{t}', '{c}', TRUE, CAST(0 AS BIGINT), {passed}")
+        for c in missing:
+            parts.append(f"SELECT '{t}', '{c}', FALSE, CAST(NULL AS BIGINT), {passed}")
+    return "\nUNION ALL ".join(parts)
+
+
+_BODIES.update({
+    "dim_customer": """SELECT row_number() OVER (ORDER BY customer_id, effective_from) AS customer_key, *
+        FROM (SELECT DISTINCT customer_id, full_name, country, customer_segment, pep_flag,
+              effective_from, effective_to, is_current FROM scd2_all)""",
+    "dim_document_status": """SELECT row_number() OVER (ORDER BY customer_id) AS kyc_key, customer_id,
+        doc_status, doc_type, CAST(expiry_date AS VARCHAR) AS expiry_date, 'unknown' AS verified_by
+        FROM latest_doc""",
+    "dim_date": """SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key,
+        d AS full_date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+        CAST(day(d) AS INTEGER) AS day, CAST(quarter(d) AS INTEGER) AS quarter, monthname(d) AS month_name
+        FROM (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d
+              FROM (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders))""",
+    "fact_customer_risk": f"""SELECT row_number() OVER (ORDER BY customer_id) AS risk_key, customer_id,
+        CAST(year({RUN}) * 10000 + month({RUN}) * 100 + day({RUN}) AS INTEGER) AS date_key,
+        txn_count, txn_total_amt, cross_border_count, risk_score, kyc_risk_level,
+        coalesce(aml_flag, FALSE) AS aml_flag, coalesce(dormancy_alert, FALSE) AS dormancy_alert,
+        coalesce(high_risk_profile, FALSE) AS high_risk_profile, velocity_risk,
+        days_since_activity, balance_tier FROM customer_360""",
+    "star_rollup": """SELECT d.customer_segment, f.kyc_risk_level, count(*) AS customers,
+        CAST(round(sum(CAST(f.txn_total_amt AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_amount,
+        avg(f.risk_score) AS avg_score
+        FROM customer_360 f JOIN scd2_all d ON d.customer_id = f.customer_id AND d.is_current
+        GROUP BY d.customer_segment, f.kyc_risk_level""",
+    "layer_row_counts": "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, {n} AS columns FROM {t}"
+        for t, n in _TABLE_COLUMNS.items()),
+    "schema_report": _schema_report_sql(),
+})
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: WITH + v for k, v in _BODIES.items()}
