@@ -20,6 +20,10 @@ from riskview.operators import (cleaning, quality, scd2, screening, scoring,
                                  warehouse)
 from riskview.plans import customer_360 as c360
 from riskview.schemas import EXTERNAL_CUSTOMER_360, SILVER_CONTRACTS
+from riskview.session import scratch_path
+from riskview.sources import readers
+from riskview.sources.store import write_partitioned
+from riskview.streaming.ingest import INGEST_PARTITIONS, ingest_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -336,3 +340,43 @@ def silver_tables(spark, sf) -> dict[str, DataFrame]:
 @query
 def schema_report(spark, sf):
     return quality.schema_report(silver_tables(spark, sf), SILVER_CONTRACTS)
+
+
+# ------------------------------------------------------- sources, sinks, stream
+# These write into the shared scratch folder (under spark.checkpoint.dir),
+# then return the lazily read-back result.
+
+@query
+def bronze_partitioned_roundtrip(spark, sf):
+    path = scratch_path(spark, "bronze-orders")
+    df = with_ingest_metadata(fx.table(spark, sf, "orders"), "batch", run_ts=fx.RUN)
+    write_partitioned(df, path, INGEST_PARTITIONS)
+    return spark.read.parquet(path)
+
+
+@query
+def source_csv_customers(spark, sf):
+    cust = fx.customers(spark, sf)
+    path = scratch_path(spark, "landing-customers-csv")
+    cust.write.option("header", True).csv(path)
+    return readers.read_csv(spark, path, cust.schema)
+
+
+@query
+def source_ndjson_transactions(spark, sf):
+    txns = fx.transactions(spark, sf)
+    path = scratch_path(spark, "landing-transactions-json")
+    txns.write.json(path)
+    return readers.read_ndjson(spark, path, txns.schema)
+
+
+@query
+def stream_ingest_events(spark, sf):
+    """Events landed as three files, ingested by one catch-up stream run."""
+    ev = fx.table(spark, sf, "events")
+    root = scratch_path(spark, "stream-events")
+    ev.repartition(3).write.parquet(f"{root}/landing")
+    ingest_files(spark, f"{root}/landing", ev.schema, f"{root}/bronze",
+                 f"{root}/_checkpoint", "stream", run_ts=fx.RUN)
+    # source_file holds Spark's part-file names, which no oracle can know
+    return spark.read.parquet(f"{root}/bronze").drop("source_file")

@@ -284,6 +284,17 @@ _BODIES.update({
     "schema_report": _schema_report_sql(),
 })
 
+_META = (f"{RUN} AS ingestion_timestamp, CAST(year({RUN}) AS INTEGER) AS ingest_year, "
+         f"CAST(month({RUN}) AS INTEGER) AS ingest_month, CAST(day({RUN}) AS INTEGER) AS ingest_day")
+
+_BODIES.update({
+    "bronze_partitioned_roundtrip": f"""SELECT *, 'orders.parquet' AS source_file, 'batch' AS pipeline, {_META}
+        FROM orders""",
+    "source_csv_customers": "SELECT * FROM customers",
+    "source_ndjson_transactions": "SELECT * FROM transactions",
+    "stream_ingest_events": f"SELECT *, 'stream' AS pipeline, {_META} FROM events",
+})
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: WITH + v for k, v in _BODIES.items()}
