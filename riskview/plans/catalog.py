@@ -19,10 +19,11 @@ from riskview.functions.metadata import with_ingest_metadata, with_layer_metadat
 from riskview.operators import (cleaning, quality, scd2, screening, scoring,
                                  warehouse)
 from riskview.plans import customer_360 as c360
+from riskview.plans import pipeline
 from riskview.schemas import EXTERNAL_CUSTOMER_360, SILVER_CONTRACTS
 from riskview.session import scratch_path
 from riskview.sources import readers
-from riskview.sources.store import write_partitioned
+from riskview.sources.store import TableStore, write_partitioned
 from riskview.streaming.ingest import INGEST_PARTITIONS, ingest_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -380,3 +381,52 @@ def stream_ingest_events(spark, sf):
                  f"{root}/_checkpoint", "stream", run_ts=fx.RUN)
     # source_file holds Spark's part-file names, which no oracle can know
     return spark.read.parquet(f"{root}/bronze").drop("source_file")
+
+
+# ------------------------------------------------------------ whole pipeline
+
+LANDED_FORMATS = {"customer_onboarding": "csv", "transaction_feed": "ndjson",
+                  "kyc_documents": "ndjson", "watchlist_sanctions": "csv",
+                  "account_activity": "parquet_stream"}
+
+
+def land_fixtures(spark, sf, root) -> pipeline.Layout:
+    """Write the fixture roles as landing files in their source formats
+    (documents as newline JSON: Spark writes no single-array files)."""
+    roles = {"customer_onboarding": fx.customers(spark, sf),
+             "transaction_feed": fx.transactions(spark, sf),
+             "kyc_documents": fx.kyc_documents(spark, sf),
+             "watchlist_sanctions": fx.watchlist(spark, sf),
+             "account_activity": fx.activity(spark, sf)}
+    landing = f"{root}/landing"
+    for name, df in roles.items():
+        w = df.write
+        fmt = LANDED_FORMATS[name]
+        if fmt == "csv":
+            w.option("header", True).csv(f"{landing}/{name}")
+        elif fmt == "ndjson":
+            w.json(f"{landing}/{name}")
+        else:
+            w.parquet(f"{landing}/{name}")
+    return pipeline.Layout(landing=landing, root=root, formats=dict(LANDED_FORMATS),
+                           schemas={n: d.schema for n, d in roles.items()})
+
+
+@query
+def pipeline_customer_360(spark, sf):
+    """Landing -> bronze -> silver -> gold through the table store."""
+    lay = land_fixtures(spark, sf, scratch_path(spark, "pipeline"))
+    pipeline.run_bronze(spark, lay, fx.RUN)
+    pipeline.run_silver(spark, lay, fx.RUN, CFG)
+    pipeline.run_gold(spark, lay, fx.RUN, CFG)
+    return lay.store(spark).read("gold", "customer_360")
+
+
+@query
+def scd2_stored_two_runs(spark, sf):
+    """Two SCD2 applies through the store: history is appended, not rewritten."""
+    store = TableStore(spark, scratch_path(spark, "scd2-store"))
+    store.apply_scd2(fx.scd2_batch1(spark, sf), "silver", "customers", KEYS, TRACKED, fx.RUN)
+    store.apply_scd2(fx.customers_v2(spark, sf), "silver", "customers", KEYS, TRACKED,
+                     fx.RUN2)
+    return store.read("silver", "customers")

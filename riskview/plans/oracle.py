@@ -293,6 +293,8 @@ _BODIES.update({
     "source_csv_customers": "SELECT * FROM customers",
     "source_ndjson_transactions": "SELECT * FROM transactions",
     "stream_ingest_events": f"SELECT *, 'stream' AS pipeline, {_META} FROM events",
+    "pipeline_customer_360": "SELECT * FROM customer_360",
+    "scd2_stored_two_runs": "SELECT * FROM scd2_all",
 })
 
 
