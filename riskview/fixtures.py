@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Reference date of the fixtures ("today" for activity and dormancy).
 AS_OF = "2001-08-01"
@@ -24,8 +25,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  Its schema is inferred once per path and then passed
+    explicitly, so later reads plan without a footer-inference job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def run_ts(value: str = RUN) -> Column:

@@ -11,9 +11,12 @@ read a table and publish its next version in the same plan.  A failed or
 lost job leaves only an unreferenced directory behind.  (On object stores
 without atomic create-if-absent, put the same interface on a table format.)
 
-SCD2 tables keep history append-only: each apply writes one directory with
-the new current rows plus the rows it expired; older directories contribute
-only their expired rows.
+SCD2 tables keep history append-only: each apply writes one directory,
+partitioned by ``is_current``, with the new current rows plus the rows it
+expired; older directories contribute only their ``is_current=false``
+partition, so finding the current rows reads one directory (partition
+pruning) and history is never rewritten.  Commits record the schema, so
+reads need no inference job.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskview.operators import scd2 as scd2_ops
 
@@ -104,7 +108,10 @@ class TableStore:
     def read(self, layer: str, table: str) -> DataFrame:
         dfs = []
         for part in self.parts(layer, table):
-            df = self.spark.read.parquet(part["path"])
+            r = self.spark.read
+            if part.get("schema"):
+                r = r.schema(T.StructType.fromJson(json.loads(part["schema"])))
+            df = r.parquet(part["path"])
             if part.get("where"):
                 df = df.filter(F.expr(part["where"]))
             dfs.append(df)
@@ -123,10 +130,10 @@ class TableStore:
                                              "committed_at": time.time()})
         return n
 
-    def publish(self, df: DataFrame, layer: str, table: str,
-                partition_by: Sequence[str] = (),
-                distribute_by: Sequence[str] = ()) -> int:
-        """Replace the table's contents with ``df`` (schema may change)."""
+    def _write(self, df: DataFrame, layer: str, table: str,
+               partition_by: Sequence[str] = (),
+               distribute_by: Sequence[str] = ()) -> dict:
+        """Write ``df`` to a fresh directory; return its part entry."""
         d = self._new_dir(layer, table)
         if distribute_by:
             df = df.repartition(*distribute_by)
@@ -134,13 +141,19 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(d)
-        return self._commit(layer, table, [{"path": d}], "overwrite")
+        return {"path": d, "schema": df.schema.json()}
+
+    def publish(self, df: DataFrame, layer: str, table: str,
+                partition_by: Sequence[str] = (),
+                distribute_by: Sequence[str] = ()) -> int:
+        """Replace the table's contents with ``df`` (schema may change)."""
+        part = self._write(df, layer, table, partition_by, distribute_by)
+        return self._commit(layer, table, [part], "overwrite")
 
     def append(self, df: DataFrame, layer: str, table: str) -> int:
-        d = self._new_dir(layer, table)
-        df.write.mode("errorifexists").parquet(d)
+        part = self._write(df, layer, table)
         old = self.parts(layer, table) if self.exists(layer, table) else []
-        return self._commit(layer, table, old + [{"path": d}], "append")
+        return self._commit(layer, table, old + [part], "append")
 
     # ------------------------------------------------------------------ SCD2
     def apply_scd2(self, incoming: DataFrame, layer: str, table: str,
@@ -149,11 +162,11 @@ class TableStore:
         """First load if the table has no commit, else an SCD2 apply that
         writes one new directory and never rewrites older history."""
         if not self.exists(layer, table):
-            return self.publish(scd2_ops.scd2_initial(incoming, run_ts), layer, table)
+            return self.publish(scd2_ops.scd2_initial(incoming, run_ts), layer, table,
+                                partition_by=["is_current"])
         old_parts = self.parts(layer, table)
         current = self.read(layer, table).filter(F.col("is_current"))
         touched = scd2_ops.scd2_apply(current, incoming, keys, tracked, run_ts)
-        d = self._new_dir(layer, table)
-        touched.write.mode("errorifexists").parquet(d)
-        kept = [{"path": p["path"], "where": "NOT is_current"} for p in old_parts]
-        return self._commit(layer, table, kept + [{"path": d}], "scd2_apply")
+        part = self._write(touched, layer, table, partition_by=["is_current"])
+        kept = [dict(p, where="NOT is_current") for p in old_parts]
+        return self._commit(layer, table, kept + [part], "scd2_apply")
