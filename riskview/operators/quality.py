@@ -28,15 +28,25 @@ def layer_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def schema_report(tables: Mapping[str, DataFrame],
                   contracts: Mapping[str, Sequence[str]],
-                  strict: bool = False) -> DataFrame:
+                  strict: bool = False,
+                  expected_types: Mapping[str, Mapping[str, str]] | None = None
+                  ) -> DataFrame:
     """Per required column: ``table_name, column_name, present, null_count,
     table_passed``.  ``null_count`` is NULL for a missing column.
 
+    ``expected_types`` (table -> column -> simple type name such as
+    ``"bigint"``) also checks types: a column of another type counts as
+    missing and the report gains ``actual_type``.
     ``strict=True`` raises ``SchemaContractError`` listing missing columns
     (the alert the contract is meant to raise) before any job runs.
     """
-    missing = {t: [c for c in cols if c not in tables[t].columns]
-               for t, cols in contracts.items()}
+    def ok(t: str, c: str) -> bool:
+        if c not in tables[t].columns:
+            return False
+        want = (expected_types or {}).get(t, {}).get(c)
+        return want is None or tables[t].schema[c].dataType.simpleString() == want
+
+    missing = {t: [c for c in cols if not ok(t, c)] for t, cols in contracts.items()}
     if strict and any(missing.values()):
         raise SchemaContractError(
             "; ".join(f"{t}: {', '.join(m)}" for t, m in missing.items() if m))
@@ -47,14 +57,20 @@ def schema_report(tables: Mapping[str, DataFrame],
         present = [c for c in cols if c in df.columns]
         counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present]
                         or [F.lit(0).alias("__rv_none")])
+        extra = []
+        if expected_types is not None:
+            extra = ["actual_type"]
         cells = [F.struct(F.lit(c).alias("column_name"),
-                          F.lit(c in df.columns).alias("present"),
+                          F.lit(ok(t, c)).alias("present"),
                           (F.col(c) if c in df.columns else F.lit(None))
-                          .cast("long").alias("null_count"))
+                          .cast("long").alias("null_count"),
+                          *([F.lit(df.schema[c].dataType.simpleString() if c in df.columns
+                                   else None).cast("string").alias("actual_type")]
+                            if extra else []))
                  for c in cols]
         parts.append(counts.select(F.inline(F.array(*cells)))
                      .select(F.lit(t).alias("table_name"), "column_name", "present",
-                             "null_count", F.lit(passed).alias("table_passed")))
+                             "null_count", F.lit(passed).alias("table_passed"), *extra))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskview.config import AlertRules, RiskWeights, VelocityRules
+from riskview.operators.joins import broadcast_if_small
 
 
 def _cents(amount: Column) -> Column:
@@ -22,11 +23,16 @@ def money_sum(amount: Column) -> Column:
 
 def velocity_profile(txns: DataFrame, rules: VelocityRules = VelocityRules(),
                      window_days: int | None = None,
-                     as_of: str | Column | None = None) -> DataFrame:
+                     as_of: str | Column | None = None,
+                     fx_rates: DataFrame | None = None) -> DataFrame:
     """Per customer over successful transactions: count, total, cross-border.
 
     ``window_days`` restricts to ``(as_of - window_days, as_of]`` (the
     stated 30-day intent); by default every successful transaction counts.
+    ``fx_rates(currency, rate)`` converts amounts to one currency first (a
+    currency without a rate contributes no amount); by default amounts are
+    summed as given.  The rate table is bounded by the number of currencies
+    and is broadcast after a bounded size check.
     The status filter sits on the scan (pushed to Parquet) and the grouping
     is partial/final, so a hot customer costs one partial row per task.
     """
@@ -39,6 +45,11 @@ def velocity_profile(txns: DataFrame, rules: VelocityRules = VelocityRules(),
         start = (end - F.make_dt_interval(F.lit(window_days))).cast(ts_type)
         ts = F.col("txn_date")
         t = t.filter((ts > start) & (ts <= end))
+    if fx_rates is not None:
+        rates = broadcast_if_small(fx_rates.select(
+            "currency", F.col("rate").cast("double").alias("__rv_rate")), 10_000)
+        t = (t.join(rates, "currency", "left")
+             .withColumn("amount", F.col("amount") * F.col("__rv_rate")))
     return t.groupBy("customer_id").agg(
         F.count("transaction_id").alias("txn_count"),
         money_sum(F.col("amount")).alias("txn_total_amt"),

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskview.operators.joins import broadcast_if_small
 from riskview.operators.scd2 import current_rows
 from riskview.operators.scoring import money_sum
 
@@ -64,13 +65,25 @@ def extend_keys(new_rows: DataFrame, existing: DataFrame, key_name: str,
     return have.unionByName(dense_keys(fresh, key_name, order, base=int(top)))
 
 
-def dim_customer(history: DataFrame) -> DataFrame:
-    """All SCD2 versions, one key per (customer_id, effective_from)."""
-    cols = ["customer_id", "full_name", "country", "customer_segment", "pep_flag",
-            "effective_from", "effective_to", "is_current"]
-    d = history.select(*cols).distinct()
-    return dense_keys(d, "customer_key", ["customer_id", "effective_from"]).select(
-        "customer_key", *cols)
+DIM_CUSTOMER_ATTRS = ["customer_id", "full_name", "country", "customer_segment",
+                      "pep_flag", "effective_from", "effective_to", "is_current"]
+DIM_CUSTOMER_NATURAL = ["customer_id", "effective_from"]
+
+
+def dim_customer(history: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """All SCD2 versions, one key per (customer_id, effective_from).
+
+    With ``existing`` (the previously published dimension) a version keeps
+    the key it already has - only its closing columns may change - and only
+    new versions are numbered, after the largest existing key.
+    """
+    d = history.select(*DIM_CUSTOMER_ATTRS).distinct()
+    if existing is None:
+        keyed = dense_keys(d, "customer_key", DIM_CUSTOMER_NATURAL)
+    else:
+        keyed = extend_keys(d, existing, "customer_key", DIM_CUSTOMER_NATURAL,
+                            DIM_CUSTOMER_NATURAL)
+    return keyed.select("customer_key", *DIM_CUSTOMER_ATTRS)
 
 
 def dim_document_status(latest_docs: DataFrame,
@@ -119,9 +132,16 @@ def fact_customer_risk(gold: DataFrame, run_date: Column) -> DataFrame:
         "risk_key", "customer_id", "date_key", *FACT_MEASURES)
 
 
-def star_rollup(fact: DataFrame, dim_cust: DataFrame) -> DataFrame:
-    """Risk by segment and level: fact joined to the current customer rows."""
+def star_rollup(fact: DataFrame, dim_cust: DataFrame,
+                broadcast_max_rows: int | None = None) -> DataFrame:
+    """Risk by segment and level: fact joined to the current customer rows.
+
+    ``broadcast_max_rows`` broadcasts the dimension side once it is proven
+    to hold at most that many rows, so the fact is not shuffled for the join.
+    """
     cur = current_rows(dim_cust).select("customer_id", "customer_segment")
+    if broadcast_max_rows is not None:
+        cur = broadcast_if_small(cur, broadcast_max_rows)
     return (fact.join(cur, "customer_id")
             .groupBy("customer_segment", "kyc_risk_level")
             .agg(F.count(F.lit(1)).alias("customers"),

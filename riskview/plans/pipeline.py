@@ -123,7 +123,9 @@ def run_warehouse(spark: SparkSession, lay: Layout, run_ts: str) -> None:
     """Dimensions as snapshots; the fact replaces only the run's date_key."""
     store = lay.store(spark)
     history = store.read("silver", "customer_onboarding")
-    store.publish(warehouse.dim_customer(history), "warehouse", "dim_customer")
+    previous = (store.read("warehouse", "dim_customer")
+                if store.exists("warehouse", "dim_customer") else None)
+    store.publish(warehouse.dim_customer(history, previous), "warehouse", "dim_customer")
     docs = cleaning.latest_per_customer(store.read("silver", "kyc_documents"))
     store.publish(warehouse.dim_document_status(docs), "warehouse", "dim_kyc_status")
     gold = store.read("gold", "customer_360")

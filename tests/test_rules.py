@@ -117,3 +117,27 @@ def test_screen_normalize_and_alias(spark):
     assert got == {1: True, 2: True}
     plain = dict(screening.with_aml_flag(cust, wl).select("customer_id", "aml_flag").collect())
     assert plain == {1: False, 2: False}
+
+
+def test_velocity_fx_conversion(spark):
+    txns = spark.createDataFrame(
+        [(1, 1, "SUCCESS", 100.0, "N", "USD"), (2, 1, "SUCCESS", 10.0, "N", "GBP"),
+         (3, 1, "SUCCESS", 7.0, "N", "XXX")],
+        "transaction_id long, customer_id long, status string, amount double, "
+        "cross_border_flag string, currency string")
+    rates = spark.createDataFrame([("USD", 83.0), ("GBP", 105.0)], "currency string, rate double")
+    r = velocity_profile(txns, fx_rates=rates).first()
+    assert (r.txn_count, r.txn_total_amt) == (3, 9350.0)
+
+
+def test_schema_report_types_and_strict(spark):
+    import pytest
+    from riskview.operators.quality import SchemaContractError, schema_report
+    t = {"a": spark.createDataFrame([(1, None)], "id long, name string")}
+    rep = {r.column_name: r for r in schema_report(
+        t, {"a": ["id", "name", "gone"]}, expected_types={"a": {"id": "int"}}).collect()}
+    assert (rep["id"].present, rep["id"].actual_type) == (False, "bigint")
+    assert (rep["name"].present, rep["name"].null_count, rep["gone"].null_count) == (True, 1, None)
+    assert rep["id"].table_passed is False
+    with pytest.raises(SchemaContractError, match="gone"):
+        schema_report(t, {"a": ["id", "gone"]}, strict=True)

@@ -37,3 +37,34 @@ def test_dim_date_columns(spark):
     rows = warehouse.dim_date(F.col("d"), src).orderBy("date_key").collect()
     assert [r.date_key for r in rows] == [20240228, 20240229, 20240301]
     assert (rows[1].quarter, rows[1].month_name, rows[2].day) == (1, "February", 1)
+
+
+def test_star_rollup_sized_broadcast(spark):
+    fact = spark.createDataFrame([(1, "HIGH", 10.0, 6), (2, "LOW", 5.5, 1)],
+                                 "customer_id long, kyc_risk_level string, "
+                                 "txn_total_amt double, risk_score int")
+    dim = spark.createDataFrame([(1, "A", True), (2, "B", True), (2, "Z", False)],
+                                "customer_id long, customer_segment string, is_current boolean")
+    small = warehouse.star_rollup(fact, dim, broadcast_max_rows=10)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    big = warehouse.star_rollup(fact, dim, broadcast_max_rows=1)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect())) == \
+        [("A", "HIGH", 1, 10.0, 6.0), ("B", "LOW", 1, 5.5, 1.0)]
+
+
+def test_dim_customer_reload_keeps_keys(spark):
+    import datetime as dt
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    end = dt.datetime(9999, 12, 31)
+    cols = "customer_id long, full_name string, country string, customer_segment string, " \
+           "pep_flag string, effective_from timestamp, effective_to timestamp, is_current boolean"
+    h1 = spark.createDataFrame([(5, "a", "X", "S", "N", t1, end, True),
+                                (7, "b", "X", "S", "N", t1, end, True)], cols)
+    d1 = warehouse.dim_customer(h1)
+    h2 = spark.createDataFrame([(5, "a", "X", "S", "N", t1, t2, False),
+                                (5, "a", "Y", "S", "N", t2, end, True),
+                                (7, "b", "X", "S", "N", t1, end, True),
+                                (3, "c", "X", "S", "N", t2, end, True)], cols)
+    d2 = {(r.customer_id, r.effective_from): (r.customer_key, r.is_current)
+          for r in warehouse.dim_customer(h2, d1).collect()}
+    assert d2 == {(5, t1): (1, False), (7, t1): (2, True), (3, t2): (3, True), (5, t2): (4, True)}
