@@ -17,13 +17,26 @@ class SchemaContractError(ValueError):
     pass
 
 
-def layer_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``table_name, rows, columns`` for each table, all in one job."""
+def layer_row_counts(tables: Mapping[str, DataFrame],
+                     errors: Mapping[str, str] | None = None) -> DataFrame:
+    """``table_name, rows, columns, error`` for each table, all in one job.
+
+    ``errors`` names tables that could not be opened (e.g. not published
+    yet); they are reported as rows with NULL counts and the message.
+    """
     parts = [df.agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(name).alias("table_name"), "rows",
-                     F.lit(len(df.columns)).alias("columns"))
+                     F.lit(len(df.columns)).alias("columns"),
+                     F.lit(None).cast("string").alias("error"))
              for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    out = reduce(DataFrame.unionByName, parts)
+    if errors:
+        spark = next(iter(tables.values())).sparkSession if tables else None
+        bad = spark.createDataFrame(
+            [(n, None, None, m) for n, m in errors.items()],
+            "table_name string, rows long, columns int, error string")
+        out = out.unionByName(bad)
+    return out
 
 
 def schema_report(tables: Mapping[str, DataFrame],

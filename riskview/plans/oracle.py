@@ -279,7 +279,8 @@ _BODIES.update({
         FROM customer_360 f JOIN scd2_all d ON d.customer_id = f.customer_id AND d.is_current
         GROUP BY d.customer_segment, f.kyc_risk_level""",
     "layer_row_counts": "\nUNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS rows, {n} AS columns FROM {t}"
+        f"SELECT '{t}' AS table_name, count(*) AS rows, {n} AS columns, "
+        f"CAST(NULL AS VARCHAR) AS error FROM {t}"
         for t, n in _TABLE_COLUMNS.items()),
     "schema_report": _schema_report_sql(),
 })

@@ -137,6 +137,27 @@ def run_warehouse(spark: SparkSession, lay: Layout, run_ts: str) -> None:
                       distribute_by=["customer_id"])
 
 
+def layer_report(spark: SparkSession, lay: Layout, layer: str) -> DataFrame:
+    """Rows and columns of every table of a layer; a table that cannot be
+    opened is reported with its error instead of failing the report."""
+    from riskview.operators.quality import layer_row_counts
+    store = lay.store(spark)
+    tables, errors = {}, {}
+    for name in lay.formats:
+        try:
+            if layer == "bronze":
+                tables[name] = spark.read.parquet(f"{lay.bronze}/{name}")
+            else:
+                tables[name] = store.read(layer, name)
+        except Exception as e:  # reported, not raised: this is the report
+            errors[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+    if not tables:
+        return spark.createDataFrame(
+            [(n, None, None, m) for n, m in errors.items()],
+            "table_name string, rows long, columns int, error string")
+    return layer_row_counts(tables, errors)
+
+
 def run_all(spark: SparkSession, lay: Layout, run_ts: str,
             cfg: RiskConfig = RiskConfig()) -> None:
     run_bronze(spark, lay, run_ts)

@@ -80,3 +80,19 @@ def test_store_publish_reads_latest_and_self_overwrite(spark, tmpdir_path):
     assert st.version("gold", "t") == 2
     st.append(spark.range(1), "gold", "t")
     assert st.read("gold", "t").count() == 6
+
+
+def test_pipeline_layer_report(spark, tmpdir_path):
+    from riskview.plans import pipeline
+    lay = pipeline.Layout(landing=f"{tmpdir_path}/landing", root=f"{tmpdir_path}/lake",
+                          formats={"transaction_feed": "ndjson", "kyc_documents": "ndjson"})
+    spark.createDataFrame([(1, "SUCCESS")], "transaction_id long, status string") \
+        .write.json(f"{tmpdir_path}/landing/transaction_feed")
+    lay2 = pipeline.Layout(landing=lay.landing, root=lay.root,
+                           formats={"transaction_feed": "ndjson"},
+                           schemas={"transaction_feed": spark.read.json(
+                               f"{tmpdir_path}/landing/transaction_feed").schema})
+    pipeline.run_bronze(spark, lay2, "2024-01-31 00:00:00")
+    rep = {r.table_name: r for r in pipeline.layer_report(spark, lay, "bronze").collect()}
+    assert rep["transaction_feed"].rows == 1 and rep["transaction_feed"].error is None
+    assert rep["kyc_documents"].rows is None and rep["kyc_documents"].error
