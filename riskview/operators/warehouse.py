@@ -1,10 +1,10 @@
 """Star schema: dense surrogate keys, dimensions, the risk fact, rollups.
 
-Surrogate keys are dense (1..n), deterministic and ordered by the natural
-key without a single-partition window over the rows: rows are numbered
-inside order-preserving buckets of the natural key, and each bucket's offset
-is the running total of the bucket sizes (one row per bucket, so the global
-step only ever sees the bucket counts).
+Surrogate keys are dense (1..n), deterministic and follow the natural order
+of the rows, without a single-partition window over the data: the rows are
+range-partitioned and sorted on the (unique) order, each row gets its
+position inside its partition, and each partition's offset is the running
+total of the partition sizes (one row per partition).
 """
 
 from __future__ import annotations
@@ -13,44 +13,58 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskview.operators.joins import broadcast_if_small
 from riskview.operators.scd2 import current_rows
 from riskview.operators.scoring import money_sum
+from riskview.session import scratch_path
 
-INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# monotonically_increasing_id() = partition index << 33 | row index in partition
+_ROW_BITS = 33
 
 
-def order_bucket(df: DataFrame, col: str, shift: int = 16,
-                 hash_buckets: int = 4096) -> Column:
-    """An order-preserving bucket for integral keys (``key >> shift``: at most
-    ``2**shift`` ids per bucket).  Other key types get a hash bucket: keys
-    stay dense and deterministic but follow hash order, not key order."""
-    if isinstance(df.schema[col].dataType, INTEGRAL):
-        return F.shiftright(F.col(col).cast("long"), shift)
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(hash_buckets))
+def number_rows(df: DataFrame, order: Sequence[str], mid: str = "__rv_mid") -> DataFrame:
+    """``df`` globally sorted on ``order`` with ``mid`` =
+    ``monotonically_increasing_id()`` (partition index in the high bits,
+    position inside the partition in the low ``_ROW_BITS``), written once to
+    the shared scratch folder and read back.
+
+    The global sort takes its range boundaries from a sample of the whole
+    order, so with a unique order a natural key holding a third of the rows
+    is still spread over many partitions.  Materialising the ids means every
+    later reader sees the same numbering and the lineage is cut, so a lost
+    executor can never re-number rows differently.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "numbered")
+    (df.orderBy(*order).withColumn(mid, F.monotonically_increasing_id())
+     .write.parquet(path))
+    return spark.read.parquet(path)
 
 
 def dense_keys(df: DataFrame, key_name: str, order: Sequence[str],
-               bucket: Column | None = None, base: int = 0) -> DataFrame:
+               base: int = 0) -> DataFrame:
     """Add ``key_name`` = ``base`` + rank of the row under ``order`` (1-based).
 
-    ``order`` must be unique per row; ``bucket`` must be non-decreasing in
-    it (default: ``order_bucket`` of its first column).
+    ``order`` should be unique per row (ties get distinct keys in arbitrary
+    order).  Rows are numbered inside sorted range partitions
+    (``number_rows``); only the per-partition counts - at most one row per
+    shuffle partition, so a proven size bound - are summed in one task and
+    broadcast back.
     """
-    bk, rn = "__rv_bk", "__rv_rn"
-    b = df.withColumn(bk, bucket if bucket is not None else order_bucket(df, order[0]))
-    before = Window.orderBy(bk).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (b.groupBy(bk).agg(F.count(F.lit(1)).alias("__rv_n"))
-               .select(bk, F.coalesce(F.sum("__rv_n").over(before), F.lit(0))
-                       .alias("__rv_off")))
-    numbered = b.withColumn(rn, F.row_number().over(
-        Window.partitionBy(bk).orderBy(*order)))
-    return (numbered.join(offsets, bk)
-            .withColumn(key_name, (F.lit(base) + F.col("__rv_off") + F.col(rn))
+    mid, part, off = "__rv_mid", "__rv_part", "__rv_off"
+    numbered = number_rows(df, order, mid)
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (numbered.groupBy(F.shiftright(mid, _ROW_BITS).alias(part))
+               .agg(F.count(F.lit(1)).alias("__rv_n"))
+               .select(part, F.coalesce(F.sum("__rv_n").over(before), F.lit(0))
+                       .alias(off)))
+    row_in_part = F.col(mid).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return (numbered.join(F.broadcast(offsets),
+                          F.shiftright(F.col(mid), _ROW_BITS) == F.col(part))
+            .withColumn(key_name, (F.lit(base) + F.col(off) + row_in_part + 1)
                         .cast("long"))
-            .drop(bk, rn, "__rv_off"))
+            .drop(mid, part, off))
 
 
 def extend_keys(new_rows: DataFrame, existing: DataFrame, key_name: str,

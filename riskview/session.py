@@ -7,6 +7,7 @@ purpose.  Only when the session has none (local tests) do we make one.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -30,6 +31,10 @@ def build_session(master: str | None = None, app: str = "riskview",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Skip capturing the Python call site on every DataFrame/Column call
+        # (several JVM round trips each); plans are built once per query and
+        # errors still carry the failing expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -41,6 +46,30 @@ def build_session(master: str | None = None, app: str = "riskview",
     return spark
 
 
+def shuffle_partitions_for(shuffle_bytes: int, cores: int,
+                           target_bytes: int = 256 << 20) -> int:
+    """Initial shuffle partition count for a stage shuffling about
+    ``shuffle_bytes``: no partition above ``target_bytes`` before AQE
+    coalesces small ones, and at least two waves of ``cores`` tasks."""
+    return max(2 * cores, math.ceil(shuffle_bytes / target_bytes))
+
+
+def size_shuffles(spark: SparkSession, shuffle_bytes: int,
+                  target_bytes: int = 256 << 20) -> int:
+    """Size shuffles for the data at hand (e.g. 80k partitions for 20 TB
+    shuffled at 256 MB each).  AQE starts from that many partitions and
+    coalesces towards ``target_bytes``, so a small day is not split into
+    tiny tasks and a large one has no partition that cannot fit executor
+    memory.  Estimate ``shuffle_bytes`` after projection and map-side
+    aggregation, not from the raw input size."""
+    cores = spark.sparkContext.defaultParallelism
+    n = shuffle_partitions_for(shuffle_bytes, cores, target_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return n
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The session's shared checkpoint folder, created locally only if unset."""
     sc = spark.sparkContext

@@ -9,17 +9,43 @@ from riskview.operators import warehouse
 def test_dense_keys_equal_global_row_number(spark):
     df = spark.range(0, 300000, 7).select((F.col("id") * 3).alias("k"),
                                           (F.col("id") % 5).alias("v"))
-    got = warehouse.dense_keys(df, "key", ["k", "v"], bucket=F.shiftright("k", 12))
+    got = warehouse.dense_keys(df, "key", ["k", "v"])
     ref = df.withColumn("key", F.row_number().over(Window.orderBy("k", "v")))
     assert got.exceptAll(ref.select(*got.columns)).count() == 0
     assert got.count() == df.count()
 
 
-def test_dense_keys_string_keys_hash_buckets(spark):
-    df = spark.createDataFrame([(f"C{i:05d}",) for i in range(500)], "cid string")
-    got = warehouse.dense_keys(df, "key", ["cid"])
-    keys = sorted(r.key for r in got.collect())
-    assert keys == list(range(1, 501))
+def test_dense_keys_string_keys_follow_natural_order(spark):
+    df = spark.createDataFrame([(f"C{i:05d}",) for i in range(499, -1, -1)], "cid string")
+    got = warehouse.dense_keys(df.repartition(7), "key", ["cid"])
+    assert sorted((r.key, r.cid) for r in got.collect()) == \
+        [(i + 1, f"C{i:05d}") for i in range(500)]
+
+
+def test_dense_keys_hot_natural_key_is_split(spark):
+    """One customer holding a third of the versions: the numbering still
+    equals the global row_number and the hot key spans several tasks."""
+    hot = spark.range(0, 60000).select(F.lit(42).cast("long").alias("customer_id"),
+                                       F.col("id").alias("version"))
+    rest = spark.range(0, 120000).select((F.col("id") % 5000).alias("customer_id"),
+                                         (F.col("id") + 10**6).alias("version"))
+    df = hot.unionByName(rest)
+    # keep partitions as small, relative to the data, as they are at scale
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    saved = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        got = warehouse.dense_keys(df, "key", ["customer_id", "version"])
+        numbered = warehouse.number_rows(df, ["customer_id", "version"], "mid")
+    finally:
+        spark.conf.set(key, saved)
+    ref = df.withColumn("key", F.row_number().over(
+        Window.orderBy("customer_id", "version")))
+    assert got.count() == 180000
+    assert got.exceptAll(ref.select(*got.columns)).count() == 0
+    hot_parts = (numbered.filter(F.col("customer_id") == 42)
+                 .select(F.shiftright("mid", 33)).distinct().count())
+    assert hot_parts > 1
 
 
 def test_extend_keys_keeps_existing(spark):
