@@ -105,21 +105,49 @@ class TableStore:
             raise FileNotFoundError(f"no published table {layer}/{table}")
         return self._read_commit(layer, table, c[-1])["parts"]
 
+    def _read_part(self, part: dict) -> DataFrame:
+        r = self.spark.read
+        if part.get("schema"):
+            r = r.schema(T.StructType.fromJson(json.loads(part["schema"])))
+        df = r.parquet(part["path"])
+        return df.filter(F.expr(part["where"])) if part.get("where") else df
+
+    def _read_leaves(self, schema_json: str, leaf: str, paths: list[str]) -> DataFrame:
+        """One scan over the ``leaf`` partition directory (``col=value``) of
+        every path; the partition column comes back as a constant."""
+        col, value = leaf.split("=", 1)
+        full = T.StructType.fromJson(json.loads(schema_json))
+        data = T.StructType([f for f in full.fields if f.name != col])
+        df = self.spark.read.schema(data).parquet(*[f"{p}/{leaf}" for p in paths])
+        return df.select(*[(F.lit(value).cast(f.dataType) if f.name == col
+                            else F.col(f.name)).alias(f.name) for f in full.fields])
+
     def read(self, layer: str, table: str) -> DataFrame:
-        dfs = []
+        """The live rows.  Parts that contribute one partition directory
+        (``leaf``, e.g. the expired rows of each SCD2 run) are read together
+        by one multi-path scan, so a table with a long history still plans
+        as a couple of scans, not one union branch per run."""
+        dfs, leaves = [], {}
         for part in self.parts(layer, table):
-            r = self.spark.read
-            if part.get("schema"):
-                r = r.schema(T.StructType.fromJson(json.loads(part["schema"])))
-            df = r.parquet(part["path"])
-            if part.get("where"):
-                df = df.filter(F.expr(part["where"]))
-            dfs.append(df)
+            if part.get("leaf"):
+                leaves.setdefault((part["schema"], part["leaf"]), []).append(part["path"])
+            else:
+                dfs.append(self._read_part(part))
+        dfs += [self._read_leaves(sch, leaf, paths)
+                for (sch, leaf), paths in leaves.items()]
         out = dfs[0]
         for d in dfs[1:]:
             out = out.unionByName(d, allowMissingColumns=True)
         return out
 
+    def compact(self, layer: str, table: str, partition_by: Sequence[str] = ()) -> int:
+        """Rewrite the live rows as one directory and commit it (maintenance:
+        bounds the number of directories and small files after many runs).
+        Older directories stay on disk for readers of earlier commits."""
+        df = self.read(layer, table)
+        part = self._write(df, layer, table, partition_by)
+        return self._commit(layer, table, [part], "compact")
+
     def _new_dir(self, layer: str, table: str) -> str:
         return (f"{self.table_dir(layer, table)}/"
                 f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}")
@@ -141,7 +169,7 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(d)
-        return {"path": d, "schema": df.schema.json()}
+        return {"path": d, "schema": df.schema.json(), "partition_by": list(partition_by)}
 
     def publish(self, df: DataFrame, layer: str, table: str,
                 partition_by: Sequence[str] = (),
@@ -168,5 +196,22 @@ class TableStore:
         current = self.read(layer, table).filter(F.col("is_current"))
         touched = scd2_ops.scd2_apply(current, incoming, keys, tracked, run_ts)
         part = self._write(touched, layer, table, partition_by=["is_current"])
-        kept = [dict(p, where="NOT is_current") for p in old_parts]
-        return self._commit(layer, table, kept + [part], "scd2_apply")
+        return self._commit(layer, table, self._expired_parts(old_parts) + [part],
+                            "scd2_apply")
+
+    def _expired_parts(self, parts: list[dict]) -> list[dict]:
+        """The older parts reduced to their expired rows: the
+        ``is_current=false`` directory where the part is partitioned that way
+        (dropped if it has none), else the part with a filter."""
+        out = []
+        for p in parts:
+            if p.get("leaf") or p.get("where") == "NOT is_current":
+                out.append(p)
+            elif "is_current" in p.get("partition_by", ()):
+                leaf = "is_current=false"
+                path = f"{p['path']}/{leaf}"
+                if self._fs(path).exists(self._Path(path)):
+                    out.append(dict(p, leaf=leaf))
+            else:
+                out.append(dict(p, where="NOT is_current"))
+        return out

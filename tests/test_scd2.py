@@ -91,5 +91,29 @@ def test_store_apply_appends_history(spark, tmpdir_path):
     rows = sorted((r.segment, r.is_current) for r in st_.read("silver", "c").collect())
     assert rows == [("A", False), ("B", False), ("C", True)]
     parts = st_.parts("silver", "c")
-    assert len(parts) == 3 and all(p.get("where") == "NOT is_current" for p in parts[:-1])
+    # the first load had no expired rows, so it no longer contributes; the
+    # second run contributes only its expired rows, the third everything
+    assert len(parts) == 2 and parts[0]["leaf"] == "is_current=false" \
+        and parts[1].get("leaf") is None
     assert st_.version("silver", "c") == 3
+
+
+def test_store_long_history_plans_two_scans_and_compacts(spark, tmpdir_path):
+    from riskview.sources.store import TableStore
+    st_ = TableStore(spark, tmpdir_path)
+    for i, seg in enumerate("ABCDEF"):
+        st_.apply_scd2(_df(spark, {1: ("a", seg, None), 2: ("b", "Z", None)}), "silver", "c",
+                       KEYS, TRACKED, f"2024-01-0{i + 1}")
+    df = st_.read("silver", "c")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 2          # old parts in one scan, latest in another
+    want = [("A", False), ("B", False), ("C", False), ("D", False), ("E", False),
+            ("F", True), ("Z", True)]
+    assert sorted((r.segment, r.is_current) for r in df.collect()) == want
+    st_.compact("silver", "c", partition_by=["is_current"])
+    assert len(st_.parts("silver", "c")) == 1
+    assert sorted((r.segment, r.is_current) for r in st_.read("silver", "c").collect()) == want
+    # the next apply after compaction still sees one current row per key
+    st_.apply_scd2(_df(spark, {1: ("a", "G", None)}), "silver", "c", KEYS, TRACKED, "2024-01-09")
+    cur = sorted(r.segment for r in st_.read("silver", "c").filter("is_current").collect())
+    assert cur == ["G", "Z"]
