@@ -136,13 +136,18 @@ FACT_MEASURES = ("txn_count", "txn_total_amt", "cross_border_count", "risk_score
                  "velocity_risk", "days_since_activity", "balance_tier")
 
 
+def fact_rows(gold: DataFrame, run_date: Column) -> DataFrame:
+    """The fact's columns without its surrogate key (lazy): one row per
+    customer of the gold view for the run's date, flags never NULL."""
+    flags = [F.coalesce(F.col(c), F.lit(False)).alias(c) if c in
+             ("aml_flag", "dormancy_alert", "high_risk_profile") else F.col(c)
+             for c in FACT_MEASURES]
+    return gold.select("customer_id", date_key(run_date).alias("date_key"), *flags)
+
+
 def fact_customer_risk(gold: DataFrame, run_date: Column) -> DataFrame:
-    """One fact row per customer of the gold view for the run's date."""
-    flags = {c: F.coalesce(F.col(c), F.lit(False))
-             for c in ("aml_flag", "dormancy_alert", "high_risk_profile")}
-    f = gold.withColumns(flags).select(
-        "customer_id", date_key(run_date).alias("date_key"), *FACT_MEASURES)
-    return dense_keys(f, "risk_key", ["customer_id"]).select(
+    """``fact_rows`` numbered with a dense ``risk_key`` in customer order."""
+    return dense_keys(fact_rows(gold, run_date), "risk_key", ["customer_id"]).select(
         "risk_key", "customer_id", "date_key", *FACT_MEASURES)
 
 
@@ -150,6 +155,10 @@ def star_rollup(fact: DataFrame, dim_cust: DataFrame,
                 broadcast_max_rows: int | None = None) -> DataFrame:
     """Risk by segment and level: fact joined to the current customer rows.
 
+    The join is on the natural ``customer_id`` (the fact carries no customer
+    key), so ``fact`` may be the keyed fact or ``fact_rows`` and
+    ``dim_cust`` the dimension or the SCD2 history it is built from.
+
     ``broadcast_max_rows`` broadcasts the dimension side once it is proven
     to hold at most that many rows, so the fact is not shuffled for the join.
     """

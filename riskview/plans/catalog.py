@@ -315,8 +315,10 @@ def fact_customer_risk(spark, sf):
 
 @query
 def star_rollup(spark, sf):
-    return warehouse.star_rollup(_fact(spark, sf),
-                                 warehouse.dim_customer(_scd2_history(spark, sf)))
+    # the rollup joins on customer_id and never reads the surrogate keys,
+    # so it takes the unkeyed fact rows and the SCD2 versions directly
+    fact = warehouse.fact_rows(_gold(spark, sf), fx.run_ts(fx.RUN))
+    return warehouse.star_rollup(fact, _scd2_history(spark, sf))
 
 
 # -------------------------------------------------------------------- quality
