@@ -373,6 +373,30 @@ def source_ndjson_transactions(spark, sf):
     return readers.read_ndjson(spark, path, txns.schema)
 
 
+def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 10_000) -> None:
+    """Land ``df`` as files that each hold one JSON array of at most
+    ``rows_per_file`` objects (the documents feed's format).  A chunk is a run
+    of rows inside one input partition, so no group exceeds the bound and
+    the work spreads over all partitions."""
+    mid = F.monotonically_increasing_id()
+    chunk = F.concat_ws("-", F.shiftright(mid, 33).cast("string"),
+                        F.floor(mid.bitwiseAND(F.lit((1 << 33) - 1)) / rows_per_file)
+                        .cast("string"))
+    rows = df.select(chunk.alias("chunk"), F.to_json(F.struct(*df.columns)).alias("j"))
+    arrays = rows.groupBy("chunk").agg(
+        F.concat(F.lit("["), F.concat_ws(",", F.collect_list("j")), F.lit("]"))
+        .alias("value"))
+    arrays.write.partitionBy("chunk").text(path)
+
+
+@query
+def source_json_array_documents(spark, sf):
+    docs = fx.kyc_documents(spark, sf)
+    path = scratch_path(spark, "landing-documents-json-array")
+    write_json_arrays(docs, path, rows_per_file=5_000)
+    return readers.read_json_array(spark, path, docs.schema)
+
+
 @query
 def stream_ingest_events(spark, sf):
     """Events landed as three files, ingested by one catch-up stream run."""
@@ -388,13 +412,12 @@ def stream_ingest_events(spark, sf):
 # ------------------------------------------------------------ whole pipeline
 
 LANDED_FORMATS = {"customer_onboarding": "csv", "transaction_feed": "ndjson",
-                  "kyc_documents": "ndjson", "watchlist_sanctions": "csv",
+                  "kyc_documents": "json_array", "watchlist_sanctions": "csv",
                   "account_activity": "parquet_stream"}
 
 
 def land_fixtures(spark, sf, root) -> pipeline.Layout:
-    """Write the fixture roles as landing files in their source formats
-    (documents as newline JSON: Spark writes no single-array files)."""
+    """Write the fixture roles as landing files in their source formats."""
     roles = {"customer_onboarding": fx.customers(spark, sf),
              "transaction_feed": fx.transactions(spark, sf),
              "kyc_documents": fx.kyc_documents(spark, sf),
@@ -408,6 +431,8 @@ def land_fixtures(spark, sf, root) -> pipeline.Layout:
             w.option("header", True).csv(f"{landing}/{name}")
         elif fmt == "ndjson":
             w.json(f"{landing}/{name}")
+        elif fmt == "json_array":
+            write_json_arrays(df, f"{landing}/{name}")
         else:
             w.parquet(f"{landing}/{name}")
     return pipeline.Layout(landing=landing, root=root, formats=dict(LANDED_FORMATS),

@@ -43,8 +43,10 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Files each holding one JSON array of objects (``multiLine``)."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Files each holding one JSON array of objects (``multiLine``), found
+    at any depth below ``path``."""
+    return (spark.read.schema(schema).option("multiLine", True)
+            .option("recursiveFileLookup", True).json(path))
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -96,3 +96,27 @@ def test_pipeline_layer_report(spark, tmpdir_path):
     rep = {r.table_name: r for r in pipeline.layer_report(spark, lay, "bronze").collect()}
     assert rep["transaction_feed"].rows == 1 and rep["transaction_feed"].error is None
     assert rep["kyc_documents"].rows is None and rep["kyc_documents"].error
+
+
+def test_json_array_landing_bounded_files_round_trip(spark, tmpdir_path):
+    import glob
+    import json
+
+    from riskview.plans.catalog import write_json_arrays
+    from riskview.sources.readers import read_json_array
+    df = spark.range(0, 2500, 1, 4).selectExpr(
+        "id AS doc_id", "id % 7 AS customer_id", "CAST(id AS STRING) AS doc_type",
+        "date_add(DATE '2020-01-01', CAST(id % 400 AS INT)) AS verification_date")
+    path = f"{tmpdir_path}/docs"
+    write_json_arrays(df, path, rows_per_file=300)
+    files = [f for f in glob.glob(f"{path}/**/*.txt", recursive=True)]
+    sizes = []
+    for f in files:
+        with open(f) as fh:
+            arr = json.loads(fh.read())       # the whole file is one JSON array
+        assert isinstance(arr, list)
+        sizes.append(len(arr))
+    assert sum(sizes) == 2500 and max(sizes) <= 300 and len(files) >= 9
+    back = read_json_array(spark, path, df.schema)
+    assert back.columns == df.columns
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
