@@ -424,17 +424,18 @@ def land_fixtures(spark, sf, root) -> pipeline.Layout:
              "watchlist_sanctions": fx.watchlist(spark, sf),
              "account_activity": fx.activity(spark, sf)}
     landing = f"{root}/landing"
-    for name, df in roles.items():
-        w = df.write
-        fmt = LANDED_FORMATS[name]
+
+    def land(name: str) -> None:
+        df, fmt = roles[name], LANDED_FORMATS[name]
         if fmt == "csv":
-            w.option("header", True).csv(f"{landing}/{name}")
+            df.write.option("header", True).csv(f"{landing}/{name}")
         elif fmt == "ndjson":
-            w.json(f"{landing}/{name}")
+            df.write.json(f"{landing}/{name}")
         elif fmt == "json_array":
             write_json_arrays(df, f"{landing}/{name}")
         else:
-            w.parquet(f"{landing}/{name}")
+            df.write.parquet(f"{landing}/{name}")
+    pipeline.for_each_table(land, roles)
     return pipeline.Layout(landing=landing, root=root, formats=dict(LANDED_FORMATS),
                            schemas={n: d.schema for n, d in roles.items()})
 

@@ -8,7 +8,8 @@ that day's bronze partitions and fact partition instead of duplicating them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,17 +61,37 @@ class Layout:
         return TableStore(spark, self.root)
 
 
-def run_bronze(spark: SparkSession, lay: Layout, run_ts: str) -> None:
+def for_each_table(fn: Callable[[str], None], names: Iterable[str],
+                   parallel: bool = True) -> None:
+    """Run ``fn(name)`` for every table.  The tables of one layer are
+    independent, so their jobs are submitted concurrently from driver
+    threads and share the executors instead of queueing one after another;
+    the first failure is raised once all have finished."""
+    names = list(names)
+    if not parallel or len(names) < 2:
+        for n in names:
+            fn(n)
+        return
+    with ThreadPoolExecutor(max_workers=len(names), thread_name_prefix="riskview") as ex:
+        futures = [ex.submit(fn, n) for n in names]
+    for f in futures:
+        f.result()
+
+
+def run_bronze(spark: SparkSession, lay: Layout, run_ts: str,
+               parallel: bool = True) -> None:
     """Landing files -> bronze tables partitioned by ingest date."""
-    for name, fmt in lay.formats.items():
+    def load(name: str) -> None:
+        fmt = lay.formats[name]
         src, dst = f"{lay.landing}/{name}", f"{lay.bronze}/{name}"
         if fmt == "parquet_stream":
             ingest_files(spark, src, lay.schemas[name], dst,
                          f"{lay.checkpoints}/{name}", PIPELINE_TAGS[fmt], run_ts=run_ts)
-            continue
+            return
         df = read_source(spark, name, src, fmt, lay.schemas[name])
         write_partitioned(with_ingest_metadata(df, PIPELINE_TAGS[fmt], run_ts=run_ts),
                           dst, INGEST_PARTITIONS)
+    for_each_table(load, lay.formats, parallel)
 
 
 def read_bronze(spark: SparkSession, lay: Layout, name: str,
@@ -91,10 +112,11 @@ def silver_dedup(df: DataFrame, name: str, keys: DedupKeys = DedupKeys()) -> Dat
 
 
 def run_silver(spark: SparkSession, lay: Layout, run_ts: str,
-               cfg: RiskConfig = RiskConfig()) -> None:
+               cfg: RiskConfig = RiskConfig(), parallel: bool = True) -> None:
     """Mask, deduplicate, keep SCD2 history for customers; publish the rest."""
     store = lay.store(spark)
-    for name in lay.formats:
+
+    def clean(name: str) -> None:
         df = silver_dedup(read_bronze(spark, lay, name, run_ts), name)
         if name == "customer_onboarding":
             store.apply_scd2(cleaning.mask_customer_pii(df), "silver", name,
@@ -102,6 +124,7 @@ def run_silver(spark: SparkSession, lay: Layout, run_ts: str,
         else:
             store.publish(with_layer_metadata(df, "silver", run_ts), "silver", name,
                           partition_by=SILVER_PARTITIONS)
+    for_each_table(clean, lay.formats, parallel)
 
 
 def gold_inputs(spark: SparkSession, lay: Layout) -> c360.Inputs:
@@ -119,22 +142,37 @@ def run_gold(spark: SparkSession, lay: Layout, run_ts: str,
     lay.store(spark).publish(gold, "gold", "customer_360", distribute_by=["customer_id"])
 
 
-def run_warehouse(spark: SparkSession, lay: Layout, run_ts: str) -> None:
-    """Dimensions as snapshots; the fact replaces only the run's date_key."""
+def run_warehouse(spark: SparkSession, lay: Layout, run_ts: str,
+                  parallel: bool = True) -> None:
+    """Dimensions as snapshots; the fact replaces only the run's date_key.
+    The four outputs are independent and are built concurrently."""
     store = lay.store(spark)
-    history = store.read("silver", "customer_onboarding")
-    previous = (store.read("warehouse", "dim_customer")
-                if store.exists("warehouse", "dim_customer") else None)
-    store.publish(warehouse.dim_customer(history, previous), "warehouse", "dim_customer")
-    docs = cleaning.latest_per_customer(store.read("silver", "kyc_documents"))
-    store.publish(warehouse.dim_document_status(docs), "warehouse", "dim_kyc_status")
-    gold = store.read("gold", "customer_360")
-    store.publish(warehouse.dim_date(F.col("txn_date"),
-                                     store.read("silver", "transaction_feed")),
-                  "warehouse", "dim_date")
-    fact = warehouse.fact_customer_risk(gold, F.lit(run_ts).cast("timestamp"))
-    write_partitioned(fact, f"{lay.root}/warehouse/fact_customer_risk", ["date_key"],
-                      distribute_by=["customer_id"])
+
+    def dim_customer() -> None:
+        history = store.read("silver", "customer_onboarding")
+        previous = (store.read("warehouse", "dim_customer")
+                    if store.exists("warehouse", "dim_customer") else None)
+        store.publish(warehouse.dim_customer(history, previous), "warehouse",
+                      "dim_customer")
+
+    def dim_kyc_status() -> None:
+        docs = cleaning.latest_per_customer(store.read("silver", "kyc_documents"))
+        store.publish(warehouse.dim_document_status(docs), "warehouse", "dim_kyc_status")
+
+    def dim_date() -> None:
+        store.publish(warehouse.dim_date(F.col("txn_date"),
+                                         store.read("silver", "transaction_feed")),
+                      "warehouse", "dim_date")
+
+    def fact() -> None:
+        gold = store.read("gold", "customer_360")
+        f = warehouse.fact_customer_risk(gold, F.lit(run_ts).cast("timestamp"))
+        write_partitioned(f, f"{lay.root}/warehouse/fact_customer_risk", ["date_key"],
+                          distribute_by=["customer_id"])
+
+    steps = {"dim_customer": dim_customer, "dim_kyc_status": dim_kyc_status,
+             "dim_date": dim_date, "fact_customer_risk": fact}
+    for_each_table(lambda name: steps[name](), steps, parallel)
 
 
 def layer_report(spark: SparkSession, lay: Layout, layer: str) -> DataFrame:
