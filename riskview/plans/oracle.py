@@ -295,6 +295,7 @@ _BODIES.update({
     "source_ndjson_transactions": "SELECT * FROM transactions",
     "source_json_array_documents": "SELECT * FROM kyc_documents",
     "stream_ingest_events": f"SELECT *, 'stream' AS pipeline, {_META} FROM events",
+    "stream_dedup_transactions": f"SELECT *, 'stream' AS pipeline, {_META} FROM transactions",
     "pipeline_customer_360": "SELECT * FROM customer_360",
     "scd2_stored_two_runs": "SELECT * FROM scd2_all",
 })
