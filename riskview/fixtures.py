@@ -10,6 +10,11 @@ for the oracles is in ``riskview.plans.oracle``.
 
 from __future__ import annotations
 
+import functools
+import zlib
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +45,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+Role = Callable[[SparkSession, str], DataFrame]
+
+
+def session_view(build: Role) -> Role:
+    """Register a role once per session as a temporary view over ``sf_dir``;
+    later calls are one catalog lookup instead of re-building and
+    re-analysing the same plan.  The view stays lazy: every query still
+    scans the whole tables, and using it twice in one plan is a self-join
+    Spark resolves like any repeated view."""
+    role = build.__name__
+
+    @functools.wraps(build)
+    def get(spark: SparkSession, sf_dir: str) -> DataFrame:
+        name = f"rv_{role}_{zlib.crc32(sf_dir.rstrip('/').encode()):08x}"
+        try:
+            return spark.table(name)
+        except AnalysisException:
+            build(spark, sf_dir).createOrReplaceTempView(name)
+            return spark.table(name)
+    return get
+
+
 def run_ts(value: str = RUN) -> Column:
     return F.lit(value).cast("timestamp")
 
@@ -48,6 +75,7 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
+@session_view
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer_onboarding role: one row per customer, with PII columns."""
     c = table(spark, sf_dir, "customer")
@@ -75,6 +103,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("c_nationkey")))
 
 
+@session_view
 def beneficiary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order, the smallest supplier nation among its lines."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
@@ -84,6 +113,7 @@ def beneficiary(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.min("s_nationkey").alias("beneficiary_nation")))
 
 
+@session_view
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """transaction_feed role: one row per order."""
     o = table(spark, sf_dir, "orders")
@@ -103,6 +133,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .otherwise("N").alias("cross_border_flag")))
 
 
+@session_view
 def kyc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """kyc_documents role: several documents per customer."""
     o = table(spark, sf_dir, "orders")
@@ -118,6 +149,7 @@ def kyc_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(vdate, 365).alias("expiry_date"))
 
 
+@session_view
 def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """watchlist_sanctions role: supplier names rewritten to collide."""
     s = table(spark, sf_dir, "supplier")
@@ -127,6 +159,7 @@ def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("entity_name"))
 
 
+@session_view
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """account_activity role: one account per customer that has orders."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
@@ -150,6 +183,7 @@ SCD2_INPUT_COLUMNS = ("customer_id", "full_name", "customer_segment", "country",
                       "phone", "pep_flag")
 
 
+@session_view
 def customers_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second customer batch: changed, unchanged, absent and new keys."""
     cu = customers(spark, sf_dir)
@@ -167,5 +201,6 @@ def customers_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.unionByName(new)
 
 
+@session_view
 def scd2_batch1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers(spark, sf_dir).select(*SCD2_INPUT_COLUMNS)
