@@ -107,8 +107,17 @@ def read_bronze(spark: SparkSession, lay: Layout, name: str,
 
 
 def silver_dedup(df: DataFrame, name: str, keys: DedupKeys = DedupKeys()) -> DataFrame:
+    """Latest row per natural key.  After the recency order, every other
+    column breaks ties, so two differing copies with the same timestamps
+    always resolve to the same survivor (a total order over distinct rows)."""
+    key = list(keys.keys[name])
     order = [c for c in DEDUP_ORDER[name] if c in df.columns]
-    return cleaning.dedup_latest(df, list(keys.keys[name]), order)
+    atomic = (T.NumericType, T.StringType, T.BooleanType, T.DateType,
+              T.TimestampType, T.TimestampNTZType, T.BinaryType)
+    tiebreak = [f.name for f in df.schema.fields
+                if f.name not in key and f.name not in order
+                and isinstance(f.dataType, atomic)]
+    return cleaning.dedup_latest(df, key, order + tiebreak)
 
 
 def run_silver(spark: SparkSession, lay: Layout, run_ts: str,
