@@ -55,3 +55,23 @@ def test_watchlist_never_collected(spark):
     # the screen is a join: the plan, not the driver, carries the names
     p = _plan(catalog.QUERIES["watchlist_screen"](spark, SF_SMALL))
     assert "Join" in p
+
+
+def test_dense_keys_single_partition_step_sees_only_counts(spark):
+    from pyspark.sql import functions as F
+
+    from riskview.operators import warehouse
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(0, 5000).select((F.col("id") % 97).alias("k"), "id")
+        p = _plan(warehouse.dense_keys(df, "key", ["k", "id"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = p.splitlines()
+    singles = [i for i, ln in enumerate(lines) if "SinglePartition" in ln]
+    assert singles, p
+    for i in singles:       # the operator right below is the count aggregate
+        below = next(ln for ln in lines[i + 1:] if "InputAdapter" not in ln
+                     and "WholeStageCodegen" not in ln)
+        assert "HashAggregate" in below, p
+    assert "BroadcastHashJoin" in p and "BroadcastExchange" in p
