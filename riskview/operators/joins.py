@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows, proven by a bounded
+    ``LIMIT max_rows + 1`` count (never scans past the bound per task)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Mark ``df`` for broadcast only after proving it holds at most
     ``max_rows`` rows; otherwise return it unchanged and let the planner
@@ -16,5 +22,4 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     not known statically (derived dimensions); published small tables are
     broadcast by the planner's own file-size statistics.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskview.config import OPEN_END
+from riskview.operators.joins import fits
 
 TRIPLE = ("effective_from", "effective_to", "is_current")
 
@@ -62,15 +63,32 @@ def scd2_changed_keys(history: DataFrame, incoming: DataFrame,
 
 
 def scd2_apply(history: DataFrame, incoming: DataFrame, keys: Sequence[str],
-               tracked: Sequence[str], run_ts: Column | str) -> DataFrame:
-    """All versions after applying ``incoming`` (one row per key) at ``run_ts``."""
+               tracked: Sequence[str], run_ts: Column | str,
+               broadcast_max_rows: int | None = None) -> DataFrame:
+    """All versions after applying ``incoming`` (one row per key) at ``run_ts``.
+
+    By default the current rows and the batch meet in one full outer join on
+    the key (one shuffle of each side).  With ``broadcast_max_rows``, a batch
+    proven (bounded count) to hold at most that many rows has its keys
+    broadcast instead: the current rows split map-side into untouched ones
+    (anti join, passed through) and touched ones (semi join), and only the
+    touched rows meet the batch in the full outer join.  The current table -
+    the large side - is then scanned but never shuffled.  A larger batch
+    takes the shuffled plan; the result is the same either way.
+    """
     ts = _ts(run_ts)
     cols = history.columns
     schema = {f.name: f.dataType for f in history.schema.fields}
     data_cols = [c for c in cols if c not in TRIPLE]
     inc_cols = set(incoming.columns)
 
-    o = current_rows(history).select(*keys, F.struct(*cols).alias("__o"))
+    cur, untouched = current_rows(history), None
+    if broadcast_max_rows is not None and fits(incoming, broadcast_max_rows):
+        batch_keys = F.broadcast(incoming.select(*keys))
+        untouched = cur.join(batch_keys, list(keys), "left_anti")
+        cur = cur.join(batch_keys, list(keys), "left_semi")
+
+    o = cur.select(*keys, F.struct(*cols).alias("__o"))
     n = incoming.select(
         *keys,
         F.struct(*[(F.col(c) if c in inc_cols else F.lit(None)).cast(schema[c]).alias(c)
@@ -87,6 +105,8 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, keys: Sequence[str],
                 .when(_changed("__o", "__n", tracked), F.array(closed, opened))
                 .otherwise(F.array(F.col("__o"))))
     touched = j.select(F.inline(versions))
+    if untouched is not None:
+        touched = touched.unionByName(untouched)
     return touched.unionByName(expired_rows(history))
 
 

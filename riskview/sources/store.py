@@ -186,15 +186,19 @@ class TableStore:
     # ------------------------------------------------------------------ SCD2
     def apply_scd2(self, incoming: DataFrame, layer: str, table: str,
                    keys: Sequence[str], tracked: Sequence[str],
-                   run_ts: Column | str) -> int:
+                   run_ts: Column | str,
+                   broadcast_max_rows: int | None = 1_000_000) -> int:
         """First load if the table has no commit, else an SCD2 apply that
-        writes one new directory and never rewrites older history."""
+        writes one new directory and never rewrites older history.  A batch
+        of at most ``broadcast_max_rows`` rows (checked) leaves the current
+        table unshuffled (see ``scd2_apply``)."""
         if not self.exists(layer, table):
             return self.publish(scd2_ops.scd2_initial(incoming, run_ts), layer, table,
                                 partition_by=["is_current"])
         old_parts = self.parts(layer, table)
         current = self.read(layer, table).filter(F.col("is_current"))
-        touched = scd2_ops.scd2_apply(current, incoming, keys, tracked, run_ts)
+        touched = scd2_ops.scd2_apply(current, incoming, keys, tracked, run_ts,
+                                      broadcast_max_rows)
         part = self._write(touched, layer, table, partition_by=["is_current"])
         return self._commit(layer, table, self._expired_parts(old_parts) + [part],
                             "scd2_apply")

@@ -75,3 +75,22 @@ def test_dense_keys_single_partition_step_sees_only_counts(spark):
                      and "WholeStageCodegen" not in ln)
         assert "HashAggregate" in below, p
     assert "BroadcastHashJoin" in p and "BroadcastExchange" in p
+
+
+def test_small_scd2_batch_leaves_current_table_unshuffled(spark):
+    from riskview.operators import scd2
+    from tests.test_plans import _plan as plan
+    first = scd2.scd2_initial(fx.scd2_batch1(spark, SF_SMALL), fx.RUN)
+    batch = fx.customers_v2(spark, SF_SMALL)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = plan(scd2.scd2_apply(first, batch, ["customer_id"], catalog.TRACKED,
+                                     fx.RUN2, broadcast_max_rows=1_000_000))
+        big = plan(scd2.scd2_apply(first, batch, ["customer_id"], catalog.TRACKED,
+                                   fx.RUN2, broadcast_max_rows=10))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "LeftAnti" in small and "LeftSemi" in small and "BroadcastHashJoin" in small
+    assert "LeftAnti" not in big and "FullOuter" in big

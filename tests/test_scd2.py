@@ -22,13 +22,13 @@ def _df(spark, b):
         if b else spark.createDataFrame([], SCHEMA)
 
 
-def _run(spark, batches):
+def _run(spark, batches, broadcast_max_rows=None):
     hist = None
     for i, b in enumerate(batches):
         ts = f"2024-01-{i + 1:02d} 00:00:00"
         inc = _df(spark, b)
         hist = scd2.scd2_initial(inc, ts) if hist is None else \
-            scd2.scd2_apply(hist, inc, KEYS, TRACKED, ts)
+            scd2.scd2_apply(hist, inc, KEYS, TRACKED, ts, broadcast_max_rows)
         hist = spark.createDataFrame(hist.collect(), hist.schema)  # cut lineage for the test
     return hist
 
@@ -37,6 +37,11 @@ def _run(spark, batches):
 @given(st.lists(batch, min_size=1, max_size=4))
 def test_invariants(spark, batches):
     rows = _run(spark, batches).collect()
+    # broadcasting the batch keys (any batch fits 6 rows; 3 splits the runs
+    # between both plans) must not change a single version
+    for limit in (6, 3):
+        assert sorted(map(str, _run(spark, batches, limit).collect())) == \
+            sorted(map(str, rows))
     by_key = {}
     for r in rows:
         by_key.setdefault(r.customer_id, []).append(r)
