@@ -12,6 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskview.operators.joins import broadcast_if_small
+
+# Sanctions lists hold up to a few million names; a list proven (bounded
+# count) to be below this is broadcast, so the customer side is never
+# shuffled by name.  A larger list falls back to a shuffled join.
+LIST_BROADCAST_MAX_ROWS = 2_000_000
+
 
 def normalize_name(c: Column) -> Column:
     """Case- and whitespace-insensitive form of a name."""
@@ -32,11 +39,19 @@ def watchlist_names(watchlist: DataFrame, include_alias: bool = False,
 
 def with_aml_flag(customers: DataFrame, watchlist: DataFrame,
                   name_col: str = "full_name", include_alias: bool = False,
-                  normalize: bool = False) -> DataFrame:
-    """Add ``aml_flag``: the name equals a listed name; NULL name -> false."""
+                  normalize: bool = False,
+                  broadcast_max_rows: int | None = LIST_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Add ``aml_flag``: the name equals a listed name; NULL name -> false.
+
+    The distinct listed names are broadcast once a bounded count proves they
+    fit ``broadcast_max_rows`` (the planner would size them by the raw list
+    file instead); otherwise the join shuffles and AQE may split a hot name.
+    """
     hits = (watchlist_names(watchlist, include_alias, normalize)
             .select(F.col("entity_name").alias("__rv_name"),
                     F.lit(True).alias("__rv_hit")))
+    if broadcast_max_rows is not None:
+        hits = broadcast_if_small(hits, broadcast_max_rows)
     key = normalize_name(F.col(name_col)) if normalize else F.col(name_col)
     return (customers.join(hits, key == F.col("__rv_name"), "left")
             .withColumn("aml_flag", F.coalesce(F.col("__rv_hit"), F.lit(False)))
@@ -67,18 +82,24 @@ def deletion_variants(name: Column, k: int) -> Column:
     return v
 
 
-def fuzzy_name_matches(names: DataFrame, listed: DataFrame, max_dist: int = 1
+def fuzzy_name_matches(names: DataFrame, listed: DataFrame, max_dist: int = 1,
+                       broadcast_max_rows: int | None = 20 * LIST_BROADCAST_MAX_ROWS
                        ) -> DataFrame:
     """Best listed name per distinct name within ``max_dist`` edits.
 
     ``names(name)`` and ``listed(entity_name)`` are distinct name sets.
     Output ``name, entity_name, distance``; ties go to the smallest name.
+    The listed side's variants (a few dozen per listed name) are broadcast
+    once proven below ``broadcast_max_rows``, so the exploded customer
+    names are joined where they are, without a shuffle.
     """
     cv = names.select("name", F.explode(deletion_variants(F.col("name"), max_dist))
                       .alias("__rv_v"))
     lv = listed.select("entity_name",
                        F.explode(deletion_variants(F.col("entity_name"), max_dist))
                        .alias("__rv_v"))
+    if broadcast_max_rows is not None:
+        lv = broadcast_if_small(lv, broadcast_max_rows)
     dist = F.levenshtein(F.col("name"), F.col("entity_name"), max_dist)
     best = (cv.join(lv, "__rv_v")
             .select("name", "entity_name", dist.alias("distance"))
@@ -95,5 +116,8 @@ def fuzzy_screen(customers: DataFrame, watchlist: DataFrame, max_dist: int = 1,
     names = (customers.select(F.col(name_col).alias("name"))
              .filter(F.col("name").isNotNull()).distinct())
     best = fuzzy_name_matches(names, watchlist_names(watchlist), max_dist)
+    # (no size check on ``best``: counting it would run the whole match
+    # twice; the planner and AQE size it, and the customer side of this join
+    # is pruned to id and name)
     return (customers.join(best, F.col(name_col) == F.col("name"))
             .select("customer_id", "entity_name", "distance"))
