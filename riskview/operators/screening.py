@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from riskview.operators.joins import broadcast_if_small
 
-# Sanctions lists hold up to a few million names; a list proven (bounded
-# count) to be below this is broadcast, so the customer side is never
-# shuffled by name.  A larger list falls back to a shuffled join.
-LIST_BROADCAST_MAX_ROWS = 2_000_000
+# Broadcast bounds (rows), proven by a bounded count before the hint:
+# distinct listed names (~100 MB hashed at 1M names) and the listed side's
+# deletion variants (~300 MB at 5M variants, i.e. ~250k names of ~20
+# characters at distance 1).  A larger list falls back to a shuffled join.
+LIST_BROADCAST_MAX_ROWS = 1_000_000
+VARIANT_BROADCAST_MAX_ROWS = 5_000_000
 
 
 def normalize_name(c: Column) -> Column:
@@ -83,7 +85,7 @@ def deletion_variants(name: Column, k: int) -> Column:
 
 
 def fuzzy_name_matches(names: DataFrame, listed: DataFrame, max_dist: int = 1,
-                       broadcast_max_rows: int | None = 20 * LIST_BROADCAST_MAX_ROWS
+                       broadcast_max_rows: int | None = VARIANT_BROADCAST_MAX_ROWS
                        ) -> DataFrame:
     """Best listed name per distinct name within ``max_dist`` edits.
 
