@@ -7,6 +7,7 @@ folder without files still gets a row (``files = 0``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,10 @@ def landing_files(spark: SparkSession, root: str) -> DataFrame:
     """``folder, file_name, size_kb, modified`` for every file under root."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .load(root).select("path", "length", "modificationTime"))
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + root.rstrip("/").split(":")[-1] + "/", "")
+    # the listed paths carry a scheme (file:, s3a://...): match the root's
+    # path part literally, wherever the scheme ends
+    base = re.escape(root.rstrip("/").split(":")[-1] + "/")
+    rel = F.regexp_replace(F.col("path"), "^.*?" + base, "")
     return files.select(
         F.split(rel, "/").getItem(0).alias("folder"),
         F.element_at(F.split(F.col("path"), "/"), -1).alias("file_name"),

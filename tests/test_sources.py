@@ -120,3 +120,12 @@ def test_json_array_landing_bounded_files_round_trip(spark, tmpdir_path):
     back = read_json_array(spark, path, df.schema)
     assert back.columns == df.columns
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+def test_inventory_root_with_regex_characters(spark, tmpdir_path):
+    from riskview.sources.inventory import landing_inventory
+    root = f"{tmpdir_path}/land+ing (v1)"
+    spark.range(3).write.parquet(f"{root}/account_activity")
+    got = {r.folder: (r.files > 0, r.present)
+           for r in landing_inventory(spark, root, ["account_activity", "kyc"]).collect()}
+    assert got == {"account_activity": (True, True), "kyc": (False, False)}
