@@ -37,21 +37,30 @@ def main() -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskview-bench-"))
     from riskview.plans.catalog import QUERIES
 
+    errors: dict[str, str] = {}
+
     def timed() -> dict[str, float]:
         out: dict[str, float] = {}
         for name in HEADLINE:
             t0 = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            try:
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            except Exception as e:  # one failing query must not hide the others
+                errors[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"
+                continue
             out[name] = round(time.perf_counter() - t0, 3)
         return out
 
     cold = timed()
     times = timed()
     sf = sf_dir.rsplit("sf", 1)[-1]
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times,
-                      "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                      "cold_total": round(sum(cold.values()), 3), "cold": cold}))
+    result = {"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
+              "unit": "sec", "queries": times,
+              "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+              "cold_total": round(sum(cold.values()), 3), "cold": cold}
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
