@@ -86,6 +86,9 @@ class DedupKeys:
 class Scd2Spec:
     keys: tuple[str, ...] = ("customer_id",)
     tracked: tuple[str, ...] = ("customer_segment", "country", "phone")
+    # stored bucket count of the history (None: the session's shuffle
+    # partition count at the first load; later applies keep the stored one)
+    buckets: int | None = None
 
 
 @dataclass(frozen=True)

@@ -479,9 +479,12 @@ def pipeline_customer_360(spark, sf):
 
 @query
 def scd2_stored_two_runs(spark, sf):
-    """Two SCD2 applies through the store: history is appended, not rewritten."""
+    """Two SCD2 applies through the store: history is appended, not rewritten.
+    The second batch is applied as a large one would be (no broadcast) onto
+    history bucketed on the key, so only the batch is shuffled."""
     store = TableStore(spark, scratch_path(spark, "scd2-store"))
-    store.apply_scd2(fx.scd2_batch1(spark, sf), "silver", "customers", KEYS, TRACKED, fx.RUN)
+    store.apply_scd2(fx.scd2_batch1(spark, sf), "silver", "customers", KEYS, TRACKED, fx.RUN,
+                     buckets=8)
     store.apply_scd2(fx.customers_v2(spark, sf), "silver", "customers", KEYS, TRACKED,
-                     fx.RUN2)
+                     fx.RUN2, broadcast_max_rows=None)
     return store.read("silver", "customers")

@@ -128,8 +128,12 @@ def run_silver(spark: SparkSession, lay: Layout, run_ts: str,
     def clean(name: str) -> None:
         df = silver_dedup(read_bronze(spark, lay, name, run_ts), name)
         if name == "customer_onboarding":
+            # history bucketed on the key: a batch too large to broadcast is
+            # the only side the next apply's full outer join shuffles
+            buckets = cfg.scd2.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
             store.apply_scd2(cleaning.mask_customer_pii(df), "silver", name,
-                             list(cfg.scd2.keys), list(cfg.scd2.tracked), run_ts)
+                             list(cfg.scd2.keys), list(cfg.scd2.tracked), run_ts,
+                             buckets=buckets)
         else:
             store.publish(with_layer_metadata(df, "silver", run_ts), "silver", name,
                           partition_by=SILVER_PARTITIONS)

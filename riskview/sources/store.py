@@ -17,10 +17,17 @@ expired; older directories contribute only their ``is_current=false``
 partition, so finding the current rows reads one directory (partition
 pruning) and history is never rewritten.  Commits record the schema, so
 reads need no inference job.
+
+A part may be *bucketed* on its key (``bucket=(n, keys)``): it is written
+with ``bucketBy`` as an external table of the session catalog at its own
+directory, and re-registered from the commit in a later session.  Joins and
+aggregations on the key then reuse the stored layout: the SCD2 apply
+shuffles only the incoming batch, never the current rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
@@ -106,12 +113,43 @@ class TableStore:
         return self._read_commit(layer, table, c[-1])["parts"]
 
     def _read_part(self, part: dict) -> DataFrame:
-        r = self.spark.read
-        if part.get("schema"):
-            r = r.schema(T.StructType.fromJson(json.loads(part["schema"])))
-        df = r.parquet(part["path"])
+        if part.get("bucket"):
+            full = T.StructType.fromJson(json.loads(part["schema"]))
+            df = self.spark.table(self._ensure_table(part)).select(*full.fieldNames())
+        else:
+            r = self.spark.read
+            if part.get("schema"):
+                r = r.schema(T.StructType.fromJson(json.loads(part["schema"])))
+            df = r.parquet(part["path"])
         return df.filter(F.expr(part["where"])) if part.get("where") else df
 
+    @staticmethod
+    def _table_name(path: str) -> str:
+        return "rv_" + hashlib.sha1(path.encode("utf-8")).hexdigest()[:24]
+
+    def _ensure_table(self, part: dict) -> str:
+        """Register a bucketed part as an external catalog table over its
+        directory (files are never moved or rewritten) if this session's
+        catalog does not know it yet."""
+        name = self._table_name(part["path"])
+        if self.spark.catalog.tableExists(name):
+            return name
+        schema = T.StructType.fromJson(json.loads(part["schema"]))
+        pcols = list(part.get("partition_by") or [])
+        n, keys = part["bucket"]["n"], part["bucket"]["keys"]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                         for f in schema.fields if f.name not in pcols)
+        cols += "".join(f", `{c}` {schema[c].dataType.simpleString()}" for c in pcols)
+        ddl = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet"
+        if pcols:
+            ddl += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in pcols)})"
+        ddl += (f" CLUSTERED BY ({', '.join(f'`{k}`' for k in keys)}) INTO {n} BUCKETS"
+                f" LOCATION '{part['path'].replace(chr(39), chr(92) + chr(39))}'")
+        self.spark.sql(ddl)
+        if pcols:
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return name
+
     def _read_leaves(self, schema_json: str, leaf: str, paths: list[str]) -> DataFrame:
         """One scan over the ``leaf`` partition directory (``col=value``) of
         every path; the partition column comes back as a constant."""
@@ -140,12 +178,13 @@ class TableStore:
             out = out.unionByName(d, allowMissingColumns=True)
         return out
 
-    def compact(self, layer: str, table: str, partition_by: Sequence[str] = ()) -> int:
+    def compact(self, layer: str, table: str, partition_by: Sequence[str] = (),
+                bucket: tuple[int, Sequence[str]] | None = None) -> int:
         """Rewrite the live rows as one directory and commit it (maintenance:
         bounds the number of directories and small files after many runs).
         Older directories stay on disk for readers of earlier commits."""
         df = self.read(layer, table)
-        part = self._write(df, layer, table, partition_by)
+        part = self._write(df, layer, table, partition_by, bucket=bucket)
         return self._commit(layer, table, [part], "compact")
 
     def _new_dir(self, layer: str, table: str) -> str:
@@ -160,7 +199,8 @@ class TableStore:
 
     def _write(self, df: DataFrame, layer: str, table: str,
                partition_by: Sequence[str] = (),
-               distribute_by: Sequence[str] = ()) -> dict:
+               distribute_by: Sequence[str] = (),
+               bucket: tuple[int, Sequence[str]] | None = None) -> dict:
         """Write ``df`` to a fresh directory; return its part entry."""
         d = self._new_dir(layer, table)
         if distribute_by:
@@ -168,14 +208,22 @@ class TableStore:
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(d)
-        return {"path": d, "schema": df.schema.json(), "partition_by": list(partition_by)}
+        entry = {"path": d, "schema": df.schema.json(), "partition_by": list(partition_by)}
+        if bucket is None:
+            w.parquet(d)
+            return entry
+        n, keys = bucket
+        entry["bucket"] = {"n": int(n), "keys": list(keys)}
+        (w.bucketBy(int(n), *keys).format("parquet").option("path", d)
+         .saveAsTable(self._table_name(d)))
+        return entry
 
     def publish(self, df: DataFrame, layer: str, table: str,
                 partition_by: Sequence[str] = (),
-                distribute_by: Sequence[str] = ()) -> int:
+                distribute_by: Sequence[str] = (),
+                bucket: tuple[int, Sequence[str]] | None = None) -> int:
         """Replace the table's contents with ``df`` (schema may change)."""
-        part = self._write(df, layer, table, partition_by, distribute_by)
+        part = self._write(df, layer, table, partition_by, distribute_by, bucket)
         return self._commit(layer, table, [part], "overwrite")
 
     def append(self, df: DataFrame, layer: str, table: str) -> int:
@@ -187,19 +235,28 @@ class TableStore:
     def apply_scd2(self, incoming: DataFrame, layer: str, table: str,
                    keys: Sequence[str], tracked: Sequence[str],
                    run_ts: Column | str,
-                   broadcast_max_rows: int | None = 1_000_000) -> int:
+                   broadcast_max_rows: int | None = 1_000_000,
+                   buckets: int | None = None) -> int:
         """First load if the table has no commit, else an SCD2 apply that
         writes one new directory and never rewrites older history.  A batch
         of at most ``broadcast_max_rows`` rows (checked) leaves the current
-        table unshuffled (see ``scd2_apply``)."""
+        table unshuffled (see ``scd2_apply``).  With ``buckets`` every
+        directory is bucketed on the keys, so a batch too large to broadcast
+        is the only side the full outer join shuffles."""
         if not self.exists(layer, table):
+            bucket = (buckets, list(keys)) if buckets else None
             return self.publish(scd2_ops.scd2_initial(incoming, run_ts), layer, table,
-                                partition_by=["is_current"])
+                                partition_by=["is_current"], bucket=bucket)
         old_parts = self.parts(layer, table)
+        stored = old_parts[-1].get("bucket")
+        if stored and stored["keys"] == list(keys):
+            buckets = stored["n"]          # keep the table's layout stable
+        bucket = (buckets, list(keys)) if buckets else None
         current = self.read(layer, table).filter(F.col("is_current"))
         touched = scd2_ops.scd2_apply(current, incoming, keys, tracked, run_ts,
                                       broadcast_max_rows)
-        part = self._write(touched, layer, table, partition_by=["is_current"])
+        part = self._write(touched, layer, table, partition_by=["is_current"],
+                           bucket=bucket)
         return self._commit(layer, table, self._expired_parts(old_parts) + [part],
                             "scd2_apply")
 

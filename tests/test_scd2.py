@@ -122,3 +122,39 @@ def test_store_long_history_plans_two_scans_and_compacts(spark, tmpdir_path):
     st_.apply_scd2(_df(spark, {1: ("a", "G", None)}), "silver", "c", KEYS, TRACKED, "2024-01-09")
     cur = sorted(r.segment for r in st_.read("silver", "c").filter("is_current").collect())
     assert cur == ["G", "Z"]
+
+
+def test_bucketed_store_shuffles_only_the_batch(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+
+    from riskview.sources.store import TableStore
+    b1 = {k: ("n", "A" if k % 2 else "B", None) for k in range(40)}
+    b2 = {k: ("n", "C" if k % 3 == 0 else ("A" if k % 2 else "B"), "p") for k in range(20, 60)}
+    plain = TableStore(spark, f"{tmpdir_path}/plain")
+    bucketed = TableStore(spark, f"{tmpdir_path}/bucketed")
+    for st_ in (plain, bucketed):
+        buckets = 4 if st_ is bucketed else None
+        for i, b in enumerate((b1, b2)):
+            st_.apply_scd2(_df(spark, b), "silver", "c", KEYS, TRACKED, f"2024-01-0{i + 1}",
+                           broadcast_max_rows=None, buckets=buckets)
+    rows = lambda st_: sorted(map(str, st_.read("silver", "c").collect()))
+    assert rows(bucketed) == rows(plain)
+    newest = bucketed.parts("silver", "c")[-1]
+    assert newest["bucket"] == {"n": 4, "keys": KEYS}
+
+    # a later session: the catalog entry is gone, the commit re-registers it
+    spark.sql(f"DROP TABLE {bucketed._table_name(newest['path'])}")
+    assert rows(bucketed) == rows(plain)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cur = bucketed.read("silver", "c").filter(F.col("is_current"))
+        batch = _df(spark, b2).select("customer_id", F.col("segment").alias("s2"))
+        plan = cur.join(batch, KEYS, "full_outer")._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1, plan
