@@ -126,7 +126,11 @@ def run_silver(spark: SparkSession, lay: Layout, run_ts: str,
     store = lay.store(spark)
 
     def clean(name: str) -> None:
-        df = silver_dedup(read_bronze(spark, lay, name, run_ts), name)
+        # A batch source lands a full extract every run: its own ingest day
+        # is the whole source (partition pruned).  A stream only appends new
+        # files, so its latest row per key is taken over every day.
+        day = None if lay.formats[name] == "parquet_stream" else run_ts
+        df = silver_dedup(read_bronze(spark, lay, name, day), name)
         if name == "customer_onboarding":
             # history bucketed on the key: a batch too large to broadcast is
             # the only side the next apply's full outer join shuffles
