@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from riskview.functions.masking import mask_dob_year, mask_email, mask_ssn
 from riskview.operators import cleaning, screening
