@@ -48,6 +48,9 @@ class Layout:
     root: str
     formats: Mapping[str, str] = field(default_factory=lambda: dict(SOURCE_FORMATS))
     schemas: Mapping[str, T.StructType] = field(default_factory=lambda: dict(SOURCES))
+    # move ingested stream files to ``<root>/_archive`` so the landing path
+    # the stream lists stays small (off by default: it changes the landing zone)
+    archive_stream_files: bool = False
 
     @property
     def bronze(self) -> str:
@@ -85,8 +88,10 @@ def run_bronze(spark: SparkSession, lay: Layout, run_ts: str,
         fmt = lay.formats[name]
         src, dst = f"{lay.landing}/{name}", f"{lay.bronze}/{name}"
         if fmt == "parquet_stream":
+            archive = f"{lay.root}/_archive/{name}" if lay.archive_stream_files else None
             ingest_files(spark, src, lay.schemas[name], dst,
-                         f"{lay.checkpoints}/{name}", PIPELINE_TAGS[fmt], run_ts=run_ts)
+                         f"{lay.checkpoints}/{name}", PIPELINE_TAGS[fmt], run_ts=run_ts,
+                         archive_dir=archive)
             return
         df = read_source(spark, name, src, fmt, lay.schemas[name])
         write_partitioned(with_ingest_metadata(df, PIPELINE_TAGS[fmt], run_ts=run_ts),

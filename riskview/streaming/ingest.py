@@ -54,9 +54,19 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType,
                  partition_by: Sequence[str] = INGEST_PARTITIONS,
                  source_file: bool = True, timeout_s: float | None = 3600,
                  dedup: tuple[Sequence[str], str, str] | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamRun:
-    """Run one catch-up pass of the stream: new files -> sink, then stop."""
-    df = file_stream(spark, source_dir, schema, fmt, max_files_per_trigger)
+                 max_files_per_trigger: int | None = None,
+                 archive_dir: str | None = None) -> StreamRun:
+    """Run one catch-up pass of the stream: new files -> sink, then stop.
+
+    The file source lists the whole landing path on every trigger, so that
+    cost grows with every file ever landed.  With ``archive_dir`` (outside
+    the landing path) the files of each committed batch are moved there,
+    keeping the listed set to the files not yet archived.  Spark moves them
+    once a later batch with data runs.
+    """
+    options = ({"cleanSource": "archive", "sourceArchiveDir": archive_dir}
+               if archive_dir else None)
+    df = file_stream(spark, source_dir, schema, fmt, max_files_per_trigger, options)
     if dedup is not None:
         df = dedup_within_watermark(df, *dedup)
     df = with_ingest_metadata(df, pipeline, run_ts=run_ts, file_column=source_file)

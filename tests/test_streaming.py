@@ -45,3 +45,31 @@ def test_dedup_within_watermark(spark, tmpdir_path):
                      dedup=(["transaction_id"], "txn_date", "1 hour"))
     assert spark.read.parquet(f"{tmpdir_path}/out").count() == 2
     assert r.rows == 3
+
+
+def test_archive_keeps_listing_small_and_output_exactly_once(spark, tmpdir_path):
+    import glob
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    src, sink, ck = f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck"
+    arch = f"{tmpdir_path}/archive"
+    part = F.col("event_id") % 2
+
+    def run():
+        return ingest_files(spark, f"{src}/*", ev.schema, sink, ck, "stream",
+                            run_ts="2024-01-31 00:00:00", archive_dir=arch)
+
+    def landed(d):
+        return len(glob.glob(f"{d}/**/*.parquet", recursive=True))
+
+    ev.filter(part == 0).write.parquet(f"{src}/a")
+    first = landed(src)
+    run()
+    ev.filter(part == 1).write.parquet(f"{src}/b")
+    r2 = run()
+    assert r2.rows == ev.filter(part == 1).count()
+    assert landed(arch) == first                 # the first batch's files moved out
+    assert landed(src) == landed(f"{src}/b")     # only the unarchived batch is listed
+    r3 = run()
+    assert r3.rows == 0
+    out = spark.read.parquet(sink).select(*ev.columns)
+    assert out.count() == ev.count() and out.exceptAll(ev).count() == 0
