@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows, proven by a bounded
-    ``LIMIT max_rows + 1`` count (never scans past the bound per task)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` holds at most ``max_rows`` rows.
+
+    An exact ``count()``: partial counts per task and one final sum, so no
+    row leaves its task.  (``limit(n + 1).count()`` would stop scanning
+    early, but it funnels up to ``n + 1`` rows of *every* partition into
+    one task for the global limit - the whole input when it is large.)
+    The callers count sides that are small, or computed anyway.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
@@ -17,9 +23,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     ``max_rows`` rows; otherwise return it unchanged and let the planner
     shuffle both sides.
 
-    The proof is a bounded ``LIMIT max_rows + 1`` count, so the check itself
-    never scans more than the bound allows.  Use it for sides whose size is
-    not known statically (derived dimensions); published small tables are
-    broadcast by the planner's own file-size statistics.
+    The proof is ``fits`` (a distributed count that moves no rows).  Use it
+    for sides whose size is not known statically (derived dimensions,
+    distinct names, a daily batch); published small tables are broadcast by
+    the planner's own file-size statistics.
     """
     return F.broadcast(df) if fits(df, max_rows) else df

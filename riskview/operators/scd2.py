@@ -69,7 +69,7 @@ def scd2_apply(history: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
     By default the current rows and the batch meet in one full outer join on
     the key (one shuffle of each side).  With ``broadcast_max_rows``, a batch
-    proven (bounded count) to hold at most that many rows has its keys
+    proven (a count that moves no rows) to hold at most that many rows has its keys
     broadcast instead: the current rows split map-side into untouched ones
     (anti join, passed through) and touched ones (semi join), and only the
     touched rows meet the batch in the full outer join.  The current table -

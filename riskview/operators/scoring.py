@@ -32,7 +32,7 @@ def velocity_profile(txns: DataFrame, rules: VelocityRules = VelocityRules(),
     ``fx_rates(currency, rate)`` converts amounts to one currency first (a
     currency without a rate contributes no amount); by default amounts are
     summed as given.  The rate table is bounded by the number of currencies
-    and is broadcast after a bounded size check.
+    and is broadcast after a size check.
     The status filter sits on the scan (pushed to Parquet) and the grouping
     is partial/final, so a hot customer costs one partial row per task.
     """

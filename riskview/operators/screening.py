@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskview.operators.joins import broadcast_if_small
 
-# Broadcast bounds (rows), proven by a bounded count before the hint:
+# Broadcast bounds (rows), proven by a count before the hint:
 # distinct listed names (~100 MB hashed at 1M names) and the listed side's
 # deletion variants (~300 MB at 5M variants, i.e. ~250k names of ~20
 # characters at distance 1).  A larger list falls back to a shuffled join.
@@ -45,7 +45,7 @@ def with_aml_flag(customers: DataFrame, watchlist: DataFrame,
                   broadcast_max_rows: int | None = LIST_BROADCAST_MAX_ROWS) -> DataFrame:
     """Add ``aml_flag``: the name equals a listed name; NULL name -> false.
 
-    The distinct listed names are broadcast once a bounded count proves they
+    The distinct listed names are broadcast once a count proves they
     fit ``broadcast_max_rows`` (the planner would size them by the raw list
     file instead); otherwise the join shuffles and AQE may split a hot name.
     """
