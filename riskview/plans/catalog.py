@@ -244,9 +244,7 @@ def customer_360(spark, sf):
 
 @query
 def external_view_customer_360(spark, sf):
-    g = _gold(spark, sf)
-    return g.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
-                      for f in EXTERNAL_CUSTOMER_360.fields])
+    return readers.project_to(_gold(spark, sf), EXTERNAL_CUSTOMER_360)
 
 
 @query

@@ -165,6 +165,16 @@ def run_gold(spark: SparkSession, lay: Layout, run_ts: str,
     lay.store(spark).publish(gold, "gold", "customer_360")
 
 
+def external_customer_360(spark: SparkSession, lay: Layout,
+                          name: str = "ext_customer_360") -> DataFrame:
+    """The published gold view as a SQL-queryable table with the external
+    schema (19 columns, declared types), read through the latest commit."""
+    from riskview.schemas import EXTERNAL_CUSTOMER_360
+    from riskview.sources.readers import register_external_view
+    return register_external_view(lay.store(spark).read("gold", "customer_360"), name,
+                                  EXTERNAL_CUSTOMER_360)
+
+
 def run_warehouse(spark: SparkSession, lay: Layout, run_ts: str,
                   parallel: bool = True) -> None:
     """Dimensions as snapshots; the fact replaces only the run's date_key.

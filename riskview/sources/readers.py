@@ -9,6 +9,7 @@ moderate files rather than one large array.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskview.schemas import SOURCE_FORMATS, SOURCES
@@ -57,6 +58,20 @@ _READERS = {"csv": read_csv, "ndjson": read_ndjson, "json_array": read_json_arra
             "parquet": read_parquet, "parquet_stream": read_parquet}
 
 
+def project_to(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` cut to a declared schema: those columns, in that order, cast to
+    the declared types (an external table's fixed projection of a layer)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def register_external_view(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
+    """Expose a published table to SQL users under ``name`` with its declared
+    schema (a temporary view: lazy, re-reads the published files)."""
+    view = project_to(df, schema)
+    view.createOrReplaceTempView(name)
+    return view
+
+
 def read_source(spark: SparkSession, name: str, path: str,
                 fmt: str | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Read a landing source by role name with its declared schema/format."""
