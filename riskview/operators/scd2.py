@@ -54,10 +54,15 @@ def _changed(old: str, new: str, tracked: Sequence[str]) -> Column:
 
 
 def scd2_changed_keys(history: DataFrame, incoming: DataFrame,
-                      keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
-    """Keys present on both sides whose tracked attributes differ NULL-safely."""
+                      keys: Sequence[str], tracked: Sequence[str],
+                      broadcast_max_rows: int | None = None) -> DataFrame:
+    """Keys present on both sides whose tracked attributes differ NULL-safely.
+    A batch proven to hold at most ``broadcast_max_rows`` rows is broadcast,
+    so the current rows are matched where they are read."""
     o = current_rows(history).select(*keys, F.struct(*tracked).alias("__o"))
     n = incoming.select(*keys, F.struct(*tracked).alias("__n"))
+    if broadcast_max_rows is not None and fits(incoming, broadcast_max_rows):
+        n = F.broadcast(n)
     return (o.join(n, list(keys)).filter(_changed("__o", "__n", tracked))
             .select(*keys))
 

@@ -84,6 +84,9 @@ def test_changed_keys(spark):
     h = scd2.scd2_initial(_df(spark, {1: ("a", "A", None), 2: ("b", "B", None)}), "2024-01-01")
     inc = _df(spark, {1: ("a", "A", "x"), 2: ("z", "B", None), 3: ("c", "C", None)})
     assert [r.customer_id for r in scd2.scd2_changed_keys(h, inc, KEYS, TRACKED).collect()] == [1]
+    small = scd2.scd2_changed_keys(h, inc, KEYS, TRACKED, broadcast_max_rows=10)
+    assert [r.customer_id for r in small.collect()] == [1]
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
 
 
 def test_store_apply_appends_history(spark, tmpdir_path):
