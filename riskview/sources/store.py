@@ -33,6 +33,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -253,10 +254,17 @@ class TableStore:
             buckets = stored["n"]          # keep the table's layout stable
         bucket = (buckets, list(keys)) if buckets else None
         current = self.read(layer, table).filter(F.col("is_current"))
-        touched = scd2_ops.scd2_apply(current, incoming, keys, tracked, run_ts,
-                                      broadcast_max_rows)
-        part = self._write(touched, layer, table, partition_by=["is_current"],
-                           bucket=bucket)
+        # the batch is read by the size check and again by the apply (twice
+        # on the broadcast path): compute it once, spill to disk if needed;
+        # a lost executor's blocks are recomputed from the lineage
+        batch = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = scd2_ops.scd2_apply(current, batch, keys, tracked, run_ts,
+                                          broadcast_max_rows)
+            part = self._write(touched, layer, table, partition_by=["is_current"],
+                               bucket=bucket)
+        finally:
+            batch.unpersist()
         return self._commit(layer, table, self._expired_parts(old_parts) + [part],
                             "scd2_apply")
 
