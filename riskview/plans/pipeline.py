@@ -125,6 +125,23 @@ def silver_dedup(df: DataFrame, name: str, keys: DedupKeys = DedupKeys()) -> Dat
     return cleaning.dedup_latest(df, key, order + tiebreak)
 
 
+def stream_silver_input(spark: SparkSession, lay: Layout, name: str) -> DataFrame:
+    """What a stream-fed table's silver step deduplicates: the previous silver
+    snapshot (one row per key) plus only the bronze days since that snapshot's
+    run (partition pruned).  The work follows the keys and the new rows, not
+    the stream's whole history.  The last run's day is read again, so a
+    re-run is idempotent, and rows of a run that failed before silver are
+    still picked up by the next one."""
+    bronze = read_bronze(spark, lay, name)
+    store = lay.store(spark)
+    last = store.info("silver", name).get("run_ts") if store.exists("silver", name) else None
+    if last is None:
+        return bronze
+    day = F.make_date(F.col("ingest_year"), F.col("ingest_month"), F.col("ingest_day"))
+    previous = store.read("silver", name).select(*bronze.columns)
+    return previous.unionByName(bronze.filter(day >= F.to_date(F.lit(last))))
+
+
 def run_silver(spark: SparkSession, lay: Layout, run_ts: str,
                cfg: RiskConfig = RiskConfig(), parallel: bool = True) -> None:
     """Mask, deduplicate, keep SCD2 history for customers; publish the rest."""
@@ -133,9 +150,11 @@ def run_silver(spark: SparkSession, lay: Layout, run_ts: str,
     def clean(name: str) -> None:
         # A batch source lands a full extract every run: its own ingest day
         # is the whole source (partition pruned).  A stream only appends new
-        # files, so its latest row per key is taken over every day.
-        day = None if lay.formats[name] == "parquet_stream" else run_ts
-        df = silver_dedup(read_bronze(spark, lay, name, day), name)
+        # files: the previous snapshot plus the new days hold its latest rows.
+        if lay.formats[name] == "parquet_stream":
+            df = silver_dedup(stream_silver_input(spark, lay, name), name)
+        else:
+            df = silver_dedup(read_bronze(spark, lay, name, run_ts), name)
         if name == "customer_onboarding":
             # history bucketed on the key: a batch too large to broadcast is
             # the only side the next apply's full outer join shuffles
@@ -145,7 +164,7 @@ def run_silver(spark: SparkSession, lay: Layout, run_ts: str,
                              buckets=buckets)
         else:
             store.publish(with_layer_metadata(df, "silver", run_ts), "silver", name,
-                          partition_by=SILVER_PARTITIONS)
+                          partition_by=SILVER_PARTITIONS, info={"run_ts": run_ts})
     for_each_table(clean, lay.formats, parallel)
 
 

@@ -192,10 +192,13 @@ class TableStore:
         return (f"{self.table_dir(layer, table)}/"
                 f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}")
 
-    def _commit(self, layer: str, table: str, parts: list[dict], op: str) -> int:
+    def _commit(self, layer: str, table: str, parts: list[dict], op: str,
+                info: dict | None = None) -> int:
         n = self.version(layer, table) + 1
-        self._write_commit(layer, table, n, {"parts": parts, "operation": op,
-                                             "committed_at": time.time()})
+        body = {"parts": parts, "operation": op, "committed_at": time.time()}
+        if info:
+            body["info"] = info
+        self._write_commit(layer, table, n, body)
         return n
 
     def _write(self, df: DataFrame, layer: str, table: str,
@@ -222,10 +225,17 @@ class TableStore:
     def publish(self, df: DataFrame, layer: str, table: str,
                 partition_by: Sequence[str] = (),
                 distribute_by: Sequence[str] = (),
-                bucket: tuple[int, Sequence[str]] | None = None) -> int:
-        """Replace the table's contents with ``df`` (schema may change)."""
+                bucket: tuple[int, Sequence[str]] | None = None,
+                info: dict | None = None) -> int:
+        """Replace the table's contents with ``df`` (schema may change).
+        ``info`` (e.g. the run timestamp) is kept in the commit."""
         part = self._write(df, layer, table, partition_by, distribute_by, bucket)
-        return self._commit(layer, table, [part], "overwrite")
+        return self._commit(layer, table, [part], "overwrite", info)
+
+    def info(self, layer: str, table: str) -> dict:
+        """The ``info`` of the latest commit (empty if none was given)."""
+        c = self._commits(layer, table)
+        return self._read_commit(layer, table, c[-1]).get("info") or {} if c else {}
 
     def append(self, df: DataFrame, layer: str, table: str) -> int:
         part = self._write(df, layer, table)

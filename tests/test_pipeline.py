@@ -77,3 +77,40 @@ def test_rerun_of_the_same_run_ts_is_idempotent(spark, tmpdir_path):
     first = snapshot()
     pipeline.run_all(spark, lay, fx.RUN)
     assert snapshot() == first
+
+
+def test_stream_silver_is_incremental_and_keeps_the_latest_row(spark, tmpdir_path):
+    import datetime as dt
+
+    from riskview.schemas import ACCOUNT_ACTIVITY
+    t1, t2 = dt.datetime(2024, 1, 30, 10), dt.datetime(2024, 2, 28, 10)
+
+    def rows(*accts):
+        out = []
+        for acct, bal, hour in accts:
+            r = {f.name: None for f in ACCOUNT_ACTIVITY.fields}
+            r.update(account_id=acct, customer_id="C" + acct, balance=bal, batch_hour=hour)
+            out.append(tuple(r[f.name] for f in ACCOUNT_ACTIVITY.fields))
+        return spark.createDataFrame(out, ACCOUNT_ACTIVITY)
+
+    lay = pipeline.Layout(landing=f"{tmpdir_path}/landing", root=f"{tmpdir_path}/lake",
+                          formats={"account_activity": "parquet_stream"},
+                          schemas={"account_activity": ACCOUNT_ACTIVITY})
+    src = f"{lay.landing}/account_activity"
+    store = lay.store(spark)
+
+    def run(ts):
+        pipeline.run_bronze(spark, lay, ts)
+        pipeline.run_silver(spark, lay, ts)
+        return {r.account_id: r.balance for r in store.read("silver", "account_activity")
+                .collect()}
+
+    rows(("A1", 1.0, t1), ("A2", 2.0, t1), ("A3", 3.0, t1)).write.mode("append").parquet(src)
+    assert run(fx.RUN) == {"A1": 1.0, "A2": 2.0, "A3": 3.0}
+    rows(("A2", 20.0, t2), ("A4", 4.0, t2)).write.mode("append").parquet(src)
+    want = {"A1": 1.0, "A2": 20.0, "A3": 3.0, "A4": 4.0}
+    assert run(fx.RUN2) == want
+    assert run(fx.RUN2) == want                   # re-run of the same day
+    plan = pipeline.stream_silver_input(spark, lay, "account_activity") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "ingest_year" in plan.split("PartitionFilters: [")[1]
