@@ -469,8 +469,7 @@ def land_fixtures(spark, sf, root) -> pipeline.Layout:
 def pipeline_customer_360(spark, sf):
     """Landing -> bronze -> silver -> gold through the table store."""
     lay = land_fixtures(spark, sf, scratch_path(spark, "pipeline"))
-    pipeline.run_bronze(spark, lay, fx.RUN)
-    pipeline.run_silver(spark, lay, fx.RUN, CFG)
+    pipeline.run_tables(spark, lay, fx.RUN, CFG)
     pipeline.run_gold(spark, lay, fx.RUN, CFG)
     return lay.store(spark).read("gold", "customer_360")
 

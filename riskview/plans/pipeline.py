@@ -81,22 +81,26 @@ def for_each_table(fn: Callable[[str], None], names: Iterable[str],
         f.result()
 
 
+def bronze_table(spark: SparkSession, lay: Layout, name: str, run_ts: str) -> None:
+    """One landing source -> its bronze table (ingest-date partitions)."""
+    fmt = lay.formats[name]
+    src, dst = f"{lay.landing}/{name}", f"{lay.bronze}/{name}"
+    if fmt == "parquet_stream":
+        archive = f"{lay.root}/_archive/{name}" if lay.archive_stream_files else None
+        ingest_files(spark, src, lay.schemas[name], dst,
+                     f"{lay.checkpoints}/{name}", PIPELINE_TAGS[fmt], run_ts=run_ts,
+                     archive_dir=archive)
+        return
+    df = read_source(spark, name, src, fmt, lay.schemas[name])
+    write_partitioned(with_ingest_metadata(df, PIPELINE_TAGS[fmt], run_ts=run_ts),
+                      dst, INGEST_PARTITIONS)
+
+
 def run_bronze(spark: SparkSession, lay: Layout, run_ts: str,
                parallel: bool = True) -> None:
     """Landing files -> bronze tables partitioned by ingest date."""
-    def load(name: str) -> None:
-        fmt = lay.formats[name]
-        src, dst = f"{lay.landing}/{name}", f"{lay.bronze}/{name}"
-        if fmt == "parquet_stream":
-            archive = f"{lay.root}/_archive/{name}" if lay.archive_stream_files else None
-            ingest_files(spark, src, lay.schemas[name], dst,
-                         f"{lay.checkpoints}/{name}", PIPELINE_TAGS[fmt], run_ts=run_ts,
-                         archive_dir=archive)
-            return
-        df = read_source(spark, name, src, fmt, lay.schemas[name])
-        write_partitioned(with_ingest_metadata(df, PIPELINE_TAGS[fmt], run_ts=run_ts),
-                          dst, INGEST_PARTITIONS)
-    for_each_table(load, lay.formats, parallel)
+    for_each_table(lambda name: bronze_table(spark, lay, name, run_ts), lay.formats,
+                   parallel)
 
 
 def read_bronze(spark: SparkSession, lay: Layout, name: str,
@@ -142,30 +146,46 @@ def stream_silver_input(spark: SparkSession, lay: Layout, name: str) -> DataFram
     return previous.unionByName(bronze.filter(day >= F.to_date(F.lit(last))))
 
 
+def silver_table(spark: SparkSession, lay: Layout, name: str, run_ts: str,
+                 cfg: RiskConfig = RiskConfig()) -> None:
+    """One bronze table -> silver: deduplicated, and for customers masked
+    and kept as SCD2 history."""
+    store = lay.store(spark)
+    # A batch source lands a full extract every run: its own ingest day is
+    # the whole source (partition pruned).  A stream only appends new files:
+    # the previous snapshot plus the new days hold its latest rows.
+    if lay.formats[name] == "parquet_stream":
+        df = silver_dedup(stream_silver_input(spark, lay, name), name)
+    else:
+        df = silver_dedup(read_bronze(spark, lay, name, run_ts), name)
+    if name == "customer_onboarding":
+        # history bucketed on the key: a batch too large to broadcast is the
+        # only side the next apply's full outer join shuffles
+        buckets = cfg.scd2.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        store.apply_scd2(cleaning.mask_customer_pii(df), "silver", name,
+                         list(cfg.scd2.keys), list(cfg.scd2.tracked), run_ts,
+                         buckets=buckets)
+    else:
+        store.publish(with_layer_metadata(df, "silver", run_ts), "silver", name,
+                      partition_by=SILVER_PARTITIONS, info={"run_ts": run_ts})
+
+
 def run_silver(spark: SparkSession, lay: Layout, run_ts: str,
                cfg: RiskConfig = RiskConfig(), parallel: bool = True) -> None:
     """Mask, deduplicate, keep SCD2 history for customers; publish the rest."""
-    store = lay.store(spark)
+    for_each_table(lambda name: silver_table(spark, lay, name, run_ts, cfg), lay.formats,
+                   parallel)
 
-    def clean(name: str) -> None:
-        # A batch source lands a full extract every run: its own ingest day
-        # is the whole source (partition pruned).  A stream only appends new
-        # files: the previous snapshot plus the new days hold its latest rows.
-        if lay.formats[name] == "parquet_stream":
-            df = silver_dedup(stream_silver_input(spark, lay, name), name)
-        else:
-            df = silver_dedup(read_bronze(spark, lay, name, run_ts), name)
-        if name == "customer_onboarding":
-            # history bucketed on the key: a batch too large to broadcast is
-            # the only side the next apply's full outer join shuffles
-            buckets = cfg.scd2.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-            store.apply_scd2(cleaning.mask_customer_pii(df), "silver", name,
-                             list(cfg.scd2.keys), list(cfg.scd2.tracked), run_ts,
-                             buckets=buckets)
-        else:
-            store.publish(with_layer_metadata(df, "silver", run_ts), "silver", name,
-                          partition_by=SILVER_PARTITIONS, info={"run_ts": run_ts})
-    for_each_table(clean, lay.formats, parallel)
+
+def run_tables(spark: SparkSession, lay: Layout, run_ts: str,
+               cfg: RiskConfig = RiskConfig(), parallel: bool = True) -> None:
+    """Landing -> bronze -> silver for every source, one chain per table.
+    The chains are independent, so a small table does not wait at a layer
+    barrier for the largest one."""
+    def chain(name: str) -> None:
+        bronze_table(spark, lay, name, run_ts)
+        silver_table(spark, lay, name, run_ts, cfg)
+    for_each_table(chain, lay.formats, parallel)
 
 
 def gold_inputs(spark: SparkSession, lay: Layout) -> c360.Inputs:
@@ -250,7 +270,6 @@ def layer_report(spark: SparkSession, lay: Layout, layer: str) -> DataFrame:
 
 def run_all(spark: SparkSession, lay: Layout, run_ts: str,
             cfg: RiskConfig = RiskConfig()) -> None:
-    run_bronze(spark, lay, run_ts)
-    run_silver(spark, lay, run_ts, cfg)
+    run_tables(spark, lay, run_ts, cfg)
     run_gold(spark, lay, run_ts, cfg)
     run_warehouse(spark, lay, run_ts)
