@@ -52,3 +52,22 @@ def test_hot_customer_velocity_is_pre_aggregated(spark):
     want = txns.filter("customer_id = 7").count()
     assert hot.txn_count == want and hot.txn_total_amt == want * 1.25
     assert _shuffle_records_written(prof) <= 1000 * MAP_TASKS
+
+
+def test_hot_customer_name_is_screened_map_side(spark):
+    from riskview.operators.screening import with_aml_flag
+    n = 90_000
+    customers = spark.range(0, n, 1, MAP_TASKS).select(
+        F.col("id").alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("JOHN DOE"))
+         .otherwise(F.concat(F.lit("name-"), F.col("id").cast("string"))).alias("full_name"))
+    watchlist = spark.createDataFrame([("JOHN DOE",), ("name-4",), ("nobody",)],
+                                      "entity_name string")
+    flagged = with_aml_flag(customers, watchlist)
+    hits = flagged.filter("aml_flag").count()
+    assert hits == n // 3 + 1                              # every hot row, plus name-4
+    assert flagged.count() == n
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    # only the distinct listed names are shuffled, never the customer rows
+    assert _shuffle_records_written(flagged) <= 3 * MAP_TASKS
