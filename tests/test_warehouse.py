@@ -94,3 +94,22 @@ def test_dim_customer_reload_keeps_keys(spark):
     d2 = {(r.customer_id, r.effective_from): (r.customer_key, r.is_current)
           for r in warehouse.dim_customer(h2, d1).collect()}
     assert d2 == {(5, t1): (1, False), (7, t1): (2, True), (3, t2): (3, True), (5, t2): (4, True)}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.sets(st.tuples(st.one_of(st.none(), st.integers(-5, 5)),
+                         st.text("ab", max_size=3)), min_size=1, max_size=40),
+       st.integers(1, 6), st.integers(0, 100))
+def test_dense_keys_property(spark, rows, parts, base):
+    """Any unique order (NULLs first, as in Spark's ascending sort), any input
+    partitioning, any base: keys are base+1..base+n in global sort order."""
+    df = spark.createDataFrame(sorted(rows, key=str), "k int, s string").repartition(parts)
+    got = warehouse.dense_keys(df, "key", ["k", "s"], base=base)
+    ref = df.withColumn("key", (F.row_number().over(Window.orderBy("k", "s")) + base)
+                        .cast("long"))
+    assert sorted(map(tuple, got.collect()), key=str) == \
+        sorted(map(tuple, ref.select(*got.columns).collect()), key=str)
