@@ -142,8 +142,11 @@ def stream_silver_input(spark: SparkSession, lay: Layout, name: str) -> DataFram
     if last is None:
         return bronze
     day = F.make_date(F.col("ingest_year"), F.col("ingest_month"), F.col("ingest_day"))
-    previous = store.read("silver", name).select(*bronze.columns)
-    return previous.unionByName(bronze.filter(day >= F.to_date(F.lit(last))))
+    previous = store.read("silver", name)
+    previous = previous.drop(*[c for c in previous.columns if c not in bronze.columns])
+    # a column the stream gained since the snapshot is NULL on older rows
+    return previous.unionByName(bronze.filter(day >= F.to_date(F.lit(last))),
+                                allowMissingColumns=True)
 
 
 def silver_table(spark: SparkSession, lay: Layout, name: str, run_ts: str,
