@@ -273,6 +273,25 @@ def layer_report(spark: SparkSession, lay: Layout, layer: str) -> DataFrame:
     return layer_row_counts(tables, errors)
 
 
+PUBLISHED = {"silver": ("customer_onboarding", "transaction_feed", "kyc_documents",
+                        "watchlist_sanctions", "account_activity"),
+             "gold": ("customer_360",),
+             "warehouse": ("dim_customer", "dim_kyc_status", "dim_date")}
+
+
+def vacuum_all(spark: SparkSession, lay: Layout, keep_commits: int = 2,
+               min_age_s: float = 24 * 3600) -> list[str]:
+    """Storage hygiene after a run: every published table drops the snapshot
+    directories its last ``keep_commits`` commits no longer reference, so the
+    lake holds a bounded number of copies instead of one per run."""
+    store = lay.store(spark)
+    removed: list[str] = []
+    for layer, tables in PUBLISHED.items():
+        for t in tables:
+            removed += store.vacuum(layer, t, keep_commits, min_age_s)
+    return removed
+
+
 def run_all(spark: SparkSession, lay: Layout, run_ts: str,
             cfg: RiskConfig = RiskConfig()) -> None:
     run_tables(spark, lay, run_ts, cfg)

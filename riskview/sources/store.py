@@ -188,6 +188,35 @@ class TableStore:
         part = self._write(df, layer, table, partition_by, bucket=bucket)
         return self._commit(layer, table, [part], "compact")
 
+    def vacuum(self, layer: str, table: str, keep_commits: int = 2,
+               min_age_s: float = 24 * 3600) -> list[str]:
+        """Delete the table's version directories that none of the last
+        ``keep_commits`` commits references (superseded snapshots; SCD2
+        history stays referenced by every commit that needs it).  Only
+        directories untouched for ``min_age_s`` go, so a write still in
+        flight is never removed.  Readers of older commits lose those
+        versions.  Returns the deleted paths."""
+        commits = self._commits(layer, table)
+        if not commits:
+            return []
+        keep = {part["path"].rstrip("/")
+                for n in commits[-max(1, keep_commits):]
+                for part in self._read_commit(layer, table, n)["parts"]}
+        root = self.table_dir(layer, table)
+        fs = self._fs(root)
+        cutoff_ms = (time.time() - min_age_s) * 1000
+        removed = []
+        for st in fs.listStatus(self._Path(root)):
+            name = st.getPath().getName()
+            path = f"{root}/{name}"
+            if (not st.isDirectory() or not name.startswith("v") or path in keep
+                    or st.getModificationTime() > cutoff_ms):
+                continue
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(path)}")
+            fs.delete(st.getPath(), True)
+            removed.append(path)
+        return removed
+
     def _new_dir(self, layer: str, table: str) -> str:
         return (f"{self.table_dir(layer, table)}/"
                 f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}")

@@ -161,3 +161,26 @@ def test_bucketed_store_shuffles_only_the_batch(spark, tmpdir_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "Bucketed: true" in plan
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_vacuum_removes_only_unreferenced_versions(spark, tmpdir_path):
+    import os
+
+    from riskview.sources.store import TableStore
+    st_ = TableStore(spark, tmpdir_path)
+    for i, seg in enumerate("ABC"):
+        st_.apply_scd2(_df(spark, {1: ("a", seg, None), 2: ("b", "Z", None)}), "silver", "c",
+                       KEYS, TRACKED, f"2024-01-0{i + 1}", buckets=2)
+    st_.publish(_df(spark, {1: ("x", "X", None)}), "gold", "g")
+    st_.publish(_df(spark, {1: ("y", "Y", None)}), "gold", "g")
+    before = sorted(map(str, st_.read("silver", "c").collect()))
+    table_dir = st_.table_dir("silver", "c")
+    n_dirs = lambda d: len([x for x in os.listdir(d) if x.startswith("v")])
+    assert n_dirs(table_dir) == 3
+    assert st_.vacuum("silver", "c", keep_commits=1) == []     # too recent to touch
+    removed = st_.vacuum("silver", "c", keep_commits=1, min_age_s=0)
+    # the first load held no expired rows, so nothing references it any more
+    assert len(removed) == 1 and n_dirs(table_dir) == 2
+    assert sorted(map(str, st_.read("silver", "c").collect())) == before
+    assert len(st_.vacuum("gold", "g", keep_commits=1, min_age_s=0)) == 1
+    assert [r.name for r in st_.read("gold", "g").collect()] == ["y"]
