@@ -117,3 +117,27 @@ def test_stream_silver_is_incremental_and_keeps_the_latest_row(spark, tmpdir_pat
     plan = pipeline.stream_silver_input(spark, lay, "account_activity") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "ingest_year" in plan.split("PartitionFilters: [")[1]
+
+
+def test_changed_customer_extract_flows_into_history(spark, tmpdir_path):
+    """A second customer extract with changed, absent and new customers goes
+    landing -> bronze -> masked, deduplicated SCD2 history (FIXTURES counts:
+    38 changed, 3 new, 15 absent of 150)."""
+    lay = catalog.land_fixtures(spark, SF_SMALL, tmpdir_path)
+    pipeline.run_tables(spark, lay, fx.RUN)
+    schema = lay.schemas["customer_onboarding"]
+    v2 = fx.customers_v2(spark, SF_SMALL)
+    v2.select(*[(F.col(f.name) if f.name in v2.columns else F.lit(None)).cast(f.dataType)
+                .alias(f.name) for f in schema.fields]) \
+        .write.mode("overwrite").option("header", True) \
+        .csv(f"{lay.landing}/customer_onboarding")
+    pipeline.run_tables(spark, lay, fx.RUN2)
+    hist = lay.store(spark).read("silver", "customer_onboarding")
+    assert hist.count() == 191
+    assert hist.filter("is_current").count() == 153
+    assert hist.filter("NOT is_current").count() == 38
+    assert hist.filter("is_current").groupBy("customer_id").count().filter("count > 1") \
+        .count() == 0
+    changed = hist.filter("is_current AND customer_id % 10 = 0 AND customer_id < 1000000")
+    assert {r.customer_segment for r in changed.select("customer_segment").collect()} == \
+        {"CHANGED"}
