@@ -3,7 +3,10 @@
 Each step reads what the previous one published and publishes its own
 tables; nothing is handed over in driver memory.  Every step takes the run
 timestamp, so a run is reproducible and a re-run of the same day replaces
-that day's bronze partitions and fact partition instead of duplicating them.
+that day's bronze partitions and fact partition instead of duplicating them
+(recovery from a lost job is a re-run).  Each source's bronze -> silver
+chain runs concurrently with the others; ``vacuum_all`` bounds the number
+of stored snapshots.
 """
 
 from __future__ import annotations
