@@ -38,6 +38,9 @@ def test_run_all_twice_keeps_keys_and_adds_one_fact_day(spark, tmpdir_path):
     # unchanged sources (the activity stream has no new files): same view
     assert sorted(map(str, gold.drop("gold_timestamp").collect())) == gold1
     assert store.read("warehouse", "dim_date").count() > 0
+    rep = {r.table_name: r for r in pipeline.layer_report(spark, lay, "silver").collect()}
+    assert set(rep) == set(lay.formats) and all(r.error is None for r in rep.values())
+    assert rep["customer_onboarding"].rows == n and rep["watchlist_sanctions"].rows > 0
     ext = pipeline.external_customer_360(spark, lay)
     assert len(ext.columns) == 19
     assert spark.sql("SELECT count(*) AS n, count_if(aml_flag) AS aml FROM ext_customer_360") \
