@@ -78,6 +78,14 @@ def test_rerun_of_the_same_run_ts_is_idempotent(spark, tmpdir_path):
 
     pipeline.run_all(spark, lay, fx.RUN)
     first = snapshot()
+    # the star query over the published fact and dimension
+    from riskview.operators import warehouse
+    fact = spark.read.parquet(f"{lay.root}/warehouse/fact_customer_risk")
+    roll = warehouse.star_rollup(fact, store.read("warehouse", "dim_customer"))
+    gold = store.read("gold", "customer_360")
+    got = roll.agg(F.sum("customers"), F.round(F.sum("total_amount"), 2)).first()
+    want = gold.agg(F.count(F.lit(1)), F.round(F.sum("txn_total_amt"), 2)).first()
+    assert tuple(got) == tuple(want)
     pipeline.run_all(spark, lay, fx.RUN)
     assert snapshot() == first
     # superseded snapshots go; what the latest commits reference stays readable
