@@ -6,7 +6,8 @@ import pytest
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import oracle_sql
+from riskview.plans.catalog import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +16,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, con, name, SF_SMALL)
     assert ok, msg
