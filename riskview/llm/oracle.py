@@ -38,4 +38,32 @@ SELECT page_id, host, path, rule,
 FROM u LEFT JOIN fit USING (page_id)
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op10_url_rules": OP10}
+OP3 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+OP6 = rf"""
+WITH RECURSIVE w AS (
+       SELECT doc_id, {_WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
+       FROM documents),
+     sh AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+              ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(list_slice(ws, i, i + 4), ' ')) END)) AS s FROM w),
+     cls AS (SELECT s, min(doc_id) AS c, len(s) AS n FROM sh WHERE len(s) > 0 GROUP BY s),
+     item AS (SELECT c, n, unnest(s) AS g FROM cls),
+     pairs AS (SELECT a.c AS x, b.c AS y, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS k
+              FROM item a JOIN item b ON a.g = b.g AND a.c < b.c GROUP BY a.c, b.c),
+     link AS (SELECT x, y FROM pairs WHERE 100 * k >= 85 * (m + n - k)),
+     edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+     reach(x, y) AS (SELECT x, y FROM edge UNION SELECT r.x, e.y FROM reach r JOIN edge e ON r.y = e.x),
+     comp AS (SELECT c, least(c, coalesce(min(y), c)) AS component_id FROM cls LEFT JOIN reach ON x = c GROUP BY c)
+SELECT doc_id, len(sh.s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM sh LEFT JOIN cls ON sh.s = cls.s LEFT JOIN comp USING (c)
+"""
+
+ORACLES = {"op6_chosen_path": OP6, "op3_exact_topk": OP3, "op2_substring_dedup": OP2, "op10_url_rules": OP10}

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskview.llm import substring_dedup, token_files, url_rules
+from riskview.llm import (
+    chosen_path,
+    decontamination,
+    exact_topk,
+    subword_classifier,
+    substring_dedup,
+    surrogates,
+    token_files,
+    toxicity_trees,
+    url_rules,
+    wfst_pieces,
+)
 from riskview.llm.common import read_table, tokenizer_path
 from riskview.session import scratch_path
 
@@ -19,6 +30,8 @@ URL_RULES = (
 )
 #: Globs that block a URL no rule decides.
 BLOCK_GLOBS = ("*spam-*", "*cheap-pills*", "*casino*", "*.exe", "*.zip")
+#: The key of the surrogates; a deployment passes a secret of its own.
+SURROGATE_KEY = "surrogates"
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,12 +46,40 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(read_table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+def op4_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                                       "quality", subword_classifier.held_out("doc_id", 3, 1))
+
+
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.redact(read_table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(read_table(spark, sf_dir, "documents"), chosen_path.Join(width=5, percent=85))
+
+
+def op7_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("key")
+
+
+def op8_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_trees.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                                   "toxic", subword_classifier.held_out("doc_id", 5, 0))
+
+
+def op9_wfst_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wfst_pieces.encode(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(read_table(spark, sf_dir, "pages"), URL_RULES, BLOCK_GLOBS)
 
 
-QUERIES = {
-    "op1_token_files": op1_token_files,
-    "op2_substring_dedup": op2_substring_dedup,
-    "op10_url_rules": op10_url_rules,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_substring_dedup, op3_exact_topk, op4_subword_classifier, op5_surrogates, op6_chosen_path,
+    op7_template_windows, op8_toxicity_trees, op9_wfst_pieces, op10_url_rules)}
