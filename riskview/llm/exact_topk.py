@@ -21,7 +21,7 @@ it is provably exact, else Python integers are.
 Cases: vectors that are null or hold a null or non-finite component take no
 part, nor do null ids; of different lengths, the shared components count; a
 repeated row is a candidate each time and, as a query, answered once; a score
-outside 64 bits is returned as null at its rank; empty tables give no rows.
+outside 64 bits is returned as null and ranked as a double; empty tables give no rows.
 """
 
 from __future__ import annotations

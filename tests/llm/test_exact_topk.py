@@ -34,7 +34,7 @@ def test_awkward_vectors(spark):
     rows = [(0, [1.0, 2.0]), (10, [1.0, -2.0, 3.0]), (20, None), (30, [math.nan]), (40, [None, 1.0]), (50, []),
             (None, [1.0]), (7, [math.inf]), (8, [1.0, 2.0]), (9, [-1.0])]
     assert run(spark, rows) == brute(rows, 5, 10)
-    big = [(0, [3e7, 1.0]), (1, [3e7, 2.0]), (2, [3e7, 3.0]), (3, [-3e7, 0.0])]
+    big = [(0, [3e6, 1.0]), (1, [3e6, 2.0]), (2, [3e6, 3.0]), (3, [-3e6, 0.0])]
     assert run(spark, big) == brute(big, 5, 10)
 
 
