@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -32,9 +31,6 @@ def main() -> None:
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
     spark = build_session(f"local[{cpus}]", app="riskview-bench",
                           shuffle_partitions=max(8, cpus * 2), extra=extra)
-    if not spark.sparkContext.getCheckpointDir() and \
-            not spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskview-bench-"))
     from riskview.plans.catalog import QUERIES
 
     errors: dict[str, str] = {}

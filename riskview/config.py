@@ -86,9 +86,6 @@ class DedupKeys:
 class Scd2Spec:
     keys: tuple[str, ...] = ("customer_id",)
     tracked: tuple[str, ...] = ("customer_segment", "country", "phone")
-    # stored bucket count of the history (None: the session's shuffle
-    # partition count at the first load; later applies keep the stored one)
-    buckets: int | None = None
 
 
 @dataclass(frozen=True)
@@ -97,4 +94,7 @@ class RiskConfig:
     weights: RiskWeights = RiskWeights()
     alerts: AlertRules = AlertRules()
     scd2: Scd2Spec = Scd2Spec()
+    # derive the dormant flag from the days since the last activity instead of
+    # taking the one that the source states
+    derive_dormancy: bool = False
     dormancy_days: int = 365

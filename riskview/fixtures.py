@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskview.operators.scoring import is_dormant
+
 # Reference date of the fixtures ("today" for activity and dormancy).
 AS_OF = "2001-08-01"
 # Run timestamps of the two simulated pipeline runs.
@@ -127,6 +129,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("o_custkey").alias("customer_id"),
                 F.col("o_orderdate").alias("txn_date"),
                 F.col("o_totalprice").alias("amount"),
+                F.col("o_orderpriority").alias("txn_type"),
                 F.when(status == "F", "SUCCESS").when(status == "O", "PENDING")
                  .otherwise("FAILED").alias("status"),
                 F.when(F.col("beneficiary_nation") != F.col("c_nationkey"), "Y")
@@ -156,7 +159,9 @@ def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(
         F.col("s_suppkey").alias("watchlist_id"),
         F.replace(F.col("s_name"), F.lit("Supplier"), F.lit("Customer"))
-         .alias("entity_name"))
+         .alias("entity_name"),
+        F.when(F.col("s_suppkey") % 2 == 0, "OFAC").otherwise("UN").alias("list_type"),
+        F.concat(F.lit("entity of nation "), _s(F.col("s_nationkey"))).alias("designation"))
 
 
 @session_view
@@ -176,7 +181,7 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when(bal >= 7000, "HIGH").when(bal >= 3000, "MID")
                  .otherwise("LOW").alias("balance_tier"),
                 days.cast("long").alias("days_since_activity"),
-                F.when(days > 365, "Y").otherwise("N").alias("dormant_flag")))
+                is_dormant(days).alias("dormant_flag")))
 
 
 SCD2_INPUT_COLUMNS = ("customer_id", "full_name", "customer_segment", "country",

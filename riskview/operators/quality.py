@@ -18,8 +18,10 @@ class SchemaContractError(ValueError):
 
 
 def layer_row_counts(tables: Mapping[str, DataFrame],
-                     errors: Mapping[str, str] | None = None) -> DataFrame:
-    """``table_name, rows, columns, error`` for each table, all in one job.
+                     errors: Mapping[str, str] | None = None,
+                     total: str | None = None) -> DataFrame:
+    """``table_name, rows, columns, error`` for each table, all in one job;
+    with ``total``, a last row of that name with the rows of all tables.
 
     ``errors`` names tables that could not be opened (e.g. not published
     yet); they are reported as rows with NULL counts and the message.
@@ -36,6 +38,10 @@ def layer_row_counts(tables: Mapping[str, DataFrame],
             [(n, None, None, m) for n, m in errors.items()],
             "table_name string, rows long, columns int, error string")
         out = out.unionByName(bad)
+    if total is not None:
+        out = out.unionByName(out.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).select(
+            F.lit(total).alias("table_name"), "rows", F.lit(None).cast("int").alias("columns"),
+            F.lit(None).cast("string").alias("error")))
     return out
 
 

@@ -9,16 +9,25 @@ from riskview.config import AlertRules, RiskWeights, VelocityRules
 from riskview.operators.joins import broadcast_if_small
 
 
-def _cents(amount: Column) -> Column:
-    """Amount as whole cents, rounded half up.  Summing longs is exact and
-    order-independent (a double sum is neither) and stays on the fast
-    long-backed path, unlike a decimal(28+) aggregation buffer."""
-    return F.floor(amount * 100 + F.lit(0.5))
+def money_sum(amount: Column) -> Column:
+    """Exact sum of amounts, rounded once to cents (half away from zero), as
+    DOUBLE.
+
+    Amounts are added as decimals of ten places, which is exact and does not
+    depend on the order of the rows.  A group with an amount that no such
+    decimal holds (NaN, infinity, 1e18 and more) is added in doubles, so it
+    shows in the result instead of being lost.
+    """
+    exact = amount.try_cast("decimal(28,10)")
+    wide = F.coalesce(F.bool_or(amount.isNotNull() & exact.isNull()), F.lit(False))
+    return (F.when(wide, F.round(F.sum(amount.cast("double")), 2))
+            .otherwise(F.round(F.sum(exact), 2).cast("double")))
 
 
-def money_sum(amount: Column) -> Column:
-    """Sum of amounts rounded to cents, exposed as DOUBLE."""
-    return (F.sum(_cents(amount)) / F.lit(100)).cast("double")
+def unmatched_currencies(txns: DataFrame, fx_rates: DataFrame) -> DataFrame:
+    """Currencies without a rate, with the number of transactions of each."""
+    return (txns.groupBy("currency").agg(F.count(F.lit(1)).alias("transactions"))
+            .join(fx_rates.select("currency"), "currency", "left_anti"))
 
 
 def velocity_profile(txns: DataFrame, rules: VelocityRules = VelocityRules(),
@@ -29,9 +38,9 @@ def velocity_profile(txns: DataFrame, rules: VelocityRules = VelocityRules(),
 
     ``window_days`` restricts to ``(as_of - window_days, as_of]`` (the
     stated 30-day intent); by default every successful transaction counts.
-    ``fx_rates(currency, rate)`` converts amounts to one currency first (a
-    currency without a rate contributes no amount); by default amounts are
-    summed as given.  The rate table is bounded by the number of currencies
+    ``fx_rates(currency, rate)`` converts amounts to one currency first; a
+    currency without a rate raises (``unmatched_currencies`` lists them).  By
+    default amounts are summed as given.  The rate table is bounded by the number of currencies
     and is broadcast after a size check.
     The status filter sits on the scan (pushed to Parquet) and the grouping
     is partial/final, so a hot customer costs one partial row per task.
@@ -48,8 +57,11 @@ def velocity_profile(txns: DataFrame, rules: VelocityRules = VelocityRules(),
     if fx_rates is not None:
         rates = broadcast_if_small(fx_rates.select(
             "currency", F.col("rate").cast("double").alias("__rv_rate")), 10_000)
+        no_rate = F.raise_error(F.concat(F.lit("no rate for currency "),
+                                         F.coalesce("currency", F.lit("NULL")))).cast("double")
         t = (t.join(rates, "currency", "left")
-             .withColumn("amount", F.col("amount") * F.col("__rv_rate")))
+             .withColumn("amount", F.when(F.col("amount").isNull(), None).otherwise(
+                 F.col("amount") * F.coalesce("__rv_rate", no_rate))))
     return t.groupBy("customer_id").agg(
         F.count("transaction_id").alias("txn_count"),
         money_sum(F.col("amount")).alias("txn_total_amt"),
@@ -78,12 +90,12 @@ def _weighted(c: Column, table: tuple[tuple[str, int], ...]) -> Column:
     return expr.otherwise(F.lit(0)) if expr is not None else F.lit(0)
 
 
-def risk_score_expr(w: RiskWeights = RiskWeights()) -> Column:
+def risk_score_expr(w: RiskWeights = RiskWeights(), a: AlertRules = AlertRules()) -> Column:
     """Weighted sum of the four signals; a NULL signal adds 0."""
     return (_weighted(F.col("velocity_risk"), w.velocity)
             + _weighted(F.col("doc_status"), w.doc_status)
-            + F.when(F.col("dormant_flag") == "Y", F.lit(w.dormant)).otherwise(F.lit(0))
-            + F.when(F.col("pep_flag") == "Y", F.lit(w.pep)).otherwise(F.lit(0)))
+            + F.when(F.col("dormant_flag") == a.dormant_value, F.lit(w.dormant)).otherwise(F.lit(0))
+            + F.when(F.col("pep_flag") == a.pep_value, F.lit(w.pep)).otherwise(F.lit(0)))
 
 
 def risk_level_expr(score: Column, w: RiskWeights = RiskWeights()) -> Column:
@@ -91,8 +103,9 @@ def risk_level_expr(score: Column, w: RiskWeights = RiskWeights()) -> Column:
             .when(score >= w.medium_level, "MEDIUM").otherwise("LOW"))
 
 
-def with_risk(df: DataFrame, w: RiskWeights = RiskWeights()) -> DataFrame:
-    df = df.withColumn("risk_score", risk_score_expr(w))
+def with_risk(df: DataFrame, w: RiskWeights = RiskWeights(),
+              a: AlertRules = AlertRules()) -> DataFrame:
+    df = df.withColumn("risk_score", risk_score_expr(w, a))
     return df.withColumn("kyc_risk_level", risk_level_expr(F.col("risk_score"), w))
 
 
@@ -113,4 +126,5 @@ def with_alerts(df: DataFrame, a: AlertRules = AlertRules()) -> DataFrame:
 
 
 def is_dormant(days: Column, threshold_days: int = 365) -> Column:
+    """Dormancy flag derived from the days since the last activity."""
     return F.when(days > threshold_days, "Y").otherwise("N")

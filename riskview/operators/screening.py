@@ -84,42 +84,63 @@ def deletion_variants(name: Column, k: int) -> Column:
     return v
 
 
-def fuzzy_name_matches(names: DataFrame, listed: DataFrame, max_dist: int = 1,
-                       broadcast_max_rows: int | None = VARIANT_BROADCAST_MAX_ROWS
-                       ) -> DataFrame:
-    """Best listed name per distinct name within ``max_dist`` edits.
-
-    ``names(name)`` and ``listed(entity_name)`` are distinct name sets.
-    Output ``name, entity_name, distance``; ties go to the smallest name.
-    The listed side's variants (a few dozen per listed name) are broadcast
-    once proven below ``broadcast_max_rows``, so the exploded customer
-    names are joined where they are, without a shuffle.
+def _variants_at_most(names: DataFrame, col: str, k: int) -> int:
+    """A bound on the rows that ``deletion_variants`` makes, without making
+    them: a name of length L has at most (L + 1) ** k + 1 variants."""
+    n = names.agg(F.sum(F.pow(F.length(col) + 1, F.lit(k)) + 1)).first()[0]
+    return int(n or 0)
+
+
+def fuzzy_name_pairs(names: DataFrame, listed: DataFrame, max_dist: int = 1,
+                     broadcast_max_rows: int | None = VARIANT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Every pair of a distinct name and a listed name within ``max_dist``
+    edits: ``name, entity_name, distance``.
+
+    ``names(name)`` and ``listed(entity_name)`` are distinct name sets.  The
+    listed side's variants (a few dozen per listed name) are broadcast once
+    proven below ``broadcast_max_rows``, so the exploded customer names are
+    joined where they are, without a shuffle.  Pairs that share several
+    variants are verified once.
     """
     cv = names.select("name", F.explode(deletion_variants(F.col("name"), max_dist))
                       .alias("__rv_v"))
     lv = listed.select("entity_name",
                        F.explode(deletion_variants(F.col("entity_name"), max_dist))
                        .alias("__rv_v"))
-    if broadcast_max_rows is not None:
-        lv = broadcast_if_small(lv, broadcast_max_rows)
+    if broadcast_max_rows is not None and \
+            _variants_at_most(listed, "entity_name", max_dist) <= broadcast_max_rows:
+        lv = F.broadcast(lv)
+    near = F.abs(F.length("name") - F.length("entity_name")) <= max_dist
+    pairs = cv.join(lv, "__rv_v").filter(near).select("name", "entity_name").distinct()
     dist = F.levenshtein(F.col("name"), F.col("entity_name"), max_dist)
-    best = (cv.join(lv, "__rv_v")
-            .select("name", "entity_name", dist.alias("distance"))
-            .filter((F.col("distance") >= 0) & (F.col("distance") <= max_dist))
-            .groupBy("name")
-            .agg(F.min(F.struct("distance", "entity_name")).alias("__rv_b")))
+    return (pairs.withColumn("distance", dist)
+            .filter((F.col("distance") >= 0) & (F.col("distance") <= max_dist)))
+
+
+def fuzzy_name_matches(names: DataFrame, listed: DataFrame, max_dist: int = 1,
+                       broadcast_max_rows: int | None = VARIANT_BROADCAST_MAX_ROWS
+                       ) -> DataFrame:
+    """Best listed name per distinct name within ``max_dist`` edits: ``name,
+    entity_name, distance``; ties go to the smallest name."""
+    best = (fuzzy_name_pairs(names, listed, max_dist, broadcast_max_rows)
+            .groupBy("name").agg(F.min(F.struct("distance", "entity_name")).alias("__rv_b")))
     return best.select("name", "__rv_b.entity_name", "__rv_b.distance")
 
 
 def fuzzy_screen(customers: DataFrame, watchlist: DataFrame, max_dist: int = 1,
-                 name_col: str = "full_name") -> DataFrame:
+                 name_col: str = "full_name", include_alias: bool = False,
+                 normalize: bool = False, all_hits: bool = False,
+                 broadcast_max_rows: int | None = VARIANT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Customers whose name is within ``max_dist`` edits of a listed name:
-    ``customer_id, entity_name, distance`` (closest, then smallest name)."""
-    names = (customers.select(F.col(name_col).alias("name"))
-             .filter(F.col("name").isNotNull()).distinct())
-    best = fuzzy_name_matches(names, watchlist_names(watchlist), max_dist)
-    # (no size check on ``best``: counting it would run the whole match
+    ``customer_id, entity_name, distance`` - the closest, then smallest name,
+    or with ``all_hits`` every one.  ``include_alias`` and ``normalize`` are
+    those of the exact screen."""
+    key = normalize_name(F.col(name_col)) if normalize else F.col(name_col)
+    keyed = customers.select("customer_id", key.alias("name")).filter(F.col("name").isNotNull())
+    match = fuzzy_name_pairs if all_hits else fuzzy_name_matches
+    hits = match(keyed.select("name").distinct(), watchlist_names(watchlist, include_alias, normalize),
+                 max_dist, broadcast_max_rows)
+    # (no size check on ``hits``: counting it would run the whole match
     # twice; the planner and AQE size it, and the customer side of this join
     # is pruned to id and name)
-    return (customers.join(best, F.col(name_col) == F.col("name"))
-            .select("customer_id", "entity_name", "distance"))
+    return keyed.join(hits, "name").select("customer_id", "entity_name", "distance")

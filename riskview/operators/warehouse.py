@@ -68,10 +68,12 @@ def dense_keys(df: DataFrame, key_name: str, order: Sequence[str],
 
 
 def extend_keys(new_rows: DataFrame, existing: DataFrame, key_name: str,
-                natural: Sequence[str], order: Sequence[str]) -> DataFrame:
+                natural: Sequence[str], order: Sequence[str],
+                known: DataFrame | None = None) -> DataFrame:
     """Reload: rows whose natural key already has a key keep it; only new
-    natural keys are numbered, after the largest existing key."""
-    known = existing.select(*natural, key_name)
+    natural keys are numbered, after the largest existing key.  ``known`` (by
+    default ``existing``) are the rows whose keys may be kept."""
+    known = (existing if known is None else known).select(*natural, key_name)
     matched = new_rows.join(known, list(natural), "left")
     have = matched.filter(F.col(key_name).isNotNull())
     fresh = matched.filter(F.col(key_name).isNull()).drop(key_name)
@@ -101,15 +103,19 @@ def dim_customer(history: DataFrame, existing: DataFrame | None = None) -> DataF
 
 
 def dim_document_status(latest_docs: DataFrame,
-                        default_verifier: str | None = None) -> DataFrame:
-    """One row per customer's current document, keyed by customer_id order."""
+                        default_verifier: str | None = None,
+                        existing: DataFrame | None = None) -> DataFrame:
+    """One row per customer's current document, keyed by customer_id order;
+    with ``existing`` a customer keeps its key and new ones follow."""
     verifier = (F.col("verified_by") if "verified_by" in latest_docs.columns
                 else F.lit(default_verifier).cast("string"))
     d = latest_docs.select("customer_id", "doc_status", "doc_type",
                            F.col("expiry_date").cast("string").alias("expiry_date"),
                            verifier.alias("verified_by"))
-    return dense_keys(d, "kyc_key", ["customer_id"]).select(
-        "kyc_key", "customer_id", "doc_status", "doc_type", "expiry_date", "verified_by")
+    keyed = (dense_keys(d, "kyc_key", ["customer_id"]) if existing is None else
+             extend_keys(d, existing, "kyc_key", ["customer_id"], ["customer_id"]))
+    return keyed.select("kyc_key", "customer_id", "doc_status", "doc_type", "expiry_date",
+                        "verified_by")
 
 
 def date_key(c: Column) -> Column:
@@ -117,11 +123,15 @@ def date_key(c: Column) -> Column:
     return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
 
 
-def dim_date(dates: Column, source: DataFrame) -> DataFrame:
+def dim_date(dates: Column, source: DataFrame, date_keys: DataFrame | None = None) -> DataFrame:
     """Calendar rows for every day between the smallest and largest value of
-    ``dates`` in ``source``.  Its size is the calendar span, not the data."""
-    bounds = source.agg(F.min(F.to_date(dates)).alias("lo"),
-                        F.max(F.to_date(dates)).alias("hi"))
+    ``dates`` in ``source`` and of the fact's ``date_keys(date_key)``, so every
+    fact row has its day.  Its size is the calendar span, not the data."""
+    days = source.select(F.to_date(dates).alias("d"))
+    if date_keys is not None:
+        days = days.union(date_keys.select(
+            F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")))
+    bounds = days.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY")))
                          .alias("full_date"))
     d = F.col("full_date")
@@ -145,28 +155,40 @@ def fact_rows(gold: DataFrame, run_date: Column) -> DataFrame:
     return gold.select("customer_id", date_key(run_date).alias("date_key"), *flags)
 
 
-def fact_customer_risk(gold: DataFrame, run_date: Column) -> DataFrame:
-    """``fact_rows`` numbered with a dense ``risk_key`` in customer order."""
-    return dense_keys(fact_rows(gold, run_date), "risk_key", ["customer_id"]).select(
-        "risk_key", "customer_id", "date_key", *FACT_MEASURES)
+def fact_customer_risk(gold: DataFrame, run_date: Column,
+                       existing: DataFrame | None = None) -> DataFrame:
+    """``fact_rows`` with a ``risk_key`` in customer order.
 
+    ``existing`` is the published fact of all days: a re-run of a day gives its
+    customers their keys back, and every other row is numbered after the
+    largest key of any day, so a key never names two rows.
+    """
+    rows = fact_rows(gold, run_date)
+    if existing is None:
+        keyed = dense_keys(rows, "risk_key", ["customer_id"])
+    else:
+        keyed = extend_keys(rows, existing, "risk_key", ["customer_id"], ["customer_id"],
+                            known=existing.filter(F.col("date_key") == date_key(run_date)))
+    return keyed.select("risk_key", "customer_id", "date_key", *FACT_MEASURES)
 
-def star_rollup(fact: DataFrame, dim_cust: DataFrame,
-                broadcast_max_rows: int | None = None) -> DataFrame:
-    """Risk by segment and level: fact joined to the current customer rows.
 
-    The join is on the natural ``customer_id`` (the fact carries no customer
-    key), so ``fact`` may be the keyed fact or ``fact_rows`` and
-    ``dim_cust`` the dimension or the SCD2 history it is built from.
+def star_rollup(fact: DataFrame, dim_cust: DataFrame, dim_kyc: DataFrame, dim_dates: DataFrame,
+                broadcast_max_rows: int | None = None) -> DataFrame:
+    """Risk by segment, country, document status, month and level.
 
-    ``broadcast_max_rows`` broadcasts the dimension side once it is proven
-    to hold at most that many rows, so the fact is not shuffled for the join.
+    The fact carries natural keys, so the customer dimension joins by its
+    current versions, the document dimension by customer and the calendar by
+    ``date_key``.  ``broadcast_max_rows`` broadcasts a dimension once it is
+    proven to hold at most that many rows; the fact is then shuffled only for
+    the grouping, after partial sums.
     """
-    cur = current_rows(dim_cust).select("customer_id", "customer_segment")
-    if broadcast_max_rows is not None:
-        cur = broadcast_if_small(cur, broadcast_max_rows)
-    return (fact.join(cur, "customer_id")
-            .groupBy("customer_segment", "kyc_risk_level")
+    size = (lambda d: broadcast_if_small(d, broadcast_max_rows)) if broadcast_max_rows is not None \
+        else (lambda d: d)
+    cust = size(current_rows(dim_cust).select("customer_id", "customer_segment", "country"))
+    kyc = size(dim_kyc.select("customer_id", "doc_status"))
+    days = size(dim_dates.select("date_key", "year", "month"))
+    return (fact.join(cust, "customer_id").join(kyc, "customer_id", "left").join(days, "date_key")
+            .groupBy("customer_segment", "country", "doc_status", "year", "month", "kyc_risk_level")
             .agg(F.count(F.lit(1)).alias("customers"),
                  money_sum(F.col("txn_total_amt")).alias("total_amount"),
                  F.avg("risk_score").alias("avg_score")))

@@ -16,15 +16,16 @@ from riskview import fixtures as fx
 from riskview.config import RiskConfig
 from riskview.functions import masking
 from riskview.functions.metadata import with_ingest_metadata, with_layer_metadata
-from riskview.operators import (cleaning, quality, scd2, screening, scoring,
+from riskview.operators import (cleaning, quality, reports, scd2, screening, scoring,
                                  warehouse)
 from riskview.plans import customer_360 as c360
 from riskview.plans import pipeline
-from riskview.schemas import EXTERNAL_CUSTOMER_360, SILVER_CONTRACTS
+from riskview.schemas import EXTERNAL_CUSTOMER_360, SILVER_CONTRACTS, SOURCES
 from riskview.session import scratch_path
 from riskview.sources import readers
 from riskview.sources.store import TableStore, write_partitioned
-from riskview.streaming.ingest import INGEST_PARTITIONS, ingest_files
+from riskview.streaming.ingest import (BATCH, INGEST_PARTITIONS, ingest_files,
+                                       ingest_first_seen)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,10 +170,8 @@ def watchlist_screen(spark, sf):
 
 @query
 def screen_summary(spark, sf):
-    s = screening.watchlist_screen(fx.customers(spark, sf), fx.watchlist(spark, sf))
-    return s.agg(F.count(F.lit(1)).alias("screened"),
-                 F.count_if(F.col("aml_flag")).alias("hits"),
-                 F.count_if(~F.col("aml_flag")).alias("clean"))
+    return reports.screen_summary(
+        screening.watchlist_screen(fx.customers(spark, sf), fx.watchlist(spark, sf)))
 
 
 @query
@@ -180,6 +179,12 @@ def fuzzy_screen(spark, sf):
     return screening.fuzzy_screen(fx.customers(spark, sf), fx.watchlist(spark, sf), 1)
 
 
+@query
+def fuzzy_screen_all_hits(spark, sf):
+    return screening.fuzzy_screen(fx.customers(spark, sf), fx.watchlist(spark, sf), 1,
+                                  all_hits=True)
+
+
 # ------------------------------------------------------------------- velocity
 
 @query
@@ -249,39 +254,22 @@ def external_view_customer_360(spark, sf):
 
 @query
 def risk_distribution(spark, sf):
-    return (_gold(spark, sf).groupBy("kyc_risk_level")
-            .agg(F.count(F.lit(1)).alias("count")).orderBy("kyc_risk_level"))
+    return reports.risk_distribution(_gold(spark, sf))
 
 
 @query
 def gold_summary(spark, sf):
-    g = _gold(spark, sf)
-    lvl = F.col("kyc_risk_level")
-    return g.agg(F.count(F.lit(1)).alias("total"),
-                 F.count_if(lvl == "HIGH").alias("high"),
-                 F.count_if(lvl == "MEDIUM").alias("medium"),
-                 F.count_if(lvl == "LOW").alias("low"),
-                 F.count_if(F.col("aml_flag")).alias("aml"),
-                 F.count_if(F.col("dormancy_alert")).alias("dormancy"),
-                 F.count_if(F.col("high_risk_profile")).alias("high_risk"))
-
-
-ALERT_TYPES = (("aml", "aml_flag"), ("dormancy", "dormancy_alert"),
-               ("high_risk_profile", "high_risk_profile"))
+    return reports.gold_summary(_gold(spark, sf))
 
 
 @query
 def alert_list(spark, sf):
-    """One row per raised alert (long form), from a single pass."""
-    g = _gold(spark, sf)
-    raised = F.filter(F.array(*[F.when(F.col(c), F.lit(t)) for t, c in ALERT_TYPES]),
-                      lambda x: x.isNotNull())
-    return g.select(F.explode(raised).alias("alert_type"), "customer_id")
+    return reports.alert_list(_gold(spark, sf))
 
 
 @query
 def preview_top_n(spark, sf):
-    return _gold(spark, sf).orderBy("customer_id").limit(10)
+    return reports.preview(_gold(spark, sf))
 
 
 # ------------------------------------------------------------------ warehouse
@@ -311,12 +299,59 @@ def fact_customer_risk(spark, sf):
     return _fact(spark, sf)
 
 
+def _published(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written and read back, as a published table is."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@query
+def fact_two_runs(spark, sf):
+    """Two run days, then the second day again: keys stay and stay unique."""
+    path = scratch_path(spark, "fact")
+    gold = _published(_gold(spark, sf), "gold")
+    for run in (fx.RUN, fx.RUN2, fx.RUN2):
+        known = spark.read.parquet(path) if run != fx.RUN else None
+        write_partitioned(warehouse.fact_customer_risk(gold, fx.run_ts(run), known), path, ["date_key"])
+    return spark.read.parquet(path)
+
+
+@query
+def dim_customer_reload(spark, sf):
+    """The dimension after a second run: old keys kept, new ones behind."""
+    first = scd2.scd2_initial(fx.scd2_batch1(spark, sf), fx.RUN)
+    known = _published(warehouse.dim_customer(first), "dim")
+    known = _published(warehouse.dim_customer(_scd2_history(spark, sf), known), "dim")
+    return warehouse.dim_customer(_scd2_history(spark, sf), known)  # the reload again
+
+
+@query
+def dim_document_status_reload(spark, sf):
+    """First the documents of customers with even ids, then all of them."""
+    docs = cleaning.latest_per_customer(fx.kyc_documents(spark, sf))
+    first = warehouse.dim_document_status(docs.filter("customer_id % 2 = 0"), "unknown")
+    return warehouse.dim_document_status(docs, "unknown", _published(first, "dim-kyc"))
+
+
+_STARS: dict[tuple[str, str], list[DataFrame]] = {}
+
+
+def _star(spark, sf) -> list[DataFrame]:
+    """The published star of this session: fact, customers, documents, days."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STARS:
+        fact = _published(warehouse.fact_customer_risk(_gold(spark, sf), fx.run_ts(fx.RUN)), "fact")
+        docs = cleaning.latest_per_customer(fx.kyc_documents(spark, sf))
+        _STARS[key] = [fact, _published(warehouse.dim_customer(_scd2_history(spark, sf)), "dim-customer"),
+                       _published(warehouse.dim_document_status(docs, "unknown"), "dim-kyc"),
+                       _published(warehouse.dim_date(F.col("txn_date"), fx.transactions(spark, sf), fact), "dim-date")]
+    return _STARS[key]
+
+
 @query
 def star_rollup(spark, sf):
-    # the rollup joins on customer_id and never reads the surrogate keys,
-    # so it takes the unkeyed fact rows and the SCD2 versions directly
-    fact = warehouse.fact_rows(_gold(spark, sf), fx.run_ts(fx.RUN))
-    return warehouse.star_rollup(fact, _scd2_history(spark, sf))
+    return warehouse.star_rollup(*_star(spark, sf), broadcast_max_rows=1_000_000)
 
 
 # -------------------------------------------------------------------- quality
@@ -326,6 +361,11 @@ def layer_row_counts(spark, sf):
     return quality.layer_row_counts({t: fx.table(spark, sf, t) for t in fx.TABLES})
 
 
+@query
+def layer_row_counts_total(spark, sf):
+    return quality.layer_row_counts({t: fx.table(spark, sf, t) for t in fx.TABLES}, total="TOTAL")
+
+
 def silver_tables(spark, sf) -> dict[str, DataFrame]:
     """The five silver-shaped tables built from the fixture roles."""
     return {
@@ -384,7 +424,35 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 10_000) ->
     arrays = rows.groupBy("chunk").agg(
         F.concat(F.lit("["), F.concat_ws(",", F.collect_list("j")), F.lit("]"))
         .alias("value"))
-    arrays.write.partitionBy("chunk").text(path)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
+@query
+def source_nested_landing(spark, sf):
+    """Files in plain and dated subfolders, batch and stream alike."""
+    txns = fx.transactions(spark, sf)
+    root = scratch_path(spark, "nested")
+    txns.filter("transaction_id % 2 = 0").write.json(f"{root}/landing/2024-01-30")
+    txns.filter("transaction_id % 2 = 1").write.json(f"{root}/landing/2024-01-31/late")
+    ingest_files(spark, f"{root}/landing", txns.schema, f"{root}/bronze", f"{root}/_checkpoint",
+                 "stream", run_ts=fx.RUN, fmt="json")
+    streamed = spark.read.parquet(f"{root}/bronze").select(*txns.columns)
+    batch = readers.read_ndjson(spark, f"{root}/landing", txns.schema)
+    return batch.intersectAll(streamed)
+
+
+@query
+def source_corrupt_records(spark, sf):
+    """Broken lines are kept in bronze and counted; good ones all arrive."""
+    txns = fx.transactions(spark, sf)
+    root = scratch_path(spark, "corrupt")
+    lay = pipeline.Layout(landing=f"{root}/landing", root=root, formats={"transaction_feed": "ndjson"},
+                          schemas={"transaction_feed": txns.schema})
+    broken = spark.createDataFrame([('{"transaction_id": 1, "customer_id":',), ("not json",)], "value string")
+    (txns.select(F.to_json(F.struct(*txns.columns)).alias("value")).union(broken)
+     .write.text(f"{lay.landing}/transaction_feed"))
+    pipeline.run_bronze(spark, lay, fx.RUN)
+    return pipeline.corrupt_records(spark, lay, fx.RUN)
 
 
 @query
@@ -397,41 +465,38 @@ def source_json_array_documents(spark, sf):
 
 @query
 def stream_ingest_events(spark, sf):
-    """Events landed as three files, ingested by one catch-up stream run."""
+    """Events landed as several files, ingested by one catch-up stream run."""
     ev = fx.table(spark, sf, "events")
     root = scratch_path(spark, "stream-events")
-    ev.repartition(3).write.parquet(f"{root}/landing")
+    ev.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{root}/landing")
     ingest_files(spark, f"{root}/landing", ev.schema, f"{root}/bronze",
                  f"{root}/_checkpoint", "stream", run_ts=fx.RUN)
     # source_file holds Spark's part-file names, which no oracle can know
     return spark.read.parquet(f"{root}/bronze").drop("source_file")
 
 
-# Transactions are delivered at least once: a replay inside this event-time
-# window is dropped as a duplicate, an older one is dropped as late data, so
-# the dedup state holds only the last window of keys.
-REPLAY_WINDOW = "30 days"
-
-
 @query
 def stream_dedup_transactions(spark, sf):
-    """The transaction feed as a live stream delivered at least once: the
-    whole feed lands together with a full replay, and a checkpointed restart
-    then sees a second full replay.  The sink holds each transaction once."""
+    """The transaction feed as a live stream delivered at least once and out
+    of order: the newest years land first, then older ones and full replays,
+    over several micro-batches and restarts.  The sink holds each transaction
+    once, however late it came."""
     txns = fx.transactions(spark, sf)
     root = scratch_path(spark, "stream-transactions")
     landing, sink, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
-    txns.write.json(f"{landing}/feed")
-    txns.write.json(f"{landing}/replay-1")
+    year = F.year("txn_date")
 
     def run():
-        ingest_files(spark, f"{landing}/*", txns.schema, sink, ckpt, "stream",
-                     run_ts=fx.RUN, fmt="json",
-                     dedup=(["transaction_id"], "txn_date", REPLAY_WINDOW))
+        ingest_first_seen(spark, landing, txns.schema, sink, ckpt, "stream", ["transaction_id"],
+                          run_ts=fx.RUN, max_files_per_trigger=8)
+    txns.filter(year >= 1999).write.json(f"{landing}/1-newest")
+    run()
+    txns.filter(year < 1997).write.json(f"{landing}/2-oldest")
+    txns.filter(year >= 1999).write.json(f"{landing}/3-replay")
     run()
-    txns.write.json(f"{landing}/replay-2")
+    txns.write.json(f"{landing}/4-all")
     run()
-    return spark.read.parquet(sink).drop("source_file")
+    return spark.read.parquet(sink).drop("source_file", BATCH)
 
 
 # ------------------------------------------------------------ whole pipeline
@@ -441,6 +506,18 @@ LANDED_FORMATS = {"customer_onboarding": "csv", "transaction_feed": "ndjson",
                   "account_activity": "parquet_stream"}
 
 
+def land(df: DataFrame, fmt: str, path: str) -> None:
+    """Write ``df`` as landing files of a source format."""
+    if fmt == "csv":
+        df.write.option("header", True).csv(path)
+    elif fmt == "ndjson":
+        df.write.json(path)
+    elif fmt == "json_array":
+        write_json_arrays(df, path)
+    else:
+        df.write.parquet(path)
+
+
 def land_fixtures(spark, sf, root) -> pipeline.Layout:
     """Write the fixture roles as landing files in their source formats."""
     roles = {"customer_onboarding": fx.customers(spark, sf),
@@ -450,38 +527,61 @@ def land_fixtures(spark, sf, root) -> pipeline.Layout:
              "account_activity": fx.activity(spark, sf)}
     landing = f"{root}/landing"
 
-    def land(name: str) -> None:
-        df, fmt = roles[name], LANDED_FORMATS[name]
-        if fmt == "csv":
-            df.write.option("header", True).csv(f"{landing}/{name}")
-        elif fmt == "ndjson":
-            df.write.json(f"{landing}/{name}")
-        elif fmt == "json_array":
-            write_json_arrays(df, f"{landing}/{name}")
-        else:
-            df.write.parquet(f"{landing}/{name}")
-    pipeline.for_each_table(land, roles)
+    pipeline.for_each_table(lambda n: land(roles[n], LANDED_FORMATS[n], f"{landing}/{n}"), roles)
     return pipeline.Layout(landing=landing, root=root, formats=dict(LANDED_FORMATS),
                            schemas={n: d.schema for n, d in roles.items()})
 
 
 @query
 def pipeline_customer_360(spark, sf):
-    """Landing -> bronze -> silver -> gold through the table store."""
+    """Landing -> bronze -> silver -> contracts -> gold."""
     lay = land_fixtures(spark, sf, scratch_path(spark, "pipeline"))
     pipeline.run_tables(spark, lay, fx.RUN, CFG)
     pipeline.run_gold(spark, lay, fx.RUN, CFG)
     return lay.store(spark).read("gold", "customer_360")
 
 
+@query
+def pipeline_reference_files(spark, sf):
+    """The five sources in their declared types (dates as text in the account
+    files), read by the default layout; the typed silver accounts."""
+    lay = pipeline.Layout(landing=scratch_path(spark, "declared"), root=scratch_path(spark, "declared-lake"))
+    activity = fx.activity(spark, sf).withColumns({
+        "last_activity_date": F.date_sub(F.lit(fx.AS_OF).cast("date"), F.col("days_since_activity").cast("int")),
+        "batch_hour": F.lit("2024-01-30T10:00:00")})
+    roles = {"customer_onboarding": fx.customers(spark, sf), "transaction_feed": fx.transactions(spark, sf),
+             "kyc_documents": fx.kyc_documents(spark, sf), "watchlist_sanctions": fx.watchlist(spark, sf),
+             "account_activity": activity}
+    for name, df in roles.items():
+        declared = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                               for f in SOURCES[name].fields])
+        land(declared, lay.formats[name], f"{lay.landing}/{name}")
+    pipeline.run_tables(spark, lay, fx.RUN, CFG)
+    return lay.store(spark).read("silver", "account_activity").select(
+        "account_id", "customer_id", "balance", "balance_tier", "last_activity_date", "days_since_activity",
+        "dormant_flag", "batch_hour")
+
+
 @query
 def scd2_stored_two_runs(spark, sf):
-    """Two SCD2 applies through the store: history is appended, not rewritten.
-    The second batch is applied as a large one would be (no broadcast) onto
-    history bucketed on the key, so only the batch is shuffled."""
+    """Two runs stored as changes; the second one first with a wrong batch,
+    which its re-run replaces."""
     store = TableStore(spark, scratch_path(spark, "scd2-store"))
-    store.apply_scd2(fx.scd2_batch1(spark, sf), "silver", "customers", KEYS, TRACKED, fx.RUN,
-                     buckets=8)
-    store.apply_scd2(fx.customers_v2(spark, sf), "silver", "customers", KEYS, TRACKED,
-                     fx.RUN2, broadcast_max_rows=None)
+    batch = fx.scd2_batch1(spark, sf)
+    wrong = batch.withColumn("customer_segment", F.lit("WRONG"))
+    for df, run in ((batch, fx.RUN), (wrong, fx.RUN2), (fx.customers_v2(spark, sf), fx.RUN2)):
+        store.apply_scd2(df, "silver", "customers", KEYS, TRACKED, run, broadcast_max_rows=None)
     return store.read("silver", "customers")
+
+
+@query
+def scd2_corrected_rerun(spark, sf):
+    """A run applied with a wrong batch, then again with the right one and
+    with rows that have no key: as if only the right rows had come."""
+    batch = fx.scd2_batch1(spark, sf)
+    history = scd2.scd2_initial(batch, fx.RUN)
+    wrong = batch.withColumn("customer_segment", F.lit("WRONG"))
+    history = scd2.scd2_apply(history, wrong, KEYS, TRACKED, fx.RUN2)
+    right = fx.customers_v2(spark, sf)
+    no_key = right.withColumn("customer_id", F.lit(None).cast("long"))
+    return scd2.scd2_apply(history, right.unionByName(no_key), KEYS, TRACKED, fx.RUN2)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from riskview.config import RiskConfig
 from riskview.operators.cleaning import latest_per_customer, most_recent_account
 from riskview.operators.scd2 import current_rows
-from riskview.operators.scoring import (velocity_profile, velocity_risk,
+from riskview.operators.scoring import (is_dormant, velocity_profile, velocity_risk,
                                         with_alerts, with_risk)
 from riskview.operators.screening import with_aml_flag
 from riskview.schemas import GOLD_COLUMNS
@@ -40,6 +40,7 @@ class Inputs:
     documents: DataFrame
     watchlist: DataFrame
     activity: DataFrame
+    unique_documents: bool = False  # documents already hold one row per customer
 
 
 def signals(inp: Inputs, cfg: RiskConfig = RiskConfig(),
@@ -50,15 +51,19 @@ def signals(inp: Inputs, cfg: RiskConfig = RiskConfig(),
     screened = with_aml_flag(cust, inp.watchlist)
     vel = velocity_risk(velocity_profile(inp.transactions, cfg.velocity,
                                          velocity_window_days, as_of), cfg.velocity)
-    doc = latest_per_customer(inp.documents).select("customer_id", *DOCUMENT_COLUMNS)
-    act = most_recent_account(inp.activity).select("customer_id", *ACTIVITY_COLUMNS)
+    doc = inp.documents if inp.unique_documents else latest_per_customer(inp.documents)
+    doc = doc.select("customer_id", *DOCUMENT_COLUMNS)
+    act = inp.activity
+    if cfg.derive_dormancy:
+        act = act.withColumn("dormant_flag", is_dormant(F.col("days_since_activity"), cfg.dormancy_days))
+    act = most_recent_account(act).select("customer_id", *ACTIVITY_COLUMNS)
     return (screened.join(vel, "customer_id", "left")
             .join(doc, "customer_id", "left")
             .join(act, "customer_id", "left"))
 
 
 def scored(inp: Inputs, cfg: RiskConfig = RiskConfig(), **kw) -> DataFrame:
-    return with_alerts(with_risk(signals(inp, cfg, **kw), cfg.weights), cfg.alerts)
+    return with_alerts(with_risk(signals(inp, cfg, **kw), cfg.weights, cfg.alerts), cfg.alerts)
 
 
 def customer_360(inp: Inputs, run_ts: Column | str | None = None,

@@ -27,7 +27,7 @@ PRELUDE = """WITH customers AS (
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey
 ), transactions AS (
   SELECT o_orderkey AS transaction_id, o_custkey AS customer_id, o_orderdate AS txn_date, o_totalprice AS amount,
-         CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'O' THEN 'PENDING' ELSE 'FAILED' END AS status,
+         o_orderpriority AS txn_type, CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'O' THEN 'PENDING' ELSE 'FAILED' END AS status,
          CASE WHEN beneficiary_nation <> c_nationkey THEN 'Y' ELSE 'N' END AS cross_border_flag
   FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN beneficiary ON l_orderkey = o_orderkey
 ), kyc_documents AS (
@@ -37,7 +37,9 @@ PRELUDE = """WITH customers AS (
          CAST(CAST(o_orderdate AS DATE) + INTERVAL 365 DAY AS DATE) AS expiry_date
   FROM orders
 ), watchlist AS (
-  SELECT s_suppkey AS watchlist_id, replace(s_name, 'Supplier', 'Customer') AS entity_name FROM supplier
+  SELECT s_suppkey AS watchlist_id, replace(s_name, 'Supplier', 'Customer') AS entity_name,
+         CASE WHEN s_suppkey % 2 = 0 THEN 'OFAC' ELSE 'UN' END AS list_type,
+         'entity of nation ' || CAST(s_nationkey AS VARCHAR) AS designation FROM supplier
 ), activity AS (
   SELECT c_custkey AS account_id, c_custkey AS customer_id, c_acctbal AS balance,
          CASE WHEN c_acctbal >= 7000 THEN 'HIGH' WHEN c_acctbal >= 3000 THEN 'MID' ELSE 'LOW' END AS balance_tier,
@@ -221,21 +223,14 @@ _SILVER_VIEWS = {
                             "email", "phone", "country", "pep_flag"), ("effective_from",
                             "effective_to", "is_current"), ()),
     "transaction_feed": ("transactions", ("transaction_id", "customer_id", "amount",
-                         "cross_border_flag", "status"), (), ("txn_type",)),
+                         "cross_border_flag", "txn_type", "status"), (), ()),
     "kyc_documents": ("latest_doc", ("doc_id", "customer_id", "doc_status", "doc_type",
                       "expiry_date"), (), ()),
-    "watchlist_sanctions": ("watchlist", ("watchlist_id", "entity_name"), (),
-                            ("list_type", "designation")),
+    "watchlist_sanctions": ("watchlist", ("watchlist_id", "entity_name", "list_type",
+                            "designation"), (), ()),
     "account_activity": ("activity", ("account_id", "customer_id", "dormant_flag",
                          "days_since_activity", "balance_tier"), (), ()),
 }
-_CONTRACT_ORDER = {
-    "transaction_feed": ("transaction_id", "customer_id", "amount", "cross_border_flag",
-                         "txn_type", "status"),
-    "watchlist_sanctions": ("watchlist_id", "entity_name", "list_type", "designation"),
-}
-
-
 def _schema_report_sql() -> str:
     parts = []
     for t, (view, present, constant, missing) in _SILVER_VIEWS.items():
@@ -273,11 +268,32 @@ _BODIES.update({
         coalesce(aml_flag, FALSE) AS aml_flag, coalesce(dormancy_alert, FALSE) AS dormancy_alert,
         coalesce(high_risk_profile, FALSE) AS high_risk_profile, velocity_risk,
         days_since_activity, balance_tier FROM customer_360""",
-    "star_rollup": """SELECT d.customer_segment, f.kyc_risk_level, count(*) AS customers,
+    "fact_two_runs": f"""SELECT row_number() OVER (ORDER BY date_key, customer_id) AS risk_key, customer_id, date_key,
+        txn_count, txn_total_amt, cross_border_count, risk_score, kyc_risk_level, aml_flag, dormancy_alert,
+        high_risk_profile, velocity_risk, days_since_activity, balance_tier
+        FROM customer_360 CROSS JOIN (VALUES (20240131), (20240229)) AS days(date_key)""",
+    "dim_customer_reload": """SELECT CAST(CASE WHEN run = 1 THEN k ELSE k + (SELECT count(*) FROM scd2_first) END AS BIGINT)
+        AS customer_key, * EXCLUDE (run, k) FROM (
+          SELECT *, row_number() OVER (PARTITION BY run ORDER BY customer_id, effective_from) AS k FROM (
+            SELECT customer_id, full_name, country, customer_segment, pep_flag, effective_from, effective_to, is_current,
+                   CASE WHEN effective_from = (SELECT min(effective_from) FROM scd2_all) THEN 1 ELSE 2 END AS run
+            FROM scd2_all))""",
+    "dim_document_status_reload": """SELECT CAST(CASE WHEN customer_id % 2 = 0 THEN k
+          ELSE k + (SELECT count(*) FROM latest_doc WHERE customer_id % 2 = 0) END AS BIGINT) AS kyc_key,
+        customer_id, doc_status, doc_type, CAST(expiry_date AS VARCHAR) AS expiry_date, 'unknown' AS verified_by
+        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id % 2 ORDER BY customer_id) AS k FROM latest_doc)""",
+    "star_rollup": f"""SELECT d.customer_segment, d.country, k.doc_status, CAST(year({RUN}) AS INTEGER) AS year,
+        CAST(month({RUN}) AS INTEGER) AS month, f.kyc_risk_level, count(*) AS customers,
         CAST(round(sum(CAST(f.txn_total_amt AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_amount,
         avg(f.risk_score) AS avg_score
         FROM customer_360 f JOIN scd2_all d ON d.customer_id = f.customer_id AND d.is_current
-        GROUP BY d.customer_segment, f.kyc_risk_level""",
+        LEFT JOIN latest_doc k ON k.customer_id = f.customer_id
+        GROUP BY d.customer_segment, d.country, k.doc_status, f.kyc_risk_level""",
+    "layer_row_counts_total": "SELECT * FROM (" + "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, {n} AS columns, "
+        f"CAST(NULL AS VARCHAR) AS error FROM {t}" for t, n in _TABLE_COLUMNS.items())
+        + ") UNION ALL SELECT 'TOTAL', CAST((" + " + ".join(
+            f"(SELECT count(*) FROM {t})" for t in _TABLE_COLUMNS) + ") AS BIGINT), NULL, NULL",
     "layer_row_counts": "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows, {n} AS columns, "
         f"CAST(NULL AS VARCHAR) AS error FROM {t}"
@@ -297,7 +313,20 @@ _BODIES.update({
     "stream_ingest_events": f"SELECT *, 'stream' AS pipeline, {_META} FROM events",
     "stream_dedup_transactions": f"SELECT *, 'stream' AS pipeline, {_META} FROM transactions",
     "pipeline_customer_360": "SELECT * FROM customer_360",
+    "pipeline_reference_files": """SELECT account_id, customer_id, balance, balance_tier,
+        CAST(DATE '2001-08-01' - CAST(days_since_activity AS INTEGER) AS DATE) AS last_activity_date,
+        days_since_activity, dormant_flag, TIMESTAMP '2024-01-30 10:00:00' AS batch_hour
+        FROM (SELECT CAST(account_id AS VARCHAR) AS account_id, CAST(customer_id AS VARCHAR) AS customer_id,
+              * EXCLUDE (account_id, customer_id) FROM activity)""",
+    "source_nested_landing": "SELECT * FROM transactions",
+    "source_corrupt_records": """SELECT 'transaction_feed' AS table_name, (SELECT count(*) FROM transactions) AS good,
+        CAST(2 AS BIGINT) AS corrupt""",
     "scd2_stored_two_runs": "SELECT * FROM scd2_all",
+    "scd2_corrected_rerun": "SELECT * FROM scd2_all",
+    "fuzzy_screen_all_hits": """SELECT customer_id, w.entity_name,
+        CAST(levenshtein(c.full_name, w.entity_name) AS INTEGER) AS distance
+        FROM customers c JOIN wl_names w ON levenshtein(c.full_name, w.entity_name) <= 1
+        WHERE c.full_name IS NOT NULL""",
 })
 
 

@@ -16,6 +16,12 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# ---------------------------------------------------------------------------
+# Column names and types of the five sources, the silver
+# contracts, the gold view and its external projection.  They must equal the
+# files and tables of the pipeline being re-implemented.
+# ---------------------------------------------------------------------------
+
 CUSTOMER_ONBOARDING = _struct(
     ("customer_id", S), ("full_name", S), ("date_of_birth", DT), ("ssn", S),
     ("email", S), ("phone", S), ("address", S), ("country", S),
@@ -40,8 +46,13 @@ WATCHLIST_SANCTIONS = _struct(
 ACCOUNT_ACTIVITY = _struct(
     ("account_id", S), ("customer_id", S), ("account_type", S),
     ("account_status", S), ("balance", D), ("balance_tier", S),
-    ("last_activity_date", DT), ("days_since_activity", L), ("dormant_flag", S),
-    ("branch_code", S), ("source_system", S), ("batch_hour", TS))
+    ("last_activity_date", S), ("days_since_activity", L), ("dormant_flag", S),
+    ("branch_code", S), ("source_system", S), ("batch_hour", S))
+
+# Columns that a source delivers as text and silver holds in their own type.
+SILVER_TYPES: dict[str, dict[str, str]] = {
+    "account_activity": {"last_activity_date": "date", "batch_hour": "timestamp"},
+}
 
 SOURCES: dict[str, T.StructType] = {
     "customer_onboarding": CUSTOMER_ONBOARDING,
@@ -76,8 +87,6 @@ SILVER_CONTRACTS: dict[str, tuple[str, ...]] = {
                          "days_since_activity", "balance_tier"),
 }
 
-SCD2_COLUMNS = ("effective_from", "effective_to", "is_current")
-
 # Unified customer view, in published order (gold_timestamp is appended).
 GOLD_COLUMNS: tuple[str, ...] = (
     "customer_id", "full_name", "country", "customer_segment", "pep_flag",
@@ -98,16 +107,3 @@ EXTERNAL_CUSTOMER_360 = _struct(
     ("dormant_flag", S), ("days_since_activity", L), ("balance_tier", S),
     ("risk_score", L), ("kyc_risk_level", S), ("aml_flag", B),
     ("dormancy_alert", B), ("high_risk_profile", B))
-
-DIM_CUSTOMER_COLUMNS = ("customer_key", "customer_id", "full_name", "country",
-                        "customer_segment", "pep_flag", "effective_from",
-                        "effective_to", "is_current")
-DIM_KYC_COLUMNS = ("kyc_key", "customer_id", "doc_status", "doc_type",
-                   "expiry_date", "verified_by")
-DIM_DATE_COLUMNS = ("date_key", "full_date", "year", "month", "day", "quarter",
-                    "month_name")
-FACT_CUSTOMER_RISK_COLUMNS = (
-    "risk_key", "customer_id", "date_key", "txn_count", "txn_total_amt",
-    "cross_border_count", "risk_score", "kyc_risk_level", "aml_flag",
-    "dormancy_alert", "high_risk_profile", "velocity_risk",
-    "days_since_activity", "balance_tier")

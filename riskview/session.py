@@ -2,15 +2,17 @@
 
 Intermediate tables (round trips, stream sinks, lineage cuts) are written
 under ``spark.checkpoint.dir``, the shared folder a cluster names for that
-purpose.  Only when the session has none (local tests) do we make one.
+purpose.  Only a local session (tests) gets one made for it.
 """
 
 from __future__ import annotations
 
+import contextlib
 import math
-import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -76,27 +78,43 @@ def size_shuffles(spark: SparkSession, shuffle_bytes: int,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder, created locally only if unset."""
+    """The session's shared checkpoint folder.  Without one, a local session
+    makes a temporary folder; any other raises, because its executors could
+    not see a folder of the driver's machine."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="riskview-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique directory path under the checkpoint folder."""
-    return f"{checkpoint_root(spark)}/riskview-{name}-{uuid.uuid4().hex[:12]}"
+_scopes = threading.local()
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can open local test files."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique directory path under the checkpoint folder."""
+    path = f"{checkpoint_root(spark)}/riskview-{name}-{uuid.uuid4().hex[:12]}"
+    for scope in getattr(_scopes, "open", [])[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch directories that this thread asked for inside the
+    ``with`` block when it ends: for steps that publish what they compute."""
+    _scopes.open = [*getattr(_scopes, "open", []), []]
+    try:
+        yield
+    finally:
+        *_scopes.open, own = _scopes.open
+        jvm = spark.sparkContext._jvm
+        for p in own:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,325 +1,145 @@
-"""Layered tables on Parquet: bronze partitions, silver/gold snapshots.
-
-Bronze tables are Hive-partitioned by ingest date; a batch run replaces only
-its own day (dynamic partition overwrite), earlier days stay.
-
-Silver and gold tables are *published*: the DataFrame is written to a new,
-never-reused directory, then a commit file ``_commits/<n>.json`` naming the
-live directories is created with create-if-absent semantics.  Readers take
-the highest commit, so they never see a half-written table, and a job may
-read a table and publish its next version in the same plan.  A failed or
-lost job leaves only an unreferenced directory behind.  (On object stores
-without atomic create-if-absent, put the same interface on a table format.)
-
-SCD2 tables keep history append-only: each apply writes one directory,
-partitioned by ``is_current``, with the new current rows plus the rows it
-expired; older directories contribute only their ``is_current=false``
-partition, so finding the current rows reads one directory (partition
-pruning) and history is never rewritten.  Commits record the schema, so
-reads need no inference job.
-
-A part may be *bucketed* on its key (``bucket=(n, keys)``): it is written
-with ``bucketBy`` as an external table of the session catalog at its own
-directory, and re-registered from the commit in a later session.  Joins and
-aggregations on the key then reuse the stored layout: the SCD2 apply
-shuffles only the incoming batch, never the current rows.
+"""Layered tables: plain Parquet directories written by Spark's own writers.
+
+* Bronze and the fact: Hive-partitioned by day; a run replaces only its own
+  day (dynamic partition overwrite).
+* Snapshots (silver, gold, dimensions): ``<table>/version=<n>/``, a directory
+  a publish.  Readers take the highest one that Spark has marked complete
+  (``_SUCCESS``), so a table may be read and published in one plan and a lost
+  job leaves nothing that is read.
+* SCD2 history: ``<table>/run=<stamp>/change=opened|closed/``, a directory a
+  run, holding only what the run changed: the versions it opened, and for the
+  versions it closed their key, start and end.  Nothing is ever rewritten; a
+  re-run of the same run replaces its own directory only.
+
+Old snapshots are left to the storage's retention rule.
 """
 
 from __future__ import annotations
 
-import hashlib
-import json
-import time
-import uuid
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from riskview.operators import scd2 as scd2_ops
+from riskview.operators import scd2
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
-                      distribute_by: Sequence[str] = ()) -> None:
+def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite only the partitions present in ``df`` (others are kept)."""
-    if distribute_by:
-        df = df.repartition(*distribute_by)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
 
 
+def run_stamp(run_ts: str) -> str:
+    """A run timestamp as a directory name that sorts in time order."""
+    return dt.datetime.fromisoformat(run_ts).strftime("%Y%m%dT%H%M%S")
+
+
+class OlderRunError(ValueError):
+    """A history run dated before one that is already applied."""
+
+
 class TableStore:
-    """``<base>/<layer>/<table>/`` directories with numbered commit files."""
+    """Snapshots and histories under ``<base>/<layer>/<table>``."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._io = jvm.org.apache.commons.io.IOUtils
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    # ----------------------------------------------------------- file system
-    def _fs(self, path: str):
-        return self._Path(path).getFileSystem(self._conf)
 
     def table_dir(self, layer: str, table: str) -> str:
         return f"{self.base}/{layer}/{table}"
 
-    def _commit_dir(self, layer: str, table: str) -> str:
-        return f"{self.table_dir(layer, table)}/_commits"
-
-    def _commits(self, layer: str, table: str) -> list[int]:
-        d = self._commit_dir(layer, table)
-        fs = self._fs(d)
-        p = self._Path(d)
-        if not fs.exists(p):
+    def _complete(self, layer: str, table: str, prefix: str) -> list[str]:
+        """Names after ``prefix`` of the table's complete directories, in
+        order.  Listing errors propagate: a failure must not pass for an
+        absent table and start its history anew."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        root = path(self.table_dir(layer, table))
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-    def _read_commit(self, layer: str, table: str, n: int) -> dict:
-        path = f"{self._commit_dir(layer, table)}/{n:010d}.json"
-        stream = self._fs(path).open(self._Path(path))
-        try:
-            return json.loads(self._io.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _write_commit(self, layer: str, table: str, n: int, body: dict) -> None:
-        path = f"{self._commit_dir(layer, table)}/{n:010d}.json"
-        out = self._fs(path).create(self._Path(path), False)   # fails if taken
-        try:
-            out.write(bytearray(json.dumps(body).encode("utf-8")))
-        finally:
-            out.close()
-
-    # ---------------------------------------------------------------- public
-    def exists(self, layer: str, table: str) -> bool:
-        """True once a commit exists.  Listing errors propagate: a transient
-        failure must not be mistaken for an absent table (and trigger a
-        first-load overwrite of history)."""
-        return bool(self._commits(layer, table))
-
-    def version(self, layer: str, table: str) -> int:
-        c = self._commits(layer, table)
-        return c[-1] if c else 0
-
-    def parts(self, layer: str, table: str) -> list[dict]:
-        c = self._commits(layer, table)
-        if not c:
-            raise FileNotFoundError(f"no published table {layer}/{table}")
-        return self._read_commit(layer, table, c[-1])["parts"]
-
-    def _read_part(self, part: dict) -> DataFrame:
-        if part.get("bucket"):
-            full = T.StructType.fromJson(json.loads(part["schema"]))
-            df = self.spark.table(self._ensure_table(part)).select(*full.fieldNames())
-        else:
-            r = self.spark.read
-            if part.get("schema"):
-                r = r.schema(T.StructType.fromJson(json.loads(part["schema"])))
-            df = r.parquet(part["path"])
-        return df.filter(F.expr(part["where"])) if part.get("where") else df
-
-    @staticmethod
-    def _table_name(path: str) -> str:
-        return "rv_" + hashlib.sha1(path.encode("utf-8")).hexdigest()[:24]
+        names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+        return sorted(n[len(prefix):] for n in names
+                      if n.startswith(prefix) and fs.exists(path(root, f"{n}/_SUCCESS")))
 
-    def _ensure_table(self, part: dict) -> str:
-        """Register a bucketed part as an external catalog table over its
-        directory (files are never moved or rewritten) if this session's
-        catalog does not know it yet."""
-        name = self._table_name(part["path"])
-        if self.spark.catalog.tableExists(name):
-            return name
-        schema = T.StructType.fromJson(json.loads(part["schema"]))
-        pcols = list(part.get("partition_by") or [])
-        n, keys = part["bucket"]["n"], part["bucket"]["keys"]
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                         for f in schema.fields if f.name not in pcols)
-        cols += "".join(f", `{c}` {schema[c].dataType.simpleString()}" for c in pcols)
-        ddl = f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet"
-        if pcols:
-            ddl += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in pcols)})"
-        ddl += (f" CLUSTERED BY ({', '.join(f'`{k}`' for k in keys)}) INTO {n} BUCKETS"
-                f" LOCATION '{part['path'].replace(chr(39), chr(92) + chr(39))}'")
-        self.spark.sql(ddl)
-        if pcols:
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        return name
+    def _has_rows(self, run_dir: str) -> bool:
+        """Whether a run changed anything: its ``change=`` partitions exist."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return any(s.getPath().getName().startswith("change=") for s in fs.listStatus(path))
 
-    def _read_leaves(self, schema_json: str, leaf: str, paths: list[str]) -> DataFrame:
-        """One scan over the ``leaf`` partition directory (``col=value``) of
-        every path; the partition column comes back as a constant."""
-        col, value = leaf.split("=", 1)
-        full = T.StructType.fromJson(json.loads(schema_json))
-        data = T.StructType([f for f in full.fields if f.name != col])
-        df = self.spark.read.schema(data).parquet(*[f"{p}/{leaf}" for p in paths])
-        return df.select(*[(F.lit(value).cast(f.dataType) if f.name == col
-                            else F.col(f.name)).alias(f.name) for f in full.fields])
+    # ------------------------------------------------------------- snapshots
+    def versions(self, layer: str, table: str) -> list[str]:
+        return self._complete(layer, table, "version=")
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        """The live rows.  Parts that contribute one partition directory
-        (``leaf``, e.g. the expired rows of each SCD2 run) are read together
-        by one multi-path scan, so a table with a long history still plans
-        as a couple of scans, not one union branch per run."""
-        dfs, leaves = [], {}
-        for part in self.parts(layer, table):
-            if part.get("leaf"):
-                leaves.setdefault((part["schema"], part["leaf"]), []).append(part["path"])
-            else:
-                dfs.append(self._read_part(part))
-        dfs += [self._read_leaves(sch, leaf, paths)
-                for (sch, leaf), paths in leaves.items()]
-        out = dfs[0]
-        for d in dfs[1:]:
-            out = out.unionByName(d, allowMissingColumns=True)
-        return out
+    def runs(self, layer: str, table: str) -> list[str]:
+        return self._complete(layer, table, "run=")
 
-    def compact(self, layer: str, table: str, partition_by: Sequence[str] = (),
-                bucket: tuple[int, Sequence[str]] | None = None) -> int:
-        """Rewrite the live rows as one directory and commit it (maintenance:
-        bounds the number of directories and small files after many runs).
-        Older directories stay on disk for readers of earlier commits."""
-        df = self.read(layer, table)
-        part = self._write(df, layer, table, partition_by, bucket=bucket)
-        return self._commit(layer, table, [part], "compact")
-
-    def vacuum(self, layer: str, table: str, keep_commits: int = 2,
-               min_age_s: float = 24 * 3600) -> list[str]:
-        """Delete the table's version directories that none of the last
-        ``keep_commits`` commits references (superseded snapshots; SCD2
-        history stays referenced by every commit that needs it).  Only
-        directories untouched for ``min_age_s`` go, so a write still in
-        flight is never removed.  Readers of older commits lose those
-        versions.  Returns the deleted paths."""
-        commits = self._commits(layer, table)
-        if not commits:
-            return []
-        keep = {part["path"].rstrip("/")
-                for n in commits[-max(1, keep_commits):]
-                for part in self._read_commit(layer, table, n)["parts"]}
-        root = self.table_dir(layer, table)
-        fs = self._fs(root)
-        cutoff_ms = (time.time() - min_age_s) * 1000
-        removed = []
-        for st in fs.listStatus(self._Path(root)):
-            name = st.getPath().getName()
-            path = f"{root}/{name}"
-            if (not st.isDirectory() or not name.startswith("v") or path in keep
-                    or st.getModificationTime() > cutoff_ms):
-                continue
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(path)}")
-            fs.delete(st.getPath(), True)
-            removed.append(path)
-        return removed
-
-    def _new_dir(self, layer: str, table: str) -> str:
-        return (f"{self.table_dir(layer, table)}/"
-                f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}")
-
-    def _commit(self, layer: str, table: str, parts: list[dict], op: str,
-                info: dict | None = None) -> int:
-        n = self.version(layer, table) + 1
-        body = {"parts": parts, "operation": op, "committed_at": time.time()}
-        if info:
-            body["info"] = info
-        self._write_commit(layer, table, n, body)
-        return n
+    def exists(self, layer: str, table: str) -> bool:
+        return bool(self.versions(layer, table) or self.runs(layer, table))
 
-    def _write(self, df: DataFrame, layer: str, table: str,
-               partition_by: Sequence[str] = (),
-               distribute_by: Sequence[str] = (),
-               bucket: tuple[int, Sequence[str]] | None = None) -> dict:
-        """Write ``df`` to a fresh directory; return its part entry."""
-        d = self._new_dir(layer, table)
-        if distribute_by:
-            df = df.repartition(*distribute_by)
-        w = df.write.mode("errorifexists")
+    def publish(self, df: DataFrame, layer: str, table: str,
+                partition_by: Sequence[str] = ()) -> None:
+        """Replace the table's contents with ``df`` (its schema may change)."""
+        last = self.versions(layer, table)
+        name = f"{int(last[-1]) + 1 if last else 1:010d}"
+        # overwrite: a lost attempt may have left parts there (static mode, as
+        # dynamic overwrite leaves no completion mark)
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        entry = {"path": d, "schema": df.schema.json(), "partition_by": list(partition_by)}
-        if bucket is None:
-            w.parquet(d)
-            return entry
-        n, keys = bucket
-        entry["bucket"] = {"n": int(n), "keys": list(keys)}
-        (w.bucketBy(int(n), *keys).format("parquet").option("path", d)
-         .saveAsTable(self._table_name(d)))
-        return entry
-
-    def publish(self, df: DataFrame, layer: str, table: str,
-                partition_by: Sequence[str] = (),
-                distribute_by: Sequence[str] = (),
-                bucket: tuple[int, Sequence[str]] | None = None,
-                info: dict | None = None) -> int:
-        """Replace the table's contents with ``df`` (schema may change).
-        ``info`` (e.g. the run timestamp) is kept in the commit."""
-        part = self._write(df, layer, table, partition_by, distribute_by, bucket)
-        return self._commit(layer, table, [part], "overwrite", info)
-
-    def info(self, layer: str, table: str) -> dict:
-        """The ``info`` of the latest commit (empty if none was given)."""
-        c = self._commits(layer, table)
-        return self._read_commit(layer, table, c[-1]).get("info") or {} if c else {}
+        w.parquet(f"{self.table_dir(layer, table)}/version={name}")
 
-    def append(self, df: DataFrame, layer: str, table: str) -> int:
-        part = self._write(df, layer, table)
-        old = self.parts(layer, table) if self.exists(layer, table) else []
-        return self._commit(layer, table, old + [part], "append")
+    def read(self, layer: str, table: str) -> DataFrame:
+        """The latest snapshot, or all versions of a history."""
+        last = self.versions(layer, table)
+        if last:
+            return self.spark.read.parquet(f"{self.table_dir(layer, table)}/version={last[-1]}")
+        history = self.history(layer, table)
+        if history is not None:
+            return history
+        raise FileNotFoundError(f"no published table {layer}/{table}")
+
+    # --------------------------------------------------------------- history
+    def history(self, layer: str, table: str, before: str | None = None) -> DataFrame | None:
+        """All versions, with ``effective_to`` and ``is_current``; with
+        ``before``, as they stood before that run (None if there were none).
+
+        One scan of the opened versions and one of the closures.  A version
+        has at most one closure, so the left join cannot fan out; closures
+        hold keys and two timestamps only.
+        """
+        root = self.table_dir(layer, table)
+        runs = [r for r in self.runs(layer, table)
+                if (before is None or r < before) and self._has_rows(f"{root}/run={r}")]
+        if not runs:
+            return None
+        newest = self.spark.read.parquet(f"{root}/run={runs[-1]}")
+        rows = (self.spark.read.schema(newest.schema).option("basePath", root)
+                .parquet(*[f"{root}/run={r}" for r in runs]).drop("run"))
+        return scd2.from_changes(rows)
 
-    # ------------------------------------------------------------------ SCD2
     def apply_scd2(self, incoming: DataFrame, layer: str, table: str,
-                   keys: Sequence[str], tracked: Sequence[str],
-                   run_ts: Column | str,
-                   broadcast_max_rows: int | None = 1_000_000,
-                   buckets: int | None = None) -> int:
-        """First load if the table has no commit, else an SCD2 apply that
-        writes one new directory and never rewrites older history.  A batch
-        of at most ``broadcast_max_rows`` rows (checked) leaves the current
-        table unshuffled (see ``scd2_apply``).  With ``buckets`` every
-        directory is bucketed on the keys, so a batch too large to broadcast
-        is the only side the full outer join shuffles."""
-        if not self.exists(layer, table):
-            bucket = (buckets, list(keys)) if buckets else None
-            return self.publish(scd2_ops.scd2_initial(incoming, run_ts), layer, table,
-                                partition_by=["is_current"], bucket=bucket)
-        old_parts = self.parts(layer, table)
-        stored = old_parts[-1].get("bucket")
-        if stored and stored["keys"] == list(keys):
-            buckets = stored["n"]          # keep the table's layout stable
-        bucket = (buckets, list(keys)) if buckets else None
-        current = self.read(layer, table).filter(F.col("is_current"))
-        # the batch is read by the size check and again by the apply (twice
-        # on the broadcast path): compute it once, spill to disk if needed;
-        # a lost executor's blocks are recomputed from the lineage
-        batch = incoming.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = scd2_ops.scd2_apply(current, batch, keys, tracked, run_ts,
-                                          broadcast_max_rows)
-            part = self._write(touched, layer, table, partition_by=["is_current"],
-                               bucket=bucket)
-        finally:
-            batch.unpersist()
-        return self._commit(layer, table, self._expired_parts(old_parts) + [part],
-                            "scd2_apply")
-
-    def _expired_parts(self, parts: list[dict]) -> list[dict]:
-        """The older parts reduced to their expired rows: the
-        ``is_current=false`` directory where the part is partitioned that way
-        (dropped if it has none), else the part with a filter."""
-        out = []
-        for p in parts:
-            if p.get("leaf") or p.get("where") == "NOT is_current":
-                out.append(p)
-            elif "is_current" in p.get("partition_by", ()):
-                leaf = "is_current=false"
-                path = f"{p['path']}/{leaf}"
-                if self._fs(path).exists(self._Path(path)):
-                    out.append(dict(p, leaf=leaf))
-            else:
-                out.append(dict(p, where="NOT is_current"))
-        return out
+                   keys: Sequence[str], tracked: Sequence[str], run_ts: str,
+                   broadcast_max_rows: int | None = 1_000_000) -> None:
+        """Apply one batch as the run ``run_ts``: write what it opens and
+        closes against the history of the runs before it.
+
+        A re-run replaces what the same run wrote, whatever the batch was
+        then; a run older than one already applied is refused.
+        """
+        stamp = run_stamp(run_ts)
+        later = [r for r in self.runs(layer, table) if r > stamp]
+        if later:
+            raise OlderRunError(f"{layer}/{table}: run {stamp} is older than run {later[-1]}")
+        history = self.history(layer, table, before=stamp)
+        if history is None:
+            changes = scd2.as_changes(scd2.scd2_initial(incoming, run_ts), keys)
+        else:
+            changes = scd2.scd2_changes(history, incoming, keys, tracked, run_ts,
+                                        broadcast_max_rows)
+        # rebalanced, so the number of files follows the size of the change
+        (changes.hint("rebalance").write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("change")
+         .parquet(f"{self.table_dir(layer, table)}/run={stamp}"))

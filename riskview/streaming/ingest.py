@@ -5,20 +5,26 @@ remembers them), appends them with ingestion metadata to a partitioned
 Parquet sink whose commit log makes the append exactly-once, and stops when
 the backlog is drained (``availableNow``).  A lost executor or a killed run
 is recovered by re-running with the same checkpoint.
+
+A feed that is delivered at least once is reduced to first-seen keys by
+``ingest_first_seen``.  It keeps no window of keys: however late a record is,
+it is dropped only if its key has been written before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from riskview.functions.metadata import with_ingest_metadata
 
 INGEST_PARTITIONS = ("ingest_year", "ingest_month", "ingest_day")
+BATCH = "ingest_batch"
 
 
 @dataclass(frozen=True)
@@ -30,8 +36,11 @@ class StreamRun:
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
                 fmt: str = "parquet", max_files_per_trigger: int | None = None,
                 options: dict[str, str] | None = None) -> DataFrame:
-    """Streaming scan of new files under ``path`` with a declared schema."""
+    """Streaming scan of new files at any depth under ``path`` with a declared
+    schema.  (A path pattern finds files where it points, as Spark does.)"""
     r = spark.readStream.schema(schema).format(fmt)
+    if "*" not in path:
+        r = r.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in (options or {}).items():
@@ -39,47 +48,81 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType,
     return r.load(path)
 
 
-def dedup_within_watermark(df: DataFrame, key: Sequence[str], event_time: str,
-                           delay: str) -> DataFrame:
-    """Drop replays of a key that arrive within ``delay`` of each other
-    (bounded state: keys are evicted once the watermark passes)."""
-    ts = F.col(event_time).cast("timestamp")
-    return (df.withColumn(event_time, ts).withWatermark(event_time, delay)
-            .dropDuplicatesWithinWatermark(list(key)))
+def _drain(q: StreamingQuery, what: str, timeout_s: float | None) -> StreamRun:
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if finished is False:
+        q.stop()
+        raise TimeoutError(f"{what} did not finish in {timeout_s}s")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    progress = [p for p in q.recentProgress if p.numInputRows > 0]
+    return StreamRun(batches=len(progress), rows=sum(p.numInputRows for p in progress))
 
 
 def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType,
                  sink_dir: str, checkpoint_dir: str, pipeline: str,
                  run_ts: Column | str | None = None, fmt: str = "parquet",
                  partition_by: Sequence[str] = INGEST_PARTITIONS,
-                 source_file: bool = True, timeout_s: float | None = 3600,
-                 dedup: tuple[Sequence[str], str, str] | None = None,
+                 source_file: bool = True, timeout_s: float | None = None,
                  max_files_per_trigger: int | None = None,
                  archive_dir: str | None = None) -> StreamRun:
     """Run one catch-up pass of the stream: new files -> sink, then stop.
 
-    The file source lists the whole landing path on every trigger, so that
-    cost grows with every file ever landed.  With ``archive_dir`` (outside
-    the landing path) the files of each committed batch are moved there,
-    keeping the listed set to the files not yet archived.  Spark moves them
-    once a later batch with data runs.
+    There is no time limit unless ``timeout_s`` sets one.  The file source
+    lists the whole landing path on every trigger, so that cost grows with
+    every file ever landed.  With ``archive_dir`` (outside the landing path)
+    the files of each committed batch are moved there, keeping the listed set
+    to the files not yet archived.  Spark moves them once a later batch with
+    data runs.
     """
     options = ({"cleanSource": "archive", "sourceArchiveDir": archive_dir}
                if archive_dir else None)
     df = file_stream(spark, source_dir, schema, fmt, max_files_per_trigger, options)
-    if dedup is not None:
-        df = dedup_within_watermark(df, *dedup)
     df = with_ingest_metadata(df, pipeline, run_ts=run_ts, file_column=source_file)
     q = (df.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint_dir)
          .outputMode("append").partitionBy(*partition_by)
          .trigger(availableNow=True).start(sink_dir))
-    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-    if finished is False:
-        q.stop()
-        raise TimeoutError(f"stream into {sink_dir} did not finish in {timeout_s}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    progress = [p for p in q.recentProgress if p.numInputRows > 0]
-    rows = sum(p.numInputRows for p in progress)
-    return StreamRun(batches=len(progress), rows=rows)
+    return _drain(q, f"stream into {sink_dir}", timeout_s)
+
+
+def for_each_new_batch(df: DataFrame, checkpoint_dir: str,
+                       step: Callable[[DataFrame, int], None],
+                       timeout_s: float | None = None) -> StreamRun:
+    """Hand every batch of ``df`` that this checkpoint has not seen to
+    ``step(batch, id)``, then stop.  A batch comes again if ``step`` was cut
+    off, with the same id and rows, so ``step`` must allow that."""
+    q = (df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint_dir)
+         .trigger(availableNow=True).start())
+    return _drain(q, f"stream of {checkpoint_dir}", timeout_s)
+
+
+def ingest_first_seen(spark: SparkSession, source_dir: str, schema: T.StructType,
+                      sink_dir: str, checkpoint_dir: str, pipeline: str, keys: Sequence[str],
+                      run_ts: Column | str | None = None, fmt: str = "json",
+                      timeout_s: float | None = None,
+                      max_files_per_trigger: int | None = None) -> StreamRun:
+    """Catch-up pass of a feed that may deliver a record many times: the sink
+    holds each key once, the first time it was seen.
+
+    Each micro-batch is reduced to one row per key and anti-joined with the
+    keys already in the sink (that column only), then written to its own
+    ``ingest_batch`` partition, which a repeated batch overwrites.  The state
+    is the sink itself, so no watermark can drop a late record.
+    """
+    df = with_ingest_metadata(
+        file_stream(spark, source_dir, schema, fmt, max_files_per_trigger), pipeline, run_ts=run_ts)
+    sink_schema = T.StructType(df.schema.fields + [T.StructField(BATCH, T.LongType())])
+
+    def step(batch: DataFrame, n: int) -> None:
+        fresh = batch.dropDuplicates(list(keys))
+        path = batch.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(sink_dir)
+        fs = path.getFileSystem(batch.sparkSession.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            seen = (batch.sparkSession.read.schema(sink_schema).parquet(sink_dir)
+                    .filter(F.col(BATCH) != n).select(*keys))
+            fresh = fresh.join(seen, list(keys), "left_anti")
+        (fresh.withColumn(BATCH, F.lit(n).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(sink_dir))
+
+    return for_each_new_batch(df, checkpoint_dir, step, timeout_s)

@@ -119,14 +119,70 @@ def test_screen_normalize_and_alias(spark):
 
 
 def test_velocity_fx_conversion(spark):
+    import pytest
+
+    from riskview.operators.scoring import unmatched_currencies
     txns = spark.createDataFrame(
         [(1, 1, "SUCCESS", 100.0, "N", "USD"), (2, 1, "SUCCESS", 10.0, "N", "GBP"),
          (3, 1, "SUCCESS", 7.0, "N", "XXX")],
         "transaction_id long, customer_id long, status string, amount double, "
         "cross_border_flag string, currency string")
     rates = spark.createDataFrame([("USD", 83.0), ("GBP", 105.0)], "currency string, rate double")
-    r = velocity_profile(txns, fx_rates=rates).first()
-    assert (r.txn_count, r.txn_total_amt) == (3, 9350.0)
+    r = velocity_profile(txns.filter("currency <> 'XXX'"), fx_rates=rates).first()
+    assert (r.txn_count, r.txn_total_amt) == (2, 9350.0)
+    with pytest.raises(Exception, match="no rate for currency XXX"):  # an amount is never lost
+        velocity_profile(txns, fx_rates=rates).collect()
+    assert [tuple(x) for x in unmatched_currencies(txns, rates).collect()] == [("XXX", 1)]
+
+
+def test_money_is_summed_exactly_and_rounded_once(spark):
+    from pyspark.sql import functions as F
+
+    from riskview.operators.scoring import money_sum
+
+    def total(*amounts, kind="double"):
+        return spark.createDataFrame([(a,) for a in amounts], "a double").select(
+            money_sum(F.col("a").cast(kind))).first()[0]
+    assert total(*[0.004] * 1000) == 4.0
+    assert (total(-0.125), total(0.125), total(0.1, 0.2)) == (-0.13, 0.13, 0.3)
+    assert total(1.005, 1.005) == 2.01 and total(None) is None and total(None, 2.5) == 2.5
+    assert total(float("nan"), 1.0) != total(float("nan"), 1.0)      # NaN stays NaN
+    assert total(float("inf"), 1.0) == float("inf") and total(1e20, 1.0) == 1e20
+    assert total(83.126 * 3, kind="decimal(20,6)") == 249.38
+
+
+def test_score_follows_the_configured_markers(spark):
+    from riskview.config import AlertRules, RiskWeights
+    rows = [(1, None, None, "yes", "yes", None, None), (2, None, None, "Y", "Y", None, None)]
+    rules = AlertRules(dormant_value="yes", pep_value="yes")
+    got = {r.customer_id: r.risk_score for r in with_risk(_signals(spark, rows), RiskWeights(), rules).collect()}
+    assert got == {1: 5, 2: 0}
+
+
+def test_dormancy_can_be_derived_from_days(spark):
+    from pyspark.sql import functions as F
+
+    from riskview import fixtures as fx
+    from riskview.config import RiskConfig
+    from riskview.plans import catalog
+    from riskview.plans import customer_360 as c360
+    from tests.conftest import SF_SMALL
+    inp = catalog.inputs(spark, SF_SMALL)
+    flags = lambda cfg: c360.signals(inp, cfg).filter("dormant_flag = 'Y'").count()
+    days = fx.activity(spark, SF_SMALL).filter(F.col("days_since_activity") > 100).count()
+    assert flags(RiskConfig()) == 32 and flags(RiskConfig(derive_dormancy=True)) == 32
+    assert flags(RiskConfig(derive_dormancy=True, dormancy_days=100)) == days
+
+
+def test_fuzzy_screen_options(spark):
+    cust = spark.createDataFrame([(1, "  JOHN smith "), (2, "a"), (3, "b")], "customer_id long, full_name string")
+    wl = spark.createDataFrame([(1, "Jon Smith", "x"), (2, "zz", "john smyth"), (3, "c", None)],
+                               "watchlist_id long, entity_name string, alias string")
+    run = lambda **kw: sorted(map(tuple, screening.fuzzy_screen(cust, wl, 1, **kw).collect()))
+    assert run() == [(2, "c", 1), (3, "c", 1)]
+    assert run(normalize=True)[0] == (1, "jon smith", 1)
+    assert run(normalize=True, include_alias=True, all_hits=True)[:2] == [(1, "john smyth", 1), (1, "jon smith", 1)]
+    assert run(broadcast_max_rows=0) == run()
 
 
 def test_schema_report_types_and_strict(spark):

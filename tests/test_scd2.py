@@ -89,98 +89,91 @@ def test_changed_keys(spark):
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
 
 
-def test_store_apply_appends_history(spark, tmpdir_path):
+def test_corrected_rerun_replaces_its_own_versions(spark):
+    h1 = _run(spark, [{1: ("a", "A", None), 2: ("b", "B", None)}])
+    wrong, right = {1: ("a", "X", None), 2: ("b", "B", None)}, {1: ("a", "A", None), 2: ("b", "Y", None)}
+    ts = "2024-02-01 00:00:00"
+    cut = lambda df: spark.createDataFrame(df.collect(), df.schema)
+    once = cut(scd2.scd2_apply(h1, _df(spark, right), KEYS, TRACKED, ts))
+    twice = cut(scd2.scd2_apply(cut(scd2.scd2_apply(h1, _df(spark, wrong), KEYS, TRACKED, ts)),
+                                _df(spark, right), KEYS, TRACKED, ts))
+    assert sorted(map(str, twice.collect())) == sorted(map(str, once.collect()))
+    assert all(r.effective_from < r.effective_to for r in twice.collect())
+
+
+def test_older_run_raises(spark):
+    import pytest
+    h = _run(spark, [{1: ("a", "A", None)}, {1: ("a", "B", None)}])
+    with pytest.raises(Exception, match="moved past"):
+        scd2.scd2_apply(h, _df(spark, {1: ("a", "C", None)}), KEYS, TRACKED, "2024-01-01 12:00:00").collect()
+
+
+def test_null_keys_never_enter_and_are_reported(spark):
+    batch = spark.createDataFrame([(1, "a", "A", None), (None, "x", "A", None)], SCHEMA)
+    h = scd2.scd2_initial(_df(spark, {1: ("a", "A", None)}), "2024-01-01")
+    for day in ("02", "03", "04"):
+        h = scd2.scd2_apply(h, batch, KEYS, TRACKED, f"2024-01-{day} 00:00:00")
+    assert [r.customer_id for r in h.collect()] == [1]
+    assert [r.name for r in scd2.null_key_rows(batch, KEYS).collect()] == ["x"]
+
+
+def _stored(spark, path, batches, **how):
     from riskview.sources.store import TableStore
-    st_ = TableStore(spark, tmpdir_path)
-    assert not st_.exists("silver", "c")
-    st_.apply_scd2(_df(spark, {1: ("a", "A", None)}), "silver", "c", KEYS, TRACKED, "2024-01-01")
-    st_.apply_scd2(_df(spark, {1: ("a", "B", None)}), "silver", "c", KEYS, TRACKED, "2024-01-02")
-    st_.apply_scd2(_df(spark, {1: ("a", "C", None)}), "silver", "c", KEYS, TRACKED, "2024-01-03")
-    rows = sorted((r.segment, r.is_current) for r in st_.read("silver", "c").collect())
-    assert rows == [("A", False), ("B", False), ("C", True)]
-    parts = st_.parts("silver", "c")
-    # the first load had no expired rows, so it no longer contributes; the
-    # second run contributes only its expired rows, the third everything
-    assert len(parts) == 2 and parts[0]["leaf"] == "is_current=false" \
-        and parts[1].get("leaf") is None
-    assert st_.version("silver", "c") == 3
-
-
-def test_store_long_history_plans_two_scans_and_compacts(spark, tmpdir_path):
-    from riskview.sources.store import TableStore
-    st_ = TableStore(spark, tmpdir_path)
-    for i, seg in enumerate("ABCDEF"):
-        st_.apply_scd2(_df(spark, {1: ("a", seg, None), 2: ("b", "Z", None)}), "silver", "c",
-                       KEYS, TRACKED, f"2024-01-0{i + 1}")
-    df = st_.read("silver", "c")
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation ") == 2          # old parts in one scan, latest in another
-    want = [("A", False), ("B", False), ("C", False), ("D", False), ("E", False),
-            ("F", True), ("Z", True)]
-    assert sorted((r.segment, r.is_current) for r in df.collect()) == want
-    st_.compact("silver", "c", partition_by=["is_current"])
-    assert len(st_.parts("silver", "c")) == 1
-    assert sorted((r.segment, r.is_current) for r in st_.read("silver", "c").collect()) == want
-    # the next apply after compaction still sees one current row per key
-    st_.apply_scd2(_df(spark, {1: ("a", "G", None)}), "silver", "c", KEYS, TRACKED, "2024-01-09")
-    cur = sorted(r.segment for r in st_.read("silver", "c").filter("is_current").collect())
-    assert cur == ["G", "Z"]
-
-
-def test_bucketed_store_shuffles_only_the_batch(spark, tmpdir_path):
-    from pyspark.sql import functions as F
-
-    from riskview.sources.store import TableStore
-    b1 = {k: ("n", "A" if k % 2 else "B", None) for k in range(40)}
-    b2 = {k: ("n", "C" if k % 3 == 0 else ("A" if k % 2 else "B"), "p") for k in range(20, 60)}
-    plain = TableStore(spark, f"{tmpdir_path}/plain")
-    bucketed = TableStore(spark, f"{tmpdir_path}/bucketed")
-    for st_ in (plain, bucketed):
-        buckets = 4 if st_ is bucketed else None
-        for i, b in enumerate((b1, b2)):
-            st_.apply_scd2(_df(spark, b), "silver", "c", KEYS, TRACKED, f"2024-01-0{i + 1}",
-                           broadcast_max_rows=None, buckets=buckets)
-    rows = lambda st_: sorted(map(str, st_.read("silver", "c").collect()))
-    assert rows(bucketed) == rows(plain)
-    newest = bucketed.parts("silver", "c")[-1]
-    assert newest["bucket"] == {"n": 4, "keys": KEYS}
-
-    # a later session: the catalog entry is gone, the commit re-registers it
-    spark.sql(f"DROP TABLE {bucketed._table_name(newest['path'])}")
-    assert rows(bucketed) == rows(plain)
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        cur = bucketed.read("silver", "c").filter(F.col("is_current"))
-        batch = _df(spark, b2).select("customer_id", F.col("segment").alias("s2"))
-        plan = cur.join(batch, KEYS, "full_outer")._jdf.queryExecution() \
-            .executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "Bucketed: true" in plan
-    assert plan.count("Exchange hashpartitioning") == 1, plan
-
-
-def test_vacuum_removes_only_unreferenced_versions(spark, tmpdir_path):
+    store = TableStore(spark, path)
+    for day, b in batches:
+        store.apply_scd2(_df(spark, b), "silver", "c", KEYS, TRACKED, f"2024-01-{day:02d} 00:00:00", **how)
+    return store
+
+
+def test_stored_history_equals_the_algebra(spark, tmpdir_path):
+    batches = [{k: ("n", "AB"[k % 2], None) for k in range(40)},
+               {k: ("n", "C" if k % 3 == 0 else "AB"[k % 2], "p") for k in range(20, 60)},
+               {k: ("n", "D" if k < 10 else "AB"[k % 2], None) for k in range(40)}]
+    want = sorted(map(str, _run(spark, batches).collect()))
+    for name, limit in (("shuffled", None), ("sent", 1000)):
+        store = _stored(spark, f"{tmpdir_path}/{name}", list(enumerate(batches, 1)), broadcast_max_rows=limit)
+        assert sorted(map(str, store.read("silver", "c").collect())) == want
+    # before the third run, the history was that of the first two
+    early = store.history("silver", "c", before="20240103T000000")
+    assert sorted(map(str, early.collect())) == sorted(map(str, _run(spark, batches[:2]).collect()))
+
+
+def test_store_rerun_and_older_run(spark, tmpdir_path):
+    import pytest
+
+    from riskview.sources.store import OlderRunError
+    b1, wrong, right = {1: ("a", "A", None)}, {1: ("a", "X", None)}, {1: ("a", "B", None), 2: ("b", "B", None)}
+    store = _stored(spark, tmpdir_path, [(1, b1), (2, wrong), (2, right)])
+    assert sorted(map(str, store.read("silver", "c").collect())) == \
+        sorted(map(str, _run(spark, [b1, right]).collect()))
+    with pytest.raises(OlderRunError):
+        _stored(spark, tmpdir_path, [(1, b1)])
+    assert _stored(spark, tmpdir_path, [(2, right)]).read("silver", "c").count() == 3
+
+
+def test_a_run_writes_only_what_it_changes(spark, tmpdir_path):
+    """500 changed of 20,000 rows: 500 versions opened and 500 closed are
+    written, in a few files, and no earlier file is touched."""
+    import glob
     import os
-
+    rows = spark.range(20_000).selectExpr("id AS customer_id", "'n' AS name", "'A' AS segment",
+                                          "CAST(NULL AS STRING) AS phone")
     from riskview.sources.store import TableStore
-    st_ = TableStore(spark, tmpdir_path)
-    for i, seg in enumerate("ABC"):
-        st_.apply_scd2(_df(spark, {1: ("a", seg, None), 2: ("b", "Z", None)}), "silver", "c",
-                       KEYS, TRACKED, f"2024-01-0{i + 1}", buckets=2)
-    st_.publish(_df(spark, {1: ("x", "X", None)}), "gold", "g")
-    st_.publish(_df(spark, {1: ("y", "Y", None)}), "gold", "g")
-    before = sorted(map(str, st_.read("silver", "c").collect()))
-    table_dir = st_.table_dir("silver", "c")
-    n_dirs = lambda d: len([x for x in os.listdir(d) if x.startswith("v")])
-    assert n_dirs(table_dir) == 3
-    assert st_.vacuum("silver", "c", keep_commits=1) == []     # too recent to touch
-    removed = st_.vacuum("silver", "c", keep_commits=1, min_age_s=0)
-    # the first load held no expired rows, so nothing references it any more
-    assert len(removed) == 1 and n_dirs(table_dir) == 2
-    assert sorted(map(str, st_.read("silver", "c").collect())) == before
-    assert len(st_.vacuum("gold", "g", keep_commits=1, min_age_s=0)) == 1
-    assert [r.name for r in st_.read("gold", "g").collect()] == ["y"]
+    store = TableStore(spark, tmpdir_path)
+    store.apply_scd2(rows, "silver", "c", KEYS, TRACKED, "2024-01-01")
+    files = lambda run: glob.glob(f"{tmpdir_path}/silver/c/run={run}/**/*.parquet", recursive=True)
+    first = {f: os.path.getmtime(f) for f in files("20240101T000000")}
+    batch = rows.selectExpr("customer_id", "name", "IF(customer_id % 40 = 0, 'B', segment) AS segment", "phone")
+    store.apply_scd2(batch, "silver", "c", KEYS, TRACKED, "2024-01-02", broadcast_max_rows=None)
+    assert {f: os.path.getmtime(f) for f in files("20240101T000000")} == first
+    written = spark.read.parquet(f"{tmpdir_path}/silver/c/run=20240102T000000")
+    assert {r.change: r["count"] for r in written.groupBy("change").count().collect()} == {"opened": 500, "closed": 500}
+    assert len(files("20240102T000000")) <= 4
+    assert store.read("silver", "c").filter("is_current").count() == 20_000
+
+
+def test_unmarked_directories_are_not_read(spark, tmpdir_path):
+    import os
+    store = _stored(spark, tmpdir_path, [(1, {1: ("a", "A", None)}), (2, {1: ("a", "B", None)})])
+    os.remove(f"{tmpdir_path}/silver/c/run=20240102T000000/_SUCCESS")  # as a lost job leaves it
+    assert [r.segment for r in store.read("silver", "c").collect()] == ["A"]

@@ -32,3 +32,42 @@ def test_scratch_paths_are_fresh_and_under_the_checkpoint_dir(spark):
     root = spark.sparkContext.getCheckpointDir()
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root.rstrip("/")) and b.startswith(root.rstrip("/"))
+
+
+def test_a_cluster_without_a_shared_folder_raises(spark, monkeypatch):
+    import pytest
+
+    from riskview import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
+def test_scratch_of_a_scope_is_removed(spark):
+    import os
+
+    from riskview.session import scratch_scope
+    local = lambda p: p.split("file:", 1)[-1]
+    with scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        spark.range(3).write.parquet(inner)
+        assert os.path.isdir(local(inner))
+    outer = scratch_path(spark, "outer")
+    spark.range(3).write.parquet(outer)
+    assert not os.path.exists(local(inner)) and os.path.isdir(local(outer))

@@ -77,9 +77,55 @@ def test_store_publish_reads_latest_and_self_overwrite(spark, tmpdir_path):
     # read the table and publish its next version in the same plan
     st.publish(st.read("gold", "t").withColumn("id", F.col("id") * 10), "gold", "t")
     assert sorted(r.id for r in st.read("gold", "t").collect()) == [0, 10, 20, 30, 40]
-    assert st.version("gold", "t") == 2
-    st.append(spark.range(1), "gold", "t")
-    assert st.read("gold", "t").count() == 6
+    # another schema replaces the table's
+    st.publish(spark.range(2).selectExpr("id", "id AS more"), "gold", "t")
+    assert st.read("gold", "t").columns == ["id", "more"] and len(st.versions("gold", "t")) == 3
+
+
+def test_csv_columns_are_bound_by_the_header(spark, tmpdir_path):
+    import pytest
+    head = "entity_name,watchlist_id,alias,list_type,country,designation,listed_date,source_system,record_date\n"
+    p = os.path.join(tmpdir_path, "wl.csv")
+    with open(p, "w") as f:
+        f.write(head + "Doe John,W1,,OFAC,US,x,2020-01-02,s,2024-01-01\n")
+    r = readers.read_source(spark, "watchlist_sanctions", p).first()
+    assert (r.watchlist_id, r.entity_name) == ("W1", "Doe John")
+    with open(p, "w") as f:
+        f.write(head.replace("alias", "other") + "Doe John,W1,,OFAC,US,x,2020-01-02,s,2024-01-01\n")
+    with pytest.raises(readers.HeaderError):
+        readers.read_source(spark, "watchlist_sanctions", p)
+
+
+def test_csv_files_with_different_headers_raise(spark, tmpdir_path):
+    import pytest
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    for name, text in (("1.csv", "a,b\n1,2\n"), ("2.csv", "b,a\n2,1\n")):
+        with open(os.path.join(tmpdir_path, name), "w") as f:
+            f.write(text)
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, tmpdir_path, schema).collect()
+
+
+def test_nested_folders_are_read_by_every_reader(spark, tmpdir_path):
+    df = spark.range(10).selectExpr("id AS doc_id", "CAST(id AS STRING) AS name")
+    deep = f"{tmpdir_path}/{{}}/2024-01-30/late"
+    df.write.option("header", True).csv(deep.format("csv"))
+    df.write.json(deep.format("ndjson"))
+    df.write.parquet(deep.format("parquet"))
+    from riskview.plans.catalog import write_json_arrays
+    write_json_arrays(df, deep.format("json_array"), 4)
+    for fmt in ("csv", "ndjson", "json_array", "parquet"):
+        got = readers.read_source(spark, "x", f"{tmpdir_path}/{fmt}", fmt, df.schema)
+        assert got.count() == 10, fmt
+
+
+def test_truncated_array_is_kept_as_text(spark, tmpdir_path):
+    with open(os.path.join(tmpdir_path, "d.json"), "w") as f:
+        f.write('[{"doc_id": "D1"}, {"doc_id": "D2"}, {"doc_id": ')
+    df = readers.read_source(spark, "kyc_documents", tmpdir_path, keep_corrupt=True).cache()
+    kept = df.filter(F.col(readers.CORRUPT).isNotNull()).collect()
+    assert kept and "D2" in kept[0][readers.CORRUPT]
 
 
 def test_pipeline_layer_report(spark, tmpdir_path):
@@ -95,6 +141,7 @@ def test_pipeline_layer_report(spark, tmpdir_path):
     pipeline.run_bronze(spark, lay2, "2024-01-31 00:00:00")
     rep = {r.table_name: r for r in pipeline.layer_report(spark, lay, "bronze").collect()}
     assert rep["transaction_feed"].rows == 1 and rep["transaction_feed"].error is None
+    assert rep["TOTAL"].rows == 1
     assert rep["kyc_documents"].rows is None and rep["kyc_documents"].error
 
 
@@ -129,3 +176,13 @@ def test_inventory_root_with_regex_characters(spark, tmpdir_path):
     got = {r.folder: (r.files > 0, r.present)
            for r in landing_inventory(spark, root, ["account_activity", "kyc"]).collect()}
     assert got == {"account_activity": (True, True), "kyc": (False, False)}
+
+
+def test_inventory_rounds_the_sum_and_stands_a_missing_root(spark, tmpdir_path):
+    os.makedirs(f"{tmpdir_path}/a")
+    for i in range(10):
+        with open(f"{tmpdir_path}/a/f{i}.csv", "w") as f:
+            f.write("x" * 40)                      # 0.04 kB each: ten are 0.4, not ten times 0.0
+    assert landing_inventory(spark, tmpdir_path, ["a"]).first().total_kb == 0.4
+    got = landing_inventory(spark, f"{tmpdir_path}/nowhere", ["a", "b"]).collect()
+    assert sorted((r.folder, r.files, r.present) for r in got) == [("a", 0, False), ("b", 0, False)]

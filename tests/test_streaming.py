@@ -10,9 +10,9 @@ def test_restart_and_new_files(spark, tmpdir_path):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     part = F.col("event_id") % 3
     src, sink, ck = f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck"
-    ev.filter(part == 0).write.parquet(f"{src}/a")
-    # first run sees only the files present now (one directory level)
-    ev.filter(part == 0).coalesce(1).write.mode("append").parquet(src)
+    # files at any depth are seen
+    ev.filter((part == 0) & (F.col("event_id") % 2 == 0)).write.parquet(f"{src}/2024-01-30/a")
+    ev.filter((part == 0) & (F.col("event_id") % 2 == 1)).coalesce(1).write.mode("append").parquet(src)
     r1 = ingest_files(spark, src, ev.schema, sink, ck, "stream", run_ts="2024-01-31 00:00:00")
     n0 = ev.filter(part == 0).count()
     assert r1.rows == n0 and spark.read.parquet(sink).count() == n0
@@ -32,19 +32,27 @@ def test_restart_and_new_files(spark, tmpdir_path):
     assert batch.exceptAll(out.select(*ev.columns)).count() == 0
 
 
-def test_dedup_within_watermark(spark, tmpdir_path):
-    txn = spark.createDataFrame(
-        [(1, "2024-01-01 00:00:00", 1.0), (1, "2024-01-01 00:01:00", 1.0),
-         (2, "2024-01-01 00:02:00", 2.0)],
-        "transaction_id long, txn_date string, amount double") \
-        .withColumn("txn_date", F.col("txn_date").cast("timestamp"))
-    src = f"{tmpdir_path}/in"
-    txn.coalesce(1).write.json(src)
-    r = ingest_files(spark, src, txn.schema, f"{tmpdir_path}/out", f"{tmpdir_path}/ck",
-                     "stream", run_ts="2024-01-31 00:00:00", fmt="json",
-                     dedup=(["transaction_id"], "txn_date", "1 hour"))
-    assert spark.read.parquet(f"{tmpdir_path}/out").count() == 2
-    assert r.rows == 3
+def test_first_seen_keeps_records_however_late(spark, tmpdir_path):
+    """A record older than everything seen before is new, not late; replays go."""
+    from riskview.streaming.ingest import ingest_first_seen
+    schema = "transaction_id string, txn_date timestamp, amount double"
+    src, sink, ck = f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck"
+
+    def land(name, *rows):
+        df = spark.createDataFrame([(i, d, 1.0) for i, d in rows], "transaction_id string, d string, amount double")
+        df.selectExpr("transaction_id", "CAST(d AS TIMESTAMP) AS txn_date", "amount").coalesce(1).write.json(f"{src}/{name}")
+
+    def run():
+        ingest_first_seen(spark, src, spark.createDataFrame([], schema).schema, sink, ck, "stream",
+                          ["transaction_id"], run_ts="2024-01-31 00:00:00", max_files_per_trigger=1)
+        return sorted(r.transaction_id for r in spark.read.parquet(sink).collect())
+
+    land("a", ("T1", "2024-06-01"), ("T1", "2024-06-01"))
+    assert run() == ["T1"]
+    land("b", ("T2", "2024-01-01"), ("T3", "2024-06-02"))
+    land("c", ("T1", "2024-06-01"), ("T0", "1999-01-01"))
+    assert run() == ["T0", "T1", "T2", "T3"]
+    assert run() == ["T0", "T1", "T2", "T3"]
 
 
 def test_archive_keeps_listing_small_and_output_exactly_once(spark, tmpdir_path):

@@ -65,17 +65,45 @@ def test_dim_date_columns(spark):
     assert (rows[1].quarter, rows[1].month_name, rows[2].day) == (1, "February", 1)
 
 
-def test_star_rollup_sized_broadcast(spark):
-    fact = spark.createDataFrame([(1, "HIGH", 10.0, 6), (2, "LOW", 5.5, 1)],
+def test_star_rollup_broadcasts_sized_dimensions(spark):
+    """All dimensions are broadcast once proven small; the fact is shuffled
+    for the grouping only.  Beyond the bound the result is the same."""
+    fact = spark.createDataFrame([(1, "HIGH", 10.0, 6, 20240131), (2, "LOW", 5.5, 1, 20240131)],
                                  "customer_id long, kyc_risk_level string, "
-                                 "txn_total_amt double, risk_score int")
-    dim = spark.createDataFrame([(1, "A", True), (2, "B", True), (2, "Z", False)],
-                                "customer_id long, customer_segment string, is_current boolean")
-    small = warehouse.star_rollup(fact, dim, broadcast_max_rows=10)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    big = warehouse.star_rollup(fact, dim, broadcast_max_rows=1)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect())) == \
-        [("A", "HIGH", 1, 10.0, 6.0), ("B", "LOW", 1, 5.5, 1.0)]
+                                 "txn_total_amt double, risk_score int, date_key int")
+    cust = spark.createDataFrame([(1, "A", "X", True), (2, "B", "Y", True), (2, "Z", "Y", False)],
+                                 "customer_id long, customer_segment string, country string, is_current boolean")
+    kyc = spark.createDataFrame([(1, "EXPIRED")], "customer_id long, doc_status string")
+    days = spark.createDataFrame([(20240131, 2024, 1)], "date_key int, year int, month int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = warehouse.star_rollup(fact, cust, kyc, days, broadcast_max_rows=10)
+        plan = small._jdf.queryExecution().executedPlan().toString()
+        big = warehouse.star_rollup(fact, cust, kyc, days, broadcast_max_rows=0)
+        rows = [sorted(map(str, d.collect())) for d in (small, big)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 3 and plan.count("Exchange hashpartitioning") == 1
+    assert rows[0] == rows[1]
+    assert sorted(map(tuple, small.collect())) == [("A", "X", "EXPIRED", 2024, 1, "HIGH", 1, 10.0, 6.0),
+                                                   ("B", "Y", None, 2024, 1, "LOW", 1, 5.5, 1.0)]
+
+
+def test_document_keys_are_stable(spark):
+    docs = lambda *ids: spark.createDataFrame([(i, "V", "P", None) for i in ids],
+                                              "customer_id string, doc_status string, doc_type string, expiry_date date")
+    first = warehouse.dim_document_status(docs("B", "C"), "u")
+    again = warehouse.dim_document_status(docs("A", "B", "C"), "u", first)
+    assert {r.customer_id: r.kyc_key for r in again.collect()} == {"B": 1, "C": 2, "A": 3}
+
+
+def test_dim_date_covers_the_fact(spark):
+    src = spark.createDataFrame([("2024-01-01",)], "d string").select(F.to_date("d").alias("d"))
+    fact = spark.createDataFrame([(20240103,)], "date_key int")
+    got = warehouse.dim_date(F.col("d"), src, fact)
+    assert [r.date_key for r in got.orderBy("date_key").collect()] == [20240101, 20240102, 20240103]
 
 
 def test_dim_customer_reload_keeps_keys(spark):
