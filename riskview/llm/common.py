@@ -8,7 +8,7 @@ columns of the input, whatever their names, never clash.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
@@ -32,6 +32,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, also where ``use``
+    refers to it inside a function of array elements."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def text_bytes(docs: DataFrame, text: Column) -> int:
     """UTF-8 bytes of all texts (partial sums, one number)."""
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
@@ -42,7 +48,7 @@ def parts_for(total_bytes: int, each_bytes: int) -> int:
     return max(1, math.ceil(total_bytes / each_bytes))
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that no slice holds more than ``max_bytes`` of
     ``column`` (a single longer text is a slice of its own)."""
     col = batch.column(batch.schema.get_field_index(column))

@@ -9,9 +9,11 @@ the placeholders must map one to one (an item's 3 is always the document's 5,
 and nothing else is).  An alignment with equal values is ``verbatim``, one
 with a consistent change ``reparameterised``; an inconsistent one is no match.
 
-Everything is DataFrame functions.  Window rows carry references to their
-document's arrays inside one generated stage and are probed against the
-benchmark's windows, which are broadcast only when a count proves them small.
+Everything is DataFrame functions.  A document's window hashes are computed as
+one array; the rows made of them hold the document's key, a position and a hash
+only, and are probed against the benchmark's windows, which are broadcast only
+when a count proves them small.  Texts are met again for the documents with a
+match alone, to compare the windows themselves and their slots.
 
 Cases: null or empty texts hold no windows and are clean; an item shorter than
 a window is matched as a whole; a window with fewer literal words than half of
@@ -24,49 +26,112 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskview.llm.common import stored
+from riskview.llm.common import once, stored
 from riskview.operators.joins import broadcast_if_small
 
 #: Units that a number may carry, lower case.
 UNITS = ("mm", "cm", "m", "km", "in", "ft", "yd", "mi", "mg", "g", "kg", "t", "oz", "lb", "ml", "cl", "l", "s", "sec",
          "min", "h", "hr", "hrs", "hours", "minutes", "seconds", "days", "weeks", "months", "years", "meters", "metres",
          "miles", "grams", "litres", "liters", "pounds", "dollars", "euros", "usd", "eur", "percent")
-_MARKS = ".,;:!?\"'()[]{}«»„“”‘’…*#%&$|<>"
+_MARKS = r"""[.,;:!?"'()\[\]{}«»„“”‘’…*#%&$|<>]+"""
 _NAME = "\u0001"  # put before a name; taken out of texts first
-_SPACE = r"[\x20\x09-\x0D]+"
+_SPACE = r"[\x20\x09-\x0D]"
 
 
+# Values used more than once are bound by ``once``: inside functions of array
+# elements nothing else keeps Spark from computing them again at each use.
+
 def _plain(text: Column) -> Column:
     """Text without marks, each name led by a control character."""
-    text = F.translate(F.coalesce(text, F.lit("")), _NAME, " ")
-    named = F.regexp_replace(text, r"(?<=[^.!?:\x20\x09-\x0D][\x20\x09])(?=\p{Lu})", _NAME)
-    return F.trim(F.regexp_replace(F.translate(named, _MARKS, ""), _SPACE, " "))
+    def clean(t: Column) -> Column:
+        t = F.when(F.contains(t, F.lit(_NAME)), F.replace(t, F.lit(_NAME), F.lit(" "))).otherwise(t)
+        # the capital is tried first: a lookbehind at every character would be slow
+        named = F.regexp_replace(t, r"(\p{Lu})(?<=[^.!?:\x20\x09-\x0D][\x20\x09]\p{Lu})", _NAME + "$1")
+        return F.regexp_replace(named, _MARKS, "")
+    return once(F.coalesce(text, F.lit("")), clean)
 
 
 def _template(plain: Column) -> Column:
     """Template of a plain text, one word for each of its words."""
-    low = F.lower(plain)
-    low = F.when(F.contains(low, F.lit(_NAME)), F.regexp_replace(low, _NAME + r"[^\x20]*", "<name>")).otherwise(low)
-    digits = F.regexp_replace(low, r"[^\x20]*[0-9][^\x20]*", "<number>")
-    units = F.regexp_replace(digits, r"(?<=<number>\x20)(?:" + "|".join(UNITS) + r")(?![^\x20])", "<unit>")
-    return F.when(low.rlike("[0-9]"), units).otherwise(low)
+    word = _SPACE.replace("[", "[^")
+
+    def names(low: Column) -> Column:
+        return F.when(F.contains(low, F.lit(_NAME)), F.regexp_replace(low, f"{_NAME}{word}*", "<name>")).otherwise(low)
+
+    def numbers(low: Column) -> Column:
+        digits = F.regexp_replace(low, rf"{word}*[0-9]{word}*", "<number>")
+        units = F.regexp_replace(digits, rf"(?<=<number>{_SPACE})(?:" + "|".join(UNITS) + rf")(?!{word})", "<unit>")
+        return F.when(low.rlike("[0-9]"), units).otherwise(low)
+
+    return once(once(F.lower(plain), names), numbers)
 
 
 def _words(text: Column) -> Column:
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
+    return once(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), lambda t: F.when(
+        t == "", F.array().cast("array<string>")).otherwise(F.split(t, _SPACE + "+")))
 
 
-def _windows(rows: DataFrame, width: int) -> DataFrame:
-    """One row a window of ``width`` words of ``template``: at, hash."""
-    last = F.size("template") - width
-    rows = rows.where(last >= 0).withColumn("at", F.explode(F.sequence(F.lit(0), last)))
-    return rows.withColumn("window", F.slice("template", F.col("at") + 1, width)).withColumn("hash", F.xxhash64("window"))
+def _hashes(words: Column, width: int) -> Column:
+    """Hash of every window of ``width`` words, by doubling: a window's hash is
+    that of its halves' hashes, so each step is one pass over an array."""
+    def joined(left: Column, right: Column, shift: int) -> Column:
+        return once(F.struct(left.alias("l"), right.alias("r")), lambda h: F.zip_with(
+            h["l"], F.slice(h["r"], shift + 1, F.greatest(F.size(h["r"]) - shift, F.lit(0))), lambda x, y: F.xxhash64(x, y)))
+
+    def wide(hashes: Column, n: int) -> Column:
+        """Hashes of windows of ``n``; the last ``n - 1`` entries are void."""
+        if n == 1:
+            return hashes
+        half = 1 << (n - 1).bit_length() - 1
+        return once(hashes, lambda h: once(wide(h, half), lambda a: joined(
+            a, a if n == 2 * half else wide(h, n - half), half)))
+
+    single = once(words, lambda w: F.transform(w, lambda x: F.xxhash64(x)))
+    return once(single, lambda h: F.slice(wide(h, width), 1, F.greatest(F.size(h) - width + 1, F.lit(0))))
+
+
+def _is_slot(word: Column) -> Column:
+    return word.isin("<name>", "<number>", "<unit>")
 
 
 def _slots(template: Column, plain: Column) -> Column:
     """Values of a window's placeholders (empty string elsewhere)."""
-    return F.transform(plain, lambda w, i: F.when(
-        F.element_at(template, i + 1).isin("<name>", "<number>", "<unit>"), F.lower(w)).otherwise(F.lit("")))
+    return F.zip_with(template, plain, lambda t, p: F.when(_is_slot(t), F.lower(p)).otherwise(F.lit("")))
+
+
+def _item_windows(items: DataFrame, width: int) -> DataFrame:
+    """Windows of the items: hash, item, item_at, item_window, item_slots."""
+    last = F.size("template") - width
+    rows = items.where(last >= 0).withColumn("item_at", F.explode(F.sequence(F.lit(0), last)))
+    window = F.slice("template", F.col("item_at") + 1, width)
+    rows = rows.select("item", "item_at", window.alias("item_window"),
+                       _slots(window, F.slice("values", F.col("item_at") + 1, width)).alias("item_slots"))
+    literal = F.size(F.filter("item_window", lambda x: ~_is_slot(x)))
+    return rows.where(2 * literal >= width).withColumn("hash", F.element_at(_hashes(F.col("item_window"), width), 1))
+
+
+def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """Windows of documents equal to an item's: id, key, item, shift, and the
+    slot values of both.  ``texts``: id, key, text."""
+    own = stored(_item_windows(items, width), "item-windows")
+    hashes = texts.select("id", "key", _hashes(_words(_template(_plain(F.col("text")))), width).alias("hashes"))
+    met = hashes.select("id", "key", F.posexplode("hashes").alias("at", "hash"))
+    found = stored(met.join(broadcast_if_small(own.select("hash").distinct(), 1_000_000), "hash"), "window-hits")
+    found = found.join(broadcast_if_small(own, 1_000_000), "hash")
+    found = found.groupBy("id", "key").agg(F.collect_list(F.struct("at", "item", "item_at", "item_window", "item_slots")).alias("hits"))
+    # the texts of documents with a hit only
+    found = broadcast_if_small(stored(found.toDF("hit_id", "hit_key", "hits"), "document-hits"), 100_000)
+    rows = (texts.join(found, (F.col("key") == F.col("hit_key")) & F.col("id").eqNullSafe(F.col("hit_id")))
+            .select("id", "key", "hits", _plain(F.col("text")).alias("plain")))
+    hits = once(F.struct(_words(_template(F.col("plain"))).alias("template"), _words(F.col("plain")).alias("values")),
+                 lambda d: F.transform("hits", lambda h: F.struct(
+                     h["item"].alias("item"), (h["at"] - h["item_at"]).alias("shift"),
+                     (F.slice(d["template"], h["at"] + 1, width) == h["item_window"]).alias("equal"),
+                     h["item_slots"].alias("item_slots"),
+                     _slots(h["item_window"], F.slice(d["values"], h["at"] + 1, width)).alias("slots"))))
+    rows = rows.select("id", "key", F.explode(hits).alias("hit")).where("hit.equal")
+    # equal rows come more than once; an alignment is judged on distinct pairs
+    return rows.select("id", "key", "hit.item", "hit.shift", "hit.item_slots", "hit.slots")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col: str = "doc_id", text_col: str = "text",
@@ -75,21 +140,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col:
     items: the matched item ids with how they match."""
     plain = F.col("plain")
     items = (benchmark.select(F.col(item_col).alias("item"), _plain(F.col(item_text_col)).alias("plain"))
-             .withColumn("template", _words(_template(plain))).withColumn("values", _words(plain))
+             .select("item", _words(_template(plain)).alias("template"), _words(plain).alias("values"))
              .where(F.size("template") > 0).withColumn("width", F.least(F.size("template"), F.lit(width))))
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most ``width`` numbers
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     keyed = rows.withColumn("key", F.xxhash64("id", "text"))
-    texts = keyed.select("id", "key", _plain(F.col("text")).alias("plain")).withColumn("template", _words(_template(plain)))
     hits = None
     for w in widths:
-        literal = F.size(F.filter("window", lambda x: ~x.isin("<name>", "<number>", "<unit>")))
-        own = (_windows(items.where(F.col("width") == w), w).where(2 * literal >= w)
-               .select("hash", "item", F.col("at").alias("item_at"), F.col("window").alias("item_window"),
-                       _slots(F.col("window"), F.slice("values", F.col("at") + 1, w)).alias("item_slots")))
-        met = (_windows(texts, w).join(broadcast_if_small(own, 2_000_000), "hash").where(F.col("window") == F.col("item_window"))
-               .select("id", "key", "item", (F.col("at") - F.col("item_at")).alias("shift"), "item_slots",
-                       _slots(F.col("window"), F.slice(_words(plain), F.col("at") + 1, w)).alias("slots")))
+        met = _matches(keyed, items.where(F.col("width") == w), w)
         hits = met if hits is None else hits.union(met)
     if hits is None:
         return keyed.select(F.col("id").alias(id_col), "key", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"),

@@ -49,7 +49,7 @@ DOCS = ["Intro text. A train travels 60 km in 2 hours while Alice walks 5 km hom
         "noise A train travels 90 miles in 4 hours while Carol walks 7 miles home. how far apart are they then",
         "if 4 apples and 5 pears cost 7 dollars, how many apples does Zoe buy for 21 dollars today",  # 3 is both 4 and 5
         "if 4 apples and 4 pears cost 9 dollars, how many apples does Zoe buy for 30 dollars today",
-        "we saw a SHORT item, here: indeed", "a short text", "words only in this longer benchmark question about", "only in this longer benchmark question"]
+        "we saw a short item, here: indeed", "a short text", "words only in this longer benchmark question about", "only in this longer benchmark question"]
 
 
 def run(spark, docs, items, **how):
