@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskview.llm.common import stored
+from riskview.llm.common import once, stored
 from riskview.operators.joins import broadcast_if_small
 
 #: Given names by script and gender, surnames' syllables by script, titles.
@@ -160,21 +160,24 @@ def _gender(given: Column) -> Column:
 
 def _drawn(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
     """The surrogate of an entity's normal form at its ``attempt``-th draw."""
-    noise = _noise(key, kind, normal, attempt)
+    return once(_noise(key, kind, normal, attempt), lambda noise: once(
+        _letters(normal, noise, F.lit(False)), lambda digits: _surrogate(key, kind, normal, attempt, noise, digits)))
+
+
+def _surrogate(key: str, kind: Column, normal: Column, attempt: Column, noise: Column, digits: Column) -> Column:
+    """``digits``: the normal form with its letters and digits drawn anew."""
     wide = F.when(attempt >= _WIDER, F.substring(F.sha2(F.concat_ws("\u0001", F.lit(key), normal, attempt.cast("string")), 256), 1, 8)).otherwise("")
     at = lambda i: F.element_at(noise, i)
-    nothing = F.lit(False)
-    local, host = F.substring_index(normal, "@", 1), F.substring_index(normal, "@", -1)
+    host = F.substring_index(normal, "@", -1)
     top = F.substring_index(host, ".", -1)
     inner = F.substring(host, F.lit(1), F.length(host) - F.length(top))
-    email = F.concat(_letters(local, noise, nothing), wide, F.lit("@"),
-                     _letters(inner, _noise(key, F.lit("host"), host), nothing), top)
-    digits = _letters(normal, noise, nothing)
+    email = F.concat(F.substring_index(digits, "@", 1), wide, F.lit("@"),
+                     once(_noise(key, F.lit("host"), host), lambda n: _letters(inner, n, F.lit(False))), top)
     code = F.greatest(F.length(normal) - 10, F.lit(0))
     phone = F.concat(F.substring(normal, F.lit(1), code), _pick("23456789", at(70)), F.substr(digits, code + 2))
     stem = F.concat(F.substring(normal, 1, 1), F.substring(digits, F.lit(2), F.length(digits) - 2))
-    check = ((F.lit(10) - _luhn(F.concat(stem, F.lit("0")))) % 10).cast("string")
-    card = F.when(_luhn(normal) == 0, F.concat(stem, check)).otherwise(F.concat(F.substring(normal, 1, 1), F.substr(digits, F.lit(2))))
+    checked = once(stem, lambda s: F.concat(s, ((F.lit(10) - _luhn(F.concat(s, F.lit("0")))) % 10).cast("string")))
+    card = F.when(_luhn(normal) == 0, checked).otherwise(F.concat(F.substring(normal, 1, 1), F.substr(digits, F.lit(2))))
     ssn = F.concat(_pick("12345678", at(70)), F.substr(digits, F.lit(2)))
     body = F.substr(digits, F.lit(5))
     country = F.substring(normal, 1, 2)
@@ -186,8 +189,9 @@ def _drawn(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
         return (F.when((F.length(c) == 1) & (attempt < _WIDER), n % 9 + 1).when((F.length(c) == 2) & (attempt < _WIDER), n % 90 + 10)
                 .when(attempt < _WIDER, n % 155 + 100).otherwise(n % 254 + 1)).cast("string")
     ip = F.array_join(F.transform(F.split(normal, r"\."), octet), ".")
-    secret = F.concat(_letters(normal, noise, normal.rlike("^[0-9a-f]+$")), wide)
-    aws = F.concat(F.substring(normal, 1, 4), F.substr(_letters(F.translate(normal, _DIGITS, "ABCDEFGHIJ"), noise, nothing), F.lit(5)))
+    hexed = normal.rlike("^[0-9a-f]+$")
+    secret = F.concat(F.when(hexed, _letters(normal, noise, F.lit(True))).otherwise(digits), wide)
+    aws = F.concat(F.substring(normal, 1, 4), F.substr(_letters(F.translate(normal, _DIGITS, "ABCDEFGHIJ"), noise, F.lit(False)), F.lit(5)))
     syllables = lambda k: F.element_at(F.element_at(F.create_map(*[x for s, v in SYLLABLES.items() for x in (F.lit(s), F.array(*map(F.lit, v)))]),
                                                     _script(normal)), at(k) % 16 + 1)
     extra = F.when(attempt > 2, F.concat(syllables(5), F.when(attempt > 5, syllables(6)).otherwise(""))).otherwise("")
@@ -270,7 +274,7 @@ def _swapped(rows: DataFrame, key: str) -> DataFrame:
     made = stored(made, "made")
     maps = (texts.select("key", F.explode("entities").alias("entity")).join(made, "entity")
             .groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("entity", F.struct("type", "surrogate")))).alias("by")))
-    maps = broadcast_if_small(stored(maps, "maps"), 500_000)
+    maps = broadcast_if_small(stored(maps, "maps"), 100_000)
     out = rows.withColumn("key", F.md5("text")).join(maps, "key", "left")
     out = out.withColumn("pieces", F.when(F.col("by").isNotNull(), pieces))
     swapped = F.transform("pieces", lambda p, i: F.when(i % 2 == 1, F.element_at("by", p)["surrogate"]).otherwise(p))
