@@ -15,17 +15,18 @@ Plan.
 * Documents with equal sets collapse into one class first, so a group of
   copies costs one row.
 * Trees hold (node, class) rows; nodes met by one class go after a partial
-  count.  Signatures are joined to the rest, and a class stays only where some
-  partner's signature could reach the threshold (over 4 standard deviations
-  of slack).
-* Full sets are recomputed for those classes alone, and every link is
-  confirmed on them: the intersections of two blocks of sets are one product
-  of 0/1 matrices over their shared shingles.
-* In a large node the most central members meet all others first, which joins
-  most groups of near copies in one pass; what stays outside the node's
-  largest component then meets every member, block against block.  A task
-  holds two blocks at most, and a pair is left out only if links found before
-  have joined it.
+  count.  Signatures are joined to the rest, and a node names the pairs whose
+  signatures could reach the threshold (over 4 standard deviations of slack),
+  reduced to links that join the same classes.  The components of these links
+  are the clusters outside which no link can lie.
+* Full sets are recomputed for the classes of clusters alone and travel once,
+  to their cluster, where every link is confirmed on them: the intersections of
+  two blocks of sets are one product of 0/1 matrices over shared shingles.
+* A cluster of at most ``small`` classes is one group.  In a larger one the
+  most central members meet all others first, which joins most groups of near
+  copies in one pass; what stays outside the largest component then meets
+  every member, block against block.  A task holds two blocks at most, and a
+  pair is left out only if links found before have joined it.
 
 Cases: null or blank text has an empty set and is its own component; fewer
 words than a shingle give the whole sequence as one shingle; repeated rows and
@@ -50,6 +51,7 @@ from riskview.llm.words import Words, mix, words_of
 from riskview.operators.joins import broadcast_if_small
 
 _SET = 0xA24BAED4963EE407  # fixed value: odd multiplier of the shingle hash
+_LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
 
 def shingle_sets(words: Words, width: int) -> list[np.ndarray]:
@@ -99,7 +101,7 @@ def _sign(width: int, lower: bool, tokens: int) -> Callable[[Iterator[pa.RecordB
                     [few.column("id"), few.column("key"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([_class_of(s) if len(s) else None for s in sets], pa.binary()),
                      pa.array([r.tobytes() for r in sig], pa.binary())],
-                    names=["id", "key", "n", "class", "sig"])
+                    names=["id", "key", "n", "digest", "sig"])
     return run
 
 
@@ -146,15 +148,35 @@ def _stack(column: pa.ChunkedArray) -> np.ndarray:
     return np.vstack([np.frombuffer(s.as_buffer(), np.uint32) for s in column.combine_chunks()])
 
 
+def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[list[tuple[int, int]], list[int]]:
+    """Of links between ``n`` members, those that join something new, and
+    each member's root."""
+    up = list(range(n))
+
+    def root(k: int) -> int:
+        while up[k] != k:
+            up[k] = k = up[up[k]]
+        return k
+
+    kept = []
+    for i, j in zip(a.tolist(), b.tolist()):
+        p, q = root(i), root(j)
+        if p != q:
+            up[max(p, q)] = min(p, q)
+            kept.append((i, j))
+    return kept, [root(k) for k in range(n)]
+
+
 def _promising(floor: float, threshold: float) -> Callable[[pa.Table], pa.Table]:
-    """Members of a small node with a partner that sizes (exactly) and
-    signatures (with slack) allow."""
+    """Links between members of a small node whose sizes (exactly) and
+    signatures (with slack) allow similarity."""
     def run(group: pa.Table) -> pa.Table:
         n = group.column("n").to_numpy()
         pairs = _agreement(_stack(group.column("sig"))) >= floor
         pairs &= np.minimum(n[:, None], n) >= threshold * np.maximum(n[:, None], n)
-        np.fill_diagonal(pairs, False)
-        return group.filter(pa.array(pairs.any(axis=1))).select(["node", "class"])
+        kept, _ = _forest(*np.nonzero(np.triu(pairs, 1)), len(n))
+        name = group.column("class").combine_chunks()
+        return pa.table([name.take(pa.array([k[s] for k in kept], pa.int32())) for s in (0, 1)], schema=_LINKS)
     return run
 
 
@@ -175,13 +197,10 @@ def _resets(width: int, lower: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
                 both = pa.RecordBatch.from_arrays([few.column("class"), pa.array([s.tobytes() for s in sets], pa.binary())],
                                                   names=["class", "set"])
                 # a row that only shares the representative's 64-bit key is not of its class
-                yield both.filter(pa.array([c == _class_of(s) for c, s in zip(few.column("class").to_pylist(), sets)]))
+                yield both.filter(pa.array([c == _class_of(s) for c, s in zip(few.column("digest").to_pylist(), sets)]))
     return run
 
 
-_LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-
-
 def _sets(t: pa.Table) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("set").combine_chunks()]
 
@@ -206,44 +225,46 @@ def _intersections(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _linked(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of ``x`` and ``y`` are similar enough."""
+    both = _intersections(x, y).astype(np.int64)
+    union = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y]) - both
+    return 100 * both >= percent * union
+
+
+def _settle(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Component of every member of a small cluster."""
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("class")
+        sets = _sets(group)
+        _, roots = _forest(*np.nonzero(np.triu(_linked(sets, sets, percent), 1)), len(sets))
+        name = group.column("class").combine_chunks()
+        return pa.table([name, name.take(pa.array(roots, pa.int32()))], names=["class", "root"])
+    return run
+
+
 def _confirm(percent: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Links between the members of two blocks on their full sets: enough of
-    them to join whatever they join."""
+    """Links between the members of two blocks of different components:
+    enough of them to join whatever they join."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _LINKS.empty_table()
-        x, y = _sets(left), _sets(right)
-        both = _intersections(x, y).astype(np.int64)
-        union = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y]) - both
         names = sorted(set(left.column("root").to_pylist()) | set(right.column("root").to_pylist()))
         number = {r: i for i, r in enumerate(names)}
         a = np.array([number[r] for r in left.column("root").to_pylist()])
         b = np.array([number[r] for r in right.column("root").to_pylist()])
-        up = list(range(len(names)))
-
-        def root(k: int) -> int:
-            while up[k] != k:
-                up[k] = k = up[up[k]]
-            return k
-
-        i, j = np.nonzero((100 * both >= percent * union) & (a[:, None] != b))
-        found = []
+        i, j = np.nonzero(_linked(_sets(left), _sets(right), percent) & (a[:, None] != b))
+        at = {}
         for u, v, p, q in zip(i.tolist(), j.tolist(), a[i].tolist(), b[j].tolist()):
-            p, q = root(p), root(q)
-            if p != q:
-                up[max(p, q)] = min(p, q)
-                found.append((u, v))
+            at.setdefault((p, q), (u, v))
+        kept, _ = _forest(np.array([p for p, _ in at], dtype=int), np.array([q for _, q in at], dtype=int), len(names))
+        found = [at[k] for k in kept]
         return pa.table([left.column("class").combine_chunks().take(pa.array([u for u, _ in found], pa.int32())),
                          right.column("class").combine_chunks().take(pa.array([v for _, v in found], pa.int32()))],
                         schema=_LINKS)
     return run
 
 
-def _within(percent: int) -> Callable[[pa.Table], pa.Table]:
-    both = _confirm(percent)
-    return lambda group: both(group, group)
-
-
 @dataclass(frozen=True)
 class Join:
     """Parameters of the join: words a shingle, least similarity in per cent,
@@ -270,112 +291,126 @@ def _block(size: Column, small: int) -> Column:
     return F.pmod(F.xxhash64("class"), F.ceil(size / small)).cast("int")
 
 
-def _every_block(size: Column, small: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), (F.ceil(size / small) - 1).cast("int")))
-
-
-def _nodes(classes: DataFrame, how: Join) -> DataFrame:
-    """(node, class): nodes to compare, without classes that have no
-    promising partner in them."""
-    kept, at = [], classes.select(F.lit(0).cast("long").alias("node"), "class", "sig")
+def _candidates(classes: DataFrame, how: Join) -> DataFrame:
+    """Links (a, b) whose components hold every pair that may be similar."""
+    links, at = [], classes.select(F.lit(0).cast("long").alias("node"), "class", "sig")
     for level in range(how.levels):
         rows = stored(at.mapInArrow(_grow(level, how.branch, how.trees), "node long, class binary"), "tree")
         sizes = stored(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), "tree-sizes")
-        met = stored(rows.join(sizes, "node"), "tree-nodes")
-        few = met.where(F.col("size") <= how.small).join(classes, "class").select("node", "class", "n", "sig")
-        kept.append(few.groupBy("node").applyInArrow(_promising(how.floor, how.percent / 100), "node long, class binary"))
+        met = stored(rows.join(sizes, "node").join(classes, "class").select("node", "class", "size", "n", "sig"), "tree-nodes")
+        links.append(met.where(F.col("size") <= how.small).select("node", "class", "n", "sig").groupBy("node")
+                     .applyInArrow(_promising(how.floor, how.percent / 100), "a binary, b binary"))
         many = met.where(F.col("size") > how.small)
         if many.isEmpty():
             break
-        if level + 1 == how.levels:
-            kept.append(many.select("node", "class"))
-            break
-        seen = many.join(classes, "class").select("node", "class", "sig", _block(F.col("size"), how.small).alias("block"))
-        alike = stored(seen.groupBy("node", "block").applyInArrow(
-            _central, "node long, class binary, near double, alike double")
-            .groupBy("node").agg(F.avg("alike").alias("alike")), "tree-alike")
-        many = stored(many.join(alike, "node").select("node", "class", (F.col("alike") >= 0.4).alias("dense")), "tree-large")
-        kept.append(many.where("dense").select("node", "class"))
-        at = many.where("NOT dense").join(classes, "class").select("node", "class", "sig")
-    out = kept[0]
-    for k in kept[1:]:
-        out = out.union(k)
-    return stored(out, "nodes")
-
-
-def _open_nodes(nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Members of the nodes that hold more than one component so far: node,
-    class, root, size, main (the node's largest component)."""
-    rows = nodes.withColumn("root", F.col("class")) if roots is None else         nodes.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
-            "node", "class", F.coalesce("root", "class").alias("root"))
+        # nodes whose members are alike, and any at the last level, are clusters as they are
+        blocks = many.select("node", "class", "sig", _block(F.col("size"), how.small).alias("block"))
+        kinds = stored(blocks.groupBy("node", "block").applyInArrow(
+            _central, "node long, class binary, near double, alike double").groupBy("node").agg(
+            (F.lit(level + 1 == how.levels) | (F.avg("alike") >= 0.4)).alias("dense"), F.min("class").alias("hub")), "tree-kinds")
+        many = stored(many.select("node", "class", "sig").join(kinds, "node"), "tree-large")
+        links.append(many.where("dense").select(F.col("hub").alias("a"), F.col("class").alias("b")))
+        at = many.where("NOT dense").select("node", "class", "sig")
+    out = links[0]
+    for more in links[1:]:
+        out = out.union(more)
+    return stored(out, "candidates")
+
+
+def _open_clusters(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the clusters that hold more than one component so far:
+    cluster, class, size, block, root, main (the largest component)."""
+    rows = members.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     rows = stored(rows, "members")
-    sizes = rows.groupBy("node", "root").agg(F.count("*").alias("own"))
-    sizes = sizes.groupBy("node").agg(F.sum("own").alias("size"), F.count("*").alias("roots"),
-                                      F.max_by("root", F.struct("own", "root")).alias("main"))
-    return stored(rows.join(stored(sizes.where("roots > 1").drop("roots"), "sizes"), "node"), "open")
+    sizes = (rows.groupBy("cluster", "root").agg(F.count("*").alias("own"))
+             .groupBy("cluster").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("own", "root")).alias("main")))
+    return stored(rows.join(stored(sizes.where("roots > 1").drop("roots"), "sizes"), "cluster"), "open")
+
+
+def _settle_large(members: DataFrame, classes: DataFrame, how: Join) -> DataFrame:
+    """Components in clusters too large for one group, as (class, root).
+    ``members``: cluster, class, size, block, set."""
+    keys = ["cluster", "u", "block"]
+    sets, members = members.select("class", "set"), members.drop("set")
+
+    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
+        columns = [*keys, "class", "root"]
+        left, right = (d.select(*columns).join(sets, "class").select(*columns, "set").toDF(*columns, "set")
+                       for d in (left, right))
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_confirm(how.percent), "a binary, b binary")
+
+    def in_every_block(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("block", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("size") / how.small) - 1).cast("int"))))
+
+    by_near = Window.partitionBy("node").orderBy(F.desc("near"), "class")
+    central = (members.join(classes.select("class", "sig"), "class")
+               .select(F.xxhash64("cluster").alias("node"), "block", "class", "sig").groupBy("node", "block")
+               .applyInArrow(_central, "node long, class binary, near double, alike double")
+               .withColumn("rank", F.row_number().over(by_near)).where(F.col("rank") <= how.pivots).select("class"))
+    pivots = in_every_block(members.join(stored(central, "pivots"), "class").withColumn("root", F.col("class")))
+    found = stored(meet(pivots.withColumn("u", F.lit(0)),
+                        members.withColumn("root", F.col("class")).withColumn("u", F.lit(0))), "found")
+    roots = components(found)
+    rows = _open_clusters(members, roots)
+    outside = stored(in_every_block(rows.where("root <> main").withColumnRenamed("block", "u")), "outside")
+    wanted = outside.select(*keys).distinct()
+    found = stored(found.union(meet(outside, rows.join(wanted, ["cluster", "block"]))), "found")
+    return components(found).withColumnRenamed("node", "class")
 
 
 def link_classes(classes: DataFrame, rows: DataFrame, how: Join) -> DataFrame:
-    """Component of every linked class, as (node, root).
+    """Component of every linked class, as (class, root).
 
     ``classes``: class, n, sig and the key of one row that has it, one row a
-    class; ``rows``: key, text."""
-    nodes = _nodes(classes.select("class", "n", "sig"), how)
-    active = stored(nodes.select("class").distinct().join(classes.select("class", "key"), "class"), "active")
-    classes = classes.select("class", "sig")
-    sets = (rows.select("key", "text").join(broadcast_if_small(active), "key").select("class", "text")
+    class, in the order that roots follow; ``rows``: key, text."""
+    clusters = components(_candidates(classes.select("class", "n", "sig"), how)).toDF("class", "cluster")
+    sizes = stored(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster-sizes")
+    clusters = stored(clusters.join(sizes, "cluster").withColumn("block", _block(F.col("size"), how.small)), "clusters")
+    active = stored(clusters.select("class").join(classes.select("class", "key", "digest"), "class"), "active")
+    sets = (rows.select("key", "text").join(broadcast_if_small(active), "key").select("class", "digest", "text")
             .mapInArrow(_resets(how.width, how.lower), "class binary, set binary"))
-    sets = stored(sets.groupBy("class").agg(F.first("set").alias("set")), "sets")  # a repeated row comes more than once
-    keys, link = ["node", "u", "block"], "a binary, b binary"
+    sets = sets.groupBy("class").agg(F.first("set").alias("set"))  # a repeated row comes more than once
+    members = stored(sets.join(clusters, "class"), "cluster-sets")
+    small = members.where(F.col("size") <= how.small).select("cluster", "class", "set")
+    out = small.groupBy("cluster").applyInArrow(_settle(how.percent), "class binary, root binary")
+    large = members.where(F.col("size") > how.small)
+    if not large.isEmpty():
+        large = stored(large, "large-clusters")
+        out = out.union(_settle_large(large, classes, how).select("class", "root"))
+    return stored(out, "roots")
 
-    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
-        left, right = (d.select(*keys, "class", "root").join(sets, "class") for d in (left, right))
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_confirm(how.percent), link)
-
-    rows = _open_nodes(nodes, None)
-    few = rows.where(F.col("size") <= how.small).select("node", "class", "root").join(sets, "class")
-    found = few.groupBy("node").applyInArrow(_within(how.percent), link)
-    many = rows.where(F.col("size") > how.small).withColumn("block", _block(F.col("size"), how.small))
-    large = not many.isEmpty()
-    if large:
-        by_near = Window.partitionBy("node").orderBy(F.desc("near"), "class")
-        pivots = (many.join(classes, "class").select("node", "block", "class", "sig")
-                  .groupBy("node", "block").applyInArrow(_central, "node long, class binary, near double, alike double")
-                  .withColumn("rank", F.row_number().over(by_near)).where(F.col("rank") <= how.pivots))
-        sizes = many.groupBy("node").agg(F.max("size").alias("size"))
-        pivots = (pivots.select("node", "class", F.col("class").alias("root")).join(sizes, "node")
-                  .withColumn("block", _every_block(F.col("size"), how.small)).withColumn("u", F.lit(0)))
-        found = found.union(meet(pivots, many.withColumn("u", F.lit(0))))
-    found = stored(found, "found")
-    roots = components(found)
-    if large:
-        many = (_open_nodes(nodes, roots).where(F.col("size") > how.small)
-                .withColumn("block", _block(F.col("size"), how.small)))
-        outside = (many.where("root <> main").withColumnRenamed("block", "u")
-                   .withColumn("block", _every_block(F.col("size"), how.small)))
-        wanted = outside.select(*keys).distinct()
-        found = stored(found.union(meet(outside, many.join(wanted, ["node", "block"]))), "found")
-        roots = components(found)
-    return roots
+
+_SIGN = -(1 << 63)
+
+
+def _name(least: Column, digest: Column) -> Column:
+    """A class's name: sorts by its smallest id, classes without one last."""
+    return F.concat(F.unhex(F.coalesce(F.lpad(F.hex(least.bitwiseXOR(F.lit(_SIGN))), 16, "0"), F.lit("F" * 16))), digest)
+
+
+def _least(name: Column) -> Column:
+    """The smallest id that a class's name holds; null if it has none."""
+    head = F.hex(F.substring(name, 1, 8))
+    return F.when(head != "F" * 16, F.conv(head, 16, -10).cast("long").bitwiseXOR(F.lit(_SIGN)))
 
 
 def _components(docs: DataFrame, how: Join, id_col: str, text_col: str) -> DataFrame:
-    """id, key (of id and text), n, class and component_id of every document."""
+    """id, key (of id and text), n, root and component_id of every document."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("id", "text"))
     signed = stored(rows.mapInArrow(_sign(how.width, how.lower, how.tokens),
-                                    "id long, key long, n long, class binary, sig binary"), "signatures")
+                                    "id long, key long, n long, digest binary, sig binary"), "signatures")
     # one row a class: of equal sets, sizes and signatures are equal too
-    classes = stored(signed.where("class IS NOT NULL").groupBy("class").agg(
-        F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("id").alias("least"), F.min("key").alias("key")), "classes")
+    classes = stored(signed.where("digest IS NOT NULL").groupBy("digest").agg(
+        F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("id").alias("least"), F.min("key").alias("key"))
+        .select("digest", "n", "sig", "key", _name(F.col("least"), F.col("digest")).alias("class")), "classes")
     roots = link_classes(classes, rows, how)
-    rooted = classes.select("class", "least").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    rooted = stored(rooted.select("class", "least", F.coalesce("root", "class").alias("root")), "rooted")
-    best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = stored(rooted.join(best, "root").select("class", "root", "component_id"), "components")
-    out = signed.select("id", "key", "n", "class").join(component, "class", "left")
-    alone = F.col("class").isNull()
-    return out.select("id", "key", "n", "root", F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    # a class's name holds its smallest id, so a root's name holds its component's
+    root = stored(classes.select("digest", "class").join(roots, "class", "left").select(
+        "digest", F.coalesce("root", "class").alias("root")), "components")
+    out = signed.select("id", "key", "n", "digest").join(root, "digest", "left")
+    alone = F.col("digest").isNull()
+    return out.select("id", "key", "n", "root", F.when(alone, F.col("id")).otherwise(_least(F.col("root"))).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, how: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
