@@ -12,8 +12,9 @@ An arc may follow another only if merging their two pieces' characters alone
 gives back just these pieces; other successions weigh infinity.  A text's
 byte-pair encoding is the one path on which every neighbouring pair is allowed
 (merges are local, so a merge across a boundary would show in that pair), and
-every prefix has one such path too, so the composition keeps one state for each
-position.  Results equal the library's.
+every prefix has one such path too, so the composition has one live state for
+each position and its shortest path is found lazily.  Results equal the
+library's.
 
 Whole texts are cut at marks and at neighbouring characters that no piece
 holds, as no path crosses there; the segments of a chunk are looked up once
@@ -27,6 +28,7 @@ table gives no rows.
 from __future__ import annotations
 
 import math
+import re
 import struct
 from collections.abc import Iterator
 
@@ -39,12 +41,13 @@ from riskview.llm.common import slices
 from riskview.llm.words import Words
 
 MARK = "▁"
+_RUNS = re.compile(rf"{MARK}*\w+|{MARK}+|[^\w{MARK}]")
 
 
 class Transducer:
     """The compiled model."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 150_000):
         from sentencepiece import sentencepiece_model_pb2
         model = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as f:
@@ -77,16 +80,22 @@ class Transducer:
         self.surface = [bytes((int(p[3:5], 16),)) if k == kinds.BYTE else b"" if k == kinds.CONTROL
                         else b" \xe2\x81\x87 " if k == kinds.UNKNOWN else p.replace(MARK, " ").encode()
                         for p, k in zip(self.pieces, self.kind)]
-        self.allowed: dict[tuple[int, int], bool] = {}
+        self.allowed: dict[int, bool] = {}  # by (first piece + 1) * 2**32 + second piece
+        #: Control characters that no piece holds: segments end there.
+        self.cuts = np.array([c < 0x20 and not any(chr(c) in p for p in self.number) for c in range(256)])
+        #: Characters that are pieces, and a pattern that tells runs of them from others.
+        self.single = {c for c in self.number if len(c) == 1}
+        self.runs = re.compile("([" + "".join(map(re.escape, sorted(self.single))) + "]+)|(.)", re.S) if self.single \
+            else re.compile("()(.)", re.S)
         self.parts: dict[str, bytes] = {}
-        self.known: dict[bytes, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
         self.most = most
 
     # the bigram constraint of byte-pair models
 
-    def _merge(self, text: str, wall: int) -> list[str] | None:
+    def _crosses(self, text: str, wall: int) -> list[str] | None:
         """Merge best-scored neighbours; None once a merge crosses ``wall``."""
-        parts, score, at = list(text), self.score, [0] * len(text)
+        parts, score = list(text), self.score
         while len(parts) > 1:
             best, where = -math.inf, -1
             for i in range(len(parts) - 1):
@@ -98,91 +107,63 @@ class Transducer:
             if wall and sum(map(len, parts[:where + 1])) == wall:
                 return None
             parts[where:where + 2] = [parts[where] + parts[where + 1]]
-        del at
         return parts
 
     def _follows(self, u: int, v: int) -> bool:
-        key = (u, v)
-        ok = self.allowed.get(key)
-        if ok is None:
-            if len(self.allowed) > 2_000_000:
-                self.allowed.clear()
-            a = self.pieces[u] if u >= 0 else ""
-            b = self.pieces[v]
-            ok = self.allowed[key] = self._merge(a + b, len(a)) == ([a, b] if a else [b])
+        """Whether piece ``v`` may follow ``u`` (-1: the segment's start)."""
+        if len(self.allowed) > 300_000:
+            self.allowed.clear()
+        a = self.pieces[u] if u >= 0 else ""
+        b = self.pieces[v]
+        ok = self.allowed[(u + 1 << 32) + v] = self._crosses(a + b, len(a)) == ([a, b] if a else [b])
         return ok
 
-    def _shortest(self, text: str) -> list[int]:
-        """Shortest path of a segment of known characters."""
-        n = len(text)
-        cost: list[float] = [0.0] + [math.inf] * n
-        last, back = [-1] * (n + 1), [0] * (n + 1)
-        for i in range(n):
-            if cost[i] == math.inf:
-                continue
-            node, j, own, u = self.trie, i, cost[i], last[i]
-            while j < n:
-                node = node.get(text[j])
-                if node is None:
-                    break
-                j += 1
-                v = node.get("")
-                if v is None:
-                    continue
-                if self.merges:
-                    if cost[j] == math.inf and self._follows(u, v):
-                        cost[j], last[j], back[j] = own + 1, v, i
-                elif own - self.score[self.pieces[v]] < cost[j]:
-                    cost[j], last[j], back[j] = own - self.score[self.pieces[v]], v, i
-        ids = []
-        while n:
-            ids.append(last[n])
-            n = back[n]
-        return ids[::-1]
-
-    def _segment(self, text: str) -> bytes:
-        """Ids of a marked segment: cut where no piece holds two neighbours,
-        unknown characters to bytes."""
-        out, start, joined, trie = b"", 0, self.joined, self.trie
-        for i in range(1, len(text) + 1):
-            if i < len(text) and text[i - 1:i + 1] in joined:
-                continue
-            part = text[start:i]
-            start = i
-            ids = self.parts.get(part)
-            if ids is None:
-                if len(part) == 1 and part not in self.number:
-                    path = [self.bytes[b] for b in part.encode()] if self.bytes else [self.unknown]
-                elif all(c in self.number for c in part) or not self.merges:
-                    path = self._shortest(part) if all(c in trie for c in part) else self._spelled(part)
-                else:
-                    path = self._spelled(part)
-                ids = struct.pack(f"<{len(path)}I", *path)
-                if len(part) < 24:
-                    self.parts[part] = ids
-            out += ids
+    def _arcs(self, text: str, at: int) -> list[tuple[int, int]]:
+        """Arcs of the piece transducer from position ``at``: (end, piece)."""
+        node, out = self.trie, []
+        for j in range(at, len(text)):
+            node = node.get(text[j])
+            if node is None:
+                break
+            v = node.get("")
+            if v is not None:
+                out.append((j + 1, v))
         return out
 
-    def _spelled(self, part: str) -> list[int]:
-        """A segment with characters that are no piece themselves: shortest
-        path with byte arcs for those, at a cost above any piece."""
-        n = len(part)
-        cost: list[float] = [0.0] + [math.inf] * n
+    def _allowed_path(self, text: str) -> list[int]:
+        """The path of a byte-pair model.  Every state but those on it is a
+        dead end, so states are expanded lazily, longest arc first, and a
+        state found dead is never entered again."""
+        allowed, follows, arcs = self.allowed, self._follows, self._arcs
+        at, last, n = 0, -1, len(text)
+        ids: list[int] = []
+        stack: list[tuple[int, int, list[tuple[int, int]]]] = []
+        dead = set()
+        open_ = arcs(text, 0)
+        while at < n:
+            while open_:
+                j, v = open_.pop()
+                if j not in dead and (ok if (ok := allowed.get((last + 1 << 32) + v)) is not None else follows(last, v)):
+                    stack.append((at, last, open_))
+                    ids.append(v)
+                    at, last, open_ = j, v, arcs(text, j)
+                    break
+            else:
+                dead.add(at)
+                at, last, open_ = stack.pop()
+                ids.pop()
+        return ids
+
+    def _cheapest_path(self, text: str) -> list[int]:
+        """The path of least weight of a unigram model; a character that is no
+        piece costs more than any piece and becomes bytes."""
+        n = len(text)
+        cost = [0.0] + [math.inf] * n
         back: list[tuple[int, list[int]]] = [(0, [])] * (n + 1)
-        if self.merges:
-            ids: list[int] = []
-            for p in self._merge(part, 0) or []:
-                ids += [self.number[p]] if p in self.number else [self.bytes[b] for b in p.encode()] if self.bytes else [self.unknown]
-            return ids
         for i in range(n):
-            node, j = self.trie, i
-            arcs = []
-            while j < n and (node := node.get(part[j])) is not None:
-                j += 1
-                if "" in node:
-                    arcs.append((j, -self.score[self.pieces[node[""]]], [node[""]]))
-            if part[i] not in self.number:
-                arcs.append((i + 1, 10 - self.least, [self.bytes[b] for b in part[i].encode()] if self.bytes else [self.unknown]))
+            arcs = [(j, -self.score[self.pieces[v]], [v]) for j, v in self._arcs(text, i)]
+            if text[i] not in self.single:
+                arcs.append((i + 1, 10 - self.least, self._bytes_of(text[i])))
             for j, w, ids in arcs:
                 if cost[i] + w < cost[j]:
                     cost[j], back[j] = cost[i] + w, (i, ids)
@@ -192,26 +173,62 @@ class Transducer:
             out = ids + out
         return out
 
+    def _bytes_of(self, char: str) -> list[int]:
+        return [self.bytes[b] for b in char.encode()] if self.bytes else [self.unknown]
+
+    def _path(self, text: str) -> list[int]:
+        if not self.merges:
+            return self._cheapest_path(text)
+        if self.single.issuperset(text):
+            return self._allowed_path(text)
+        ids: list[int] = []  # a character that is no piece merges with nothing
+        for run, char in re.findall(self.runs, text):
+            ids += self._allowed_path(run) if run else self._bytes_of(char)
+        return ids
+
+    def _segment(self, text: str) -> bytes:
+        """Ids of a marked segment, cut where a letter run ends and no piece
+        holds the two neighbours."""
+        ids = self.parts.get(text)
+        if ids is not None:
+            return ids
+        words = _RUNS.findall(text)
+        if len(words) == 1:
+            return self._part(text)
+        out, part, joined = b"", "", self.joined
+        for word in words:
+            if part and part[-1] + word[0] not in joined:
+                out += self._part(part)
+                part = word
+            else:
+                part += word
+        return out + self._part(part)
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.old_parts.get(part)
+            if ids is None:
+                path = self._path(part)
+                ids = struct.pack(f"<{len(path)}I", *path)
+            if len(part) < 32:
+                self.parts[part] = ids
+        return ids
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and where each text's ids begin
         (one more entry at the end)."""
         head = MARK if self.prefix else ""
         marked = [(head + t.replace(" ", MARK)).encode() if t else b"" for t in texts.to_pylist()]
-        spans = _segments(marked)
+        spans = _segments(marked, self.cuts)
         if not len(spans.start):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         _, where, which = np.unique(spans.codes(), return_index=True, return_inverse=True)
         raw = spans.data.tobytes()
         distinct = [raw[i:j] for i, j in zip(spans.start[where].tolist(), spans.end[where].tolist())]
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        if len(self.parts) > self.most:
-            self.parts.clear()
-        for w in distinct:
-            if w not in known:
-                known[w] = self._segment(w.decode())
-        ids = list(map(known.__getitem__, distinct))
+        if len(self.parts) > self.most:  # from the older table, parts still in use move back
+            self.parts, self.old_parts = {}, self.parts
+        ids = [self._segment(w.decode()) for w in distinct]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         counts = sizes[which]
@@ -227,16 +244,16 @@ class Transducer:
         return raw.decode("utf-8", "replace")
 
 
-def _segments(marked: list[bytes]) -> Words:
-    """Cut marked texts before each run of marks and around line breaks and
-    tabs, which no piece holds."""
+def _segments(marked: list[bytes], cuts: np.ndarray) -> Words:
+    """Cut marked texts before each run of marks and around the bytes of
+    ``cuts``."""
     data = np.frombuffer(b"".join(marked), dtype=np.uint8)
     offs = np.concatenate(([0], np.cumsum([len(m) for m in marked], dtype=np.int64)))
     n = len(data)
     mark = np.zeros(n + 3, dtype=bool)
     if n > 2:
         mark[:n - 2] = (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
-    control = data < 0x20
+    control = cuts[data]
     cut = np.zeros(n + 1, dtype=bool)
     cut[offs] = True
     at = np.flatnonzero(mark[:n])
@@ -267,7 +284,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = transducer(model)
         for b in batches:
-            for few in slices(b, "text"):
+            for few in slices(b, "text", 1_600_000):
                 flat, first = t.encode(few.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat.astype(np.int32)))
                 cols = [few.column("id"), pa.array(np.diff(first), pa.int64()), lists]

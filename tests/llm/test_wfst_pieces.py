@@ -19,7 +19,7 @@ def encoded(texts):
 
 
 @settings(max_examples=300, deadline=None)
-@cases(st.lists(st.one_of(st.text(max_size=40), st.text(" \n\t▁abcdeinotrs.,'é日", max_size=60)), min_size=1, max_size=5))
+@cases(st.lists(st.one_of(st.text(max_size=40), st.text(" \r\n\t▁abcdeinotrs.,'é日", max_size=60)), min_size=1, max_size=5))
 def test_encoding_equals_the_library(texts):
     assert encoded(texts) == [LIBRARY.encode(t) for t in texts]
 
@@ -64,6 +64,11 @@ def test_unigram_weights_take_the_cheapest_path(tmp_path):
     assert [t.pieces[i] for i in ids] == ["▁a", "b", "▁a", "b", "ab", "▁a", "<unk>", "b"]
 
 
+def test_pieces_with_control_characters():
+    texts = ["\r", "a\r\nb", "\t\t", " \r x", "a\x1fb"]
+    assert encoded(texts) == [LIBRARY.encode(t) for t in texts]
+
+
 def test_other_normalisers_are_refused(tmp_path):
     from sentencepiece import sentencepiece_model_pb2 as pb
     m = pb.ModelProto()
