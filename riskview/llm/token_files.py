@@ -21,6 +21,7 @@ no shards.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -123,6 +124,14 @@ def unpack_shard(raw: bytes) -> tuple[list[int | None], np.ndarray, EliasFano]:
     return [None] * nulls + [least + int(x) for x in known.values()], flat, bounds
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return _PACKS[len(ids)](*ids) if len(ids) < len(_PACKS) else struct.pack(f"<{len(ids)}I", *ids)
+
+
+_PACKS = [struct.Struct(f"<{n}I").pack for n in range(32)]
+
+
 class WordEncoder:
     """``tokenizers`` encoding with the ids of words remembered.
 
@@ -136,13 +145,16 @@ class WordEncoder:
 
     #: Letters for which lower case and NFC act on each character alone.
     _letters = "".join(chr(c) for c in range(0x41, 0x250) if chr(c).isalpha() and chr(c) not in "İŉǄǅǆǇǈǉǊǋǌǱǲǳ")
-    _marks = ".,;:!?"
+    _marks = b".,;:!?"
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.tails: dict[bytes, bytes] = {}
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self._byte = {}
         for c in range(0x80, 0x800):
@@ -157,31 +169,54 @@ class WordEncoder:
         return all(list(self.encode(pa.array([text]))[0]) == ids for text, ids in zip(probe, whole))
 
     def _whole(self, words: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(e)}I", *e.ids)
+        return [_packed(e.ids)
                 for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        known, model, letters = self.known, self.tokenizer.model, self._letters
+        known, older, tails = self.known, self.older, self.tails
+        tokenize, letters, shown, marks = self.tokenizer.model.tokenize, self._letters, self._byte, self._marks
         rest = []
         for raw in words:
-            word = raw.decode()
-            core = word.rstrip(self._marks)
-            if not core.isalpha() or not (core.isascii() or not core.strip(letters)):
-                rest.append(raw)
-                continue
-            core, tail = core.lower(), raw[len(raw) - (len(word) - len(core)):] if len(core) < len(word) else b""
-            key = core.encode()
-            ids = known.get(key)
-            if ids is None:
-                tokens = model.tokenize(core if core.isascii() else core.translate(self._byte))
-                ids = known[key] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            if tail:
-                if tail not in known:
-                    known[tail], = self._whole([tail.decode()])
-                ids += known[tail]
-            known[raw] = ids
-        for raw, ids in zip(rest, self._whole([r.decode() for r in rest])):
+            core = raw.rstrip(marks)
+            if core.isalpha():  # ASCII letters
+                key = core.lower()
+                ids = known.get(key) or older.get(key)
+                if ids is None:
+                    ids = known[key] = _packed([t.id for t in tokenize(key.decode())])
+            else:
+                word = core.decode()
+                if not word.isalpha() or word.strip(letters):
+                    rest.append(raw)
+                    continue
+                word = word.lower()
+                key = word.encode()
+                ids = known.get(key) or older.get(key)
+                if ids is None:
+                    ids = known[key] = _packed([t.id for t in tokenize(word.translate(shown))])
+            if len(core) < len(raw):
+                tail = raw[len(core):]
+                if tail not in tails:
+                    tails[tail], = self._whole([tail.decode()])
+                ids += tails[tail]
             known[raw] = ids
+        if rest:
+            known.update(zip(rest, self._whole([r.decode() for r in rest])))
+
+    def _look_up(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words; a full table becomes the older one, from which words
+        still in use move back."""
+        if len(self.known) > self.most:
+            self.known, self.older = {}, self.known
+        if len(self.tails) > 10_000:
+            self.tails.clear()
+        known, older = self.known, self.older
+        missing = [w for w in words if w not in known]
+        if older:
+            known.update({w: older[w] for w in missing if w in older})
+            missing = [w for w in missing if w not in known]
+        if missing:
+            self._learn(missing)
+        return [known[w] for w in words]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and where each text's ids begin
@@ -192,12 +227,7 @@ class WordEncoder:
         _, where, which = np.unique(words.codes(), return_index=True, return_inverse=True)
         raw = words.data.tobytes()
         distinct = [raw[i:j] for i, j in zip(words.start[where].tolist(), words.end[where].tolist())]
-        if len(self.known) > self.most:
-            self.known.clear()
-        missing = [w for w in distinct if w not in self.known]
-        if missing:
-            self._learn(missing)
-        ids = list(map(self.known.__getitem__, distinct))
+        ids = self._look_up(distinct)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         counts = sizes[which]
@@ -228,7 +258,7 @@ def _packer(path: str, end_id: int, width: int, shard_bytes: int) -> Callable[[I
                 names=["part", "seq", "n_docs", "n_ids", "shard"])
 
         for b in batches:
-            for few in slices(b, "text"):
+            for few in slices(b, "text", 2_000_000):
                 flat, first = encoder.encode(few.column("text"))
                 for d, i, j in zip(few.column("id").to_pylist(), first[:-1], first[1:]):
                     docs.append(d)
