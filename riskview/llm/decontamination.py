@@ -10,9 +10,10 @@ and nothing else is).  An alignment with equal values is ``verbatim``, one
 with a consistent change ``reparameterised``; an inconsistent one is no match.
 
 Everything is DataFrame functions.  A document's window hashes are computed as
-one array; the rows made of them hold the document's key, a position and a hash
-only, and are probed against the benchmark's windows, which are broadcast only
-when a count proves them small.  Texts are met again for the documents with a
+one array; a fixed-size sieve of the benchmark's hashes drops most of them, the
+rows made of the rest hold the document's key, a position and a hash only, and
+are probed against the benchmark's windows, which are broadcast only when a
+count proves them small.  Texts are met again for the documents with a
 match alone, to compare the windows themselves and their slots.
 
 Cases: null or empty texts hold no windows and are clean; an item shorter than
@@ -110,19 +111,44 @@ def _item_windows(items: DataFrame, width: int) -> DataFrame:
     return rows.where(2 * literal >= width).withColumn("hash", F.element_at(_hashes(F.col("item_window"), width), 1))
 
 
+_SIEVE = 18  # bits of a hash that the sieve looks at
+
+
+def _sieve(windows: DataFrame) -> Column:
+    """A bit for each value of a hash's last bits that a window has, as an
+    array of longs: of a fixed size, whatever the benchmark."""
+    low = F.col("hash").bitwiseAND(F.lit((1 << _SIEVE) - 1))
+    bits = (windows.groupBy(F.shiftright(low, 6).alias("at"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 AS INT))")).alias("bits")).collect())
+    longs = [0] * (1 << _SIEVE - 6)
+    for r in bits:
+        longs[r["at"]] = r["bits"]
+    return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
+
+
+def _sifted(hashes: Column, sieve: Column) -> Column:
+    """Position and hash of the windows that the sieve does not rule out."""
+    low = lambda h: h.bitwiseAND(F.lit((1 << _SIEVE) - 1))
+    return once(sieve, lambda bits: F.filter(
+        F.transform(hashes, lambda h, i: F.when(F.bit_get(
+            F.element_at(bits, (F.shiftright(low(h), 6) + 1).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1,
+            F.struct(i.alias("at"), h.alias("hash")))), lambda x: x.isNotNull()))
+
+
 def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
     """Windows of documents equal to an item's: id, key, item, shift, and the
     slot values of both.  ``texts``: id, key, text."""
     own = stored(_item_windows(items, width), "item-windows")
-    hashes = texts.select("id", "key", _hashes(_words(_template(_plain(F.col("text")))), width).alias("hashes"))
-    met = hashes.select("id", "key", F.posexplode("hashes").alias("at", "hash"))
+    hashes = _hashes(_words(_template(_plain(F.col("text")))), width)
+    met = texts.select("id", "key", F.explode(_sifted(hashes, _sieve(own))).alias("w")).select("id", "key", "w.at", "w.hash")
     found = stored(met.join(broadcast_if_small(own.select("hash").distinct(), 1_000_000), "hash"), "window-hits")
-    found = found.join(broadcast_if_small(own, 1_000_000), "hash")
-    found = found.groupBy("id", "key").agg(F.collect_list(F.struct("at", "item", "item_at", "item_window", "item_slots")).alias("hits"))
+    found = found.join(broadcast_if_small(own, 100_000), "hash")
+    found = stored(found.groupBy("id", "key").agg(F.collect_list(F.struct("at", "item", "item_at", "item_window", "item_slots")).alias("hits"))
+                   .toDF("hit_id", "hit_key", "hits"), "document-hits")
     # the texts of documents with a hit only
-    found = broadcast_if_small(stored(found.toDF("hit_id", "hit_key", "hits"), "document-hits"), 100_000)
-    rows = (texts.join(found, (F.col("key") == F.col("hit_key")) & F.col("id").eqNullSafe(F.col("hit_id")))
-            .select("id", "key", "hits", _plain(F.col("text")).alias("plain")))
+    same = (F.col("key") == F.col("hit_key")) & F.col("id").eqNullSafe(F.col("hit_id"))
+    rows = texts.join(broadcast_if_small(found.select("hit_id", "hit_key")), same, "left_semi")
+    rows = rows.join(found, same).select("id", "key", "hits", _plain(F.col("text")).alias("plain"))
     hits = once(F.struct(_words(_template(F.col("plain"))).alias("template"), _words(F.col("plain")).alias("values")),
                  lambda d: F.transform("hits", lambda h: F.struct(
                      h["item"].alias("item"), (h["at"] - h["item_at"]).alias("shift"),
