@@ -128,13 +128,14 @@ def features(texts: pa.Array, lexicon: Lexicon, second: np.ndarray, stem: int) -
         d = low.data
         same[3:] = np.cumsum((d[2:] == d[1:-1]) & (d[1:-1] == d[:-2]) & _LETTER[d[2:]])
     drawn = (size > 2) & (same[raw.end] - same[np.minimum(raw.start + 2, raw.end)] > 0)
-    chars = np.maximum(count(raw.doc, size), 1)
+    long = count(raw.doc, size)
+    chars = np.maximum(long, 1)
     hits, root_hits = count(raw.doc, hit), count(raw.doc, root_hit)
     cols = (hits / words, root_hits / words, hits, root_hits, count(raw.doc, you) / words,
             count(raw.doc, near & (hit | root_hit)), count(raw.doc, uppers) / chars,
             count(raw.doc, (uppers > 1) & (uppers == letters)) / words, count(raw.doc, sums(_STOP)) / words,
             count(raw.doc, sums(_SHOUT)) / words, count(raw.doc, marks) / chars, count(raw.doc, digits) / chars,
-            count(raw.doc, mixed) / words, count(raw.doc, drawn) / words, chars / words, raw.per_doc.astype(float))
+            count(raw.doc, mixed) / words, count(raw.doc, drawn) / words, long / words, raw.per_doc.astype(float))
     return np.stack(cols, axis=1)
 
 
