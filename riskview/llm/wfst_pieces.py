@@ -236,6 +236,10 @@ class Transducer:
         out = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - counts), counts) + np.arange(ends[-1])]
         return out, np.concatenate(([0], ends))[spans.first]
 
+    def forget(self) -> None:
+        """Drop what encoding has remembered."""
+        self.parts, self.old_parts = {}, {}
+
     def decode(self, ids: np.ndarray) -> str:
         """The text whose ids these are: pieces to text, bytes joined."""
         raw = b"".join(map(self.surface.__getitem__, ids.tolist()))
@@ -291,6 +295,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
                 if decode:
                     cols.append(pa.array([t.decode(flat[i:j]) for i, j in zip(first[:-1], first[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays(cols, names=["id", "n_pieces", "pieces", "decoded"][:len(cols)])
+        t.forget()  # a worker lives on and serves other stages
 
     kind = rows.schema["id"].dataType.simpleString()
     out = rows.mapInArrow(run, f"id {kind}, n_pieces long, pieces array<int>" + ", decoded string" * decode)
