@@ -131,7 +131,7 @@ def _remove(width: int, buckets: int, schema: pa.Schema) -> Callable[[pa.Table,
 
 
 def remove_repeats(docs: DataFrame, width: int = 35, id_col: str = "doc_id", text_col: str = "text",
-                   block_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+                   block_bytes: int = 2 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """Remove every word covered by a window that starts more than once.
 
     Returns id, n_words, n_removed, intervals (word positions, stop exclusive)
