@@ -9,6 +9,11 @@ the placeholders must map one to one (an item's 3 is always the document's 5,
 and nothing else is).  An alignment with equal values is ``verbatim``, one
 with a consistent change ``reparameterised``; an inconsistent one is no match.
 
+Beside them, windows of the lower-cased words themselves are joined, with no
+rule on names: a text in capitals or title case, or an item whose first word
+follows a word, has other templates than the item and still its words.  A
+window of equal words but other templates is ``verbatim`` by itself.
+
 Everything is DataFrame functions.  A document's window hashes are computed as
 one array; a fixed-size sieve of the benchmark's hashes drops most of them, the
 rows made of the rest hold the document's key, a position and a hash only, and
@@ -18,7 +23,7 @@ match alone, to compare the windows themselves and their slots.
 
 Cases: null or empty texts hold no windows and are clean; an item shorter than
 a window is matched as a whole; a window with fewer literal words than half of
-it identifies no template and is not used; repeated rows are judged alike;
+it identifies no template and is matched by its words alone; repeated rows are judged alike;
 null ids are kept; an empty benchmark leaves every document clean.
 """
 
@@ -52,8 +57,8 @@ def _plain(text: Column) -> Column:
     return once(F.coalesce(text, F.lit("")), clean)
 
 
-def _template(plain: Column) -> Column:
-    """Template of a plain text, one word for each of its words."""
+def _template(low: Column) -> Column:
+    """Template of a plain text in lower case, one word for each of its words."""
     word = _SPACE.replace("[", "[^")
 
     def names(low: Column) -> Column:
@@ -64,7 +69,7 @@ def _template(plain: Column) -> Column:
         units = F.regexp_replace(digits, rf"(?<=<number>{_SPACE})(?:" + "|".join(UNITS) + rf")(?!{word})", "<unit>")
         return F.when(low.rlike("[0-9]"), units).otherwise(low)
 
-    return once(once(F.lower(plain), names), numbers)
+    return once(once(low, names), numbers)
 
 
 def _words(text: Column) -> Column:
@@ -72,6 +77,12 @@ def _words(text: Column) -> Column:
         t == "", F.array().cast("array<string>")).otherwise(F.split(t, _SPACE + "+")))
 
 
+def _views(text: Column) -> Column:
+    """A text's words twice, one for one: template and lower-cased words."""
+    return once(F.lower(_plain(text)), lambda low: F.struct(
+        _words(_template(low)).alias("template"), _words(F.replace(low, F.lit(_NAME), F.lit(""))).alias("words")))
+
+
 def _hashes(words: Column, width: int) -> Column:
     """Hash of every window of ``width`` words, by doubling: a window's hash is
     that of its halves' hashes, so each step is one pass over an array."""
@@ -95,20 +106,26 @@ def _is_slot(word: Column) -> Column:
     return word.isin("<name>", "<number>", "<unit>")
 
 
-def _slots(template: Column, plain: Column) -> Column:
+def _slots(template: Column, words: Column) -> Column:
     """Values of a window's placeholders (empty string elsewhere)."""
-    return F.zip_with(template, plain, lambda t, p: F.when(_is_slot(t), F.lower(p)).otherwise(F.lit("")))
+    return F.zip_with(template, words, lambda t, w: F.when(_is_slot(t), w).otherwise(F.lit("")))
+
+
+def _firm(template: Column, width: int) -> Column:
+    """Whether a window has literal words enough to identify a template."""
+    return 2 * F.size(F.filter(template, lambda x: ~_is_slot(x))) >= width
 
 
 def _item_windows(items: DataFrame, width: int) -> DataFrame:
-    """Windows of the items: hash, item, item_at, item_window, item_slots."""
+    """Windows of the items, by template and (``literal``) by words: item,
+    item_at, item_window, item_words, literal, hash."""
     last = F.size("template") - width
     rows = items.where(last >= 0).withColumn("item_at", F.explode(F.sequence(F.lit(0), last)))
-    window = F.slice("template", F.col("item_at") + 1, width)
-    rows = rows.select("item", "item_at", window.alias("item_window"),
-                       _slots(window, F.slice("values", F.col("item_at") + 1, width)).alias("item_slots"))
-    literal = F.size(F.filter("item_window", lambda x: ~_is_slot(x)))
-    return rows.where(2 * literal >= width).withColumn("hash", F.element_at(_hashes(F.col("item_window"), width), 1))
+    window = lambda c: F.slice(c, F.col("item_at") + 1, width)
+    rows = rows.select("item", "item_at", window("template").alias("item_window"), window("words").alias("item_words"))
+    rows = rows.withColumn("literal", F.explode(F.array(F.lit(False), F.lit(True))))
+    hashed = once(F.when(F.col("literal"), F.col("item_words")).otherwise(F.col("item_window")), lambda w: F.element_at(_hashes(w, width), 1))
+    return rows.where(F.col("literal") | _firm(F.col("item_window"), width)).withColumn("hash", hashed)
 
 
 _SIEVE = 18  # bits of a hash that the sieve looks at
@@ -126,47 +143,53 @@ def _sieve(windows: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
 
 
-def _sifted(hashes: Column, sieve: Column) -> Column:
-    """Position and hash of the windows that the sieve does not rule out."""
+def _sifted(hashes: Column, sieve: Column, literal: bool) -> Column:
+    """Position, hash and kind of the windows that the sieve does not rule out."""
     low = lambda h: h.bitwiseAND(F.lit((1 << _SIEVE) - 1))
     return once(sieve, lambda bits: F.filter(
         F.transform(hashes, lambda h, i: F.when(F.bit_get(
             F.element_at(bits, (F.shiftright(low(h), 6) + 1).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1,
-            F.struct(i.alias("at"), h.alias("hash")))), lambda x: x.isNotNull()))
+            F.struct(i.alias("at"), h.alias("hash"), F.lit(literal).alias("literal")))), lambda x: x.isNotNull()))
 
 
 def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
-    """Windows of documents equal to an item's: id, key, item, shift, and the
-    slot values of both.  ``texts``: id, key, text."""
+    """Windows of documents equal to an item's: id, key, item, shift, the slot
+    values of both, and ``exact``: verbatim by itself, whatever the rest of its
+    alignment.  ``texts``: id, key, text."""
     own = stored(_item_windows(items, width), "item-windows")
-    hashes = _hashes(_words(_template(_plain(F.col("text")))), width)
-    met = texts.select("id", "key", F.explode(_sifted(hashes, _sieve(own))).alias("w")).select("id", "key", "w.at", "w.hash")
-    found = stored(met.join(broadcast_if_small(own.select("hash").distinct(), 1_000_000), "hash"), "window-hits")
-    found = found.join(broadcast_if_small(own, 100_000), "hash")
-    found = stored(found.groupBy("id", "key").agg(F.collect_list(F.struct("at", "item", "item_at", "item_window", "item_slots")).alias("hits"))
+    sieves = [_sieve(own.where(F.col("literal") == literal)) for literal in (False, True)]
+    views = (("template", sieves[0], False), ("words", sieves[1], True))
+    sifted = once(_views(F.col("text")), lambda v: F.concat(*[
+        _sifted(_hashes(v[name], width), sieve, literal) for name, sieve, literal in views]))
+    met = texts.select("id", "key", F.explode(sifted).alias("w")).select("id", "key", "w.at", "w.hash", "w.literal")
+    found = stored(met.join(broadcast_if_small(own.select("hash", "literal").distinct(), 1_000_000), ["hash", "literal"]), "window-hits")
+    found = found.join(broadcast_if_small(own, 100_000), ["hash", "literal"])
+    found = stored(found.groupBy("id", "key").agg(F.collect_list(F.struct("at", "literal", "item", "item_at", "item_window", "item_words")).alias("hits"))
                    .toDF("hit_id", "hit_key", "hits"), "document-hits")
     # the texts of documents with a hit only
     same = (F.col("key") == F.col("hit_key")) & F.col("id").eqNullSafe(F.col("hit_id"))
     rows = texts.join(broadcast_if_small(found.select("hit_id", "hit_key")), same, "left_semi")
-    rows = rows.join(found, same).select("id", "key", "hits", _plain(F.col("text")).alias("plain"))
-    hits = once(F.struct(_words(_template(F.col("plain"))).alias("template"), _words(F.col("plain")).alias("values")),
-                 lambda d: F.transform("hits", lambda h: F.struct(
-                     h["item"].alias("item"), (h["at"] - h["item_at"]).alias("shift"),
-                     (F.slice(d["template"], h["at"] + 1, width) == h["item_window"]).alias("equal"),
-                     h["item_slots"].alias("item_slots"),
-                     _slots(h["item_window"], F.slice(d["values"], h["at"] + 1, width)).alias("slots"))))
-    rows = rows.select("id", "key", F.explode(hits).alias("hit")).where("hit.equal")
+    rows = rows.join(found, same)
+    hits = once(_views(F.col("text")), lambda v: F.transform("hits", lambda h: F.struct(
+        h["item"].alias("item"), (h["at"] - h["item_at"]).alias("shift"), h["literal"].alias("literal"),
+        h["item_window"].alias("item_window"), h["item_words"].alias("item_words"),
+        F.slice(v["template"], h["at"] + 1, width).alias("window"), F.slice(v["words"], h["at"] + 1, width).alias("words"))))
+    rows = rows.select("id", "key", F.explode(hits).alias("hit")).select("id", "key", "hit.*")
+    # equal words under equal templates are judged as these, by their alignment's slots
+    alike = F.col("window") == F.col("item_window")
+    rows = rows.where(F.when(F.col("literal"), (F.col("words") == F.col("item_words")) & ~(alike & _firm(F.col("item_window"), width)))
+                      .otherwise(alike))
     # equal rows come more than once; an alignment is judged on distinct pairs
-    return rows.select("id", "key", "hit.item", "hit.shift", "hit.item_slots", "hit.slots")
+    return rows.select("id", "key", "item", "shift", F.col("literal").alias("exact"),
+                       _slots(F.col("item_window"), F.col("item_words")).alias("item_slots"), _slots(F.col("item_window"), F.col("words")).alias("slots"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Every document's id, key (of id and text), contaminated, n_items, and
     items: the matched item ids with how they match."""
-    plain = F.col("plain")
-    items = (benchmark.select(F.col(item_col).alias("item"), _plain(F.col(item_text_col)).alias("plain"))
-             .select("item", _words(_template(plain)).alias("template"), _words(plain).alias("values"))
+    items = (benchmark.select(F.col(item_col).alias("item"), _views(F.col(item_text_col)).alias("views"))
+             .select("item", "views.template", "views.words")
              .where(F.size("template") > 0).withColumn("width", F.least(F.size("template"), F.lit(width))))
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most ``width`` numbers
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -178,13 +201,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col:
     if hits is None:
         return keyed.select(F.col("id").alias(id_col), "key", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"),
                             F.array().cast("array<struct<item:bigint,kind:string>>").alias("items"))
-    pairs = F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != "")
+    pairs = F.when(~F.col("exact"), F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != ""))
     # an alignment has at most one pair a slot of its item
     runs = (hits.withColumn("pair", F.explode_outer(F.array_distinct(pairs)))
-            .groupBy("id", "key", "item", "shift").agg(F.collect_set("pair").alias("pairs")))
+            .groupBy("id", "key", "item", "shift").agg(F.collect_set("pair").alias("pairs"), F.max("exact").alias("exact")))
     given, taken = F.array_distinct(F.col("pairs.item_slots")), F.array_distinct(F.col("pairs.slots"))
-    same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
-    runs = (runs.where((F.size("pairs") == F.size(given)) & (F.size("pairs") == F.size(taken)))
+    same = F.col("exact") | F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
+    runs = (runs.where(F.col("exact") | (F.size("pairs") == F.size(given)) & (F.size("pairs") == F.size(taken)))
             .groupBy("id", "key", "item").agg(F.max(same).alias("same")))
     kind = F.when(F.col("same"), "verbatim").otherwise("reparameterised")
     found = stored(runs.groupBy("id", "key").agg(

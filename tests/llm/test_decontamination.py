@@ -93,3 +93,24 @@ def test_main_path_is_native(spark):
     bench = spark.createDataFrame([(0, ITEMS[0])], "item_id long, text string")
     plan = contaminated(documents(spark, DOCS), bench)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def literal(text):
+    return [p for w in words(text) if (p := "".join(c for c in w if c not in MARKS).lower())]
+
+
+def shares_words(doc, item, width=8):
+    """Brute force that knows no templates: some window of equal words."""
+    d, b = literal(doc), literal(item)
+    w = min(width, len(b))
+    spans = {tuple(b[j:j + w]) for j in range(len(b) - w + 1)}
+    return w > 0 and any(tuple(d[i:i + w]) in spans for i in range(len(d) - w + 1))
+
+
+def test_copies_in_capitals_and_inside_sentences(spark):
+    items = [ITEMS[0], ITEMS[5], "Why do cats purr at night?", "Seven ships sailed to Rome that old winter"]
+    docs = [f(i) for i in items for f in (str.upper, str.title, str.lower, lambda i: "so he asked " + i, lambda i: "X " + i.upper() + " Y")]
+    docs += ["WHY DO CATS", "another text of eight words and no copy"]
+    want = {d: {i: "verbatim" for i, b in enumerate(items) if shares_words(t, b)} for d, t in enumerate(docs)}
+    assert all(want[d] for d in range(20)) and not want[20] and not want[21]
+    assert run(spark, docs, items) == want
