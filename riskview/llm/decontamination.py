@@ -7,7 +7,8 @@ words are hash-joined, so a question whose values were changed still matches.
 Matches of one item along one alignment then pass a slot check: the values in
 the placeholders must map one to one (an item's 3 is always the document's 5,
 and nothing else is).  An alignment with equal values is ``verbatim``, one
-with a consistent change ``reparameterised``; an inconsistent one is no match.
+with a consistent change ``reparameterised``; an inconsistent one is no match,
+but for its windows without placeholders, which are verbatim by themselves.
 
 Beside them, windows of the lower-cased words themselves are joined, with no
 rule on names: a text in capitals or title case, or an item whose first word
@@ -179,8 +180,10 @@ def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
     alike = F.col("window") == F.col("item_window")
     rows = rows.where(F.when(F.col("literal"), (F.col("words") == F.col("item_words")) & ~(alike & _firm(F.col("item_window"), width)))
                       .otherwise(alike))
+    # a window without slots cannot be undone by values elsewhere
+    exact = F.col("literal") | ~F.exists("item_window", _is_slot)
     # equal rows come more than once; an alignment is judged on distinct pairs
-    return rows.select("id", "key", "item", "shift", F.col("literal").alias("exact"),
+    return rows.select("id", "key", "item", "shift", exact.alias("exact"),
                        _slots(F.col("item_window"), F.col("item_words")).alias("item_slots"), _slots(F.col("item_window"), F.col("words")).alias("slots"))
 
 

@@ -114,3 +114,12 @@ def test_copies_in_capitals_and_inside_sentences(spark):
     want = {d: {i: "verbatim" for i, b in enumerate(items) if shares_words(t, b)} for d, t in enumerate(docs)}
     assert all(want[d] for d in range(20)) and not want[20] and not want[21]
     assert run(spark, docs, items) == want
+
+
+def test_items_rich_in_values_and_passages_without(spark):
+    items = ["3 + 4 = 7 and 5 + 6 = 11", "Anna Bob Carla Dora Emil Franz Greta Hans",
+             "if 5 or 10 birds leave, the old grey tower near the harbour stands quiet until the next morning"]
+    docs = ["sum: 3 + 4 = 7 and 5 + 6 = 11 it is", "sum: 3 + 4 = 8 and 5 + 6 = 12 it is", "list Anna Bob Carla Dora Emil Franz Greta Hans",
+            "list Anna Bob Carla Dora Emil Franz Greta Otto",
+            "if 4 or 4 birds leave, the old grey tower near the harbour stands quiet until the next morning"]
+    assert run(spark, docs, items) == {0: {0: "verbatim"}, 1: {0: "reparameterised"}, 2: {1: "verbatim"}, 3: {}, 4: {2: "verbatim"}}
