@@ -157,34 +157,39 @@ def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
     """Windows of documents equal to an item's: id, key, item, shift, the slot
     values of both, and ``exact``: verbatim by itself, whatever the rest of its
     alignment.  ``texts``: id, key, text."""
-    own = stored(_item_windows(items, width), "item-windows")
+    parts = ["hash", "literal", "item_window", "item_words"]
+    listed = stored(_item_windows(items, width), "item-rows")
+    own = stored(listed.select(parts).distinct().withColumn("window_id", F.monotonically_increasing_id()), "item-windows")
+    owners = stored(listed.join(own, parts).select("window_id", "item", "item_at"), "window-items")
     sieves = [_sieve(own.where(F.col("literal") == literal)) for literal in (False, True)]
     views = (("template", sieves[0], False), ("words", sieves[1], True))
     sifted = once(_views(F.col("text")), lambda v: F.concat(*[
         _sifted(_hashes(v[name], width), sieve, literal) for name, sieve, literal in views]))
     met = texts.select("id", "key", F.explode(sifted).alias("w")).select("id", "key", "w.at", "w.hash", "w.literal")
     found = stored(met.join(broadcast_if_small(own.select("hash", "literal").distinct(), 1_000_000), ["hash", "literal"]), "window-hits")
-    found = found.join(broadcast_if_small(own, 100_000), ["hash", "literal"])
-    found = stored(found.groupBy("id", "key").agg(F.collect_list(F.struct("at", "literal", "item", "item_at", "item_window", "item_words")).alias("hits"))
+    # at most two entries a window of the text, however many items or equal rows
+    found = stored(found.groupBy("id", "key").agg(F.collect_set(F.struct("at", "hash", "literal")).alias("hits"))
                    .toDF("hit_id", "hit_key", "hits"), "document-hits")
-    # the texts of documents with a hit only
+    # the texts of documents with a hit only, each once
     same = (F.col("key") == F.col("hit_key")) & F.col("id").eqNullSafe(F.col("hit_id"))
-    rows = texts.join(broadcast_if_small(found.select("hit_id", "hit_key")), same, "left_semi")
+    rows = texts.join(broadcast_if_small(found.select("hit_id", "hit_key")), same, "left_semi").dropDuplicates(["id", "key"])
     rows = rows.join(found, same)
     hits = once(_views(F.col("text")), lambda v: F.transform("hits", lambda h: F.struct(
-        h["item"].alias("item"), (h["at"] - h["item_at"]).alias("shift"), h["literal"].alias("literal"),
-        h["item_window"].alias("item_window"), h["item_words"].alias("item_words"),
+        h["at"].alias("at"), h["hash"].alias("hash"), h["literal"].alias("literal"),
         F.slice(v["template"], h["at"] + 1, width).alias("window"), F.slice(v["words"], h["at"] + 1, width).alias("words"))))
     rows = rows.select("id", "key", F.explode(hits).alias("hit")).select("id", "key", "hit.*")
+    rows = rows.join(broadcast_if_small(own, 100_000), ["hash", "literal"])
     # equal words under equal templates are judged as these, by their alignment's slots
     alike = F.col("window") == F.col("item_window")
     rows = rows.where(F.when(F.col("literal"), (F.col("words") == F.col("item_words")) & ~(alike & _firm(F.col("item_window"), width)))
                       .otherwise(alike))
     # a window without slots cannot be undone by values elsewhere
     exact = F.col("literal") | ~F.exists("item_window", _is_slot)
-    # equal rows come more than once; an alignment is judged on distinct pairs
-    return rows.select("id", "key", "item", "shift", exact.alias("exact"),
+    rows = rows.select("id", "key", "at", "window_id", exact.alias("exact"),
                        _slots(F.col("item_window"), F.col("item_words")).alias("item_slots"), _slots(F.col("item_window"), F.col("words")).alias("slots"))
+    # items last, as rows: a document may hold windows that very many items share
+    rows = rows.join(broadcast_if_small(owners, 100_000), "window_id")
+    return rows.select("id", "key", "item", (F.col("at") - F.col("item_at")).alias("shift"), "exact", "item_slots", "slots")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col: str = "doc_id", text_col: str = "text",

@@ -2,6 +2,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from riskview.llm import decontamination
 from riskview.llm.decontamination import UNITS, contaminated, decontaminate
 from tests.llm.helpers import AWKWARD, documents, given, words
 
@@ -123,3 +124,22 @@ def test_items_rich_in_values_and_passages_without(spark):
             "list Anna Bob Carla Dora Emil Franz Greta Otto",
             "if 4 or 4 birds leave, the old grey tower near the harbour stands quiet until the next morning"]
     assert run(spark, docs, items) == {0: {0: "verbatim"}, 1: {0: "reparameterised"}, 2: {1: "verbatim"}, 3: {}, 4: {2: "verbatim"}}
+
+
+def test_hit_lists_do_not_grow_with_items_or_equal_rows(spark, monkeypatch):
+    lead = "please read the following short question with care and answer"
+    items = [f"{lead} part {chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)]
+    dump = " ".join(items)
+    longest = []
+
+    def kept(df, name, real=decontamination.stored):
+        out = real(df, name)
+        if name == "document-hits":
+            longest.append(out.agg(F.max(F.size("hits"))).first()[0])
+        return out
+
+    monkeypatch.setattr(decontamination, "stored", kept)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = contaminated(documents(spark, [dump] * 4, [1, 1, 1, 2]), bench).collect()
+    assert [len(r["items"]) for r in rows] == [60] * 4
+    assert longest and max(longest) <= 2 * len(words(dump))
