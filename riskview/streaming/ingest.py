@@ -14,7 +14,8 @@ it is dropped only if its key has been written before.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ BATCH = "ingest_batch"
 class StreamRun:
     batches: int
     rows: int
+    rejected: int = 0
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -101,7 +103,8 @@ def ingest_first_seen(spark: SparkSession, source_dir: str, schema: T.StructType
                       sink_dir: str, checkpoint_dir: str, pipeline: str, keys: Sequence[str],
                       run_ts: Column | str | None = None, fmt: str = "json",
                       timeout_s: float | None = None,
-                      max_files_per_trigger: int | None = None) -> StreamRun:
+                      max_files_per_trigger: int | None = None,
+                      rejects_dir: str | None = None) -> StreamRun:
     """Catch-up pass of a feed that may deliver a record many times: the sink
     holds each key once, the first time it was seen.
 
@@ -109,20 +112,35 @@ def ingest_first_seen(spark: SparkSession, source_dir: str, schema: T.StructType
     keys already in the sink (that column only), then written to its own
     ``ingest_batch`` partition, which a repeated batch overwrites.  The state
     is the sink itself, so no watermark can drop a late record.
+
+    A record that lacks a key (a malformed line lacks all) equals no other:
+    every one goes to ``rejects_dir`` (``<sink_dir>-rejects`` unless given),
+    laid out like the sink, and is counted in the run's ``rejected``.
     """
+    rejects_dir = rejects_dir or f"{sink_dir.rstrip('/')}-rejects"
+    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    rejected: dict[int, int] = {}
     df = with_ingest_metadata(
         file_stream(spark, source_dir, schema, fmt, max_files_per_trigger), pipeline, run_ts=run_ts)
     sink_schema = T.StructType(df.schema.fields + [T.StructField(BATCH, T.LongType())])
 
+    def publish(rows: DataFrame, n: int, path: str) -> None:
+        (rows.withColumn(BATCH, F.lit(n).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path))
+
     def step(batch: DataFrame, n: int) -> None:
-        fresh = batch.dropDuplicates(list(keys))
+        rejects = batch.filter(keyless)
+        rejected[n] = rejects.count()
+        if rejected[n]:
+            publish(rejects, n, rejects_dir)
+        fresh = batch.filter(~keyless).dropDuplicates(list(keys))
         path = batch.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(sink_dir)
         fs = path.getFileSystem(batch.sparkSession.sparkContext._jsc.hadoopConfiguration())
         if fs.exists(path):
             seen = (batch.sparkSession.read.schema(sink_schema).parquet(sink_dir)
                     .filter(F.col(BATCH) != n).select(*keys))
             fresh = fresh.join(seen, list(keys), "left_anti")
-        (fresh.withColumn(BATCH, F.lit(n).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(sink_dir))
+        publish(fresh, n, sink_dir)
 
-    return for_each_new_batch(df, checkpoint_dir, step, timeout_s)
+    run = for_each_new_batch(df, checkpoint_dir, step, timeout_s)
+    return replace(run, rejected=sum(rejected.values()))

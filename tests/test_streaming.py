@@ -85,3 +85,24 @@ def test_archive_keeps_listing_small_and_output_exactly_once(spark, tmpdir_path)
     assert r3.rows == 0
     out = spark.read.parquet(sink).select(*ev.columns)
     assert out.count() == ev.count() and out.exceptAll(ev).count() == 0
+
+
+def test_first_seen_rejects_every_record_without_a_key(spark, tmpdir_path):
+    import os
+
+    from riskview.streaming.ingest import ingest_first_seen
+    src, sink, ck = f"{tmpdir_path}/in", f"{tmpdir_path}/out", f"{tmpdir_path}/ck"
+    schema = spark.createDataFrame([], "transaction_id string, amount double").schema
+    os.makedirs(src)
+
+    def land(name, *lines):
+        with open(f"{src}/{name}.json", "w") as f:
+            f.write("\n".join(lines) + "\n")
+        return ingest_first_seen(spark, src, schema, sink, ck, "stream", ["transaction_id"],
+                                 run_ts="2024-01-31 00:00:00", max_files_per_trigger=1).rejected
+
+    assert land("a", '{"transaction_id": "T1", "amount": 1}', '{"amount": 2}', '{"amount": 3}', "{broken") == 3
+    assert land("b", '{"transaction_id": "T1", "amount": 1}', '{"amount": 2}') == 1
+    assert land("c", '{"transaction_id": "T2", "amount": 5}') == 0
+    assert sorted(r.transaction_id for r in spark.read.parquet(sink).collect()) == ["T1", "T2"]
+    assert sorted(r.amount or 0 for r in spark.read.parquet(f"{sink}-rejects").collect()) == [0, 2, 2, 3]
