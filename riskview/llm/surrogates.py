@@ -63,10 +63,13 @@ PATTERNS = {
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}])",
     "ip": r"(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])",
     "card": r"[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}(?![\p{L}\p{N}])|[0-9]{9,19}(?![\p{L}\p{N}])",
-    "secret": r"(?<=(?:password|passwd|token|secret|api_key)\x20?[=:]\x20?\"?)[A-Za-z0-9+/_.-]{8,}|(?=[a-f]*[0-9])[0-9a-f]{32,}(?![\p{L}\p{N}])",
+    "secret": r"(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}(?![\p{L}\p{N}])",
     "name": rf"(?:{_TITLE})\.?\x20\p{{Lu}}\p{{L}}+(?:\x20\p{{Lu}}\p{{L}}+)?|(?:{_GIVEN})\x20\p{{Lu}}\p{{L}}+",
 }
-ENTITY = _EDGE + "(?:" + "|".join(PATTERNS.values()) + ")"
+#: A value after a keyword goes first, or another type would take a part of it; marks that end a sentence stay outside.
+_VALUE = (r"(?<=[=:]\x20?[\x22']?)(?<=(?i:password|passwd|token|secret|api_key)\x20?[=:]\x20?[\x22']?)"
+          r"(?=[^\s\x22']{8})[^\s\x22']*[^\s\x22'.,;:!?)\]}]")
+ENTITY = "(?:" + _VALUE + "|" + _EDGE + "(?:" + "|".join(PATTERNS.values()) + "))"
 _CUT, _ESCAPE = "\u0002", "\u0003"  # a cut is set around entities; both are escaped in texts that hold them
 _WIDER = 8  # draws after which the space is widened
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -189,8 +192,9 @@ def _surrogate(key: str, kind: Column, normal: Column, attempt: Column, noise: C
         return (F.when((F.length(c) == 1) & (attempt < _WIDER), n % 9 + 1).when((F.length(c) == 2) & (attempt < _WIDER), n % 90 + 10)
                 .when(attempt < _WIDER, n % 155 + 100).otherwise(n % 254 + 1)).cast("string")
     ip = F.array_join(F.transform(F.split(normal, r"\."), octet), ".")
-    hexed = normal.rlike("^[0-9a-f]+$")
-    secret = F.concat(F.when(hexed, _letters(normal, noise, F.lit(True))).otherwise(digits), wide)
+    hexed = lambda c: _letters(c, noise, F.lit(True))
+    secret = F.concat(F.when(normal.rlike("^[0-9a-f]+$"), hexed(normal)).when(normal.rlike("^[0-9A-F]+$"), F.upper(hexed(F.lower(normal))))
+                      .otherwise(digits), wide)
     aws = F.concat(F.substring(normal, 1, 4), F.substr(_letters(F.translate(normal, _DIGITS, "ABCDEFGHIJ"), noise, F.lit(False)), F.lit(5)))
     syllables = lambda k: F.element_at(F.element_at(F.create_map(*[x for s, v in SYLLABLES.items() for x in (F.lit(s), F.array(*map(F.lit, v)))]),
                                                     _script(normal)), at(k) % 16 + 1)
