@@ -66,4 +66,49 @@ SELECT doc_id, len(sh.s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) A
 FROM sh LEFT JOIN cls ON sh.s = cls.s LEFT JOIN comp USING (c)
 """
 
-ORACLES = {"op6_chosen_path": OP6, "op3_exact_topk": OP3, "op2_substring_dedup": OP2, "op10_url_rules": OP10}
+OP11 = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_WORDS.format(text='text')} AS ws FROM documents),
+     l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+     least_id AS (SELECT t, min(doc_id) AS m FROM d GROUP BY t),
+     f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                  [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+                   100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * len(t), regexp_matches(t, '[#$%&*|]'),
+                   coalesce(d.doc_id > m, false)] AS fails
+           FROM d JOIN least_id USING (t) LEFT JOIN l USING (doc_id)),
+     g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+     one AS (SELECT unnest(range(1, 6)) AS i),
+     orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM one a, one b, one c, one d, one e
+                WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+     steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+     r AS (SELECT part, o, step, n, good, toxic, fails[o[step]] AS fail,
+                  list_bool_or(list_transform(o[1:step - 1], lambda j: fails[j])) AS gone,
+                  len(list_filter(fails, lambda x: x)) = 1 AS alone
+           FROM g, steps),
+     c AS (SELECT part, o, step, sum(n) FILTER (WHERE NOT coalesce(gone, false) AND NOT fail) AS kept,
+                  sum(n) FILTER (WHERE NOT coalesce(gone, false) AND fail) AS removed,
+                  sum(n) FILTER (WHERE gone AND fail) AS redundant, sum(n) FILTER (WHERE fail AND alone) AS unique_fails,
+                  sum(good) FILTER (WHERE NOT coalesce(gone, false) AND fail) AS good_lost,
+                  sum(toxic) FILTER (WHERE NOT coalesce(gone, false) AND fail) AS toxic_lost
+           FROM r GROUP BY part, o, step)
+SELECT part, array_to_string(list_transform(o, lambda j: substr('ABCDE', j, 1)), '') AS filter_order, step::INTEGER AS step,
+       coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+       coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, o[step]), 0)::BIGINT AS shapley
+FROM c
+"""
+
+OP13 = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+     ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                              AND len(list_filter(e, lambda x: x <> 0)) > 0),
+     link AS (SELECT a.r AS x, b.r AS y FROM ok a JOIN ok b ON a.r <> b.r WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+     reach(x, y) AS (SELECT x, y FROM link UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+     n AS (SELECT x AS r, count(*) AS n FROM link GROUP BY x),
+     c AS (SELECT x AS r, min(vec_id) AS c FROM reach JOIN v ON v.r = reach.y GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(c, vec_id)) AS kept
+FROM v LEFT JOIN n USING (r) LEFT JOIN c USING (r)
+"""
+
+ORACLES = {"op11_filter_audit": OP11, "op13_metric_join": OP13, "op6_chosen_path": OP6, "op3_exact_topk": OP3, "op2_substring_dedup": OP2, "op10_url_rules": OP10}

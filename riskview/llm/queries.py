@@ -9,9 +9,12 @@ from riskview.llm import (
     chosen_path,
     decontamination,
     exact_topk,
+    filter_audit,
+    metric_join,
     subword_classifier,
     substring_dedup,
     surrogates,
+    token_alignment,
     token_files,
     toxicity_trees,
     url_rules,
@@ -30,6 +33,14 @@ URL_RULES = (
 )
 #: Globs that block a URL no rule decides.
 BLOCK_GLOBS = ("*spam-*", "*cheap-pills*", "*casino*", "*.exe", "*.zip")
+#: The filters that are audited.
+AUDITED = {
+    "A": filter_audit.few_words(200),
+    "B": filter_audit.repeated_words(50),
+    "C": filter_audit.many_capitals(2),
+    "D": filter_audit.holds_any("#$%&*|"),
+    "E": filter_audit.Copy(),
+}
 #: The key of the surrogates; a deployment passes a secret of its own.
 SURROGATE_KEY = "surrogates"
 
@@ -80,6 +91,21 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(read_table(spark, sf_dir, "pages"), URL_RULES, BLOCK_GLOBS)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"), "toxic")
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), AUDITED, F.col("source"), marks, ("good", "toxic"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                 tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_vectors(read_table(spark, sf_dir, "embeddings"), metric_join.Range(least=0.95))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_substring_dedup, op3_exact_topk, op4_subword_classifier, op5_surrogates, op6_chosen_path,
-    op7_template_windows, op8_toxicity_trees, op9_wfst_pieces, op10_url_rules)}
+    op7_template_windows, op8_toxicity_trees, op9_wfst_pieces, op10_url_rules, op11_filter_audit, op12_token_alignment,
+    op13_metric_join)}
