@@ -10,14 +10,15 @@ each of its entries looks for its place in the longer one by exponential steps
 from the place of an entry before it, then by binary search in the bracket
 found.  Equal entries are the common ends; the difference of the places of two
 neighbouring ends is the range of tokens that a token overlaps.  All entries of
-a batch gallop in step, from anchors every 16th, 256th, ... entry.
+a batch gallop in step, from anchors every 4th, 16th, ... entry.
 
 Plan.
 
-* One pass encodes and aligns every whole text.  A long text is cut into pieces
-  where a single space stands between two letters: either tokenizer begins a
-  token there, so pieces are encoded and aligned on their own and memory does
-  not grow with the text.
+* One pass encodes and aligns every whole text.  Where a single space stands
+  between two letters, either tokenizer begins a token, so a text is cut there
+  into units that are encoded on their own; a worker remembers the ids of a
+  bounded number of short units.  A long text is aligned in runs of units, so
+  that the work space does not grow with the text.
 * The links of some pieces are one row: the distinct id pairs with their counts
   and every link's place among them.  Counts are summed over the corpus, partly
   in each task, and each B id's highest is found.
@@ -35,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from collections import ChainMap
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,7 +49,9 @@ from riskview.operators.joins import broadcast_if_small
 from riskview.session import scratch_path
 
 _CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
-_PIECE = 200_000  # characters after which a text is cut
+_RUN = 30_000  # units of a text that are aligned at once
+_STRIDE = 4  # keys gallop from the place of every 4th, 16th, ... key
+_SHORT = 48  # characters of a unit that is remembered
 _MARK = "▁"
 _SCHEMA = pa.schema([
     ("row", pa.int64()), ("id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
@@ -81,9 +85,9 @@ def byte_letters() -> dict[str, int]:
 
 
 class Pair:
-    """Both tokenizers, loaded once a worker."""
+    """Both tokenizers, loaded once a worker, and the units remembered."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, most: int = 100_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
@@ -99,32 +103,60 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = Vocabulary([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode()
                                    for i, p in enumerate(pieces)])
-        self.cuts = not any(_MARK in p.lstrip(_MARK) for p in pieces)  # no piece goes on over a space
-        digits = [str(i).encode() for i in range(max(len(tokens), len(pieces)))]
-        self.decimal = Vocabulary(digits)
-
-    def pieces(self, text: str) -> list[str]:
-        """The text with its leading space, in pieces that are encoded alike alone and together."""
-        text = " " + text
-        out, at = [], 0
-        while self.cuts and len(text) - at > _PIECE:
-            cut = _CUT.search(text, at + _PIECE)
-            if not cut:
-                break
-            out.append(text[at:cut.start()])
-            at = cut.start()
-        out.append(text[at:])
+        self.decimal = Vocabulary([str(i).encode() for i in range(max(len(tokens), len(pieces)))])
+        self.most, self.known, self.older = most, ({}, {}), ({}, {})
+        # no piece of B goes on over a space, and A's units are those of its whole text
+        probe = ["it's a b 12 cd, ef", "We'll see  x\n y Z end", "\tGive me é a l o t of tokens's"]
+        self.cuts = not any(_MARK in p.lstrip(_MARK) for p in pieces) and all(
+            sum((self.a.encode(" " + u, add_special_tokens=False).ids for u in _CUT.split(t)), [])
+            == self.a.encode(" " + t, add_special_tokens=False).ids for t in probe)
+
+    def units(self, text: str) -> list[str]:
+        """The text in units; a space goes before each."""
+        return _CUT.split(text) if self.cuts else [text]
+
+    def learn(self, units: list[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """The ids of distinct units as packed 32-bit integers, for A and for B;
+        units whose bytes are not given back are in neither."""
+        out: tuple[dict, dict] = {}, {}
+        at = 0
+        while at < len(units):  # what the libraries take at once is bounded too
+            to, size = at, 0
+            while to < len(units) and (to == at or size + len(units[to]) <= 200_000):
+                size += len(units[to])
+                to += 1
+            some, at = units[at:to], to
+            a = self.a.encode_batch_fast([" " + u for u in some], add_special_tokens=False)
+            for u, x, y in zip(some, a, self.b.encode(some, num_threads=1)):
+                x, y, raw = np.array(x.ids, np.int32), np.array(y, np.int32), (" " + u).encode()
+                if self.bytes_a.spell(x).tobytes() == raw == self.bytes_b.spell(y).tobytes():
+                    out[0][u], out[1][u] = x.tobytes(), y.tobytes()
         return out
 
-    def encode(self, pieces: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of A and B of each piece; both empty where bytes are not given back."""
-        a = [np.array(e.ids, dtype=np.int32) for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
-        b = [np.array(ids, dtype=np.int32) for ids in self.b.encode([p[1:] for p in pieces], num_threads=1)]
-        for k, p in enumerate(pieces):
-            raw = p.encode()
-            if self.bytes_a.spell(a[k]).tobytes() != raw or self.bytes_b.spell(b[k]).tobytes() != raw:
-                a[k] = b[k] = None
-        return a, b
+    def encode(self, texts: list[list[str]]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of A and B of every run of units; None if its bytes are not given back."""
+        if len(self.known[0]) > self.most:  # what is still in use moves back from the older table
+            self.known, self.older = ({}, {}), self.known
+        (known_a, known_b), (older_a, older_b) = self.known, self.older
+        missing = []
+        for u in {u for own in texts for u in own if u not in known_a}:
+            if u in older_a:
+                known_a[u], known_b[u] = older_a[u], older_b[u]
+            else:
+                missing.append(u)
+        new_a, new_b = self.learn([u for u in missing if len(u) <= _SHORT])
+        known_a.update(new_a)
+        known_b.update(new_b)
+        long_a, long_b = self.learn([u for u in missing if len(u) > _SHORT])
+        if long_a:
+            known_a, known_b = ChainMap(known_a, long_a), ChainMap(known_b, long_b)
+        out = []
+        for own in texts:
+            try:
+                out.append((b"".join(map(known_a.__getitem__, own)), b"".join(map(known_b.__getitem__, own))))
+            except KeyError:
+                out.append(None)
+        return out
 
 
 def _from(start: np.ndarray, keys: np.ndarray, into: np.ndarray) -> np.ndarray:
@@ -155,14 +187,14 @@ def gallop(keys: np.ndarray, into: np.ndarray) -> np.ndarray:
     entry is not below it.  Every key gallops from an earlier key's place."""
     place = np.zeros(len(keys), dtype=np.int64)
     stride = 1
-    while stride * 16 < len(keys):
-        stride *= 16
+    while stride * _STRIDE < len(keys):
+        stride *= _STRIDE
     before = None
     while stride:
         at = np.arange(0, len(keys), stride)
         start = np.zeros(len(at), np.int64) if before is None else place[at // before * before]
         place[at] = _from(start, keys[at], into)
-        before, stride = stride, stride // 16
+        before, stride = stride, stride // _STRIDE
     return place
 
 
@@ -206,30 +238,16 @@ _pairs: dict[tuple[str, str], Pair] = {}
 
 def _aligner(path_a: str, path_b: str, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def documents(pair: Pair, base: int, batches: Iterator[pa.RecordBatch]):
-        """Row number, id and the encoded pieces of every text."""
+        """Row number, id and the encoded runs of every text."""
         row = base
         for b in batches:
             for few in slices(b, "text", most):
-                texts, held = few.column("text").to_pylist(), []
-                for text in texts:
-                    held.append(pair.pieces(text) if text else [])
-                flat = [p for own in held for p in own]
-                a, c = [], []
-                at = 0
-                while at < len(flat):  # a batch of the libraries is bounded too
-                    to, size = at, 0
-                    while to < len(flat) and (to == at or size + len(flat[to]) <= 2 * _PIECE):
-                        size += len(flat[to])
-                        to += 1
-                    more = pair.encode(flat[at:to])
-                    a += more[0]
-                    c += more[1]
-                    at = to
-                at = 0
-                for i, own in zip(few.column("id").to_pylist(), held):
-                    both = list(zip(a[at:at + len(own)], c[at:at + len(own)]))
-                    at += len(own)
-                    yield row, i, [] if any(x is None for x, _ in both) else both
+                texts = [pair.units(t) if t else [] for t in few.column("text").to_pylist()]
+                runs = [[own[k:k + _RUN] for k in range(0, len(own), _RUN)] for own in texts]
+                coded = iter(pair.encode([r for own in runs for r in own]))
+                for i, own in zip(few.column("id").to_pylist(), runs):
+                    both = [next(coded) for _ in own]
+                    yield row, i, [] if None in both else [tuple(np.frombuffer(x, np.int32) for x in r) for r in both]
                     row += 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

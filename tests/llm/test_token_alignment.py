@@ -71,25 +71,35 @@ def test_against_brute_force(spark, tokenizers):
     assert run(spark, texts, most=500) == brute(tokenizers, texts)
 
 
-def test_long_texts_in_pieces(spark, tokenizers, monkeypatch):
-    """Pieces are cut in the driver's copy of the module, and counted as one text."""
-    text = " ".join(f"word{i} alpha beta, gamma's doné" for i in range(300))
-    pair = token_alignment.Pair(A, B)
-    monkeypatch.setattr(token_alignment, "_PIECE", 50)
-    pieces = pair.pieces(text)
-    assert len(pieces) > 50 and "".join(pieces) == " " + text
-    a, b = pair.encode(pieces)
-    assert np.concatenate(a).tolist() == tokenizers[0].encode(" " + text, add_special_tokens=False).ids
-    assert np.concatenate(b).tolist() == tokenizers[1].encode(text)
-    doc = {"row": 1, "id": 1, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "left": len(pieces), "sha": hashlib.sha256()}
+def test_long_texts_in_runs(tokenizers):
+    """Runs of units, aligned a few at a time, are one text."""
+    text = " ".join(f"word{i} alpha beta, gamma's doné  x" for i in range(300))
+    pair = token_alignment.Pair(A, B, most=20)
+    units = pair.units(text)
+    assert pair.cuts and len(units) > 300 and " ".join(units) == text
+    both = [tuple(np.frombuffer(x, np.int32) for x in pair.encode([units[k:k + 11]])[0]) for k in range(0, len(units), 11)]
+    assert np.concatenate([x for x, _ in both]).tolist() == tokenizers[0].encode(" " + text, add_special_tokens=False).ids
+    assert np.concatenate([x for _, x in both]).tolist() == tokenizers[1].encode(text)
+    doc = {"row": 1, "id": 1, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "left": len(both), "sha": hashlib.sha256()}
     rows = []
-    for at in range(0, len(pieces), 7):
-        rows += token_alignment._align(pair, at, [(doc, x, y) for x, y in zip(a[at:at + 7], b[at:at + 7])])
+    for at in range(0, len(both), 7):
+        rows += token_alignment._align(pair, at, [(doc, x, y) for x, y in both[at:at + 7]])
     got, = [r for r in rows if "id" in r]
     want, = brute(tokenizers, [text])
     assert (got["n_a"], got["n_b"], got["n_groups"], got["n_links"], got["groups_sha256"]) == (*want[:4], want[6])
 
 
+def test_units_are_those_of_the_whole_text(tokenizers):
+    pair = token_alignment.Pair(A, B)
+    texts = [r for r in AWKWARD + MORE if r] + ["I'd've done it's end'll be x'S Y", "a b  c d\ne f ı İ ſ K x"]
+    for text, got in zip(texts, pair.encode([pair.units(t) for t in texts])):
+        ids = tokenizers[0].encode(" " + text, add_special_tokens=False).ids, tokenizers[1].encode(text)
+        whole = all(v.spell(np.array(i)).tobytes() == (" " + text).encode() for v, i in zip((pair.bytes_a, pair.bytes_b), ids))
+        assert (got is not None) == whole
+        if got:
+            assert tuple(np.frombuffer(x, np.int32).tolist() for x in got) == ids
+
+
 def test_a_very_long_text(spark, tokenizers):
     text = "The quick brown fox, jumps over 12 lazy dogs. " * 12_000
     got, = run(spark, [text])
