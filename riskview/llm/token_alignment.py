@@ -14,8 +14,8 @@ a batch gallop in step, from anchors every 4th, 16th, ... entry.
 
 Plan.
 
-* One pass encodes and aligns every whole text.  Where a single space stands
-  between two letters, either tokenizer begins a token, so a text is cut there
+* One pass encodes and aligns every whole text.  At a single space between
+  other characters either tokenizer begins a token, so a text is cut there
   into units that are encoded on their own; a worker remembers the ids of a
   bounded number of short units.  A long text is aligned in runs of units, so
   that the work space does not grow with the text.
@@ -36,8 +36,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import ChainMap
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ from riskview.llm.common import slices
 from riskview.operators.joins import broadcast_if_small
 from riskview.session import scratch_path
 
-_CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 _RUN = 30_000  # units of a text that are aligned at once
 _STRIDE = 4  # keys gallop from the place of every 4th, 16th, ... key
 _SHORT = 48  # characters of a unit that is remembered
@@ -126,13 +127,26 @@ class Pair:
                 size += len(units[to])
                 to += 1
             some, at = units[at:to], to
-            a = self.a.encode_batch_fast([" " + u for u in some], add_special_tokens=False)
-            for u, x, y in zip(some, a, self.b.encode(some, num_threads=1)):
-                x, y, raw = np.array(x.ids, np.int32), np.array(y, np.int32), (" " + u).encode()
-                if self.bytes_a.spell(x).tobytes() == raw == self.bytes_b.spell(y).tobytes():
-                    out[0][u], out[1][u] = x.tobytes(), y.tobytes()
+            a = [x.ids for x in self.a.encode_batch_fast([" " + u for u in some], add_special_tokens=False)]
+            b = self.b.encode(some, num_threads=1)
+            same = self._same(some, a, b)
+            for u, x, y in zip(some, a, b):
+                if same or self._same([u], [x], [y]):
+                    out[0][u], out[1][u] = array("i", x).tobytes(), array("i", y).tobytes()
         return out
 
+    def _same(self, units: list[str], a: list[list[int]], b: list[list[int]]) -> bool:
+        """Whether either tokenizer's ids give every unit back."""
+        raw = [(" " + u).encode() for u in units]
+        for vocabulary, ids in ((self.bytes_a, a), (self.bytes_b, b)):
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            if vocabulary.spell(flat).tobytes() != b"".join(raw):
+                return False
+            sizes = np.concatenate(([0], np.cumsum(vocabulary.sizes[flat])))[np.cumsum([len(x) for x in ids])]
+            if sizes.tolist() != np.cumsum([len(r) for r in raw]).tolist():
+                return False
+        return True
+
     def encode(self, texts: list[list[str]]) -> list[tuple[bytes, bytes] | None]:
         """Ids of A and B of every run of units; None if its bytes are not given back."""
         if len(self.known[0]) > self.most:  # what is still in use moves back from the older table
@@ -147,15 +161,17 @@ class Pair:
         new_a, new_b = self.learn([u for u in missing if len(u) <= _SHORT])
         known_a.update(new_a)
         known_b.update(new_b)
-        long_a, long_b = self.learn([u for u in missing if len(u) > _SHORT])
-        if long_a:
-            known_a, known_b = ChainMap(known_a, long_a), ChainMap(known_b, long_b)
+        long_a, long_b = self.learn([u for u in missing if len(u) > _SHORT])  # of this call alone
+        known_a.update(long_a)
+        known_b.update(long_b)
         out = []
         for own in texts:
             try:
                 out.append((b"".join(map(known_a.__getitem__, own)), b"".join(map(known_b.__getitem__, own))))
             except KeyError:
                 out.append(None)
+        for u in long_a:
+            del known_a[u], known_b[u]
         return out
 
 
