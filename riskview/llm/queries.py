@@ -32,7 +32,7 @@ URL_RULES = (
     url_rules.Rule("com/de/", "block"),
 )
 #: Globs that block a URL no rule decides.
-BLOCK_GLOBS = ("*spam-*", "*cheap-pills*", "*casino*", "*.exe", "*.zip")
+BLOCK_GLOBS = ("*spam-*", "*cheap-pills*", "*casino*", "*/*.exe", "*/*.zip")
 #: The filters that are audited.
 AUDITED = {
     "A": filter_audit.few_words(200),

@@ -5,13 +5,15 @@ position, with self loops for ``*``.  All patterns advance together over one
 character of each URL, and all URLs of a batch advance together as numpy rows,
 so a URL costs its length times the number of mask words, however many rules.
 
-A URL is read in canonical form: ``.host`` + separator + ``path``.  The leading
-dot makes ``*.example.org`` match the host and every subdomain, and the
-separator (a byte that is removed from the parts) keeps host patterns out of
-paths.  Matching is on UTF-8 bytes.
+A URL is read in canonical form: ``.host`` + separator + ``path``, as UTF-8
+bytes; the separator is a byte that UTF-8 never holds.  The leading dot makes a
+rule's host match the host and every subdomain, and the separator keeps it out
+of paths.  A default glob is matched as it is written against the whole of
+``host/path``: its pattern begins with the dot, and the separator leaves its
+states as they are.
 
 Cases: a null URL or one without ``://`` has empty host and path; no rule fits
-it and the default globs see the bare separator.  Repeated rows are judged
+it and the default globs see an empty string.  Repeated rows are judged
 alike.  An empty rule list is allowed.
 """
 
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SEP = "\x1f"
+_SEP = 0xFF
 
 
 @dataclass(frozen=True)
@@ -36,21 +38,23 @@ class Rule:
     verdict: str
 
     @property
-    def glob(self) -> str:
+    def glob(self) -> bytes:
         host, _, path = self.pattern.partition("/")
-        escape = lambda s: s.replace("\\", "\\\\").replace("*", "\\*").replace("?", "\\?")
-        return f"*.{escape(host)}{_SEP}/{escape(path)}*"
+        escape = lambda s: s.replace("\\", "\\\\").replace("*", "\\*").replace("?", "\\?").encode()
+        return b"*." + escape(host) + bytes([_SEP]) + b"/" + escape(path) + b"*"
 
 
 class Automaton:
-    """Globs (``*`` any run, ``?`` one byte, backslash escapes) as Shift-And masks."""
+    """Globs (``*`` any run, ``?`` one byte, backslash escapes) as Shift-And
+    masks.  Those of ``plain`` do not see the separator."""
 
-    def __init__(self, globs: Sequence[str]):
+    def __init__(self, globs: Sequence[bytes], plain: Sequence[bytes] = ()):
+        aware, globs = len(globs), [*globs, *plain]
         steps: list[tuple[int, int, bool]] = []  # (pattern, byte or -1 for any, star follows)
         self.globs = tuple(globs)
         lead = np.zeros(len(globs), dtype=bool)
         for k, glob in enumerate(globs):
-            raw, i, own = glob.encode(), 0, []
+            raw, i, own = glob, 0, []
             while i < len(raw):
                 c = raw[i]
                 if c == ord("*"):
@@ -70,7 +74,7 @@ class Automaton:
         n = len(steps)
         self.words = max(1, (n + 63) // 64)
         self.step = np.zeros((256, self.words), dtype=np.uint64)  # byte -> positions it can enter
-        self.loop = np.zeros(self.words, dtype=np.uint64)         # positions that stay on any byte
+        self.stay = np.zeros((256, self.words), dtype=np.uint64)  # byte -> positions that it leaves as they are
         self.begin = np.zeros(self.words, dtype=np.uint64)
         last: dict[int, int] = {}
         for i, (k, c, star) in enumerate(steps):
@@ -83,7 +87,10 @@ class Automaton:
             else:
                 self.step[c, word] |= bit
             if star:
-                self.loop[word] |= bit
+                self.stay[:, word] |= bit
+            if k >= aware:
+                self.stay[_SEP, word] |= bit
+                self.step[_SEP, word] &= ~bit
             last[k] = i
         self.accept = [(last[k] // 64, np.uint64(1 << (last[k] % 64))) for k in range(len(globs))]
 
@@ -104,7 +111,8 @@ class Automaton:
                 s = state[:live[i]]
                 moved = s << np.uint64(1)
                 moved[:, 1:] |= s[:, :-1] >> np.uint64(63)
-                state[:live[i]] = (moved & self.step[grid[:live[i], i]]) | (s & self.loop)
+                now = grid[:live[i], i]
+                state[:live[i]] = (moved & self.step[now]) | (s & self.stay[now])
             for k, (word, bit) in enumerate(self.accept):
                 out[rows, k] = (state[:, word] & bit) != 0
         return out
@@ -125,21 +133,21 @@ def judge(pages: DataFrame, rules: Sequence[Rule], block_globs: Sequence[str] =
     """Verdict of every URL.
 
     The longest rule that fits decides; without one, ``block`` if a glob of
-    ``block_globs`` matches the canonical ``host/path``, else ``default``.
+    ``block_globs`` matches the whole of ``host/path``, else ``default``.
     Returns id, host, path, rule (null if none fits), verdict.
     """
     host, path = host_and_path(F.col(url_col))
     parts = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     kind = parts.schema["id"].dataType.simpleString()
     ordered = sorted(rules, key=lambda r: (-len(r.pattern), r.pattern))
-    machine = Automaton([r.glob for r in ordered] + [_wrap(g) for g in block_globs])
+    machine = Automaton([r.glob for r in ordered], [b"." + g.encode() for g in block_globs])
     names = np.array([r.pattern for r in ordered] + [None], dtype=object)
     verdicts = np.array([r.verdict for r in ordered] + [None], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hosts, paths = b.column("host").to_pylist(), b.column("path").to_pylist()
-            fits = machine.run([f".{h.replace(_SEP, '')}{_SEP}{p.replace(_SEP, '')}".encode() for h, p in zip(hosts, paths)])
+            fits = machine.run([b".%s%c%s" % (h.encode(), _SEP, p.encode()) for h, p in zip(hosts, paths)])
             by_rule, by_glob = fits[:, :len(ordered)], fits[:, len(ordered):].any(axis=1)
             best = np.where(by_rule.any(axis=1), by_rule.argmax(axis=1) if len(ordered) else 0, len(ordered))
             verdict = np.where(best < len(ordered), verdicts[best], np.where(by_glob, "block", default))
@@ -151,11 +159,3 @@ def judge(pages: DataFrame, rules: Sequence[Rule], block_globs: Sequence[str] =
     out = parts.mapInArrow(run, f"id {kind}, host string, path string, rule string, verdict string")
     return out.withColumnRenamed("id", id_col)
 
-
-def _wrap(glob: str) -> str:
-    """A ``host/path`` glob over the canonical form: a host part matches the
-    host or a subdomain; without a slash the glob is looked for anywhere."""
-    if "/" not in glob:
-        return f"*{glob}*"
-    host, _, path = glob.partition("/")
-    return f"*.{host}{_SEP}/{path}*"
