@@ -7,23 +7,23 @@ words are hash-joined, so a question whose values were changed still matches.
 Matches of one item along one alignment then pass a slot check: the values in
 the placeholders must map one to one (an item's 3 is always the document's 5,
 and nothing else is).  An alignment with equal values is ``verbatim``, one
-with a consistent change ``reparameterised``; an inconsistent one is no match,
-but for its windows without placeholders, which are verbatim by themselves.
+with a consistent change ``reparameterised``; an inconsistent one is no match.
 
 Beside them, windows of the lower-cased words themselves are joined, with no
-rule on names: a text in capitals or title case, or an item whose first word
-follows a word, has other templates than the item and still its words.  A
-window of equal words but other templates is ``verbatim`` by itself.
-
-Everything is DataFrame functions.  A document's window hashes are computed as
-one array; a fixed-size sieve of the benchmark's hashes drops most of them, the
+rule on names or values: a text in capitals or title case, or an item whose
+first word follows a word, has other templates than the item and still its
+words.  A window of equal words and values is ``verbatim`` by itself, whatever
+the rest of its alignment holds.
+
+Everything is DataFrame functions.  A document's window hashes of all widths
+(items shorter than a window are windows of their own width) are computed in
+one pass over the text; a fixed-size sieve of the benchmark's hashes drops most of them, the
 rows made of the rest hold the document's key, a position and a hash only, and
 are probed against the benchmark's windows, which are broadcast only when a
 count proves them small.  Texts are met again for the documents with a
 match alone, to compare the windows themselves and their slots.
 
-Cases: null or empty texts hold no windows and are clean; an item shorter than
-a window is matched as a whole; a window with fewer literal words than half of
+Cases: null or empty texts hold no windows and are clean; a window with fewer literal words than half of
 it identifies no template and is matched by its words alone; repeated rows are judged alike;
 null ids are kept; an empty benchmark leaves every document clean.
 """
@@ -84,9 +84,14 @@ def _views(text: Column) -> Column:
         _words(_template(low)).alias("template"), _words(F.replace(low, F.lit(_NAME), F.lit(""))).alias("words")))
 
 
-def _hashes(words: Column, width: int) -> Column:
-    """Hash of every window of ``width`` words, by doubling: a window's hash is
-    that of its halves' hashes, so each step is one pass over an array."""
+def _word_hashes(words: Column) -> Column:
+    return once(words, lambda w: F.transform(w, lambda x: F.xxhash64(x)))
+
+
+def _hashes(single: Column, width: int) -> Column:
+    """Hash of every window of ``width`` words from the words' hashes, by
+    doubling: a window's hash is that of its halves' hashes, so each step is
+    one pass over an array."""
     def joined(left: Column, right: Column, shift: int) -> Column:
         return once(F.struct(left.alias("l"), right.alias("r")), lambda h: F.zip_with(
             h["l"], F.slice(h["r"], shift + 1, F.greatest(F.size(h["r"]) - shift, F.lit(0))), lambda x, y: F.xxhash64(x, y)))
@@ -99,7 +104,6 @@ def _hashes(words: Column, width: int) -> Column:
         return once(hashes, lambda h: once(wide(h, half), lambda a: joined(
             a, a if n == 2 * half else wide(h, n - half), half)))
 
-    single = once(words, lambda w: F.transform(w, lambda x: F.xxhash64(x)))
     return once(single, lambda h: F.slice(wide(h, width), 1, F.greatest(F.size(h) - width + 1, F.lit(0))))
 
 
@@ -112,21 +116,26 @@ def _slots(template: Column, words: Column) -> Column:
     return F.zip_with(template, words, lambda t, w: F.when(_is_slot(t), w).otherwise(F.lit("")))
 
 
-def _firm(template: Column, width: int) -> Column:
+def _firm(template: Column, width: Column) -> Column:
     """Whether a window has literal words enough to identify a template."""
     return 2 * F.size(F.filter(template, lambda x: ~_is_slot(x))) >= width
 
 
-def _item_windows(items: DataFrame, width: int) -> DataFrame:
+def _item_windows(items: DataFrame, widths: list[int]) -> DataFrame:
     """Windows of the items, by template and (``literal``) by words: item,
-    item_at, item_window, item_words, literal, hash."""
-    last = F.size("template") - width
-    rows = items.where(last >= 0).withColumn("item_at", F.explode(F.sequence(F.lit(0), last)))
-    window = lambda c: F.slice(c, F.col("item_at") + 1, width)
-    rows = rows.select("item", "item_at", window("template").alias("item_window"), window("words").alias("item_words"))
+    item_at, width, item_window, item_words, literal, hash."""
+    last = F.size("template") - F.col("width")
+    rows = items.withColumn("item_at", F.explode(F.sequence(F.lit(0), last)))
+    window = lambda c: F.slice(c, F.col("item_at") + 1, F.col("width"))
+    rows = rows.select("item", "item_at", "width", window("template").alias("item_window"), window("words").alias("item_words"))
     rows = rows.withColumn("literal", F.explode(F.array(F.lit(False), F.lit(True))))
-    hashed = once(F.when(F.col("literal"), F.col("item_words")).otherwise(F.col("item_window")), lambda w: F.element_at(_hashes(w, width), 1))
-    return rows.where(F.col("literal") | _firm(F.col("item_window"), width)).withColumn("hash", hashed)
+    words = F.when(F.col("literal"), F.col("item_words")).otherwise(F.col("item_window"))
+
+    def whole(width: int) -> Column:
+        return F.when(F.col("width") == width, once(_word_hashes(words), lambda h: F.element_at(_hashes(h, width), 1)))
+
+    hashed = F.coalesce(*map(whole, widths))
+    return rows.where(F.col("literal") | _firm(F.col("item_window"), F.col("width"))).withColumn("hash", hashed)
 
 
 _SIEVE = 18  # bits of a hash that the sieve looks at
@@ -144,48 +153,50 @@ def _sieve(windows: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
 
 
-def _sifted(hashes: Column, sieve: Column, literal: bool) -> Column:
-    """Position, hash and kind of the windows that the sieve does not rule out."""
+def _sifted(hashes: Column, sieve: Column, literal: bool, width: int) -> Column:
+    """Position, hash, kind and width of the windows that the sieve does not rule out."""
     low = lambda h: h.bitwiseAND(F.lit((1 << _SIEVE) - 1))
     return once(sieve, lambda bits: F.filter(
         F.transform(hashes, lambda h, i: F.when(F.bit_get(
             F.element_at(bits, (F.shiftright(low(h), 6) + 1).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1,
-            F.struct(i.alias("at"), h.alias("hash"), F.lit(literal).alias("literal")))), lambda x: x.isNotNull()))
+            F.struct(i.alias("at"), h.alias("hash"), F.lit(literal).alias("literal"),
+            F.lit(width).alias("width")))), lambda x: x.isNotNull()))
 
 
-def _matches(texts: DataFrame, items: DataFrame, width: int) -> DataFrame:
+def _matches(texts: DataFrame, items: DataFrame, widths: list[int]) -> DataFrame:
     """Windows of documents equal to an item's: id, key, item, shift, the slot
     values of both, and ``exact``: verbatim by itself, whatever the rest of its
     alignment.  ``texts``: id, key, text."""
-    parts = ["hash", "literal", "item_window", "item_words"]
-    listed = stored(_item_windows(items, width), "item-rows")
+    kind = ["hash", "literal", "width"]
+    parts = [*kind, "item_window", "item_words"]
+    listed = stored(_item_windows(items, widths), "item-rows")
     own = stored(listed.select(parts).distinct().withColumn("window_id", F.monotonically_increasing_id()), "item-windows")
     owners = stored(listed.join(own, parts).select("window_id", "item", "item_at"), "window-items")
-    sieves = [_sieve(own.where(F.col("literal") == literal)) for literal in (False, True)]
-    views = (("template", sieves[0], False), ("words", sieves[1], True))
-    sifted = once(_views(F.col("text")), lambda v: F.concat(*[
-        _sifted(_hashes(v[name], width), sieve, literal) for name, sieve, literal in views]))
-    met = texts.select("id", "key", F.explode(sifted).alias("w")).select("id", "key", "w.at", "w.hash", "w.literal")
-    found = stored(met.join(broadcast_if_small(own.select("hash", "literal").distinct(), 1_000_000), ["hash", "literal"]), "window-hits")
+    sieves = {(literal, w): _sieve(own.where((F.col("literal") == literal) & (F.col("width") == w)))
+              for literal in (False, True) for w in widths}
+
+    def of_view(words: Column, literal: bool) -> Column:
+        return once(_word_hashes(words), lambda h: F.concat(*[
+            _sifted(_hashes(h, w), sieves[literal, w], literal, w) for w in widths]))
+
+    sifted = once(_views(F.col("text")), lambda v: F.concat(of_view(v["template"], False), of_view(v["words"], True)))
+    met = texts.select("id", "key", F.explode(sifted).alias("w")).select("id", "key", "w.at", *[f"w.{c}" for c in kind])
+    found = stored(met.join(broadcast_if_small(own.select(kind).distinct(), 1_000_000), kind), "window-hits")
     # at most two entries a window of the text, however many items or equal rows
-    found = stored(found.groupBy("id", "key").agg(F.collect_set(F.struct("at", "hash", "literal")).alias("hits"))
+    found = stored(found.groupBy("id", "key").agg(F.collect_set(F.struct("at", *kind)).alias("hits"))
                    .toDF("hit_id", "hit_key", "hits"), "document-hits")
     # the texts of documents with a hit only, each once
     same = (F.col("key") == F.col("hit_key")) & F.col("id").eqNullSafe(F.col("hit_id"))
     rows = texts.join(broadcast_if_small(found.select("hit_id", "hit_key")), same, "left_semi").dropDuplicates(["id", "key"])
     rows = rows.join(found, same)
     hits = once(_views(F.col("text")), lambda v: F.transform("hits", lambda h: F.struct(
-        h["at"].alias("at"), h["hash"].alias("hash"), h["literal"].alias("literal"),
-        F.slice(v["template"], h["at"] + 1, width).alias("window"), F.slice(v["words"], h["at"] + 1, width).alias("words"))))
+        h["at"].alias("at"), *[h[c].alias(c) for c in kind],
+        F.slice(v["template"], h["at"] + 1, h["width"]).alias("window"), F.slice(v["words"], h["at"] + 1, h["width"]).alias("words"))))
     rows = rows.select("id", "key", F.explode(hits).alias("hit")).select("id", "key", "hit.*")
-    rows = rows.join(broadcast_if_small(own, 100_000), ["hash", "literal"])
-    # equal words under equal templates are judged as these, by their alignment's slots
-    alike = F.col("window") == F.col("item_window")
-    rows = rows.where(F.when(F.col("literal"), (F.col("words") == F.col("item_words")) & ~(alike & _firm(F.col("item_window"), width)))
-                      .otherwise(alike))
-    # a window without slots cannot be undone by values elsewhere
-    exact = F.col("literal") | ~F.exists("item_window", _is_slot)
-    rows = rows.select("id", "key", "at", "window_id", exact.alias("exact"),
+    rows = rows.join(broadcast_if_small(own, 100_000), kind)
+    # equal words are verbatim; equal templates are judged by their alignment's slots
+    rows = rows.where(F.when(F.col("literal"), F.col("words") == F.col("item_words")).otherwise(F.col("window") == F.col("item_window")))
+    rows = rows.select("id", "key", "at", "window_id", F.col("literal").alias("exact"),
                        _slots(F.col("item_window"), F.col("item_words")).alias("item_slots"), _slots(F.col("item_window"), F.col("words")).alias("slots"))
     # items last, as rows: a document may hold windows that very many items share
     rows = rows.join(broadcast_if_small(owners, 100_000), "window_id")
@@ -202,13 +213,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, id_col:
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # at most ``width`` numbers
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     keyed = rows.withColumn("key", F.xxhash64("id", "text"))
-    hits = None
-    for w in widths:
-        met = _matches(keyed, items.where(F.col("width") == w), w)
-        hits = met if hits is None else hits.union(met)
-    if hits is None:
-        return keyed.select(F.col("id").alias(id_col), "key", F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"),
-                            F.array().cast("array<struct<item:bigint,kind:string>>").alias("items"))
+    if not widths:
+        none = F.array().cast(f"array<struct<item:{items.schema['item'].dataType.simpleString()},kind:string>>")
+        return keyed.select(F.col("id").alias(id_col), "key", F.lit(False).alias("contaminated"),
+                            F.lit(0).cast("long").alias("n_items"), none.alias("items"))
+    hits = _matches(keyed, items, widths)
     pairs = F.when(~F.col("exact"), F.filter(F.arrays_zip("item_slots", "slots"), lambda p: p["item_slots"] != ""))
     # an alignment has at most one pair a slot of its item
     runs = (hits.withColumn("pair", F.explode_outer(F.array_distinct(pairs)))

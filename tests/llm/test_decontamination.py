@@ -1,3 +1,4 @@
+import functools
 import re
 
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from tests.llm.helpers import AWKWARD, documents, given, words
 MARKS = set(".,;:!?\"'()[]{}«»„“”‘’…*#%&$|<>")
 
 
+@functools.lru_cache(None)
 def template(text):
     """Template words and their values, word by word."""
     raw = words(text)
@@ -33,11 +35,15 @@ def template(text):
 def brute(doc, item, width):
     d, b = template(doc), template(item)
     w = min(width, len(b))
-    pairs = {}
+    pairs, at = {}, {}
+    for j in range(len(b) - w + 1 if w else 0):
+        at.setdefault(tuple(t for t, _ in b[j:j + w]), []).append(j)
+    if {tuple(v for _, v in d[i:i + w]) for i in range(len(d) - w + 1)} & {tuple(v for _, v in b[j:j + w]) for js in at.values() for j in js}:
+        return "verbatim"
     for i in range(len(d) - w + 1):
-        for j in range(len(b) - w + 1):
+        for j in at.get(tuple(t for t, _ in d[i:i + w]), []):
             x, y = d[i:i + w], b[j:j + w]
-            if w and [t for t, _ in x] == [t for t, _ in y] and 2 * sum(t[0] != "<" for t, _ in y) >= w:
+            if 2 * sum(t[0] != "<" for t, _ in y) >= w:
                 pairs.setdefault(i - j, set()).update((q, p) for (t, p), (_, q) in zip(x, y) if t[0] == "<")
     good = [s for s in pairs.values() if len({a for a, _ in s}) == len(s) == len({b for _, b in s})]
     return "verbatim" if any(all(a == b for a, b in s) for s in good) else "reparameterised" if good else None
@@ -48,7 +54,9 @@ ITEMS = ["A train travels 60 km in 2 hours while Alice walks 5 km home. How far
          "short item here", "", None, "plain words only in this longer benchmark question about nothing at all"]
 DOCS = ["Intro text. A train travels 60 km in 2 hours while Alice walks 5 km home. How far apart are they then? More.",
         "noise A train travels 90 miles in 4 hours while Carol walks 7 miles home. how far apart are they then",
-        "if 4 apples and 5 pears cost 7 dollars, how many apples does Zoe buy for 21 dollars today",  # 3 is both 4 and 5
+        "if 4 apples and 5 pears cost 7 dollars, how many apples does Zoe buy for 21 dollars today",  # 3 is both 4 and 5, eight words equal
+        "if 4 apples and 5 pears cost 8 dollars, how many apples does Zoe buy for 21 dollars today",  # 3 is both 4 and 5
+        "If 3 apples and 4 pears cost 7 dollars, how many apples does Bob buy for 21 dollars today?",  # one 3 changed
         "if 4 apples and 4 pears cost 9 dollars, how many apples does Zoe buy for 30 dollars today",
         "we saw a short item, here: indeed", "a short text", "words only in this longer benchmark question about", "only in this longer benchmark question"]
 
@@ -65,7 +73,8 @@ def test_against_brute_force(spark):
     want = {d: {i: k for i, b in enumerate(ITEMS) if (k := brute(t or "", b or "", 8))} for d, t in enumerate(DOCS)}
     assert run(spark, DOCS, ITEMS) == want
     assert [want[d].get(0) for d in (0, 1)] == ["verbatim", "reparameterised"]
-    assert (want[2], want[3].get(1), want[4].get(2)) == ({}, "reparameterised", "verbatim")
+    assert [want[d].get(1) for d in (2, 3, 4, 5)] == ["verbatim", None, "verbatim", "reparameterised"]
+    assert want[6].get(2) == "verbatim"
 
 
 def test_a_table_and_awkward_texts(spark):
@@ -80,6 +89,8 @@ def test_a_table_and_awkward_texts(spark):
 def test_empty_tables(spark):
     assert run(spark, [], ITEMS) == {}
     assert run(spark, DOCS[:2], []) == {0: {}, 1: {}}
+    none = spark.createDataFrame([], "item_id string, text string")
+    assert contaminated(documents(spark, DOCS), none).schema["items"].dataType.elementType["item"].dataType.simpleString() == "string"
 
 
 def test_decontaminate_keeps_clean_rows_and_columns(spark):
