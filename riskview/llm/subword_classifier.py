@@ -35,8 +35,9 @@ _GRAM = np.random.default_rng(21).integers(1, 2 ** 63, 8, dtype=np.uint64) | np.
 
 @dataclass(frozen=True)
 class Training:
-    """Parameters: n-gram lengths, buckets, vector size, passes, step, and the
-    most labelled documents of each class that a model is fitted on."""
+    """Parameters: n-gram lengths, buckets, vector size, passes, step, the
+    most labelled documents of each class that a model is fitted on, and the
+    bound of a vector's components."""
 
     grams: tuple[int, ...] = (2, 3, 4)
     buckets: int = 1 << 16
@@ -44,6 +45,7 @@ class Training:
     epochs: int = 12
     step: float = 2.0
     per_class: int = 1500
+    bound: float = 64.0
 
 
 def _word_features(words: Words, which: np.ndarray, codes: np.ndarray, t: Training) -> tuple[np.ndarray, np.ndarray]:
@@ -125,13 +127,14 @@ def fit(labels: list[int], docs: list[tuple[np.ndarray, np.ndarray]], t: Trainin
             p /= p.sum()
             p[labels[i]] -= 1
             step = t.step * (1 - done / total)
-            vec[ids] = own - np.outer(weight * step * min(len(ids), 64), out.T @ p)
-            out -= step * np.outer(p, h)
+            # within bounds that a fit of separable texts never meets: few words under noisy labels would diverge
+            vec[ids] = np.clip(own - np.outer(weight * step * min(len(ids), 64), out.T @ p), -t.bound, t.bound)
+            out = np.clip(out - step * np.outer(p, h), -t.bound, t.bound)
             done += 1
     return vec @ (out[1] - out[0])
 
 
-def _scores(odds: np.ndarray, t: Training) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scores(odds: np.ndarray, t: Training, shift: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for few in slices(b, "text"):
@@ -144,7 +147,7 @@ def _scores(odds: np.ndarray, t: Training) -> Callable[[Iterator[pa.RecordBatch]
                 sums = np.bincount(words.doc, weights=value[which], minlength=few.num_rows) + odds[_COMMON]
                 sizes = np.bincount(words.doc, weights=number[which], minlength=few.num_rows) + 1
                 again = np.bincount(words.doc[_repeats(words, codes)], minlength=few.num_rows)
-                z = np.clip((sums + again * odds[_REPEAT]) / (sizes + again), -40, 40)
+                z = np.clip((sums + again * odds[_REPEAT]) / (sizes + again) + shift, -40, 40)
                 yield pa.RecordBatch.from_arrays(
                     [few.column("id"), few.column("held_out"), pa.array(1 / (1 + np.exp(-z)), pa.float64())],
                     names=["id", "held_out", "score"])
@@ -163,6 +166,17 @@ def sample_of(labels: DataFrame, label: str, per_class: int, id_col: str) -> Dat
     return few[0].union(few[1])
 
 
+def class_weights(labels: DataFrame, label: str, per_class: int, id_col: str) -> tuple[float, float]:
+    """By how much a row of either class stands for more rows than a sampled
+    one does on average: the class's share of all labels over its share of
+    ``sample_of``.  Both are 1 where no class is capped."""
+    rows = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(label).cast("int").alias("k")).agg(F.count("*").alias("n"))
+    size = {r["k"]: r["n"] for r in rows.where("k IN (0, 1)").collect()}
+    taken = {k: min(n, per_class) for k, n in size.items()}
+    mean = sum(size.values()) / max(1, sum(taken.values()))
+    return tuple(size[k] / taken[k] / mean if k in size else 1.0 for k in (0, 1))
+
+
 def classify(docs: DataFrame, labels: DataFrame, label: str, out: Column, t: Training = Training(),
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score every document: id, held_out, score, predicted.
@@ -173,6 +187,9 @@ def classify(docs: DataFrame, labels: DataFrame, label: str, out: Column, t: Tra
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), out.alias("held_out"))
     known = sample_of(labels.where(~out), label, t.per_class, id_col)
+    # the log-odds are those of the sample: a capped class counts for all its labels
+    common, rare = class_weights(labels.where(~out), label, t.per_class, id_col)
+    shift = float(np.log(rare / common))
     # an id counts once, however often its rows and labels repeat
     train = (rows.select("id", "text").join(F.broadcast(known), "id").groupBy("id")
              .agg(F.max("label").alias("label"), F.min("text").alias("text")))
@@ -181,5 +198,5 @@ def classify(docs: DataFrame, labels: DataFrame, label: str, out: Column, t: Tra
     odds = fit(seen["label"].tolist(), [(np.frombuffer(i, "<i4"), np.frombuffer(c, "<f4"))
                                         for i, c in zip(seen["buckets"], seen["counts"])], t).astype(np.float32)
     kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInArrow(_scores(odds, t), f"id {kind}, held_out boolean, score double")
+    scored = rows.mapInArrow(_scores(odds, t, shift), f"id {kind}, held_out boolean, score double")
     return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskview.llm.common import slices
-from riskview.llm.subword_classifier import sample_of
+from riskview.llm.subword_classifier import class_weights, sample_of
 from riskview.llm.words import Words, words_of
 
 #: Common insults of the four languages, and second-person words.
@@ -60,7 +60,6 @@ class Training:
     stem: int = 4
     least_docs: int = 4
     least_odds: float = 8.0
-    most_words: int = 20_000
     trees: int = 60
     depth: int = 3
     bins: int = 32
@@ -177,16 +176,17 @@ class Trees:
         return out
 
 
-def grow(x: np.ndarray, y: np.ndarray, t: Training) -> Trees:
-    """Newton boosting of the logistic loss over feature histograms."""
-    share = (y.sum() + 0.5) / (len(y) + 1)
+def grow(x: np.ndarray, y: np.ndarray, t: Training, weight: np.ndarray | None = None) -> Trees:
+    """Newton boosting of the weighted logistic loss over feature histograms."""
+    weight = np.ones(len(y)) if weight is None else weight
+    share = ((weight * y).sum() + 0.5) / (weight.sum() + 1)
     cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, t.bins + 1)[1:-1])) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1)
     trees = Trees(float(np.log(share / (1 - share))), cuts, [], [], [])
     z = np.full(len(y), trees.base)
     for _ in range(t.trees):
         p = 1 / (1 + np.exp(-z))
-        g, h = p - y, np.maximum(p * (1 - p), 1e-6)
+        g, h = weight * (p - y), weight * np.maximum(p * (1 - p), 1e-6)
         node, feats, bins = np.zeros(len(y), dtype=np.int64), [], []
         for level in range(t.depth):
             nodes = 1 << level
@@ -214,13 +214,15 @@ def grow(x: np.ndarray, y: np.ndarray, t: Training) -> Trees:
     return trees
 
 
-def isotonic(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def isotonic(z: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: knots of the best rising step function, each
-    pool's share smoothed by a tenth of a document of either class."""
-    order = np.argsort(z, kind="stable")
+    pool's share smoothed by a tenth of a document of either class.  Equal
+    ``z`` are one pool from the start, so the order of rows does not matter."""
+    weight = np.ones(len(y)) if weight is None else weight
+    steps, at = np.unique(z, return_inverse=True)
     pools: list[list[float]] = []  # ones, size, first z, last z
-    for v, one in zip(z[order], y[order]):
-        pools.append([float(one), 1.0, v, v])
+    for v, one, size in zip(steps.tolist(), np.bincount(at, weights=weight * y).tolist(), np.bincount(at, weights=weight).tolist()):
+        pools.append([one, size, v, v])
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             last = pools.pop()
             pools[-1] = [pools[-1][0] + last[0], pools[-1][1] + last[1], pools[-1][2], last[3]]
@@ -254,8 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, t: Training, id_col: str
     seen = teach.select("label", "text").mapInArrow(_typical(t.stem), "kind int, code long, label int")
     odds = ((F.col("bad") + 0.05) / (size.get(1, 0) + 1)) / ((F.col("good") + 0.05) / (size.get(0, 0) + 1))
     seen = (seen.groupBy("kind", "code").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
-            .where((F.col("bad") >= t.least_docs) & (odds >= t.least_odds))
-            .orderBy(F.desc("bad"), "kind", "code").limit(t.most_words).toPandas())
+            .where((F.col("bad") >= t.least_docs) & (odds >= t.least_odds)).toPandas())
     found = [np.sort(seen.loc[seen["kind"] == k, "code"].to_numpy().astype(np.int64).view(np.uint64)) for k in (0, 1)]
     lexicon = Lexicon(np.unique(np.concatenate((found[0], fixed_codes(INSULTS)))), found[1])
     second = fixed_codes(SECOND_PERSON)
@@ -271,17 +272,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, t: Training, id_col: str
     table = grown.select("id", "part", "label", "text").mapInArrow(
         run, f"id {kind}, part long, label int, x array<double>").toPandas().sort_values("id", ignore_index=True)
     y = table["label"].to_numpy().astype(float)
+    weight = np.array(class_weights(labels, label, t.per_class, id_col))[y.astype(int)]  # a capped class counts for all its labels
     if len(set(y)) < 2:
         return Model(lexicon, None, np.zeros(1), np.array([(y.sum() + 0.5) / (len(y) + 1)]))
     x, part = np.stack(table["x"].to_list()), table["part"].to_numpy()
     last = part >= 16
     if len(set(y[~last])) < 2 or len(set(y[last])) < 2:
         last = np.ones(len(y), dtype=bool)
-        trees = grow(x, y, t)
+        trees = grow(x, y, t, weight)
     else:
-        trees = grow(x[~last], y[~last], t)
-    # the sample holds as many of the rare class as it may: weigh nothing, calibrate on shares of the sample
-    return Model(lexicon, trees, *isotonic(trees.odds(x[last]), y[last]))
+        trees = grow(x[~last], y[~last], t, weight[~last])
+    return Model(lexicon, trees, *isotonic(trees.odds(x[last]), y[last], weight[last]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str, out: Column, t: Training = Training(),

@@ -61,6 +61,50 @@ def test_isotonic_is_rising_and_fits_means():
     assert abs(np.interp(3.5, knots, shares) - 0.5) < 0.01
 
 
+def test_isotonic_pools_ties_whatever_the_order():
+    rng = np.random.default_rng(1)
+    z, y = rng.integers(0, 6, 60).astype(float), rng.integers(0, 2, 60).astype(float)
+    want = toxicity_trees.isotonic(z, y)
+    for _ in range(20):
+        order = rng.permutation(60)
+        got = toxicity_trees.isotonic(z[order], y[order])
+        assert np.array_equal(got[0], want[0]) and np.allclose(got[1], want[1], atol=0)
+    for ones in ([1, 1, 0, 0], [0, 0, 1, 1], [1, 0, 1, 0]):
+        knots, shares = toxicity_trees.isotonic(np.full(4, 2.0), np.array(ones, dtype=float))
+        assert np.interp(2.0, knots, shares) == 0.5
+
+
+def test_weights_count_like_repeated_rows():
+    rng = np.random.default_rng(2)
+    x, z = rng.random((300, 3)), rng.integers(0, 9, 300).astype(float)
+    y = (x[:, 0] + rng.random(300) > 1).astype(float)
+    weight = np.where(y > 0, 1.0, 3.0)
+    again = np.repeat(np.arange(300), weight.astype(int))
+    assert np.allclose(toxicity_trees.isotonic(z, y, weight)[1], toxicity_trees.isotonic(z[again], y[again])[1])
+    t = toxicity_trees.Training(trees=8, bins=4)
+    few = np.round(x * 3) / 3  # the same cuts for both
+    assert np.allclose(toxicity_trees.grow(few, y, t, weight).odds(few), toxicity_trees.grow(few[again], y[again], t).odds(few))
+
+
+@pytest.mark.parametrize("module", [subword_classifier, toxicity_trees])
+def test_a_capped_class_keeps_its_weight(spark, module):
+    """Three of four labels are of class 0, with and without a cap on it."""
+    rng = np.random.default_rng(4)
+    texts, marks = [], []
+    for i in range(400):
+        one = i % 4 == 0
+        words = ["plain", "words", "and", "more"] + (["trash", "scum"] if rng.random() < (0.6 if one else 0.2) else ["fine"])
+        texts.append(" ".join(rng.permutation(words)))
+        marks.append((i, int(one)))
+    docs, labels = documents(spark, texts), spark.createDataFrame(marks, "doc_id long, y int")
+    means = [np.mean([r["score"] for r in module.classify(docs, labels, "y", F.lit(False), module.Training(per_class=n)).collect()])
+             for n in (400, 100)]
+    assert np.isfinite(means).all()
+    assert module is subword_classifier or abs(means[0] - means[1]) < 0.1  # noisy labels: the vectors only stay within bounds
+    assert subword_classifier.class_weights(labels, "y", 400, "doc_id") == (1.0, 1.0)
+    assert subword_classifier.class_weights(labels, "y", 100, "doc_id") == (1.5, 0.5)
+
+
 def test_features_see_obfuscation_capitals_and_second_person():
     import pyarrow as pa
     second = toxicity_trees.fixed_codes(toxicity_trees.SECOND_PERSON)
