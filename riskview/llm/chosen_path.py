@@ -8,7 +8,8 @@ chooses, unless its members are alike on average, when branching cannot part
 them and the node is compared as it is, block against block.  ``trees``
 independent trees (their roots use different tokens) repeat this: a pair of
 similarity ``s`` is missed with probability ``q ** trees``, where
-``q = (1 - s (1 - q)) ** branch`` - 1e-6 for s = 0.85, 1e-5 for s = 0.8.
+``q = (1 - s (1 - q)) ** branch`` - 1e-6 for s = 0.85, 1e-5 for s = 0.8 - to
+which the look at signatures below adds at most 1e-6 a node.
 
 Plan.
 
@@ -16,8 +17,8 @@ Plan.
   copies costs one row.
 * Trees hold (node, class) rows; nodes met by one class go after a partial
   count.  Signatures are joined to the rest, and a node names the pairs whose
-  signatures could reach the threshold (over 4 standard deviations of slack),
-  reduced to links that join the same classes.  The components of these links
+  signatures could reach the threshold (a pair at it is left out with a
+  probability below 1e-6), reduced to links that join the same classes.  The components of these links
   are the clusters outside which no link can lie.
 * Full sets are recomputed for the classes of clusters alone and travel once,
   to their cluster, where every link is confirmed on them: the intersections of
@@ -39,13 +40,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskview.llm.common import slices, stored
+from riskview.llm.common import lean, slices, stored
 from riskview.llm.components import components
 from riskview.llm.words import Words, mix, words_of
 from riskview.operators.joins import broadcast_if_small
@@ -283,8 +285,15 @@ class Join:
 
     @property
     def floor(self) -> float:
-        p = self.percent / 100
-        return p - 4.5 * (p * (1 - p) / self.tokens) ** 0.5
+        """Least share of agreeing tokens that a node looks at: the largest
+        count that a pair at the threshold stays below with a probability of
+        at most 1e-6, below the trees' own share of missed pairs."""
+        p, below = self.percent / 100, 0.0
+        for k in range(self.tokens + 1):
+            below += comb(self.tokens, k) * p ** k * (1 - p) ** (self.tokens - k)
+            if below > 1e-6:
+                return k / self.tokens
+        return 1.0
 
 
 def _block(size: Column, small: int) -> Column:
@@ -295,7 +304,7 @@ def _candidates(classes: DataFrame, how: Join) -> DataFrame:
     """Links (a, b) whose components hold every pair that may be similar."""
     links, at = [], classes.select(F.lit(0).cast("long").alias("node"), "class", "sig")
     for level in range(how.levels):
-        rows = stored(at.mapInArrow(_grow(level, how.branch, how.trees), "node long, class binary"), "tree")
+        rows = stored(at.mapInArrow(lean(_grow(level, how.branch, how.trees)), "node long, class binary"), "tree")
         sizes = stored(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), "tree-sizes")
         met = stored(rows.join(sizes, "node").join(classes, "class").select("node", "class", "size", "n", "sig"), "tree-nodes")
         links.append(met.where(F.col("size") <= how.small).select("node", "class", "n", "sig").groupBy("node")
@@ -368,7 +377,7 @@ def link_classes(classes: DataFrame, rows: DataFrame, how: Join) -> DataFrame:
     clusters = stored(clusters.join(sizes, "cluster").withColumn("block", _block(F.col("size"), how.small)), "clusters")
     active = stored(clusters.select("class").join(classes.select("class", "key", "digest"), "class"), "active")
     sets = (rows.select("key", "text").join(broadcast_if_small(active), "key").select("class", "digest", "text")
-            .mapInArrow(_resets(how.width, how.lower), "class binary, set binary"))
+            .mapInArrow(lean(_resets(how.width, how.lower)), "class binary, set binary"))
     sets = sets.groupBy("class").agg(F.first("set").alias("set"))  # a repeated row comes more than once
     members = stored(sets.join(clusters, "class"), "cluster-sets")
     small = members.where(F.col("size") <= how.small).select("cluster", "class", "set")
@@ -398,7 +407,7 @@ def _components(docs: DataFrame, how: Join, id_col: str, text_col: str) -> DataF
     """id, key (of id and text), n, root and component_id of every document."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("id", "text"))
-    signed = stored(rows.mapInArrow(_sign(how.width, how.lower, how.tokens),
+    signed = stored(rows.mapInArrow(lean(_sign(how.width, how.lower, how.tokens)),
                                     "id long, key long, n long, digest binary, sig binary"), "signatures")
     # one row a class: of equal sets, sizes and signatures are equal too
     classes = stored(signed.where("digest IS NOT NULL").groupBy("digest").agg(
@@ -427,11 +436,12 @@ def keep_first(docs: DataFrame, how: Join = Join(), id_col: str = "doc_id", text
     found = stored(_components(docs, how, id_col, text_col).where("root IS NOT NULL"), "components")
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("first"))
     first = stored(first.select("root", F.col("first.key").alias("first")), "first")
-    gone = found.join(first, "root").where(F.col("key") != F.col("first")).select("key").distinct()
+    gone = found.join(first, "root").where(F.col("key") != F.col("first")).select("id", "key").distinct()
     gone = broadcast_if_small(stored(gone, "gone"))
     again = stored(found.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key"), "again")
     key = F.xxhash64(docs[id_col].cast("long"), docs[text_col])
-    kept = docs.join(gone, key == gone["key"], "left_anti")
+    # a row goes only if its id agrees too: a 64-bit key alone may meet another text's
+    kept = docs.join(gone, (key == gone["key"]) & docs[id_col].cast("long").eqNullSafe(gone["id"]), "left_anti")
     if again.isEmpty():
         return kept
     again = broadcast_if_small(again)

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskview.llm.common import slices
+from riskview.llm.common import lean, slices
 from riskview.operators.joins import broadcast_if_small
 from riskview.session import scratch_path
 
@@ -365,7 +365,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     path = scratch_path(spark, "alignment")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows.mapInArrow(_aligner(path_a, path_b, most), _COLUMNS).write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(lean(_aligner(path_a, path_b, most)), _COLUMNS).write.option("compression", "zstd").parquet(path)
     table = spark.read.schema(_COLUMNS).parquet(path)
     links = table.where("slice IS NOT NULL")
     asked = links.select("slice", F.explode(F.arrays_zip("keys", "totals")).alias("k")).select("slice", "k.keys", "k.totals")
@@ -380,7 +380,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     # one row a slice: its distinct pairs, in the order of their codes
     known = known.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("key", "n", "best"))).alias("counts"))
     sums = (links.select("slice", "rows", "sizes", "codes").join(known, "slice")
-            .mapInArrow(_sums, "row long, n_best long, count_sum long")
+            .mapInArrow(lean(_sums), "row long, n_best long, count_sum long")
             .groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum")))
     out = table.where("slice IS NULL").join(sums, "row", "left")
     return out.select(F.col("id").alias(id_col), "n_a", "n_b", "n_groups", "n_links",

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskview.llm.common import slices
+from riskview.llm.common import lean, slices
 from riskview.llm.subword_classifier import class_weights, sample_of
 from riskview.llm.words import Words, words_of
 
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, t: Training, id_col: str
              .withColumn("part", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(20))))
     teach, grown = train.where("part < 9"), train.where("part >= 9")
     size = {r["label"]: r["n"] for r in teach.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    seen = teach.select("label", "text").mapInArrow(_typical(t.stem), "kind int, code long, label int")
+    seen = teach.select("label", "text").mapInArrow(lean(_typical(t.stem)), "kind int, code long, label int")
     odds = ((F.col("bad") + 0.05) / (size.get(1, 0) + 1)) / ((F.col("good") + 0.05) / (size.get(0, 0) + 1))
     seen = (seen.groupBy("kind", "code").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
             .where((F.col("bad") >= t.least_docs) & (odds >= t.least_odds)).toPandas())
@@ -303,7 +303,7 @@ def classify(docs: DataFrame, labels: DataFrame, label: str, out: Column, t: Tra
                                                  names=["id", "held_out", "score"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"id {kind}, held_out boolean, score double")
+    scored = rows.mapInArrow(lean(run), f"id {kind}, held_out boolean, score double")
     return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -317,4 +317,4 @@ def filter_clean(docs: DataFrame, model: Model, t: Training = Training(), text_c
                 score = model.score(features(few.column(few.schema.get_field_index(text_col)), model.lexicon, second, t.stem))
                 yield few.filter(pa.array(score < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

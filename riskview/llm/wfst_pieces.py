@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskview.llm.common import slices
+from riskview.llm.common import lean, slices
 from riskview.llm.words import Words
 
 MARK = "▁"
@@ -68,12 +68,17 @@ class Transducer:
         self.number = {p.piece: i for i, p in enumerate(model.pieces) if p.type in usual}
         self.score = {p.piece: p.score for p in model.pieces if p.type in usual}
         self.least = min(self.score.values(), default=0.0)
-        self.trie: dict = {}
+        # states of the piece transducer: one table of (state, character) -> state, and the piece a state ends
+        self.next: dict[tuple[int, str], int] = {}
+        self.ends: list[int] = [-1]
         for piece, i in self.number.items():
-            node = self.trie
+            state = 0
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = i
+                to = self.next.setdefault((state, c), len(self.ends))
+                if to == len(self.ends):
+                    self.ends.append(-1)
+                state = to
+            self.ends[state] = i
         self.joined = {a + b for piece in self.number for a, b in zip(piece, piece[1:])}
         if any(MARK in piece.lstrip(MARK) for piece in self.number):
             raise ValueError("a piece holds a mark after other characters")
@@ -120,14 +125,13 @@ class Transducer:
 
     def _arcs(self, text: str, at: int) -> list[tuple[int, int]]:
         """Arcs of the piece transducer from position ``at``: (end, piece)."""
-        node, out = self.trie, []
+        state, out, step, ends = 0, [], self.next, self.ends
         for j in range(at, len(text)):
-            node = node.get(text[j])
-            if node is None:
+            state = step.get((state, text[j]))
+            if state is None:
                 break
-            v = node.get("")
-            if v is not None:
-                out.append((j + 1, v))
+            if ends[state] >= 0:
+                out.append((j + 1, ends[state]))
         return out
 
     def _allowed_path(self, text: str) -> list[int]:
@@ -238,7 +242,7 @@ class Transducer:
 
     def forget(self) -> None:
         """Drop what encoding has remembered."""
-        self.parts, self.old_parts = {}, {}
+        self.parts, self.old_parts, self.allowed = {}, {}, {}
 
     def decode(self, ids: np.ndarray) -> str:
         """The text whose ids these are: pieces to text, bytes joined."""
@@ -298,7 +302,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
         t.forget()  # a worker lives on and serves other stages
 
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"id {kind}, n_pieces long, pieces array<int>" + ", decoded string" * decode)
+    out = rows.mapInArrow(lean(run), f"id {kind}, n_pieces long, pieces array<int>" + ", decoded string" * decode)
     return out.withColumnRenamed("id", id_col)
 
 

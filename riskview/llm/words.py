@@ -39,7 +39,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             a[0] = 1
             both.append(np.multiply.accumulate(a))
         have = (both[0], both[1])
-        if size <= 1 << 23:
+        if size <= 1 << 21:  # 16 MB each; longer texts are rare
             _powers[base] = have
     return have[0][:n], have[1][:n]
 
