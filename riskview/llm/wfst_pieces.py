@@ -47,7 +47,7 @@ _RUNS = re.compile(rf"{MARK}*\w+|{MARK}+|[^\w{MARK}]")
 class Transducer:
     """The compiled model."""
 
-    def __init__(self, path: str, most: int = 150_000):
+    def __init__(self, path: str, most: int = 80_000):
         from sentencepiece import sentencepiece_model_pb2
         model = sentencepiece_model_pb2.ModelProto()
         with open(path, "rb") as f:
@@ -116,7 +116,7 @@ class Transducer:
 
     def _follows(self, u: int, v: int) -> bool:
         """Whether piece ``v`` may follow ``u`` (-1: the segment's start)."""
-        if len(self.allowed) > 300_000:
+        if len(self.allowed) > 120_000:
             self.allowed.clear()
         a = self.pieces[u] if u >= 0 else ""
         b = self.pieces[v]
@@ -292,7 +292,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = transducer(model)
         for b in batches:
-            for few in slices(b, "text", 1_600_000):
+            for few in slices(b, "text", 400_000):
                 flat, first = t.encode(few.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat.astype(np.int32)))
                 cols = [few.column("id"), pa.array(np.diff(first), pa.int64()), lists]
