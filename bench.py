@@ -31,6 +31,7 @@ def main() -> None:
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
     spark = build_session(f"local[{cpus}]", app="riskview-bench",
                           shuffle_partitions=max(8, cpus * 2), extra=extra)
+    from riskview.plans import catalog
     from riskview.plans.catalog import QUERIES
 
     errors: dict[str, str] = {}
@@ -39,6 +40,11 @@ def main() -> None:
         out: dict[str, float] = {}
         for name in HEADLINE:
             t0 = time.perf_counter()
+            if name == "star_rollup":  # the published star is built anew, and timed apart from reading it
+                catalog._STARS.clear()
+                catalog._star(spark, sf_dir)
+                out["star_build"] = round(time.perf_counter() - t0, 3)
+                t0 = time.perf_counter()
             try:
                 QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             except Exception as e:  # one failing query must not hide the others

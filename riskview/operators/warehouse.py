@@ -10,10 +10,12 @@ total of the partition sizes (one row per partition).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskview.operators.asof import as_of
 from riskview.operators.joins import broadcast_if_small
 from riskview.operators.scd2 import current_rows
 from riskview.operators.scoring import money_sum
@@ -72,7 +74,10 @@ def extend_keys(new_rows: DataFrame, existing: DataFrame, key_name: str,
                 known: DataFrame | None = None) -> DataFrame:
     """Reload: rows whose natural key already has a key keep it; only new
     natural keys are numbered, after the largest existing key.  ``known`` (by
-    default ``existing``) are the rows whose keys may be kept."""
+    default ``existing``) are the rows whose keys may be kept.
+
+    Keys are unique among ``existing`` and the result.  That a key is never
+    given again after its row has gone is what ``KeyLedger`` adds."""
     known = (existing if known is None else known).select(*natural, key_name)
     matched = new_rows.join(known, list(natural), "left")
     have = matched.filter(F.col(key_name).isNotNull())
@@ -81,20 +86,72 @@ def extend_keys(new_rows: DataFrame, existing: DataFrame, key_name: str,
     return have.unionByName(dense_keys(fresh, key_name, order, base=int(top)))
 
 
+@dataclass(frozen=True)
+class KeyLedger:
+    """Every key that a table has ever given out: ``natural`` and ``key``, as
+    an append-only table of its own that outlives the published rows.
+
+    A row that left and comes back finds its key again, and a new one is
+    numbered after the largest key ever given, so no key names two rows over
+    the life of the table.  Keys are recorded before they are handed out; a run
+    that is cut off in between finds them again.  One writer at a time.
+    """
+
+    spark: SparkSession
+    path: str
+    key: str
+    natural: tuple[str, ...]
+
+    def known(self) -> DataFrame | None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            return None
+        # an append that was cut off and done again may repeat rows
+        return self.spark.read.parquet(self.path).dropDuplicates([*self.natural])
+
+    def seed(self, published: DataFrame | None) -> None:
+        """Record the keys of a table published before it had a ledger."""
+        if published is not None and self.known() is None:
+            self._record(published)
+
+    def _record(self, rows: DataFrame) -> None:
+        rows.select(*self.natural, F.col(self.key).cast("long")).write.mode("append").parquet(self.path)
+
+    def keyed(self, rows: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+        """``rows`` (unique on the natural key) with their keys for life; new
+        ones are numbered in ``order`` (the natural key by default)."""
+        order = list(order or self.natural)
+        known = self.known()
+        if known is None:
+            fresh, have = dense_keys(rows, self.key, order), None
+        else:
+            met = rows.join(known, list(self.natural), "left")
+            have = met.where(F.col(self.key).isNotNull())
+            top = known.agg(F.max(self.key)).first()[0] or 0   # one scalar
+            fresh = dense_keys(met.where(F.col(self.key).isNull()).drop(self.key), self.key, order, base=int(top))
+        self._record(fresh)  # numbered rows are stored, so these are the keys that are returned
+        return fresh if have is None else have.unionByName(fresh)
+
+
 DIM_CUSTOMER_ATTRS = ["customer_id", "full_name", "country", "customer_segment",
                       "pep_flag", "effective_from", "effective_to", "is_current"]
 DIM_CUSTOMER_NATURAL = ["customer_id", "effective_from"]
 
 
-def dim_customer(history: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def dim_customer(history: DataFrame, existing: DataFrame | None = None,
+                 ledger: KeyLedger | None = None) -> DataFrame:
     """All SCD2 versions, one key per (customer_id, effective_from).
 
     With ``existing`` (the previously published dimension) a version keeps
     the key it already has - only its closing columns may change - and only
-    new versions are numbered, after the largest existing key.
+    new versions are numbered, after the largest existing key.  A ``ledger``
+    keeps keys for life, also of versions that a re-run took back.
     """
     d = history.select(*DIM_CUSTOMER_ATTRS).distinct()
-    if existing is None:
+    if ledger is not None:
+        ledger.seed(existing)
+        keyed = ledger.keyed(d)
+    elif existing is None:
         keyed = dense_keys(d, "customer_key", DIM_CUSTOMER_NATURAL)
     else:
         keyed = extend_keys(d, existing, "customer_key", DIM_CUSTOMER_NATURAL,
@@ -104,16 +161,23 @@ def dim_customer(history: DataFrame, existing: DataFrame | None = None) -> DataF
 
 def dim_document_status(latest_docs: DataFrame,
                         default_verifier: str | None = None,
-                        existing: DataFrame | None = None) -> DataFrame:
+                        existing: DataFrame | None = None,
+                        ledger: KeyLedger | None = None) -> DataFrame:
     """One row per customer's current document, keyed by customer_id order;
-    with ``existing`` a customer keeps its key and new ones follow."""
+    with ``existing`` a customer keeps its key and new ones follow.  With a
+    ``ledger`` also one that dropped out and returned keeps it, and its key
+    goes to nobody else meanwhile."""
     verifier = (F.col("verified_by") if "verified_by" in latest_docs.columns
                 else F.lit(default_verifier).cast("string"))
     d = latest_docs.select("customer_id", "doc_status", "doc_type",
                            F.col("expiry_date").cast("string").alias("expiry_date"),
                            verifier.alias("verified_by"))
-    keyed = (dense_keys(d, "kyc_key", ["customer_id"]) if existing is None else
-             extend_keys(d, existing, "kyc_key", ["customer_id"], ["customer_id"]))
+    if ledger is not None:
+        ledger.seed(existing)
+        keyed = ledger.keyed(d)
+    else:
+        keyed = (dense_keys(d, "kyc_key", ["customer_id"]) if existing is None else
+                 extend_keys(d, existing, "kyc_key", ["customer_id"], ["customer_id"]))
     return keyed.select("kyc_key", "customer_id", "doc_status", "doc_type", "expiry_date",
                         "verified_by")
 
@@ -156,15 +220,20 @@ def fact_rows(gold: DataFrame, run_date: Column) -> DataFrame:
 
 
 def fact_customer_risk(gold: DataFrame, run_date: Column,
-                       existing: DataFrame | None = None) -> DataFrame:
+                       existing: DataFrame | None = None, ledger: KeyLedger | None = None) -> DataFrame:
     """``fact_rows`` with a ``risk_key`` in customer order.
 
     ``existing`` is the published fact of all days: a re-run of a day gives its
     customers their keys back, and every other row is numbered after the
-    largest key of any day, so a key never names two rows.
+    largest key of any published day.  With a ``ledger`` on customer and date a
+    key never names two rows, also where a re-run of a day holds fewer
+    customers than before.
     """
     rows = fact_rows(gold, run_date)
-    if existing is None:
+    if ledger is not None:
+        ledger.seed(existing)
+        keyed = ledger.keyed(rows)
+    elif existing is None:
         keyed = dense_keys(rows, "risk_key", ["customer_id"])
     else:
         keyed = extend_keys(rows, existing, "risk_key", ["customer_id"], ["customer_id"],
@@ -182,12 +251,34 @@ def star_rollup(fact: DataFrame, dim_cust: DataFrame, dim_kyc: DataFrame, dim_da
     proven to hold at most that many rows; the fact is then shuffled only for
     the grouping, after partial sums.
     """
-    size = (lambda d: broadcast_if_small(d, broadcast_max_rows)) if broadcast_max_rows is not None \
-        else (lambda d: d)
+    size = _sized(broadcast_max_rows)
     cust = size(current_rows(dim_cust).select("customer_id", "customer_segment", "country"))
+    return _rollup(fact.join(cust, "customer_id"), dim_kyc, dim_dates, size)
+
+
+def star_as_of(fact: DataFrame, dim_cust: DataFrame, dim_kyc: DataFrame, dim_dates: DataFrame,
+               broadcast_max_rows: int | None = None) -> DataFrame:
+    """``star_rollup`` with every fact day under the segment and country that
+    the customer had at the end of that day.  A customer without a version by
+    then is counted under NULL."""
+    size = _sized(broadcast_max_rows)
+    day = F.to_timestamp(F.col("date_key").cast("string"), "yyyyMMdd")
+    dated = fact.withColumn("__day_end", day + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 0.000001 SECOND"))
+    versions = dim_cust.select("customer_id", "effective_from", "effective_to", "customer_segment", "country")
+    met = as_of(dated, versions, ["customer_id"], "__day_end", "effective_from")
+    open_then = F.col("effective_to") > F.col("__day_end")
+    met = met.withColumns({c: F.when(open_then, F.col(c)) for c in ("customer_segment", "country")})
+    return _rollup(met, dim_kyc, dim_dates, size)
+
+
+def _sized(broadcast_max_rows: int | None):
+    return (lambda d: broadcast_if_small(d, broadcast_max_rows)) if broadcast_max_rows is not None else (lambda d: d)
+
+
+def _rollup(rows: DataFrame, dim_kyc: DataFrame, dim_dates: DataFrame, size) -> DataFrame:
     kyc = size(dim_kyc.select("customer_id", "doc_status"))
     days = size(dim_dates.select("date_key", "year", "month"))
-    return (fact.join(cust, "customer_id").join(kyc, "customer_id", "left").join(days, "date_key")
+    return (rows.join(kyc, "customer_id", "left").join(days, "date_key")
             .groupBy("customer_segment", "country", "doc_status", "year", "month", "kyc_risk_level")
             .agg(F.count(F.lit(1)).alias("customers"),
                  money_sum(F.col("txn_total_amt")).alias("total_amount"),

@@ -499,6 +499,33 @@ def stream_dedup_transactions(spark, sf):
     return spark.read.parquet(sink).drop("source_file", BATCH)
 
 
+@query
+def dim_key_returns(spark, sf):
+    """Three loads of the document dimension: a third of the customers is not
+    there yet, another third drops out when it arrives, then all are back.
+    Every customer has the key it was first given."""
+    docs = cleaning.latest_per_customer(fx.kyc_documents(spark, sf))
+    ledger = warehouse.KeyLedger(spark, scratch_path(spark, "dim-kyc-keys"), "kyc_key", ("customer_id",))
+    third = F.col("customer_id") % 3
+    for there in (third != 1, third != 0):
+        _published(warehouse.dim_document_status(docs.filter(there), "unknown", ledger=ledger), "dim-kyc")
+    return warehouse.dim_document_status(docs, "unknown", ledger=ledger)
+
+
+@query
+def star_as_of(spark, sf):
+    """The star over two fact days around the changed segments and countries."""
+    path = scratch_path(spark, "fact")
+    _, customers, documents, _ = _star(spark, sf)
+    gold = _published(_gold(spark, sf), "gold")
+    for run in (fx.RUN, fx.RUN2):
+        known = spark.read.parquet(path) if run != fx.RUN else None
+        write_partitioned(warehouse.fact_customer_risk(gold, fx.run_ts(run), known), path, ["date_key"])
+    fact = spark.read.parquet(path)
+    days = _published(warehouse.dim_date(F.col("txn_date"), fx.transactions(spark, sf), fact), "dim-date")
+    return warehouse.star_as_of(fact, customers, documents, days, broadcast_max_rows=1_000_000)
+
+
 # ------------------------------------------------------------ whole pipeline
 
 LANDED_FORMATS = {"customer_onboarding": "csv", "transaction_feed": "ndjson",

@@ -289,6 +289,19 @@ _BODIES.update({
         FROM customer_360 f JOIN scd2_all d ON d.customer_id = f.customer_id AND d.is_current
         LEFT JOIN latest_doc k ON k.customer_id = f.customer_id
         GROUP BY d.customer_segment, d.country, k.doc_status, f.kyc_risk_level""",
+    "dim_key_returns": """SELECT CAST(CASE WHEN customer_id % 3 <> 1 THEN k
+          ELSE k + (SELECT count(*) FROM latest_doc WHERE customer_id % 3 <> 1) END AS BIGINT) AS kyc_key,
+        customer_id, doc_status, doc_type, CAST(expiry_date AS VARCHAR) AS expiry_date, 'unknown' AS verified_by
+        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id % 3 = 1 ORDER BY customer_id) AS k FROM latest_doc)""",
+    "star_as_of": f"""SELECT d.customer_segment, d.country, k.doc_status, CAST(year(r.ts) AS INTEGER) AS year,
+        CAST(month(r.ts) AS INTEGER) AS month, f.kyc_risk_level, count(*) AS customers,
+        CAST(round(sum(CAST(f.txn_total_amt AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_amount,
+        avg(f.risk_score) AS avg_score
+        FROM customer_360 f CROSS JOIN (VALUES ({RUN}), ({RUN2})) r(ts)
+        LEFT JOIN scd2_all d ON d.customer_id = f.customer_id
+          AND d.effective_from < r.ts + INTERVAL 1 DAY AND d.effective_to >= r.ts + INTERVAL 1 DAY
+        LEFT JOIN latest_doc k ON k.customer_id = f.customer_id
+        GROUP BY d.customer_segment, d.country, k.doc_status, r.ts, f.kyc_risk_level""",
     "layer_row_counts_total": "SELECT * FROM (" + "\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows, {n} AS columns, "
         f"CAST(NULL AS VARCHAR) AS error FROM {t}" for t, n in _TABLE_COLUMNS.items())

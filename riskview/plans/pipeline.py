@@ -286,19 +286,25 @@ def run_warehouse(spark: SparkSession, lay: Layout, run_ts: str,
     def published_fact() -> DataFrame | None:
         return spark.read.parquet(fact_dir) if path_exists(spark, fact_dir) else None
 
+    def ledger(table: str, key: str, *natural: str) -> warehouse.KeyLedger:
+        return warehouse.KeyLedger(spark, f"{lay.root}/warehouse/{table}_keys", key, natural)
+
     def dim_customer() -> None:
         history = store.read("silver", "customer_onboarding")
-        store.publish(warehouse.dim_customer(history, previous("dim_customer")), "warehouse", "dim_customer")
+        keys = ledger("dim_customer", "customer_key", *warehouse.DIM_CUSTOMER_NATURAL)
+        store.publish(warehouse.dim_customer(history, previous("dim_customer"), keys), "warehouse", "dim_customer")
 
     def dim_kyc_status() -> None:
         docs = store.read("silver", "kyc_documents")
-        store.publish(warehouse.dim_document_status(docs, existing=previous("dim_kyc_status")),
+        store.publish(warehouse.dim_document_status(docs, existing=previous("dim_kyc_status"),
+                                                    ledger=ledger("dim_kyc_status", "kyc_key", "customer_id")),
                       "warehouse", "dim_kyc_status")
 
     def fact() -> None:
         gold = store.read("gold", "customer_360")
         run_date = F.lit(run_ts).cast("timestamp")
-        f = warehouse.fact_customer_risk(gold, run_date, published_fact())
+        f = warehouse.fact_customer_risk(gold, run_date, published_fact(),
+                                         ledger("fact_customer_risk", "risk_key", "customer_id", "date_key"))
         # numbering range-sorted the rows on customer_id, so every file holds
         # one contiguous customer range (co-located, with tight min/max
         # statistics); no second shuffle to hash-distribute them
@@ -323,9 +329,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def star(spark: SparkSession, lay: Layout, broadcast_max_rows: int | None = 1_000_000) -> DataFrame:
-    """The star query over the published fact and dimensions."""
+    """The star query over the published fact and dimensions: every fact day
+    under the attributes that its customers had then."""
     store = lay.store(spark)
-    return warehouse.star_rollup(spark.read.parquet(f"{lay.root}/warehouse/fact_customer_risk"),
+    return warehouse.star_as_of(spark.read.parquet(f"{lay.root}/warehouse/fact_customer_risk"),
                                  *[store.read("warehouse", d) for d in ("dim_customer", "dim_kyc_status", "dim_date")],
                                  broadcast_max_rows)
 

@@ -141,3 +141,42 @@ def test_dense_keys_property(spark, rows, parts, base):
                         .cast("long"))
     assert sorted(map(tuple, got.collect()), key=str) == \
         sorted(map(tuple, ref.select(*got.columns).collect()), key=str)
+
+
+def test_a_key_that_left_is_never_given_again(spark, tmpdir_path):
+    """C drops out, D comes: D is numbered behind C, and C returns to its key."""
+    ledger = warehouse.KeyLedger(spark, f"{tmpdir_path}/keys", "kyc_key", ("customer_id",))
+
+    def load(*ids):
+        rows = spark.createDataFrame([(i,) for i in ids], "customer_id string")
+        out = ledger.keyed(rows)
+        return {r.customer_id: r.kyc_key for r in out.collect()}
+
+    assert load("A", "B", "C") == {"A": 1, "B": 2, "C": 3}
+    assert load("A", "B", "D") == {"A": 1, "B": 2, "D": 4}
+    assert load("C", "E") == {"C": 3, "E": 5}
+    assert load() == {}
+    assert load("E", "D", "C", "B", "A", "0") == {"A": 1, "B": 2, "C": 3, "D": 4, "E": 5, "0": 6}
+    assert ledger.known().count() == 6
+
+
+def test_a_ledger_starts_from_the_published_dimension(spark, tmpdir_path):
+    old = spark.createDataFrame([("A", 4), ("B", 9)], "customer_id string, kyc_key long")
+    ledger = warehouse.KeyLedger(spark, f"{tmpdir_path}/keys", "kyc_key", ("customer_id",))
+    ledger.seed(old)
+    ledger.seed(old.limit(0))  # only the first time
+    rows = spark.createDataFrame([("B",), ("C",)], "customer_id string")
+    assert {r.customer_id: r.kyc_key for r in ledger.keyed(rows).collect()} == {"B": 9, "C": 10}
+
+
+def test_fact_keys_of_a_smaller_rerun_are_not_reused(spark, tmpdir_path):
+    ledger = warehouse.KeyLedger(spark, f"{tmpdir_path}/keys", "risk_key", ("customer_id", "date_key"))
+
+    def run(day, *ids):
+        rows = spark.createDataFrame([(i, day) for i in ids], "customer_id long, date_key int")
+        return {r.customer_id: r.risk_key for r in ledger.keyed(rows).collect()}
+
+    assert run(20240131, 1, 2, 3) == {1: 1, 2: 2, 3: 3}
+    assert run(20240131, 1) == {1: 1}
+    assert run(20240201, 1, 2) == {1: 4, 2: 5}
+    assert run(20240131, 1, 3) == {1: 1, 3: 3}
