@@ -37,8 +37,8 @@ def build_session(master: str | None = None, app: str = "riskview",
         # (several JVM round trips each); plans are built once per query and
         # errors still carry the failing expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
-        # Streaming state (replay dedup keys) in RocksDB: off-heap and on local
-        # disk, so a large watermark window cannot exhaust executor heaps.
+        # Streaming state (the keys a feed has delivered) in RocksDB: off-heap
+        # and on local disk, so it cannot exhaust executor heaps.
         # Takes effect for new checkpoints.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -7,8 +7,9 @@ the backlog is drained (``availableNow``).  A lost executor or a killed run
 is recovered by re-running with the same checkpoint.
 
 A feed that is delivered at least once is reduced to first-seen keys by
-``ingest_first_seen``.  It keeps no window of keys: however late a record is,
-it is dropped only if its key has been written before.
+``ingest_first_seen``.  The keys seen are streaming state without a watermark:
+however late a record is, it is dropped only if its key has been seen before,
+and a micro-batch costs its own rows, whatever the feed has delivered so far.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskview.functions.metadata import with_ingest_metadata
+from riskview.session import scratch_path, scratch_scope
 
 INGEST_PARTITIONS = ("ingest_year", "ingest_month", "ingest_day")
 BATCH = "ingest_batch"
@@ -33,6 +35,7 @@ class StreamRun:
     batches: int
     rows: int
     rejected: int = 0
+    repeated: int = 0
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -50,7 +53,9 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType,
     return r.load(path)
 
 
-def _drain(q: StreamingQuery, what: str, timeout_s: float | None) -> StreamRun:
+def _drain(q: StreamingQuery, what: str, timeout_s: float | None, observed: str | None = None) -> StreamRun:
+    """Wait for the query's end.  ``observed`` names a metric of the query
+    whose ``rows`` count as the rows that arrived."""
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:
         q.stop()
@@ -58,7 +63,9 @@ def _drain(q: StreamingQuery, what: str, timeout_s: float | None) -> StreamRun:
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     progress = [p for p in q.recentProgress if p.numInputRows > 0]
-    return StreamRun(batches=len(progress), rows=sum(p.numInputRows for p in progress))
+    rows = [p.observedMetrics[observed]["rows"] if observed in p.observedMetrics else 0 for p in progress] if observed \
+        else [p.numInputRows for p in progress]
+    return StreamRun(batches=len(progress), rows=sum(rows))
 
 
 def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType,
@@ -90,13 +97,13 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: T.StructType,
 
 def for_each_new_batch(df: DataFrame, checkpoint_dir: str,
                        step: Callable[[DataFrame, int], None],
-                       timeout_s: float | None = None) -> StreamRun:
+                       timeout_s: float | None = None, observed: str | None = None) -> StreamRun:
     """Hand every batch of ``df`` that this checkpoint has not seen to
     ``step(batch, id)``, then stop.  A batch comes again if ``step`` was cut
     off, with the same id and rows, so ``step`` must allow that."""
     q = (df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
-    return _drain(q, f"stream of {checkpoint_dir}", timeout_s)
+    return _drain(q, f"stream of {checkpoint_dir}", timeout_s, observed)
 
 
 def ingest_first_seen(spark: SparkSession, source_dir: str, schema: T.StructType,
@@ -108,39 +115,57 @@ def ingest_first_seen(spark: SparkSession, source_dir: str, schema: T.StructType
     """Catch-up pass of a feed that may deliver a record many times: the sink
     holds each key once, the first time it was seen.
 
-    Each micro-batch is reduced to one row per key and anti-joined with the
-    keys already in the sink (that column only), then written to its own
-    ``ingest_batch`` partition, which a repeated batch overwrites.  The state
-    is the sink itself, so no watermark can drop a late record.
+    The keys seen are the state of a streaming ``dropDuplicates`` without a
+    watermark, one entry a key, hashed over the shuffle partitions that the
+    session had when the checkpoint was made (size them for the keys to come)
+    and kept in RocksDB on local disk, with its changes in the checkpoint.  A
+    micro-batch looks up and adds its own keys only; nothing is read back from
+    the sink.  Each batch is written to its own ``ingest_batch`` partition,
+    which a repeated batch overwrites with the same keys.  Of records that
+    share a key within one micro-batch, one is kept (a repeat is a copy).
 
     A record that lacks a key (a malformed line lacks all) equals no other:
     every one goes to ``rejects_dir`` (``<sink_dir>-rejects`` unless given),
-    laid out like the sink, and is counted in the run's ``rejected``.
+    laid out like the sink.  The run counts the ``rows`` that arrived, those
+    ``rejected`` and the ``repeated`` ones that were dropped.
     """
     rejects_dir = rejects_dir or f"{sink_dir.rstrip('/')}-rejects"
     keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    rejected: dict[int, int] = {}
-    df = with_ingest_metadata(
+    counts: dict[int, tuple[int, int]] = {}
+    feed = with_ingest_metadata(
         file_stream(spark, source_dir, schema, fmt, max_files_per_trigger), pipeline, run_ts=run_ts)
-    sink_schema = T.StructType(df.schema.fields + [T.StructField(BATCH, T.LongType())])
+    # records without a key skip the state: a marker that no key has keeps them apart from it
+    # (counted before the reduction; the scan's own count depends on what filters it takes over)
+    keyed = feed.filter(~keyless).observe("first_seen", F.count(F.lit(1)).alias("rows"))
+    first = keyed.dropDuplicates(list(keys))
+    both = first.withColumn("__lacks", F.lit(False)).union(feed.filter(keyless).withColumn("__lacks", F.lit(True)))
 
     def publish(rows: DataFrame, n: int, path: str) -> None:
-        (rows.withColumn(BATCH, F.lit(n).cast("long")).write.mode("overwrite")
+        (rows.drop("__lacks").withColumn(BATCH, F.lit(n).cast("long")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path))
 
     def step(batch: DataFrame, n: int) -> None:
-        rejects = batch.filter(keyless)
-        rejected[n] = rejects.count()
-        if rejected[n]:
-            publish(rejects, n, rejects_dir)
-        fresh = batch.filter(~keyless).dropDuplicates(list(keys))
-        path = batch.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(sink_dir)
-        fs = path.getFileSystem(batch.sparkSession.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(path):
-            seen = (batch.sparkSession.read.schema(sink_schema).parquet(sink_dir)
-                    .filter(F.col(BATCH) != n).select(*keys))
-            fresh = fresh.join(seen, list(keys), "left_anti")
-        publish(fresh, n, sink_dir)
-
-    run = for_each_new_batch(df, checkpoint_dir, step, timeout_s)
-    return replace(run, rejected=sum(rejected.values()))
+        spark = batch.sparkSession
+        path = scratch_path(spark, "first-seen")
+        # once: each evaluation of a stateful batch would read the files again
+        batch.write.partitionBy("__lacks").parquet(path)
+        rows = spark.read.schema(batch.schema).parquet(path)
+        size = {r["__lacks"]: r["n"] for r in rows.groupBy("__lacks").agg(F.count("*").alias("n")).collect()}
+        counts[n] = size.get(False, 0), size.get(True, 0)
+        publish(rows.filter(~F.col("__lacks")), n, sink_dir)
+        if counts[n][1]:
+            publish(rows.filter("__lacks"), n, rejects_dir)
+
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        with scratch_scope(spark):
+            run = for_each_new_batch(both, checkpoint_dir, step, timeout_s, observed="first_seen")
+    finally:
+        if before is None:
+            spark.conf.unset(provider)
+        else:
+            spark.conf.set(provider, before)
+    kept, rejected = (sum(c) for c in zip(*counts.values())) if counts else (0, 0)
+    return replace(run, rows=run.rows + rejected, rejected=rejected, repeated=run.rows - kept)

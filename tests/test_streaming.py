@@ -98,11 +98,33 @@ def test_first_seen_rejects_every_record_without_a_key(spark, tmpdir_path):
     def land(name, *lines):
         with open(f"{src}/{name}.json", "w") as f:
             f.write("\n".join(lines) + "\n")
-        return ingest_first_seen(spark, src, schema, sink, ck, "stream", ["transaction_id"],
-                                 run_ts="2024-01-31 00:00:00", max_files_per_trigger=1).rejected
+        r = ingest_first_seen(spark, src, schema, sink, ck, "stream", ["transaction_id"],
+                              run_ts="2024-01-31 00:00:00", max_files_per_trigger=1)
+        return r.rows, r.rejected, r.repeated
 
-    assert land("a", '{"transaction_id": "T1", "amount": 1}', '{"amount": 2}', '{"amount": 3}', "{broken") == 3
-    assert land("b", '{"transaction_id": "T1", "amount": 1}', '{"amount": 2}') == 1
-    assert land("c", '{"transaction_id": "T2", "amount": 5}') == 0
+    assert land("a", '{"transaction_id": "T1", "amount": 1}', '{"amount": 2}', '{"amount": 3}', "{broken") == (4, 3, 0)
+    assert land("b", '{"transaction_id": "T1", "amount": 1}', '{"amount": 2}') == (2, 1, 1)
+    assert land("c", '{"transaction_id": "T2", "amount": 5}') == (1, 0, 0)
     assert sorted(r.transaction_id for r in spark.read.parquet(sink).collect()) == ["T1", "T2"]
     assert sorted(r.amount or 0 for r in spark.read.parquet(f"{sink}-rejects").collect()) == [0, 2, 2, 3]
+
+
+def test_first_seen_is_state_and_reads_nothing_back(spark, tmpdir_path):
+    """A run whose sink is empty still knows every key, so the sink is never
+    read; and what a run reads is what arrived."""
+    from riskview.streaming.ingest import ingest_first_seen
+    schema = spark.createDataFrame([], "transaction_id long, amount double").schema
+    src, ck = f"{tmpdir_path}/in", f"{tmpdir_path}/ck"
+
+    def run(lo, hi, sink):
+        spark.range(lo, hi).selectExpr("id AS transaction_id", "1.0D AS amount").coalesce(2).write.json(f"{src}/{lo}-{hi}")
+        r = ingest_first_seen(spark, src, schema, f"{tmpdir_path}/{sink}", ck, "stream", ["transaction_id"],
+                              run_ts="2024-01-31 00:00:00")
+        got = sorted(x.transaction_id for x in spark.read.parquet(f"{tmpdir_path}/{sink}").collect())
+        return r, got
+
+    r, got = run(0, 5000, "a")
+    assert (r.rows, r.repeated, r.rejected) == (5000, 0, 0) and got == list(range(5000))
+    r, got = run(4990, 5010, "b")  # another sink: the keys are not in it
+    assert (r.rows, r.repeated, r.rejected) == (20, 10, 0) and got == list(range(5000, 5010))
+    assert r.batches == 1
