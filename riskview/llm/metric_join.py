@@ -232,9 +232,12 @@ def _deal(how: Range) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
 def _cut(rows: DataFrame, sizes: DataFrame, how: Range) -> DataFrame:
     """Deal the rows of every cell out to new cells: cell, home, id, w, vec, far."""
+    # rows of a low hash only, some four samples a cell, so that no task meets all rows of a large cell
+    low = F.shiftrightunsigned(F.xxhash64("id"), 1) / F.lit(2.0 ** 63) * F.col("homes") < 4 * how.sample
     few = Window.partitionBy("cell").orderBy(F.xxhash64("id"), "id")
-    sample = (rows.where("home").withColumn("r", F.row_number().over(few)).where(F.col("r") <= how.sample)
-              .select("cell", "vec").join(sizes.select("cell", "homes"), "cell"))
+    sample = rows.where("home").join(broadcast_if_small(sizes.select("cell", "homes"), 4096), "cell").where(low)
+    sample = (sample.withColumn("r", F.row_number().over(few)).where(F.col("r") <= how.sample)
+              .select("cell", "vec", "homes"))
     pivots = stored(sample.groupBy("cell").applyInArrow(_choose(how), "cell string, k int, pivots binary"), "pivots")
     bundles = rows.select("cell", "home", "id", "w", "vec").mapInArrow(_bundles, _ROWS)
     reach = bundles.join(broadcast_if_small(pivots, 4096), "cell").mapInArrow(_nearest(how), "cell string, s int, reach double")
