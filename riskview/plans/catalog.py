@@ -455,6 +455,27 @@ def source_corrupt_records(spark, sf):
     return pipeline.corrupt_records(spark, lay, fx.RUN)
 
 
+@query
+def silver_quarantine(spark, sf):
+    """Feeds with broken records (one transaction in seven is cut off) and
+    account rows whose dates and times are no such values, through bronze and
+    silver: good and bad values by column."""
+    root = scratch_path(spark, "quarantine")
+    txns = fx.transactions(spark, sf)
+    activity = fx.activity(spark, sf).withColumns({
+        "last_activity_date": F.when(F.col("customer_id") % 7 == 3, "unknown").otherwise("2001-07-31"),
+        "batch_hour": F.when(F.col("customer_id") % 11 == 5, "").otherwise("2024-01-30T10:00:00")})
+    lay = pipeline.Layout(landing=f"{root}/landing", root=root,
+                          formats={"transaction_feed": "ndjson", "account_activity": "parquet_stream"},
+                          schemas={"transaction_feed": txns.schema, "account_activity": activity.schema})
+    line = F.to_json(F.struct(*txns.columns))
+    txns.select(F.when(F.col("transaction_id") % 7 == 3, F.substring(line, 1, 12)).otherwise(line).alias("value")) \
+        .write.text(f"{lay.landing}/transaction_feed")
+    activity.write.parquet(f"{lay.landing}/account_activity")
+    pipeline.run_tables(spark, lay, fx.RUN)
+    return pipeline.quarantine_report(spark, lay)
+
+
 @query
 def source_json_array_documents(spark, sf):
     docs = fx.kyc_documents(spark, sf)

@@ -334,6 +334,12 @@ _BODIES.update({
     "source_nested_landing": "SELECT * FROM transactions",
     "source_corrupt_records": """SELECT 'transaction_feed' AS table_name, (SELECT count(*) FROM transactions) AS good,
         CAST(2 AS BIGINT) AS corrupt""",
+    "silver_quarantine": "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) FILTER (NOT {bad}) AS good, "
+        f"count(*) FILTER ({bad}) AS bad FROM {v}" for t, c, bad, v in (
+            ("transaction_feed", "_corrupt_record", "(transaction_id % 7 = 3)", "transactions"),
+            ("account_activity", "last_activity_date", "(customer_id % 7 = 3)", "activity"),
+            ("account_activity", "batch_hour", "(customer_id % 11 = 5)", "activity"))),
     "scd2_stored_two_runs": "SELECT * FROM scd2_all",
     "scd2_corrected_rerun": "SELECT * FROM scd2_all",
     "fuzzy_screen_all_hits": """SELECT customer_id, w.entity_name,

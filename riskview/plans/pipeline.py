@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskview.config import DedupKeys, RiskConfig
+from riskview.functions.masking import DEFAULT_MASKS
 from riskview.functions.metadata import with_ingest_metadata, with_layer_metadata
-from riskview.operators import cleaning, quality, reports, scd2, warehouse
+from riskview.operators import cleaning, quality, quarantine, reports, scd2, warehouse
 from riskview.plans import customer_360 as c360
 from riskview.schemas import SILVER_CONTRACTS, SILVER_TYPES, SOURCE_FORMATS, SOURCES
 from riskview.session import scratch_scope
 from riskview.sources.readers import CORRUPT, TEXT_FORMATS, read_source
-from riskview.sources.store import TableStore, write_partitioned
+from riskview.sources.store import TableStore, run_stamp, write_partitioned
 from riskview.streaming.ingest import INGEST_PARTITIONS, for_each_new_batch, ingest_files
 
 PIPELINE_TAGS = {"csv": "batch", "ndjson": "batch_json", "json_array": "batch_json",
@@ -59,6 +60,8 @@ class Layout:
     # move ingested stream files to ``<root>/_archive`` so the landing path
     # the stream lists stays small (off by default: it changes the landing zone)
     archive_stream_files: bool = False
+    # share of a column's values that may be corrupt or miscast before a run raises
+    most_bad: float = 1.0
 
     @property
     def bronze(self) -> str:
@@ -155,6 +158,45 @@ def silver_input(df: DataFrame, name: str) -> DataFrame:
                            if types.get(c) == "string"})
 
 
+def quarantine_bad(df: DataFrame, lay: Layout, name: str, part: str,
+                   keys: DedupKeys = DedupKeys()) -> None:
+    """Set the corrupt records and miscast values of bronze rows aside under
+    ``<root>/quarantine``: one narrow scan writes the values and counts them.
+    ``part`` names the run or stream batch; the same one again replaces its
+    own files.  Raises after writing if a column exceeds ``lay.most_bad``."""
+    types = {c: t for c, t in SILVER_TYPES.get(name, {}).items() if dict(df.dtypes).get(c) == "string"}
+    corrupt = CORRUPT if CORRUPT in df.columns else None
+    if not types and corrupt is None:
+        return
+    rows, seen, columns = quarantine.set_aside(df, types, corrupt, keys.keys[name], ("source_file", "ingestion_timestamp"))
+
+    def write(out: DataFrame, kind: str) -> None:
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{lay.root}/quarantine/{kind}/table_name={name}/part={part}"))
+
+    write(rows, "values")
+    counts = quarantine.tally(seen, columns)
+    write(df.sparkSession.createDataFrame(counts, "column_name string, rows long, bad long").coalesce(1), "counts")
+    quarantine.judge(counts, lay.most_bad, name)
+
+
+def quarantine_report(spark: SparkSession, lay: Layout) -> DataFrame:
+    """Good and bad values of every judged column over all runs and stream
+    batches: ``table_name, column_name, rows, good, bad``."""
+    counts = spark.read.schema("column_name string, rows long, bad long, table_name string, part string").parquet(
+        f"{lay.root}/quarantine/counts")
+    return counts.groupBy("table_name", "column_name").agg(
+        F.sum("rows").alias("rows"), F.sum(F.col("rows") - F.col("bad")).alias("good"), F.sum("bad").alias("bad"))
+
+
+def quarantined(spark: SparkSession, lay: Layout) -> DataFrame:
+    """The values set aside: ``column_name, value, key``, lineage,
+    ``table_name`` and ``part``."""
+    return spark.read.schema("column_name string, value string, key string, source_file string, "
+                             "ingestion_timestamp timestamp, table_name string, part string").parquet(
+        f"{lay.root}/quarantine/values")
+
+
 def silver_dedup(df: DataFrame, name: str, keys: DedupKeys = DedupKeys()) -> DataFrame:
     """Latest row per natural key.  After the recency order, every other
     column breaks ties, so two differing copies with the same timestamps
@@ -178,8 +220,10 @@ def stream_silver(spark: SparkSession, lay: Layout, name: str, run_ts: str) -> N
     schema = bronze_schema(lay, name)
     bronze = spark.readStream.schema(schema).parquet(f"{lay.bronze}/{name}")
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, batch_id: int | None) -> None:
         store = lay.store(batch.sparkSession)
+        if batch_id is not None:
+            quarantine_bad(batch, lay, name, f"batch-{batch_id}")
         rows = silver_input(batch, name)
         if store.exists("silver", name):
             previous = store.read("silver", name)
@@ -191,7 +235,7 @@ def stream_silver(spark: SparkSession, lay: Layout, name: str, run_ts: str) -> N
 
     for_each_new_batch(bronze, f"{lay.checkpoints}/silver-{name}", merge)
     if not lay.store(spark).exists("silver", name):  # nothing has arrived yet
-        merge(spark.createDataFrame([], schema), 0)
+        merge(spark.createDataFrame([], schema), None)
 
 
 def silver_table(spark: SparkSession, lay: Layout, name: str, run_ts: str,
@@ -205,7 +249,9 @@ def silver_table(spark: SparkSession, lay: Layout, name: str, run_ts: str,
         return
     # A batch source lands a full extract every run: its own ingest day is
     # the whole source.
-    bronze = silver_input(read_bronze(spark, lay, name, run_ts), name)
+    landed = read_bronze(spark, lay, name, run_ts)
+    quarantine_bad(landed, lay, name, f"run-{run_stamp(run_ts)}")
+    bronze = silver_input(landed, name)
     if name == "customer_onboarding":
         keys = list(cfg.scd2.keys)
         rejects = with_layer_metadata(cleaning.mask_customer_pii(scd2.null_key_rows(bronze, keys)), "silver", run_ts)
@@ -245,12 +291,24 @@ def gold_inputs(spark: SparkSession, lay: Layout) -> c360.Inputs:
                        unique_documents=True)
 
 
+def silver_column_types(lay: Layout, name: str) -> dict[str, str]:
+    """The types that the silver columns of a table must have."""
+    types = {f.name: f.dataType.simpleString() for f in lay.schemas[name].fields} if name in lay.schemas else {}
+    types |= {c: t for c, t in SILVER_TYPES.get(name, {}).items() if types.get(c) == "string"}
+    if name == "customer_onboarding":  # masked, and kept as history
+        types |= {c: "string" for c in DEFAULT_MASKS}
+        types |= {"effective_from": "timestamp", "effective_to": "timestamp", "is_current": "boolean"}
+    return types
+
+
 def silver_contract(spark: SparkSession, lay: Layout, strict: bool = True) -> DataFrame:
-    """The contract report of the silver tables.  With ``strict`` a missing
-    column raises ``SchemaContractError`` - the alert - before any job runs."""
+    """The contract report of the silver tables.  With ``strict`` a column that
+    is missing or of another type raises ``SchemaContractError`` - the alert -
+    before any job runs."""
     store = lay.store(spark)
     tables = {n: store.read("silver", n) for n in SILVER_CONTRACTS}
-    return quality.schema_report(tables, SILVER_CONTRACTS, strict=strict)
+    types = {n: silver_column_types(lay, n) for n in SILVER_CONTRACTS}
+    return quality.schema_report(tables, SILVER_CONTRACTS, strict=strict, expected_types=types)
 
 
 def run_gold(spark: SparkSession, lay: Layout, run_ts: str,
