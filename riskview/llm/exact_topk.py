@@ -191,9 +191,14 @@ def _resolved(q: int, own: _Block) -> pa.RecordBatch:
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vec_col: str = "embedding",
-          slices: int = 2, query_block: int = 512, candidate_block: int = 4096) -> DataFrame:
+          slices: int = 2, query_block: int = 512, candidate_block: int = 4096, broadcast_bytes: int = _BROADCAST_BYTES,
+          salt_blocks: int = 64) -> DataFrame:
     """The ``k`` best other vectors of every query (rows whose id is divisible
-    by ``every``): query_id, rank, vec_id, score."""
+    by ``every``): query_id, rank, vec_id, score.
+
+    Query blocks are broadcast up to ``broadcast_bytes``.  Beyond, they are
+    joined by block and salt, each key with about ``salt_blocks`` blocks of
+    candidates, so no task meets all candidates."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec")).where("id IS NOT NULL")
     packed = "part int, dim int, ids binary, vecs binary"
@@ -203,11 +208,16 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     queries = stored(queries.select(F.col("part").alias("q"), *[F.col(c).alias(f"q_{c}") for c in ("dim", "ids", "vecs")]),
                      "topk-queries")
     size = queries.agg(F.sum(F.length("q_vecs") + F.length("q_ids"))).first()[0] or 0
-    pairs = (stored(rows.mapInArrow(_pack(candidate_block), packed), "topk-vectors")
-             .withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+    candidates = stored(rows.mapInArrow(_pack(candidate_block), packed), "topk-vectors")
+    pairs = candidates.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def meet(side: DataFrame) -> DataFrame:
-        return pairs.join(F.broadcast(side) if size <= _BROADCAST_BYTES else side, "q")
+        if size <= broadcast_bytes:
+            return pairs.join(F.broadcast(side), "q")
+        salts = max(1, -(-candidates.count() // salt_blocks))
+        salted = pairs.withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int"))
+        spread = side.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return salted.join(spread, ["q", "salt"]).drop("salt")
 
     lists = meet(queries).mapInArrow(_blocks(k, slices, _gather(k), _gathered),
                                      "q int, i int, tau double, least array<double>")

@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 
@@ -30,6 +31,21 @@ def test_against_brute_force(spark, slices):
     assert run(spark, rows, slices=slices, query_block=8, candidate_block=32) == brute(rows, 5, 10)
 
 
+def test_large_query_sets_are_joined_by_block_and_salt(spark):
+    rng = random.Random(7)
+    rows = [(i, [round(rng.gauss(0, 1), 2) for _ in range(4)]) for i in range(400)] + [(1000 + i, [0.5] * 4) for i in range(100)]
+    how = {"query_block": 16, "candidate_block": 16, "broadcast_bytes": 0, "salt_blocks": 3}
+    assert run(spark, rows, **how) == brute(rows, 5, 10)
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = spark.createDataFrame([(i, v) for i, v in rows], "vec_id long, embedding array<float>")
+        plan = top_k(df, 5, 10, **how)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+    assert re.search(r"SortMergeJoin \[q#\d+L?, salt#\d+L?\]", plan)
+
+
 def test_awkward_vectors(spark):
     rows = [(0, [1.0, 2.0]), (10, [1.0, -2.0, 3.0]), (20, None), (30, [math.nan]), (40, [None, 1.0]), (50, []),
             (None, [1.0]), (7, [math.inf]), (8, [1.0, 2.0]), (9, [-1.0])]
