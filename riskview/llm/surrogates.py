@@ -1,18 +1,22 @@
 r"""Personal data replaced by keyed, type-consistent surrogates.
 
 One regular expression finds e-mail addresses, IP addresses, phone, card,
-account and social-security numbers, secrets, and names (after a title, or a
-known given name and a surname).  Each distinct entity of the corpus, in a
-normal form (letter case, separators and spacing aside), gets one surrogate
-drawn from a keyed hash, so mentions that differ in form only, and names of
-one person (given name and surname are mapped separately), stay coreferent:
+account and social-security numbers, secrets, and names (after a title in
+either case, or a listed given name and a surname; with hyphens, apostrophes,
+initials and particles).  Each distinct entity of the corpus, in a normal form
+(letter case, separators and spacing aside; a ten-digit phone number is one of
+country code 1), gets one surrogate drawn from a keyed hash, so mentions that
+differ in form only, and names of one person (each part of a name is mapped by
+itself), stay coreferent.  Where a document names a person, later single words
+that equal a part of the name are replaced too:
 
 * digits become digits, letters letters of the same script and case;
-* an e-mail keeps its top-level domain, its host is mapped by itself; a phone
-  number keeps its country code, a card its first digit and a valid check
+* an e-mail keeps its top-level domain and the case of its letters, its host is
+  mapped by itself, collisions checked; a phone number keeps its country code, a card its first digit and a valid check
   digit if it had one, an IBAN its country and valid check digits, an AWS-style
   key its prefix, an IP address keeps valid octets;
-* a given name keeps its gender and script.
+* a given name keeps its script and its gender: that of the title, else of the
+  list; an unlisted name after a title without gender may get either.
 
 Collision checks: a surrogate that another entity of its type has drawn, or
 that is an entity of the corpus itself, is drawn again; after some draws the
@@ -24,7 +28,10 @@ pieces and a map of its own entities.
 
 Cases: null texts stay null, empty ones empty; a text without entities is
 unchanged; equal texts get equal results; a null id is kept; an empty table
-gives no rows.
+gives no rows; a value after a keyword without a letter or digit (a mask) and
+digits that read as a time stamp stay; particles and single letters of a name
+stay; in capitals, two words after a title count as the name; a word that is a
+part of two names of one document stands for the first of them in order.
 """
 
 from __future__ import annotations
@@ -47,12 +54,32 @@ GIVEN = {
 SYLLABLES = {"latin": ("ba", "den", "fer", "gal", "hol", "kin", "lor", "mar", "nes", "pol", "ron", "sel", "tam", "vin", "wes", "zor"),
              "cyrillic": ("ба", "вин", "гор", "ден", "зин", "кол", "лев", "мар", "нес", "пол", "рон", "сел", "том", "фед", "чер", "шин"),
              "greek": ("βα", "γερ", "δημ", "ζαν", "θεο", "καλ", "λαμ", "μαρ", "νικ", "παπ", "ραφ", "σαμ", "τσο", "φιλ", "χατ", "ψαρ")}
-TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "Sir"), "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Lady"),
+TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "Sir", "г-н", "господин", "κύριος"),
+          "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Lady", "г-жа", "госпожа", "κυρία"),
           "": ("Dr", "Prof")}
+#: Further given names that are recognised (none of them is drawn).
+KNOWN = {"f": ("Alice", "Amanda", "Barbara", "Betty", "Camille", "Carmen", "Claire", "Deborah", "Donna", "Elizabeth", "Emily",
+               "Greta", "Hannah", "Helen", "Ingrid", "Isabel", "Jane", "Jennifer", "Jessica", "Karen", "Katherine", "Linda", "Lisa",
+               "Margaret", "Marie", "Mary", "Melissa", "Michelle", "Monika", "Nancy", "Patricia", "Petra", "Rebecca", "Ruth",
+               "Sandra", "Sarah", "Stephanie", "Susan"),
+         "m": ("Andrew", "Anthony", "Antoine", "Brian", "Carlos", "Charles", "Christopher", "Edward", "George", "Hans", "James",
+               "Jason", "Jeffrey", "John", "José", "Joseph", "Joshua", "Juan", "Jürgen", "Karl", "Kenneth", "Kevin", "Klaus", "Louis",
+               "Luis", "Matthew", "Michael", "Miguel", "Pedro", "Peter", "Pierre", "Richard", "Robert", "Ronald", "Stefan", "Steven",
+               "Timothy", "William")}
+PARTICLES = ("von", "van", "der", "den", "de", "del", "della", "da", "di", "la", "le", "du", "al", "bin", "zu")
 
 _EDGE = r"(?<![\p{L}\p{N}_])"
-_GIVEN = "|".join(n for names in GIVEN.values() for n in names)
-_TITLE = "|".join(t for names in TITLES.values() for t in names)
+_WOMEN = [n for (_, g), names in GIVEN.items() if g == "f" for n in names] + list(KNOWN["f"])
+_MEN = [n for (_, g), names in GIVEN.items() if g == "m" for n in names] + list(KNOWN["m"])
+_GIVEN = "|".join(_WOMEN + _MEN)
+#: Titles that are words of their own in lower case count only as they are written here.
+_STRICT = ("Ms", "Miss", "Sir", "Lady")
+_TITLE = ("(?iu:" + "|".join(t for names in TITLES.values() for t in names if t not in _STRICT) + "|ms(?=\\.))|" + "|".join(_STRICT))
+_PART = rf"(?:(?:{'|'.join(PARTICLES)})\x20)*+"
+_CAP = r"\p{Lu}(?:\p{L}++(?:['’-]\p{Lu}\p{L}*+)*+|(?:['’-]\p{Lu}\p{L}++)++)"
+#: Seconds and milliseconds of an epoch, and dates with a time, as bare digits.
+_STAMP = (r"(?:1[0-9]{9}(?:[0-9]{3})?|(?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[12][0-9]|3[01])"
+          r"(?:[01][0-9]|2[0-3])[0-5][0-9](?:[0-5][0-9])?)(?![\p{L}\p{N}])")
 #: Patterns by type, in the order in which they are tried.
 PATTERNS = {
     "email": r"[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)++\p{L}{2,}",
@@ -60,15 +87,17 @@ PATTERNS = {
     "aws": r"A(?:KIA|SIA)[A-Z0-9]{16}(?![\p{L}\p{N}])",
     "phone": r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){2,4}(?![\p{L}\p{N}])"
              r"|\(?[0-9]{3}\)[\x20.-]?[0-9]{3}[.-][0-9]{4}(?![\p{L}\p{N}])|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![\p{L}\p{N}])",
-    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}])",
+    "ssn": r"(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{9})(?![\p{L}\p{N}])",
     "ip": r"(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\p{L}\p{N}]|\.[0-9])",
-    "card": r"[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{1,7}(?![\p{L}\p{N}])|[0-9]{9,19}(?![\p{L}\p{N}])",
+    "card": rf"(?!{_STAMP})(?:[0-9]{{4}}(?:[\x20-]?[0-9]{{4}}){{2}}[\x20-]?[0-9]{{1,7}}|[0-9]{{10,19}})(?![\p{{L}}\p{{N}}])",
     "secret": r"(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}(?![\p{L}\p{N}])",
-    "name": rf"(?:{_TITLE})\.?\x20\p{{Lu}}\p{{L}}+(?:\x20\p{{Lu}}\p{{L}}+)?|(?:{_GIVEN})\x20\p{{Lu}}\p{{L}}+",
+    "name": rf"(?:(?:{_TITLE})\.?\x20)++(?:\p{{Lu}}\.\x20)*+{_PART}{_CAP}(?:\x20(?:\p{{Lu}}\.\x20)*+{_PART}{_CAP})?"
+            rf"|(?=\p{{Lu}})(?:{_GIVEN})(?:-\p{{Lu}}\p{{L}}++)?\x20(?:\p{{Lu}}\.\x20)*+{_PART}{_CAP}"
+            rf"|(?=\p{{Lu}}{{2}})(?:{_GIVEN.upper()})\x20\p{{Lu}}{{2,}}+(?:['’-]\p{{Lu}}++)*+(?!\p{{L}})",
 }
 #: A value after a keyword goes first, or another type would take a part of it; marks that end a sentence stay outside.
 _VALUE = (r"(?<=[=:]\x20?[\x22']?)(?<=(?i:password|passwd|token|secret|api_key)\x20?[=:]\x20?[\x22']?)"
-          r"(?=[^\s\x22']{8})[^\s\x22']*[^\s\x22'.,;:!?)\]}]")
+          r"(?=[^\s\x22']{8})(?=[^\s\x22']*[\p{L}\p{N}])[^\s\x22']*[^\s\x22'.,;:!?)\]}]")
 ENTITY = "(?:" + _VALUE + "|" + _EDGE + "(?:" + "|".join(PATTERNS.values()) + "))"
 _CUT, _ESCAPE = "\u0002", "\u0003"  # a cut is set around entities; both are escaped in texts that hold them
 _WIDER = 8  # draws after which the space is widened
@@ -99,6 +128,7 @@ def _type(entity: Column) -> Column:
 def _normal(kind: Column, entity: Column) -> Column:
     """Form under which mentions are the same entity."""
     return (F.when(kind == "email", F.lower(entity))
+            .when((kind == "phone") & ~entity.startswith("+"), F.concat(F.lit("1"), F.regexp_replace(entity, "[^0-9]", "")))
             .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(entity, "[^0-9]", ""))
             .when(kind == "iban", F.replace(entity, F.lit(" "), F.lit("")))
             .otherwise(entity))
@@ -157,8 +187,12 @@ def _script(name: Column) -> Column:
 
 
 def _gender(given: Column) -> Column:
-    women = [n for (_, g), names in GIVEN.items() if g == "f" for n in names]
-    return F.when(given.isin(women), "f").when(given.isin([n for (_, g), ns in GIVEN.items() if g == "m" for n in ns]), "m")
+    return F.when(given.isin(_WOMEN), "f").when(given.isin(_MEN), "m")
+
+
+def _bare(kind: Column, normal: Column) -> Column:
+    """A normal form as it may stand in a text: a given name without its gender."""
+    return F.when(kind == "given", F.substr(normal, F.lit(3))).otherwise(normal)
 
 
 def _drawn(key: str, kind: Column, normal: Column, attempt: Column) -> Column:
@@ -171,11 +205,9 @@ def _surrogate(key: str, kind: Column, normal: Column, attempt: Column, noise: C
     """``digits``: the normal form with its letters and digits drawn anew."""
     wide = F.when(attempt >= _WIDER, F.substring(F.sha2(F.concat_ws("\u0001", F.lit(key), normal, attempt.cast("string")), 256), 1, 8)).otherwise("")
     at = lambda i: F.element_at(noise, i)
-    host = F.substring_index(normal, "@", -1)
-    top = F.substring_index(host, ".", -1)
-    inner = F.substring(host, F.lit(1), F.length(host) - F.length(top))
-    email = F.concat(F.substring_index(digits, "@", 1), wide, F.lit("@"),
-                     once(_noise(key, F.lit("host"), host), lambda n: _letters(inner, n, F.lit(False))), top)
+    email = F.concat(F.substring_index(digits, "@", 1), wide, F.lit("@"), F.substring_index(normal, "@", -1))  # its host is drawn apart
+    top = F.substring_index(normal, ".", -1)
+    host = F.concat(wide, F.substring(digits, F.lit(1), F.length(digits) - F.length(top)), top)
     code = F.greatest(F.length(normal) - 10, F.lit(0))
     phone = F.concat(F.substring(normal, F.lit(1), code), _pick("23456789", at(70)), F.substr(digits, code + 2))
     stem = F.concat(F.substring(normal, 1, 1), F.substring(digits, F.lit(2), F.length(digits) - 2))
@@ -200,10 +232,11 @@ def _surrogate(key: str, kind: Column, normal: Column, attempt: Column, noise: C
                                                     _script(normal)), at(k) % 16 + 1)
     extra = F.when(attempt > 2, F.concat(syllables(5), F.when(attempt > 5, syllables(6)).otherwise(""))).otherwise("")
     surname = F.initcap(F.concat(syllables(1), syllables(2), syllables(3), extra, F.when(attempt >= _WIDER, syllables(8)).otherwise("")))
-    pools = F.create_map(*[x for (s, g), v in GIVEN.items() for x in (F.lit(s + g), F.array(*map(F.lit, v)))])
-    pool = F.element_at(pools, F.concat(_script(normal), _gender(normal)))
+    both = {(s, "n"): GIVEN[s, "f"] + GIVEN[s, "m"] for s in SYLLABLES}
+    pools = F.create_map(*[x for (s, g), v in {**GIVEN, **both}.items() for x in (F.lit(s + g), F.array(*map(F.lit, v)))])
+    pool = F.element_at(pools, F.concat(_script(normal), F.substring(normal, 1, 1)))  # a given name's normal form begins with its gender
     given = F.concat(F.element_at(pool, at(4) % F.size(pool) + 1), F.when(attempt > 2, F.concat(F.lit("-"), F.initcap(F.concat(syllables(5), extra)))).otherwise(""))
-    return (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn)
+    return (F.when(kind == "email", email).when(kind == "host", host).when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn)
             .when(kind == "iban", iban).when(kind == "ip", ip).when(kind == "aws", aws).when(kind == "given", given)
             .when(kind == "surname", surname).otherwise(secret))
 
@@ -212,7 +245,7 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """``entities(kind, normal)``, distinct, with a surrogate each: no two of a
     kind alike, none that is an entity of its kind."""
     done = None
-    taken = entities.select("kind", F.col("normal").alias("surrogate"))
+    taken = entities.select("kind", _bare(F.col("kind"), F.col("normal")).alias("surrogate"))
     open_, attempt = entities, 0
     while True:
         draw = open_.select("kind", "normal", _drawn(key, F.col("kind"), F.col("normal"), F.lit(attempt)).alias("surrogate"))
@@ -236,15 +269,57 @@ def _filled(entity: Column, digits: Column) -> Column:
     return out["s"]
 
 
-def _names(entity: Column) -> tuple[Column, Column, Column]:
-    """Title, given name and surname of a name; empty where it has none."""
-    title = F.regexp_extract(entity, rf"^((?:{_TITLE})\.?\x20)", 1)
-    rest = F.substr(entity, F.length(title) + 1)
-    parts = F.split(rest, " ")
-    known = _gender(F.element_at(parts, 1)).isNotNull()
-    given = F.when(known, F.element_at(parts, 1)).otherwise("")
-    surname = F.when(known & (F.size(parts) > 1), F.element_at(parts, 2)).when(known, "").otherwise(rest)
-    return title, given, surname
+def _cased(mention: Column, word: Column) -> Column:
+    """``word`` with the case of a mention: all capitals, else letter by letter."""
+    each = F.transform(F.split(word, ""), lambda c, i: F.when(F.substring(mention, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c))
+    return F.when(F.upper(mention) == mention, F.upper(word)).otherwise(F.array_join(each, ""))
+
+
+def _name_cased(mention: Column, word: Column) -> Column:
+    return F.when((F.upper(mention) == mention) & (F.length(mention) > 1), F.upper(word)).otherwise(word)
+
+
+def _title(entity: Column) -> Column:
+    return F.regexp_extract(entity, rf"^((?:(?:{_TITLE})\.?\x20)+)", 1)
+
+
+def _name_parts(entity: Column) -> Column:
+    """The parts of a name after its title, in turn: ``text``, and for words
+    that are replaced ``kind`` (given, surname) and ``normal``; the rest
+    (blanks, marks, particles, initials) has no kind."""
+    title = _title(entity)
+    words = F.split(F.substr(entity, F.length(title) + 1), " ")
+    titled = F.lit(None).cast("string")
+    for g in ("m", "f"):
+        titled = F.when(title.rlike(rf"(?iu)(?:^|\x20)(?:{'|'.join(TITLES[g])})[.\x20]"), g).otherwise(titled)
+    proper = lambda t: F.initcap(F.lower(t))
+
+    def cell(kind: Column, normal: Column, text: Column) -> Column:
+        return F.struct(kind.alias("kind"), normal.alias("normal"), text.alias("text"))
+
+    def word(w: Column, i: Column) -> Column:
+        first = F.substring_index(w, "-", 1)
+        given = (i == 0) & ((F.size(words) > 1) | _gender(proper(first)).isNotNull())
+        parts = F.transform(F.split(w, "(?<=['’-])|(?=['’-])"), lambda t: F.when(
+            t.rlike(r"^\p{Lu}\p{L}+$"), F.when(given, cell(
+                F.lit("given"), F.concat(F.coalesce(titled, _gender(proper(first)), F.lit("n")), F.lit(":"), proper(t)), t))
+            .otherwise(cell(F.lit("surname"), proper(t), t))).otherwise(cell(F.lit(""), F.lit(""), t)))
+        blank = cell(F.lit(""), F.lit(""), F.lit(" "))
+        return F.when(i > 0, F.concat(F.array(blank), parts)).otherwise(parts)
+    return F.flatten(F.transform(words, word))
+
+
+#: Between a word and what is none.
+_BOUND = r"(?<=[\p{L}\p{M}\p{N}_])(?![\p{L}\p{M}\p{N}_])|(?<![\p{L}\p{M}\p{N}_])(?=[\p{L}\p{M}\p{N}_])"
+
+
+def _later(piece: Column, names: Column) -> Column:
+    """Single capitalised words that are a part of one of the document's names,
+    replaced alike."""
+    def one(w: Column) -> Column:
+        known = once(F.element_at(names, F.initcap(F.lower(w))), lambda to: _name_cased(w, to))
+        return F.when(w.rlike(r"^\p{Lu}\p{L}+$"), F.coalesce(known, w)).otherwise(w)
+    return F.array_join(F.transform(F.split(piece, _BOUND), one), "")
 
 
 def _swapped(rows: DataFrame, key: str) -> DataFrame:
@@ -256,32 +331,38 @@ def _swapped(rows: DataFrame, key: str) -> DataFrame:
     inner = F.array_distinct(F.filter("pieces", lambda p, i: i % 2 == 1))
     texts = stored(texts.select("key", inner.alias("entities")), "entities")
     mentions = texts.select(F.explode("entities").alias("entity")).distinct().withColumn("kind", _type(F.col("entity")))
-    title, given, surname = _names(F.col("entity"))
-    whole = F.struct(F.col("kind").alias("kind"), _normal(F.col("kind"), F.col("entity")).alias("normal"))
-    parts = F.when(F.col("kind") == "name", F.filter(F.array(
-        F.struct(F.lit("given").alias("kind"), given.alias("normal")), F.struct(F.lit("surname").alias("kind"), surname.alias("normal"))),
-        lambda p: p["normal"] != "")).otherwise(F.array(whole))
-    # a surname of two words is drawn word by word
-    parts = F.flatten(F.transform(parts, lambda p: F.transform(
-        F.when(p["kind"] == "surname", F.split(p["normal"], " ")).otherwise(F.array(p["normal"])),
-        lambda n: F.struct(p["kind"].alias("kind"), n.alias("normal")))))
-    mentions = stored(mentions.select("entity", "kind", F.posexplode(parts).alias("at", "part"))
-                      .select("entity", F.col("kind").alias("type"), "at", "part.kind", "part.normal"), "mentions")
+    entity, kind = F.col("entity"), F.col("kind")
+    normal = _normal(kind, entity)
+    cell = lambda k, n: F.struct(k.alias("kind"), n.alias("normal"), entity.alias("text"))
+    parts = (F.when(kind == "name", _name_parts(entity))
+             .when(kind == "email", F.array(cell(kind, normal), cell(F.lit("host"), F.substring_index(normal, "@", -1))))
+             .otherwise(F.array(cell(kind, normal))))
+    mentions = stored(mentions.select("entity", kind.alias("type"), F.posexplode(parts).alias("at", "part")).where("part.kind <> ''")
+                      .select("entity", "type", "at", "part.kind", "part.normal"), "mentions")
     drawn = surrogates(mentions.select("kind", "normal").distinct(), key)
-    made = (mentions.join(drawn, ["kind", "normal"]).groupBy("entity", "type")
-            .agg(F.sort_array(F.collect_list(F.struct("at", "surrogate")))["surrogate"].alias("drawn")))  # at most three parts
-    one = F.element_at("drawn", 1)
-    made = made.select("entity", "type", F.when(F.col("type") == "name", F.concat(title, F.array_join("drawn", " ")))
-                       .when(F.col("type").isin("phone", "card", "ssn", "iban"), _filled(F.col("entity"), one))
-                       .when((F.col("type") == "email") & (F.upper("entity") == F.col("entity")), F.upper(one))
+    name_part = F.when(kind.isin("given", "surname"), F.struct(_bare(kind, F.col("normal")).alias("word"), F.col("surrogate").alias("to")))
+    made = (mentions.join(drawn, ["kind", "normal"]).groupBy("entity", "type")  # a handful of parts each
+            .agg(F.map_from_entries(F.collect_list(F.struct("at", "surrogate"))).alias("drawn"), F.collect_list(name_part).alias("names")))
+    one = F.element_at("drawn", F.lit(0))
+    name = F.concat(_title(entity), F.array_join(F.transform(_name_parts(entity), lambda p, i: F.when(
+        p["kind"] != "", _name_cased(p["text"], F.element_at(F.col("drawn"), i))).otherwise(p["text"])), ""))
+    made = made.select("entity", "type", "names", F.when(F.col("type") == "name", name)
+                       .when((F.col("type") == "phone") & ~entity.startswith("+"), _filled(entity, F.substr(one, F.lit(2))))
+                       .when(F.col("type").isin("phone", "card", "ssn", "iban"), _filled(entity, one))
+                       .when(F.col("type") == "email", _cased(entity, F.concat(
+                           F.substring_index(one, "@", 1), F.lit("@"), F.element_at("drawn", F.lit(1)))))
                        .otherwise(one).alias("surrogate"))
     made = stored(made, "made")
-    maps = (texts.select("key", F.explode("entities").alias("entity")).join(made, "entity")
-            .groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("entity", F.struct("type", "surrogate")))).alias("by")))
+    names = F.array_sort(F.flatten(F.collect_list("names")))
+    maps = (texts.select("key", F.explode("entities").alias("entity")).join(made, "entity").groupBy("key")
+            .agg(F.map_from_entries(F.collect_list(F.struct("entity", F.struct("type", "surrogate")))).alias("by"), names.alias("names")))
+    first = F.filter("names", lambda p, i: (i == 0) | (F.get(F.col("names"), i - 1)["word"] != p["word"]))
+    maps = maps.withColumn("names", F.map_from_entries(first))
     maps = broadcast_if_small(stored(maps, "maps"), 100_000)
     out = rows.withColumn("key", F.md5("text")).join(maps, "key", "left")
     out = out.withColumn("pieces", F.when(F.col("by").isNotNull(), pieces))
-    swapped = F.transform("pieces", lambda p, i: F.when(i % 2 == 1, F.element_at("by", p)["surrogate"]).otherwise(p))
+    swapped = F.transform("pieces", lambda p, i: F.when(i % 2 == 1, F.element_at("by", p)["surrogate"])
+                          .when(F.size("names") > 0, _later(p, F.col("names"))).otherwise(p))
     kinds = F.sort_array(F.transform(F.filter("pieces", lambda p, i: i % 2 == 1), lambda p: F.element_at("by", p)["type"]))
     plain = F.col("by").isNull()
     return out.select("row", F.when(plain, F.col("text")).otherwise(_joined(F.col("text"), swapped)).alias("text"),
@@ -291,7 +372,8 @@ def _swapped(rows: DataFrame, key: str) -> DataFrame:
 
 def redact(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document with its entities replaced: id, text, n_entities, and
-    kinds (sorted, one entry an entity)."""
+    kinds (sorted, one entry an entity; later single words of a name are
+    replaced but not counted)."""
     out = _swapped(docs.select(F.col(id_col).alias("row"), F.col(text_col).alias("text")), key)
     return out.withColumnRenamed("row", id_col)
 
@@ -299,6 +381,7 @@ def redact(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "t
 def redact_table(docs: DataFrame, key: str, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """The documents, all columns, with entities replaced in the text and its
     length, if there is such a column, brought up to date."""
-    out = _swapped(docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text")), key)
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]  # names may hold dots
+    out = _swapped(docs.select(F.struct(*quoted).alias("row"), F.col(text_col).alias("text")), key)
     new = {text_col: F.col("text"), length_col: F.length("text").cast(dict(docs.dtypes).get(length_col, "long"))}
     return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -45,12 +45,12 @@ def test_types_formats_and_coreference(spark):
     assert plain[0] == other[0] == "4" and luhn(other) == luhn("4041894974608795")
 
     text, _ = out[2]
-    john, anna, frau, second, ivan = re.search(
-        r"Mr\. (\w+ \w+) met (\w+ \w+); later Walker left\. Frau (\w+) and (\w+ \w+) stayed with г-н (\w+ \w+)\.", text).groups()
+    john, anna, later, frau, second, ivan = re.search(
+        r"Mr\. (\w+ \w+) met (\w+ \w+); later (\w+) left\. Frau (\w+) and (\w+ \w+) stayed with г-н (\w+ \w+)\.", text).groups()
     assert anna.split()[1] == frau and anna.split()[0] == second.split()[0]
     assert anna.split()[0] in sg.GIVEN["latin", "f"] and "Anna" not in (anna.split()[0],)
     assert ivan.split()[0] in sg.GIVEN["cyrillic", "m"] and not re.search("[A-Za-z]", ivan)
-    assert "John" not in john
+    assert "John" not in john and later == john.split()[1] != "Walker"  # a later mention follows the name
 
     text, kinds = out[3]
     assert kinds == ["aws", "secret", "secret", "ssn"]
@@ -128,3 +128,50 @@ def test_upper_cased_entities_and_whole_secrets(spark):
         drawn.setdefault(value, set()).add(text[len(lead):len(text) - len(tail)])
     assert all(len(v) == 1 for v in drawn.values())
     assert re.fullmatch("[0-9A-F]{40}", *drawn[hexed])
+
+
+def test_names_in_every_form(spark):
+    texts = [
+        "Frau Müller-Schmidt and Señora García-Márquez met Mr. O'Brien; Schmidt, Brien's friend, left.",
+        "John Smith met Mary Johnson. MR JOHN WALKER saw dr. Li Wei; Walker, Li and WALKER stayed, Walkers and lily too.",
+        "Mrs. Jane Doe / Mr. Jane Doe / Dr. Jane Doe / Mrs. Zibby Doe / Mr. Zibby Doe",
+        "Herr von Berg, Dr. J. R. Berg, Frau Dr. Anna-Maria van der Berg and Berg.",
+        "г-жа Петрова met Елена Петрова; MARY JOHNSON called. I miss Berlin, 100 ms Delay.",
+    ]
+    out = [t for t, _ in run(spark, texts)]
+    for word in ("Müller", "Schmidt", "García", "Márquez", "Brien", "John ", "Smith", "Mary", "Johnson", "JOHN", "WALKER", "Walker,",
+                 "Wei", "Li ", "Jane", "Doe", "Zibby", "Berg ", "Berg,", "Berg.", "Anna", "Maria ", "Петрова", "Елена", "JOHNSON"):
+        assert not any(word in t for t in out), word
+    m = re.fullmatch(r"Frau (\w+)-(\w+) and Señora (\w+)-(\w+) met Mr\. O'(\w+); (\w+), (\w+)'s friend, left\.", out[0])
+    assert m and m[6] == m[2] and m[7] == m[5] and len({m[i] for i in range(1, 6)}) == 5
+    m = re.fullmatch(r"(\w+) (\w+) met (\w+) (\w+)\. MR (\w+) (\w+) saw dr\. (\w+) (\w+); (\w+), (\w+) and (\w+) stayed, Walkers and lily too\.", out[1])
+    assert m and m[5] == m[1].upper() and m[6] == m[9].upper() == m[11] and m[10] == m[7]
+    assert m[1] in sg.GIVEN["latin", "m"] and m[3] in sg.GIVEN["latin", "f"]
+    full = [re.fullmatch(r"\w+\. (\w+) (\w+)", x).groups() for x in out[2].split(" / ")]
+    assert len({s for _, s in full}) == 1 and full[0][0] == full[2][0]
+    assert [("f" if g in sg.GIVEN["latin", "f"] else "m") for g, _ in full] == ["f", "m", "f", "f", "m"]
+    m = re.fullmatch(r"Herr von (\w+), Dr\. J\. R\. (\w+), Frau Dr\. (\w+)-(\w+) van der (\w+) and (\w+)\.", out[3])
+    assert m and m[1] == m[2] == m[5] == m[6] and {m[3], m[4]} <= set(sg.GIVEN["latin", "f"])
+    m = re.fullmatch(r"г-жа (\w+) met (\w+) (\w+); (\w+) (\w+) called\. I miss Berlin, 100 ms Delay\.", out[4])
+    assert m and m[1] == m[3] and m[2] in sg.GIVEN["cyrillic", "f"] and m[4].isupper() and m[5].isupper()
+
+
+def test_one_number_in_two_formats(spark):
+    texts = ["078051120 or 078-05-1120; (456) 555-2186, 456-555-2186 or +1 456 555 2186", "at 1706659200, 1706659200123, 20240131120000",
+             "password: ******** and token = --------", "a Anna.Berg@Mail.Example.com b anna.berg@mail.example.com"]
+    out = [t for t, _ in run(spark, texts)]
+    a, b, p, q, r = re.fullmatch(r"(\d{9}) or (\d{3}-\d\d-\d{4}); (\(\d{3}\) \d{3}-\d{4}), (\d{3}-\d{3}-\d{4}) or (\+1 \d{3} \d{3} \d{4})",
+                                 out[0]).groups()
+    bare = [re.sub(r"\D", "", x) for x in (a, b, p, q, r)]
+    assert bare[0] == bare[1] != "078051120" and "1" + bare[2] == "1" + bare[3] == bare[4] != "14565552186"
+    assert out[1:3] == texts[1:3]
+    a, b = re.fullmatch(r"a (\S+) b (\S+)", out[3]).groups()
+    assert a.lower() == b and [c.isupper() for c in a] == [c.isupper() for c in "Anna.Berg@Mail.Example.com"] and "berg" not in b
+
+
+def test_hosts_stay_distinct_and_names_with_dots(spark):
+    mails = [f"x@{c}.example.org" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"y@{c}.org" for c in "abcdefghijklm"]
+    text = run(spark, [" ; ".join(mails)])[0][0].split(" ; ")
+    assert len({t.split("@")[1] for t in text}) == len(mails) and not set(text) & set(mails)
+    docs = documents(spark, TEXTS).withColumn("a.b", F.lit(1))
+    assert sg.redact_table(docs, "k").columns == docs.columns
