@@ -45,6 +45,17 @@ def null_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(~_no_null(keys))
 
 
+def keyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that a history takes: no key column is NULL."""
+    return df.filter(_no_null(keys))
+
+
+def key_part(key: Column, parts: int) -> Column:
+    """Which of ``parts`` parts a key (a struct of the key columns, in the
+    history's types) lies in."""
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+
 def scd2_initial(incoming: DataFrame, run_ts: Column | str) -> DataFrame:
     """First load: every incoming row becomes the open, current version."""
     return incoming.withColumns({"effective_from": _ts(run_ts),

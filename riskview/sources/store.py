@@ -9,7 +9,10 @@
 * SCD2 history: ``<table>/run=<stamp>/change=opened|closed/``, a directory a
   run, holding only what the run changed: the versions it opened, and for the
   versions it closed their key, start and end.  Nothing is ever rewritten; a
-  re-run of the same run replaces its own directory only.
+  re-run of the same run replaces its own directory only.  Below that the rows
+  lie by a hash of their key (``key_parts=<n>/key_part=<i>``), so a batch reads
+  only the parts that hold its keys.  The first load sets the number of parts
+  from its rows; it stays for the life of the table.
 
 Old snapshots are left to the storage's retention rule.
 """
@@ -17,6 +20,7 @@ Old snapshots are left to the storage's retention rule.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,11 +45,15 @@ class OlderRunError(ValueError):
 
 
 class TableStore:
-    """Snapshots and histories under ``<base>/<layer>/<table>``."""
+    """Snapshots and histories under ``<base>/<layer>/<table>``.
 
-    def __init__(self, spark: SparkSession, base: str):
+    ``part_rows``: rows of a history's first load that make one key part.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, part_rows: int = 5_000_000):
         self.spark = spark
         self.base = base.rstrip("/")
+        self.part_rows = part_rows
 
     def table_dir(self, layer: str, table: str) -> str:
         return f"{self.base}/{layer}/{table}"
@@ -63,11 +71,19 @@ class TableStore:
         return sorted(n[len(prefix):] for n in names
                       if n.startswith(prefix) and fs.exists(path(root, f"{n}/_SUCCESS")))
 
-    def _has_rows(self, run_dir: str) -> bool:
-        """Whether a run changed anything: its ``change=`` partitions exist."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir)
+    def _named(self, directory: str, prefix: str) -> list[str]:
+        """Names after ``prefix`` of what lies in a directory."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return any(s.getPath().getName().startswith("change=") for s in fs.listStatus(path))
+        names = [s.getPath().getName() for s in fs.listStatus(path)]
+        return [n[len(prefix):] for n in names if n.startswith(prefix)]
+
+    def _filled(self, layer: str, table: str, before: str | None) -> list[str]:
+        """Directories of the runs (before one) that changed anything: their
+        ``change=`` partitions exist."""
+        root = self.table_dir(layer, table)
+        dirs = [f"{root}/run={r}" for r in self.runs(layer, table) if before is None or r < before]
+        return [d for d in dirs if self._named(d, "change=")]
 
     # ------------------------------------------------------------- snapshots
     def versions(self, layer: str, table: str) -> list[str]:
@@ -102,23 +118,33 @@ class TableStore:
         raise FileNotFoundError(f"no published table {layer}/{table}")
 
     # --------------------------------------------------------------- history
-    def history(self, layer: str, table: str, before: str | None = None) -> DataFrame | None:
+    def history(self, layer: str, table: str, before: str | None = None,
+                key_parts: Sequence[int] | None = None) -> DataFrame | None:
         """All versions, with ``effective_to`` and ``is_current``; with
-        ``before``, as they stood before that run (None if there were none).
+        ``before``, as they stood before that run (None if there were none);
+        with ``key_parts``, only the versions in those parts, and no file of
+        another part is opened.
 
         One scan of the opened versions and one of the closures.  A version
         has at most one closure, so the left join cannot fan out; closures
         hold keys and two timestamps only.
         """
-        root = self.table_dir(layer, table)
-        runs = [r for r in self.runs(layer, table)
-                if (before is None or r < before) and self._has_rows(f"{root}/run={r}")]
+        runs = self._filled(layer, table, before)
         if not runs:
             return None
-        newest = self.spark.read.parquet(f"{root}/run={runs[-1]}")
-        rows = (self.spark.read.schema(newest.schema).option("basePath", root)
-                .parquet(*[f"{root}/run={r}" for r in runs]).drop("run"))
-        return scd2.from_changes(rows)
+        newest = self.spark.read.parquet(runs[-1])
+        rows = (self.spark.read.schema(newest.schema).option("basePath", self.table_dir(layer, table))
+                .parquet(*runs))
+        if key_parts is not None:
+            rows = rows.filter(F.col("key_part").isin(*key_parts))
+        return scd2.from_changes(rows.drop("run", "key_parts", "key_part"))
+
+    def _touched(self, incoming: DataFrame, history: DataFrame, keys: Sequence[str], parts: int) -> list[int]:
+        """The key parts a batch has keys of (at most ``parts`` numbers)."""
+        types = dict(history.dtypes)
+        key = F.struct(*[F.col(k).cast(types[k]).alias(k) for k in keys])
+        found = scd2.keyed_rows(incoming, keys).select(scd2.key_part(key, parts).alias("key_part")).distinct()
+        return sorted(r.key_part for r in found.collect())
 
     def apply_scd2(self, incoming: DataFrame, layer: str, table: str,
                    keys: Sequence[str], tracked: Sequence[str], run_ts: str,
@@ -127,7 +153,9 @@ class TableStore:
         closes against the history of the runs before it.
 
         A re-run replaces what the same run wrote, whatever the batch was
-        then; a run older than one already applied is refused.
+        then; a run older than one already applied is refused.  Only the key
+        parts that the batch has keys of are read and written: a batch leaves
+        rows with other keys as they are.
         """
         stamp = run_stamp(run_ts)
         later = [r for r in self.runs(layer, table) if r > stamp]
@@ -135,11 +163,18 @@ class TableStore:
             raise OlderRunError(f"{layer}/{table}: run {stamp} is older than run {later[-1]}")
         history = self.history(layer, table, before=stamp)
         if history is None:
+            parts = max(1, math.ceil(incoming.count() / self.part_rows))
             changes = scd2.as_changes(scd2.scd2_initial(incoming, run_ts), keys)
         else:
+            first = self._filled(layer, table, stamp)[0]
+            change = self._named(first, "change=")[0]
+            parts = int(self._named(f"{first}/change={change}", "key_parts=")[0])
+            if parts > 1:
+                history = self.history(layer, table, stamp, self._touched(incoming, history, keys, parts))
             changes = scd2.scd2_changes(history, incoming, keys, tracked, run_ts,
                                         broadcast_max_rows)
-        # rebalanced, so the number of files follows the size of the change
-        (changes.hint("rebalance").write.mode("overwrite")
-         .option("partitionOverwriteMode", "static").partitionBy("change")
+        changes = changes.withColumns({"key_parts": F.lit(parts), "key_part": scd2.key_part(F.col("__k"), parts)})
+        # rebalanced by part, so the number of files follows the size of the change
+        (changes.hint("rebalance", F.col("change"), F.col("key_part")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("change", "key_parts", "key_part")
          .parquet(f"{self.table_dir(layer, table)}/run={stamp}"))

@@ -4,6 +4,7 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from riskview.operators import scd2
 
@@ -177,3 +178,54 @@ def test_unmarked_directories_are_not_read(spark, tmpdir_path):
     store = _stored(spark, tmpdir_path, [(1, {1: ("a", "A", None)}), (2, {1: ("a", "B", None)})])
     os.remove(f"{tmpdir_path}/silver/c/run=20240102T000000/_SUCCESS")  # as a lost job leaves it
     assert [r.segment for r in store.read("silver", "c").collect()] == ["A"]
+
+
+def _people(spark, ids, segment):
+    return spark.createDataFrame([(i, f"n{i}", segment, None) for i in ids], SCHEMA)
+
+
+def test_a_batch_reads_and_writes_only_the_parts_of_its_keys(spark, tmpdir_path):
+    """With every file of the other parts broken, a batch still applies; a
+    scan of the whole history does not."""
+    import glob
+
+    import pytest
+
+    from riskview.sources.store import TableStore
+    store = TableStore(spark, tmpdir_path, part_rows=100)
+    store.apply_scd2(_people(spark, range(1, 801), "A"), "silver", "c", KEYS, TRACKED, "2024-01-01")
+    root = f"{tmpdir_path}/silver/c"
+    assert len(glob.glob(f"{root}/run=20240101T000000/change=opened/key_parts=8/key_part=*")) == 8
+    store.apply_scd2(_people(spark, [7], "B"), "silver", "c", KEYS, TRACKED, "2024-01-02")
+    hit = {p.rsplit("/", 1)[1] for p in glob.glob(f"{root}/run=20240102T000000/change=*/key_parts=8/key_part=*")}
+    assert len(hit) == 1
+    others = [f for f in glob.glob(f"{root}/run=20240101T000000/change=opened/key_parts=8/*/*.parquet") if f.split("/")[-2] not in hit]
+    assert len(others) >= 7
+    for f in others:
+        crc = f.replace("part-", ".part-") + ".crc"
+        for name in [f, *glob.glob(crc)]:
+            with open(name, "wb") as out:
+                out.write(b"broken")
+    store.apply_scd2(_people(spark, [7], "C"), "silver", "c", KEYS, TRACKED, "2024-01-03")
+    part = int(hit.pop().split("=")[1])
+    seven = store.history("silver", "c", key_parts=[part]).filter("customer_id = 7")
+    assert [(r.segment, r.is_current) for r in seven.orderBy("effective_from").collect()] == [("A", False), ("B", False), ("C", True)]
+    with pytest.raises(Exception):
+        store.history("silver", "c").collect()
+
+
+def test_parts_do_not_change_a_history(spark, tmpdir_path):
+    """Many parts, a key column of another type in a later batch, a re-run, an
+    empty batch and keys that are new: as with one part."""
+    from riskview.sources.store import TableStore
+    got = []
+    for rows in (1, 10_000):
+        store = TableStore(spark, f"{tmpdir_path}/{rows}", part_rows=rows)
+        apply = lambda df, day: store.apply_scd2(df, "silver", "c", KEYS, TRACKED, f"2024-01-{day:02d}")  # noqa: B023, E731
+        apply(_people(spark, range(1, 13), "A"), 1)
+        apply(_people(spark, [1, 2, 99], "X"), 2)
+        apply(_people(spark, [2, 3, 50], "B").withColumn("customer_id", F.col("customer_id").cast("int")), 2)
+        apply(_people(spark, [], "C"), 3)
+        apply(_people(spark, [3, 4, 51], "D"), 4)
+        got.append(sorted(map(str, store.read("silver", "c").collect())))
+    assert got[0] == got[1] and len(got[0]) == 12 + 3 + 3
