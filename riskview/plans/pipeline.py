@@ -216,7 +216,7 @@ def stream_silver(spark: SparkSession, lay: Layout, name: str, run_ts: str) -> N
     consumed, whatever day they are filed under, merged into the previous
     snapshot.  The consumed rows are kept by the stream's own checkpoint; a
     batch that was cut off comes again and merges to the same rows.  The work
-    follows the keys and the new rows, not the stream's whole history."""
+    follows the key parts that a batch touches (``TableStore.merge``)."""
     schema = bronze_schema(lay, name)
     bronze = spark.readStream.schema(schema).parquet(f"{lay.bronze}/{name}")
 
@@ -224,14 +224,9 @@ def stream_silver(spark: SparkSession, lay: Layout, name: str, run_ts: str) -> N
         store = lay.store(batch.sparkSession)
         if batch_id is not None:
             quarantine_bad(batch, lay, name, f"batch-{batch_id}")
-        rows = silver_input(batch, name)
-        if store.exists("silver", name):
-            previous = store.read("silver", name)
-            previous = previous.select(*[c for c in previous.columns if c in rows.columns])
-            # a column the stream gained since the snapshot is NULL on older rows
-            rows = previous.unionByName(rows, allowMissingColumns=True)
-        store.publish(with_layer_metadata(silver_dedup(rows, name), "silver", run_ts), "silver", name,
-                      lay.silver_partitions.get(name, SILVER_PARTITIONS))
+        store.merge(silver_input(batch, name), "silver", name, DedupKeys().keys[name],
+                    lambda rows: with_layer_metadata(silver_dedup(rows, name), "silver", run_ts),
+                    lay.silver_partitions.get(name, SILVER_PARTITIONS))
 
     for_each_new_batch(bronze, f"{lay.checkpoints}/silver-{name}", merge)
     if not lay.store(spark).exists("silver", name):  # nothing has arrived yet

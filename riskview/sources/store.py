@@ -6,6 +6,11 @@
   a publish.  Readers take the highest one that Spark has marked complete
   (``_SUCCESS``), so a table may be read and published in one plan and a lost
   job leaves nothing that is read.
+* Merged snapshots (silver of a stream): a version holds only the key parts
+  that the batch touched, ``version=<n>/whole=<0|1>/key_parts=<n>/key_part=<i>/``;
+  readers take each part from the newest version that has it, back to the
+  last whole one.  Every ``whole_every``-th merge, and one that finds its parts
+  grown to twice their size, writes all parts.
 * SCD2 history: ``<table>/run=<stamp>/change=opened|closed/``, a directory a
   run, holding only what the run changed: the versions it opened, and for the
   versions it closed their key, start and end.  Nothing is ever rewritten; a
@@ -14,14 +19,15 @@
   only the parts that hold its keys.  The first load sets the number of parts
   from its rows; it stays for the life of the table.
 
-Old snapshots are left to the storage's retention rule.
+Snapshots older than the last whole one are left to the storage's retention
+rule.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,13 +53,15 @@ class OlderRunError(ValueError):
 class TableStore:
     """Snapshots and histories under ``<base>/<layer>/<table>``.
 
-    ``part_rows``: rows of a history's first load that make one key part.
+    ``part_rows``: rows that make one key part of a history's first load or
+    of a merged snapshot; ``whole_every``: merges until one writes all parts.
     """
 
-    def __init__(self, spark: SparkSession, base: str, part_rows: int = 5_000_000):
+    def __init__(self, spark: SparkSession, base: str, part_rows: int = 5_000_000, whole_every: int = 50):
         self.spark = spark
         self.base = base.rstrip("/")
         self.part_rows = part_rows
+        self.whole_every = whole_every
 
     def table_dir(self, layer: str, table: str) -> str:
         return f"{self.base}/{layer}/{table}"
@@ -95,28 +103,102 @@ class TableStore:
     def exists(self, layer: str, table: str) -> bool:
         return bool(self.versions(layer, table) or self.runs(layer, table))
 
+    def _next(self, layer: str, table: str) -> str:
+        last = self.versions(layer, table)
+        return f"{self.table_dir(layer, table)}/version={int(last[-1]) + 1 if last else 1:010d}"
+
     def publish(self, df: DataFrame, layer: str, table: str,
                 partition_by: Sequence[str] = ()) -> None:
         """Replace the table's contents with ``df`` (its schema may change)."""
-        last = self.versions(layer, table)
-        name = f"{int(last[-1]) + 1 if last else 1:010d}"
         # overwrite: a lost attempt may have left parts there (static mode, as
         # dynamic overwrite leaves no completion mark)
         w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.table_dir(layer, table)}/version={name}")
+        w.parquet(self._next(layer, table))
 
     def read(self, layer: str, table: str) -> DataFrame:
         """The latest snapshot, or all versions of a history."""
         last = self.versions(layer, table)
         if last:
+            merged = self._merged(layer, table)
+            if merged:
+                return self._read_parts(layer, table, merged[1].values())
             return self.spark.read.parquet(f"{self.table_dir(layer, table)}/version={last[-1]}")
         history = self.history(layer, table)
         if history is not None:
             return history
         raise FileNotFoundError(f"no published table {layer}/{table}")
 
+    # ------------------------------------------------------- merged snapshots
+    def _merged(self, layer: str, table: str) -> tuple[int, dict[int, str], int] | None:
+        """Of a merged snapshot: the number of key parts, the newest directory
+        of each, and how many versions they come from."""
+        parts, dirs, seen = 0, {}, 0
+        for v in reversed(self.versions(layer, table)):
+            version = f"{self.table_dir(layer, table)}/version={v}"
+            whole = self._named(version, "whole=")
+            if not whole:
+                break
+            seen += 1
+            count = self._named(f"{version}/whole={whole[0]}", "key_parts=")[0]
+            parts, held = int(count), f"{version}/whole={whole[0]}/key_parts={count}"
+            for i in self._named(held, "key_part="):
+                dirs.setdefault(int(i), f"{held}/key_part={i}")
+            if whole[0] == "1":
+                break
+        return (parts, dirs, seen) if dirs else None
+
+    def _read_parts(self, layer: str, table: str, dirs) -> DataFrame:
+        dirs = sorted(dirs)  # versions are numbered in order: the newest is last
+        base = self.table_dir(layer, table)
+        newest = self.spark.read.option("basePath", base).parquet(dirs[-1])
+        rows = self.spark.read.schema(newest.schema).option("basePath", base).parquet(*dirs)
+        return rows.drop("version", "whole", "key_parts", "key_part")
+
+    def merge(self, rows: DataFrame, layer: str, table: str, keys: Sequence[str],
+              combine: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ()) -> None:
+        """Merge new rows into a snapshot: ``combine`` makes the new contents
+        of a part from its stored and its new rows, and depends on rows of
+        equal ``keys`` only.  Stored columns that the new rows lack go;
+        columns that only they have are NULL on stored rows.
+
+        Only key parts that ``rows`` has keys of are read and written.  The
+        same rows again give the same contents; no rows change nothing."""
+        merged = self._merged(layer, table)
+        stored, whole = None, True
+        if merged:
+            parts, dirs, seen = merged
+            types = dict(self._read_parts(layer, table, dirs.values()).dtypes)
+            key = F.struct(*[F.col(k).cast(types[k]).alias(k) for k in keys])
+            touched = {r.p for r in rows.select(scd2.key_part(key, parts).alias("p")).distinct().collect()}
+            if not touched:
+                return
+            held = [d for i, d in dirs.items() if i in touched]
+            each = self._read_parts(layer, table, held).count() / len(held) if held else 0
+            whole = each > 2 * self.part_rows or seen >= self.whole_every
+            if each > 2 * self.part_rows:
+                parts *= math.ceil(each / self.part_rows)
+            read = dirs.values() if whole else held
+            stored = self._read_parts(layer, table, read) if read else None
+        else:
+            if self.versions(layer, table):
+                stored = self.read(layer, table)
+            count = rows.count() + (stored.count() if stored is not None else 0)
+            if not count:  # a table without rows has no parts
+                self.publish(combine(rows), layer, table, partition_by)
+                return
+            parts = max(1, math.ceil(count / self.part_rows))
+            types = dict((rows if stored is None else stored).dtypes)
+            key = F.struct(*[F.col(k).cast(types[k]).alias(k) for k in keys])
+        if stored is not None:
+            stored = stored.select(*[c for c in stored.columns if c in rows.columns])
+            rows = stored.unionByName(rows, allowMissingColumns=True)
+        out = combine(rows).withColumns({"whole": F.lit(int(whole)), "key_parts": F.lit(parts), "key_part": scd2.key_part(key, parts)})
+        by = ["whole", "key_parts", "key_part", *partition_by]
+        (out.hint("rebalance", F.col("key_part")).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*by).parquet(self._next(layer, table)))
+
     # --------------------------------------------------------------- history
     def history(self, layer: str, table: str, before: str | None = None,
                 key_parts: Sequence[int] | None = None) -> DataFrame | None:
