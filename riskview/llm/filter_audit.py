@@ -165,11 +165,15 @@ def coalitions(docs: DataFrame, filters: Mapping[str, object], part: Column, mar
         marks = marks.groupBy(F.col(id_col).cast("long").alias("id")).agg(
             *[F.coalesce(F.max(F.when(F.col(c) == 1, 1)), F.lit(0)).alias(c) for c in names])
     rows = _masked(failures(docs, filters, part, id_col, text_col), marks, filters, names)
-    sums = []
-    for c in ("n", *names):
-        sums.append(F.array(*[F.sum(F.when(F.col("mask").bitwiseAND(F.lit(s)) != 0, F.col(c)).otherwise(0))
-                              for s in range(1 << len(filters))]).alias(f"removed_{c}"))
-    return rows.groupBy("part").agg(F.sum("n").alias("rows"), *sums)
+    # a part has at most one row a mask: 2 ** n small cells
+    table = rows.groupBy("part").agg(F.sum("n").alias("rows"), F.collect_list(F.struct("mask", "n", *names)).alias("cells"))
+
+    def removed(c: str) -> Column:
+        none = F.lit(0).cast("long")
+        return F.transform(F.sequence(F.lit(0), F.lit((1 << len(filters)) - 1)), lambda s: F.aggregate(
+            "cells", none, lambda acc, r: acc + F.when(r["mask"].bitwiseAND(s) != 0, r[c]).otherwise(none)))
+
+    return table.select("part", "rows", *[removed(c).alias(f"removed_{c}") for c in ("n", *names)])
 
 
 def audit(docs: DataFrame, filters: Mapping[str, object], part: Column, marks: DataFrame | None = None,
