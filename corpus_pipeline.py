@@ -9,17 +9,11 @@ under the shared scratch folder and reads it for the next.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskview.llm import chosen_path, decontamination, surrogates, toxicity_trees, wfst_pieces
 from riskview.llm.common import read_table, stored, tokenizer_path
 from riskview.llm.queries import SURROGATE_KEY
 from riskview.llm.subword_classifier import held_out
-from riskview.operators.joins import broadcast_if_small
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
