@@ -14,7 +14,7 @@ byte-pair encoding is the one path on which every neighbouring pair is allowed
 (merges are local, so a merge across a boundary would show in that pair), and
 every prefix has one such path too, so the composition has one live state for
 each position and its shortest path is found lazily.  Results equal the
-library's.
+library's.  The searches of a batch's parts advance in step, over arrays.
 
 Whole texts are cut at marks and at neighbouring characters that no piece
 holds, as no path crosses there; the segments of a chunk are looked up once
@@ -41,6 +41,8 @@ from riskview.llm.common import lean, slices
 from riskview.llm.words import Words
 
 MARK = "▁"
+_LONG = 32  # characters from which a part is searched on its own and not remembered
+_TOGETHER = 2_500  # parts searched in step
 _RUNS = re.compile(rf"{MARK}*\w+|{MARK}+|[^\w{MARK}]")
 
 
@@ -95,32 +97,47 @@ class Transducer:
         self.parts: dict[str, bytes] = {}
         self.old_parts: dict[str, bytes] = {}
         self.most = most
+        # the same table and what is known of successions, as arrays for many searches at once
+        wide = max((ord(c) for _, c in self.next), default=0) + 1
+        self.first = np.zeros(wide + 1, np.int64)  # from the first state; the last entry stands for all other characters
+        for (state, c), to in self.next.items():
+            if not state:
+                self.first[ord(c)] = to
+        arcs = np.array([(state << 21 | ord(c), to) for (state, c), to in self.next.items()], np.int64).reshape(-1, 2)
+        self.arc_keys, self.arc_to = arcs[np.argsort(arcs[:, 0])].T.copy()
+        self.end_of = np.array(self.ends, np.int64)
+        self.pair_keys, self.pair_ok = np.full(1 << 19, -1, np.int64), np.zeros(1 << 19, bool)
 
     # the bigram constraint of byte-pair models
 
     def _crosses(self, text: str, wall: int) -> list[str] | None:
         """Merge best-scored neighbours; None once a merge crosses ``wall``."""
-        parts, score = list(text), self.score
-        while len(parts) > 1:
-            best, where = -math.inf, -1
-            for i in range(len(parts) - 1):
-                s = score.get(parts[i] + parts[i + 1])
-                if s is not None and s > best:
-                    best, where = s, i
-            if where < 0:
-                break
-            if wall and sum(map(len, parts[:where + 1])) == wall:
+        parts, score, none = list(text), self.score.get, -math.inf
+        ends = list(range(1, len(parts) + 1))
+        scores = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > none:
+            i = scores.index(best)
+            if ends[i] == wall:
                 return None
-            parts[where:where + 2] = [parts[where] + parts[where + 1]]
+            parts[i] += parts.pop(i + 1)
+            del ends[i], scores[i]
+            if i:
+                scores[i - 1] = score(parts[i - 1] + parts[i], none)
+            if i < len(scores):
+                scores[i] = score(parts[i] + parts[i + 1], none)
         return parts
 
-    def _follows(self, u: int, v: int) -> bool:
+    def _merge_free(self, u: int, v: int) -> bool:
         """Whether piece ``v`` may follow ``u`` (-1: the segment's start)."""
-        if len(self.allowed) > 120_000:
-            self.allowed.clear()
         a = self.pieces[u] if u >= 0 else ""
         b = self.pieces[v]
-        ok = self.allowed[(u + 1 << 32) + v] = self._crosses(a + b, len(a)) == ([a, b] if a else [b])
+        return self._crosses(a + b, len(a)) == ([a, b] if a else [b])
+
+    def _follows(self, u: int, v: int) -> bool:
+        """``_merge_free``, remembered."""
+        if len(self.allowed) > 120_000:
+            self.allowed.clear()
+        ok = self.allowed[(u + 1 << 32) + v] = self._merge_free(u, v)
         return ok
 
     def _arcs(self, text: str, at: int) -> list[tuple[int, int]]:
@@ -158,6 +175,93 @@ class Transducer:
                 ids.pop()
         return ids
 
+    def _all_arcs(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Arcs from every position, none over the end of its part: lengths and
+        pieces by position, the longest last, and each position's first arc
+        (one more entry at the end)."""
+        at = np.arange(len(codes))
+        state = self.first[np.minimum(codes, len(self.first) - 1)]
+        found, length = [], 1
+        while True:
+            on = state > 0
+            at, state = at[on], state[on]
+            if not len(at):
+                break
+            piece = self.end_of[state]
+            ending = piece >= 0
+            found.append((at[ending], np.full(np.count_nonzero(ending), length), piece[ending]))
+            on = at + length < ends[at]
+            at, state = at[on], state[on]
+            keys = state << 21 | codes[at + length]
+            place = np.minimum(np.searchsorted(self.arc_keys, keys), len(self.arc_keys) - 1)
+            state = np.where(self.arc_keys[place] == keys, self.arc_to[place], 0)
+            length += 1
+        where, sizes, pieces = (np.concatenate(x) for x in zip(*found)) if found else [np.zeros(0, np.int64)] * 3
+        order = np.argsort(where, kind="stable")
+        return sizes[order], pieces[order], np.searchsorted(where[order], np.arange(len(codes) + 1))
+
+    def _may_follow(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """``_follows`` of many pairs; the latest answer of each place is kept."""
+        keys = u + 1 << 32 | v
+        slots = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(45)).view(np.int64)
+        ok = self.pair_ok[slots]
+        new = np.flatnonzero(self.pair_keys[slots] != keys)
+        if len(new):
+            asked, which = np.unique(keys[new], return_inverse=True)
+            answers = np.array([self._merge_free((k >> 32) - 1, k & 0xFFFFFFFF) for k in asked.tolist()])
+            ok[new] = answers[which]
+            # pairs that share a place: the last one written has both entries
+            self.pair_keys[slots[new]] = keys[new]
+            self.pair_ok[slots[new]] = ok[new]
+        return ok
+
+    def _allowed_paths(self, texts: list[str]) -> list[bytes]:
+        """``_path`` of many short parts of a byte-pair model, as packed ids:
+        ``_allowed_path`` of all of them, one arc each a step."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        base = np.cumsum(sizes) - sizes
+        arc_size, arc_piece, first = self._all_arcs(codes, np.repeat(base + sizes, sizes))
+        # a position whose first arc is one character long is a piece's character
+        single = np.zeros(len(codes), bool)
+        some = np.flatnonzero(first[1:] > first[:-1])
+        single[some] = arc_size[first[some]] == 1
+        plain = np.logical_and.reduceat(single, base)
+        n = len(texts)
+        ids, was_at, was_arc = (np.zeros((n, _LONG + 1), np.int64) for _ in range(3))
+        at, depth, dead, last = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, -1)
+        arc = first[base + 1].copy()
+        going = np.flatnonzero(plain)
+        while len(going):
+            open_ = arc[going] > first[base[going] + at[going]]
+            back = going[~open_]
+            if len(back):  # dead ends
+                dead[back] |= 1 << at[back]
+                depth[back] -= 1
+                if depth[back].min() < 0:
+                    raise ValueError("a part has no path")
+                at[back], arc[back] = was_at[back, depth[back]], was_arc[back, depth[back]]
+                last[back] = np.where(depth[back] > 0, ids[back, depth[back] - 1], -1)
+            on = going[open_]
+            arc[on] -= 1
+            v, to = arc_piece[arc[on]], at[on] + arc_size[arc[on]]
+            ok = np.flatnonzero(dead[on] >> to & 1 == 0)
+            ok = ok[self._may_follow(last[on[ok]], v[ok])]
+            on, v, to = on[ok], v[ok], to[ok]
+            was_at[on, depth[on]], was_arc[on, depth[on]], ids[on, depth[on]] = at[on], arc[on], v
+            depth[on] += 1
+            at[on], last[on] = to, v
+            on = on[to < sizes[on]]
+            arc[on] = first[base[on] + at[on] + 1]
+            going = going[at[going] < sizes[going]]
+        flat = ids[np.arange(_LONG + 1) < depth[:, None]].astype("<u4").tobytes()
+        ends = (np.cumsum(depth) * 4).tolist()
+        out = [flat[i:j] for i, j in zip([0, *ends], ends)]
+        for k in np.flatnonzero(~plain).tolist():
+            path = self._path(texts[k])
+            out[k] = struct.pack(f"<{len(path)}I", *path)
+        return out
+
     def _cheapest_path(self, text: str) -> list[int]:
         """The path of least weight of a unigram model; a character that is no
         piece costs more than any piece and becomes bytes."""
@@ -190,34 +294,44 @@ class Transducer:
             ids += self._allowed_path(run) if run else self._bytes_of(char)
         return ids
 
-    def _segment(self, text: str) -> bytes:
-        """Ids of a marked segment, cut where a letter run ends and no piece
-        holds the two neighbours."""
-        ids = self.parts.get(text)
-        if ids is not None:
-            return ids
+    def _cut(self, text: str) -> str | list[str]:
+        """Parts of a marked segment, cut where a letter run ends and no piece
+        holds the two neighbours; the text itself if it stays whole."""
         words = _RUNS.findall(text)
         if len(words) == 1:
-            return self._part(text)
-        out, part, joined = b"", "", self.joined
+            return text
+        out, part, joined = [], "", self.joined
         for word in words:
             if part and part[-1] + word[0] not in joined:
-                out += self._part(part)
+                out.append(part)
                 part = word
             else:
                 part += word
-        return out + self._part(part)
-
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            ids = self.old_parts.get(part)
+        return [*out, part] if out else part
+
+    def _segments_ids(self, segments: list[str]) -> list[bytes]:
+        """Packed ids of distinct segments; unknown parts are searched together."""
+        known, older = self.parts, self.old_parts
+        cut = [s if s in known else self._cut(s) for s in segments]
+        lists = [own for own in cut if own.__class__ is list]
+        missing = []
+        for part in {own for own in cut if own.__class__ is str}.union(*lists).difference(known):
+            ids = older.get(part)
             if ids is None:
+                missing.append(part)
+            else:
+                known[part] = ids
+        short = [p for p in missing if len(p) < _LONG] if self.merges else []
+        for k in range(0, len(short), _TOGETHER):  # bounds the work space
+            known.update(zip(short[k:k + _TOGETHER], self._allowed_paths(short[k:k + _TOGETHER])))
+        once = {}  # parts of this call alone
+        for part in missing:
+            if part not in known:
                 path = self._path(part)
-                ids = struct.pack(f"<{len(path)}I", *path)
-            if len(part) < 32:
-                self.parts[part] = ids
-        return ids
+                (known if len(part) < _LONG else once)[part] = struct.pack(f"<{len(path)}I", *path)
+        if once:
+            known = known | once
+        return [known[own] if own.__class__ is str else b"".join([known[p] for p in own]) for own in cut]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and where each text's ids begin
@@ -232,7 +346,7 @@ class Transducer:
         distinct = [raw[i:j] for i, j in zip(spans.start[where].tolist(), spans.end[where].tolist())]
         if len(self.parts) > self.most:  # from the older table, parts still in use move back
             self.parts, self.old_parts = {}, self.parts
-        ids = [self._segment(w.decode()) for w in distinct]
+        ids = self._segments_ids([w.decode() for w in distinct])
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         counts = sizes[which]

@@ -1,3 +1,5 @@
+import random
+
 import pyarrow as pa
 import pytest
 import sentencepiece
@@ -77,3 +79,19 @@ def test_other_normalisers_are_refused(tmp_path):
     path.write_bytes(m.SerializeToString())
     with pytest.raises(ValueError):
         wfst_pieces.Transducer(str(path))
+
+
+def test_new_parts_are_searched_together(monkeypatch):
+    """Words seen for the first time share one search over arrays: none has a
+    search of its own, whatever dead ends it meets, and ids stay the library's."""
+    rng = random.Random(5)
+    bits = ["th", "an", "er", "tion", "é", "ción", "ß", "qu", "ou", "x", "'", "日", "7", "Q"]
+    texts = [" ".join("".join(rng.choices(bits, k=rng.randint(1, 9))) for _ in range(400)) for _ in range(5)]
+    t = wfst_pieces.Transducer(PATH)
+    alone = []
+    monkeypatch.setattr(t, "_allowed_path", lambda text, search=t._allowed_path: alone.append(text) or search(text))
+    flat, first = t.encode(pa.array(texts, pa.string()))
+    assert [flat[i:j].tolist() for i, j in zip(first[:-1], first[1:])] == [LIBRARY.encode(x) for x in texts]
+    assert [x for x in alone if len(x) < 32 and t.single.issuperset(x)] == []
+    words = [p for p in t.parts if t.single.issuperset(p)]
+    assert len(words) > 1000 and [list(memoryview(t.parts[p]).cast("I")) for p in words] == [t._allowed_path(p) for p in words]
