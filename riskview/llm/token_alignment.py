@@ -52,6 +52,7 @@ from riskview.session import scratch_path
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RUN = 30_000  # units of a text that are aligned at once
 _STRIDE = 4  # keys gallop from the place of every 4th, 16th, ... key
+_JOINED = 50  # units that are encoded as one text
 _SHORT = 48  # characters of a unit that is remembered
 _MARK = "▁"
 _SCHEMA = pa.schema([
@@ -127,6 +128,11 @@ class Pair:
                 size += len(units[to])
                 to += 1
             some, at = units[at:to], to
+            if self.cuts:  # joined by single spaces, units are encoded as on their own
+                inner = [u for u in some if u and u == u.strip()]
+                some = [u for u in some if not u or u != u.strip()] + self._learn_joined(inner, out)
+            if not some:
+                continue
             a = [x.ids for x in self.a.encode_batch_fast([" " + u for u in some], add_special_tokens=False)]
             b = self.b.encode(some, num_threads=1)
             same = self._same(some, a, b)
@@ -135,6 +141,31 @@ class Pair:
                     out[0][u], out[1][u] = array("i", x).tobytes(), array("i", y).tobytes()
         return out
 
+    def _learn_joined(self, units: list[str], out: tuple[dict[str, bytes], dict[str, bytes]]) -> list[str]:
+        """``learn`` for units that neither begin nor end with white space,
+        many in one text.  Ids must give the text's bytes back, with a token's
+        end at every unit's; else the halves are tried, and the units of a
+        small rest are returned."""
+        if len(units) < 16:
+            return units
+        texts = [" ".join(units[k:k + _JOINED]) for k in range(0, len(units), _JOINED)]
+        a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        b = self.b.encode(texts, num_threads=1)
+        raw = (" " + " ".join(texts)).encode()
+        ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)) + 1)
+        cuts = []
+        for vocabulary, ids in ((self.bytes_a, a), (self.bytes_b, b)):
+            flat = np.fromiter(chain.from_iterable(ids), np.int32)
+            done = np.cumsum(vocabulary.sizes[flat])
+            last = np.searchsorted(done, ends)
+            if vocabulary.spell(flat).tobytes() != raw or (done[last] != ends).any():
+                half = len(units) // 2
+                return self._learn_joined(units[:half], out) + self._learn_joined(units[half:], out)
+            cuts.append((flat.tobytes(), [0, *((last + 1) * 4).tolist()]))
+        for own, (packed, to) in zip(out, cuts):
+            own.update(zip(units, [packed[i:j] for i, j in zip(to, to[1:])]))
+        return []
+
     def _same(self, units: list[str], a: list[list[int]], b: list[list[int]]) -> bool:
         """Whether either tokenizer's ids give every unit back."""
         raw = [(" " + u).encode() for u in units]

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -134,3 +135,26 @@ def test_overlaps_of_every_pair(x, y):
     want = [(i, j) for i in range(len(a)) for j in range(len(b))
             if (a[i - 1] if i else 0) < b[j] and (b[j - 1] if j else 0) < a[i]]
     assert sorted(zip(la.tolist(), lb.tolist())) == want
+
+
+def test_units_are_encoded_many_at_a_time():
+    """Unknown units share texts, and their ids are those of each alone; units
+    that are not given back, or that white space ends, do not spoil the others."""
+    rng = random.Random(4)
+    units = sorted({"".join(rng.choices(["th", "'s", "é", "日", "12", "<|endoftext|>", "\x00", "Z", "–", "\n", "_"], k=rng.randint(1, 6)))
+                    for _ in range(1500)})
+    units += ["", " a", "a ", "a  b", " x", "x▁y", "▁", "\x1fq", "​"]
+    pair = token_alignment.Pair(A, B)
+    asked = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    tokenizer, pair.a = pair.a, Counted()
+    many = pair.learn(units)
+    assert len(asked) < len(units) / 2
+    pair.cuts = False  # every unit on its own
+    assert many == pair.learn(units)
+    assert "x▁y" not in many[0] and "a  b" in many[0]
