@@ -1,4 +1,4 @@
-"""Connected components of a link table by label propagation with jumps."""
+"""Connected components of a link table by hooking, jumps and contraction."""
 
 from __future__ import annotations
 
@@ -8,24 +8,39 @@ from pyspark.sql import functions as F
 from riskview.llm.common import stored
 
 
+def _tops(labels: DataFrame) -> DataFrame:
+    """``labels(node, root)``, every root being a node, with roots followed to
+    the end: each pass takes the root of the root, which halves the way left."""
+    while True:
+        up = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        step = stored(labels.join(up, "root").select("node", F.col("root").alias("old"), F.col("far").alias("root")), "labels")
+        labels = step.select("node", "root")
+        if step.where("root <> old").isEmpty():
+            return labels
+
+
 def components(links: DataFrame) -> DataFrame:
     """Smallest node reachable from every node of ``links(a, b)``.
 
-    Each round a node takes the least label among its own and its neighbours'
-    (partial minimums, so a hub ships one row a task), then the label of its
-    label, which halves the distance left.  Rounds end when no label moves.
-    Only linked nodes are returned, as ``(node, root)``.
+    Each round a node takes the least among itself and its neighbours (partial
+    minimums, so a hub ships one row a task) and follows it to the end.  Links
+    are then drawn between the ends: links inside a group go and equal ones
+    become one, so the next round meets only what is still to be joined, not
+    all links again.  Rounds end when no link is left.  Only linked nodes are
+    returned, as ``(node, root)``.
     """
-    both = stored(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+    rounds = []
     while True:
-        near = (both.join(labels.withColumnRenamed("node", "b"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near")))
-        step = labels.join(near, "node").select(
-            "node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        step = stored(step.join(jump, "root", "left").select(
-            "node", "old", F.least("root", F.coalesce("far", "root")).alias("root")), "labels")
-        labels = step.select("node", "root")
-        if step.where("root <> old").isEmpty():
-            return labels
+        ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        links = stored(ordered.where("a <> b").distinct(), "links")
+        if rounds and links.isEmpty():
+            break
+        ends = links.select(F.col("a").alias("node"), F.col("b").alias("near")).union(links.select("b", "a"))
+        rounds.append(_tops(stored(ends.groupBy("node").agg(F.least("node", F.min("near")).alias("root")), "labels")))
+        for end in ("a", "b"):
+            links = links.join(rounds[-1].withColumnRenamed("node", end), end).drop(end).withColumnRenamed("root", end)
+    labels = rounds.pop()
+    while rounds:
+        far = labels.toDF("root", "far")
+        labels = rounds.pop().join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root"))
+    return stored(labels, "labels")
