@@ -170,15 +170,17 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> tuple[list[tuple[int, int]]
 
 
 def _promising(floor: float, threshold: float) -> Callable[[pa.Table], pa.Table]:
-    """Links between members of a small node whose sizes (exactly) and
-    signatures (with slack) allow similarity."""
+    """Members of a small node whose sizes (exactly) and signatures (with
+    slack) allow similarity, linked to the least of those they join."""
     def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("class")  # trees that meet the same members name the same links
         n = group.column("n").to_numpy()
         pairs = _agreement(_stack(group.column("sig"))) >= floor
         pairs &= np.minimum(n[:, None], n) >= threshold * np.maximum(n[:, None], n)
-        kept, _ = _forest(*np.nonzero(np.triu(pairs, 1)), len(n))
+        _, roots = _forest(*np.nonzero(np.triu(pairs, 1)), len(n))
+        linked = [(r, k) for k, r in enumerate(roots) if r != k]
         name = group.column("class").combine_chunks()
-        return pa.table([name.take(pa.array([k[s] for k in kept], pa.int32())) for s in (0, 1)], schema=_LINKS)
+        return pa.table([name.take(pa.array([k[s] for k in linked], pa.int32())) for s in (0, 1)], schema=_LINKS)
     return run
 
 
@@ -301,39 +303,47 @@ def _block(size: Column, small: int) -> Column:
 
 
 def _candidates(classes: DataFrame, how: Join) -> DataFrame:
-    """Links (a, b) whose components hold every pair that may be similar."""
-    links, at = [], classes.select(F.lit(0).cast("long").alias("node"), "class", "sig")
+    """Links (a, b) whose components hold every pair that may be similar, to be read once."""
+    small, links, at = [], [], classes.select(F.lit(0).cast("long").alias("node"), "class", "sig")
     for level in range(how.levels):
         rows = stored(at.mapInArrow(lean(_grow(level, how.branch, how.trees)), "node long, class binary"), "tree")
-        sizes = stored(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), "tree-sizes")
+        sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
         met = stored(rows.join(sizes, "node").join(classes, "class").select("node", "class", "size", "n", "sig"), "tree-nodes")
-        links.append(met.where(F.col("size") <= how.small).select("node", "class", "n", "sig").groupBy("node")
-                     .applyInArrow(_promising(how.floor, how.percent / 100), "a binary, b binary"))
+        small.append(met.where(F.col("size") <= how.small).select(F.lit(level).alias("level"), "node", "class", "n", "sig"))
         many = met.where(F.col("size") > how.small)
-        if many.isEmpty():
+        left = many.count()
+        if not left:
             break
-        # nodes whose members are alike, and any at the last level, are clusters as they are
+        if level + 1 == how.levels:
+            hubs = stored(many.groupBy("node").agg(F.min("class").alias("hub")), "tree-hubs", left // how.small)
+            links.append(many.select("node", "class").join(hubs, "node").select(F.col("hub").alias("a"), F.col("class").alias("b")))
+            break
+        # nodes whose members are alike are clusters as they are, as any at the last level are
         blocks = many.select("node", "class", "sig", _block(F.col("size"), how.small).alias("block"))
         kinds = stored(blocks.groupBy("node", "block").applyInArrow(
             _central, "node long, class binary, near double, alike double").groupBy("node").agg(
-            (F.lit(level + 1 == how.levels) | (F.avg("alike") >= 0.4)).alias("dense"), F.min("class").alias("hub")), "tree-kinds")
+            (F.avg("alike") >= 0.4).alias("dense"), F.min("class").alias("hub")), "tree-kinds", left // how.small)
         many = stored(many.select("node", "class", "sig").join(kinds, "node"), "tree-large")
         links.append(many.where("dense").select(F.col("hub").alias("a"), F.col("class").alias("b")))
         at = many.where("NOT dense").select("node", "class", "sig")
-    out = links[0]
-    for more in links[1:]:
+    met = small[0]
+    for more in small[1:]:
+        met = met.union(more)
+    # one pass over the small nodes of all levels
+    out = met.groupBy("level", "node").applyInArrow(_promising(how.floor, how.percent / 100), "a binary, b binary")
+    for more in links:
         out = out.union(more)
-    return stored(out, "candidates")
+    return out
 
 
 def _open_clusters(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of the clusters that hold more than one component so far:
     cluster, class, size, block, root, main (the largest component)."""
     rows = members.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    rows = stored(rows, "members")
+    rows = stored(rows, "members", members.count())
     sizes = (rows.groupBy("cluster", "root").agg(F.count("*").alias("own"))
              .groupBy("cluster").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("own", "root")).alias("main")))
-    return stored(rows.join(stored(sizes.where("roots > 1").drop("roots"), "sizes"), "cluster"), "open")
+    return stored(rows.join(stored(sizes.where("roots > 1").drop("roots"), "sizes", rows.count()), "cluster"), "open")
 
 
 def _settle_large(members: DataFrame, classes: DataFrame, how: Join) -> DataFrame:
@@ -357,23 +367,22 @@ def _settle_large(members: DataFrame, classes: DataFrame, how: Join) -> DataFram
                .applyInArrow(_central, "node long, class binary, near double, alike double")
                .withColumn("rank", F.row_number().over(by_near)).where(F.col("rank") <= how.pivots).select("class"))
     pivots = in_every_block(members.join(stored(central, "pivots"), "class").withColumn("root", F.col("class")))
-    found = stored(meet(pivots.withColumn("u", F.lit(0)),
-                        members.withColumn("root", F.col("class")).withColumn("u", F.lit(0))), "found")
-    roots = components(found)
+    roots = components(meet(pivots.withColumn("u", F.lit(0)),
+                            members.withColumn("root", F.col("class")).withColumn("u", F.lit(0))))
     rows = _open_clusters(members, roots)
     outside = stored(in_every_block(rows.where("root <> main").withColumnRenamed("block", "u")), "outside")
     wanted = outside.select(*keys).distinct()
-    found = stored(found.union(meet(outside, rows.join(wanted, ["cluster", "block"]))), "found")
+    found = roots.toDF("a", "b").union(meet(outside, rows.join(wanted, ["cluster", "block"])))
     return components(found).withColumnRenamed("node", "class")
 
 
 def link_classes(classes: DataFrame, rows: DataFrame, how: Join) -> DataFrame:
-    """Component of every linked class, as (class, root).
+    """Component of every linked class, as (class, root), to be read once.
 
     ``classes``: class, n, sig and the key of one row that has it, one row a
     class, in the order that roots follow; ``rows``: key, text."""
     clusters = components(_candidates(classes.select("class", "n", "sig"), how)).toDF("class", "cluster")
-    sizes = stored(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster-sizes")
+    sizes = stored(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "cluster-sizes", clusters.count())
     clusters = stored(clusters.join(sizes, "cluster").withColumn("block", _block(F.col("size"), how.small)), "clusters")
     active = stored(clusters.select("class").join(classes.select("class", "key", "digest"), "class"), "active")
     sets = (rows.select("key", "text").join(broadcast_if_small(active), "key").select("class", "digest", "text")
@@ -386,7 +395,7 @@ def link_classes(classes: DataFrame, rows: DataFrame, how: Join) -> DataFrame:
     if not large.isEmpty():
         large = stored(large, "large-clusters")
         out = out.union(_settle_large(large, classes, how).select("class", "root"))
-    return stored(out, "roots")
+    return out
 
 
 _SIGN = -(1 << 63)
@@ -415,8 +424,8 @@ def _components(docs: DataFrame, how: Join, id_col: str, text_col: str) -> DataF
         .select("digest", "n", "sig", "key", _name(F.col("least"), F.col("digest")).alias("class")), "classes")
     roots = link_classes(classes, rows, how)
     # a class's name holds its smallest id, so a root's name holds its component's
-    root = stored(classes.select("digest", "class").join(roots, "class", "left").select(
-        "digest", F.coalesce("root", "class").alias("root")), "components")
+    root = classes.select("digest", "class").join(roots, "class", "left").select(
+        "digest", F.coalesce("root", "class").alias("root"))
     out = signed.select("id", "key", "n", "digest").join(root, "digest", "left")
     alone = F.col("digest").isNull()
     return out.select("id", "key", "n", "root", F.when(alone, F.col("id")).otherwise(_least(F.col("root"))).alias("component_id"))

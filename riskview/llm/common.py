@@ -25,11 +25,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: every
-    later reader sees the same rows, and a lost executor cannot change them."""
+    later reader sees the same rows, and a lost executor cannot change them.
+    ``rows``, if known, is a bound of its narrow rows: 20,000 share a file, so
+    few do not become a file a shuffle partition; all cores write in any case."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, parts_for(rows, 20_000)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,17 +8,23 @@ from pyspark.sql import functions as F
 from riskview.llm.common import stored
 
 
-def _tops(labels: DataFrame) -> DataFrame:
+def _tops(labels: DataFrame, rows: int) -> DataFrame:
     """``labels(node, root)``, every root being a node, with roots followed to
     the end: each pass takes the root of the root, which halves the way left."""
     while True:
         up = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        step = stored(labels.join(up, "root").select("node", F.col("root").alias("old"), F.col("far").alias("root")), "labels")
+        step = stored(labels.join(up, "root").select("node", F.col("root").alias("old"), F.col("far").alias("root")),
+                      "labels", rows)
         labels = step.select("node", "root")
         if step.where("root <> old").isEmpty():
             return labels
 
 
+def _open(links: DataFrame) -> DataFrame:
+    """Links between different nodes, each from the smaller one."""
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Smallest node reachable from every node of ``links(a, b)``.
 
@@ -27,20 +33,23 @@ def components(links: DataFrame) -> DataFrame:
     are then drawn between the ends: links inside a group go and equal ones
     become one, so the next round meets only what is still to be joined, not
     all links again.  Rounds end when no link is left.  Only linked nodes are
-    returned, as ``(node, root)``.
+    returned, as ``(node, root)``.  ``links`` is read once.
     """
-    rounds = []
-    while True:
-        ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = stored(ordered.where("a <> b").distinct(), "links")
-        if rounds and links.isEmpty():
-            break
+    rounds, links = [], stored(_open(links), "links")
+    rows = most = links.count()
+    while rows or not rounds:
         ends = links.select(F.col("a").alias("node"), F.col("b").alias("near")).union(links.select("b", "a"))
-        rounds.append(_tops(stored(ends.groupBy("node").agg(F.least("node", F.min("near")).alias("root")), "labels")))
+        least = ends.groupBy("node").agg(F.least("node", F.min("near")).alias("root"))
+        rounds.append(_tops(stored(least, "labels", 2 * rows), 2 * rows))
+        links = links.distinct()
         for end in ("a", "b"):
             links = links.join(rounds[-1].withColumnRenamed("node", end), end).drop(end).withColumnRenamed("root", end)
+        links = stored(_open(links), "links", rows)
+        rows = links.count()
     labels = rounds.pop()
+    if not rounds:
+        return labels
     while rounds:
         far = labels.toDF("root", "far")
         labels = rounds.pop().join(far, "root", "left").select("node", F.coalesce("far", "root").alias("root"))
-    return stored(labels, "labels")
+    return stored(labels, "labels", 2 * most)

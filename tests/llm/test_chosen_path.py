@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from riskview.llm import chosen_path
 from riskview.llm.chosen_path import Join, keep_first, near_duplicates
 from riskview.llm.components import components
 from tests.llm.helpers import AWKWARD, documents, given, words
@@ -95,3 +96,17 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(61)}, **{i: 1000 for i in range(1000, 1100)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_small_nodes_of_all_levels_share_one_pass(spark, monkeypatch):
+    taken, reads = chosen_path._candidates, []
+
+    def read(*args):
+        out = taken(*args)
+        reads.append(out._jdf.queryExecution().optimizedPlan().toString().count("FlatMapGroupsInArrow"))
+        return out
+
+    monkeypatch.setattr(chosen_path, "_candidates", read)
+    pairs = corpus(3)
+    assert run(spark, pairs, Join(percent=85, small=4, pivots=2)) == brute(pairs, 5, 85)
+    assert reads == [1]

@@ -1,5 +1,6 @@
 import random
 
+from riskview.llm import components as module
 from riskview.llm.components import components
 
 
@@ -47,3 +48,26 @@ def test_rounds_meet_only_links_still_open(spark, monkeypatch):
     monkeypatch.setattr(type(frame), "join", counted)
     assert dict(components(frame).collect()) == brute(links)
     assert sum(made) <= 3 * len(links)
+
+
+def test_few_links_are_not_a_file_a_shuffle_partition(spark, monkeypatch):
+    links, files, store = tangle(3), [], module.stored
+
+    def counted(*args):
+        out = store(*args)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(module, "stored", counted)
+    frame = spark.createDataFrame(links, "a long, b long").coalesce(1)
+    many = spark.sparkContext.defaultParallelism * 4
+    conf = {"spark.sql.shuffle.partitions": str(many), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert dict(components(frame).collect()) == brute(links)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert files and max(files) <= spark.sparkContext.defaultParallelism
